@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.llm.byte_bpe import encode_documents, encoding_digest
 from gridloom.llm.common import read
 from gridloom.llm.license_scan import license_digest, scan_licenses
 from gridloom.llm.token_counts import count_tokens, over_limit
@@ -21,9 +22,15 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return over_limit(count_tokens(read(spark, sf_dir, "documents"), model), 4096)
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encoding_digest(encode_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}

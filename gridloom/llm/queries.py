@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.llm.byte_bpe import encode_documents, encoding_digest
 from gridloom.llm.common import read
 from gridloom.llm.license_scan import license_digest, scan_licenses
+from gridloom.llm.source_mix import mix_sources
 from gridloom.llm.token_counts import count_tokens, over_limit
+from gridloom.llm.url_rules import judge_urls
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,10 +30,49 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digest(encode_documents(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
 
 
+#: Host, path and verdict of the rules of the contract's query.
+URL_RULES = [
+    ("com", "/en/", "block"),
+    ("example.com", "/en/7", "allow"),
+    ("net", "/de/", "allow"),
+    ("example.net", "/de/8", "block"),
+    ("org", "/es/", "block"),
+]
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(read(spark, sf_dir, "pages"), rules)
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(read(spark, sf_dir, "documents"), [1, 2, 3], most=3.0)
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op5_source_mix": op5_source_mix,
+    "op7_url_rules": op7_url_rules,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_url_rules": """
+        WITH rules(r_host, r_path, verdict) AS (VALUES
+            ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'),
+            ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
+        cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        parsed AS (SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host,
+                    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, row_number() OVER () AS n FROM cut),
+        fitting AS (SELECT n, r_host || r_path AS rule, verdict,
+                    row_number() OVER (PARTITION BY n ORDER BY length(r_host || r_path) DESC,
+                        length(r_host) DESC, r_host || r_path) AS k
+            FROM parsed, rules WHERE (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path))
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM parsed LEFT JOIN (SELECT * FROM fitting WHERE k = 1) f USING (n)
+    """,
+}

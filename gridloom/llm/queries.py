@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.byte_bpe import encode_documents, encoding_digest
 from gridloom.llm.common import read
 from gridloom.llm.license_scan import license_digest, scan_licenses
+from gridloom.llm.media_columns import media_columns, media_digest, wrap_payloads
 from gridloom.llm.source_mix import mix_sources
 from gridloom.llm.token_counts import count_tokens, over_limit
 from gridloom.llm.url_rules import judge_urls
@@ -51,9 +52,15 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = wrap_payloads(read(spark, sf_dir, "documents"))
+    return media_digest(media_columns(files, ["doc_id", "n_bytes"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_token_counts": op3_token_counts,
+    "op4_media_columns": op4_media_columns,
     "op5_source_mix": op5_source_mix,
     "op7_url_rules": op7_url_rules,
     "op8_byte_bpe": op8_byte_bpe,

@@ -105,10 +105,10 @@ class Track:
         return self.boxes[b"stsd"][12:16].decode("latin-1")
 
     def clock(self) -> tuple[int, int]:
-        """Ticks a second, ticks in all."""
+        """Ticks a second, and the ticks of all samples."""
         body = self.boxes[b"mdhd"]
-        rate, all_ticks = struct.unpack_from(">IQ" if body[0] else ">II", body, 20 if body[0] else 12)
-        return rate, all_ticks
+        (rate,) = struct.unpack_from(">I", body, 20 if body[0] else 12)
+        return rate, sum(count * ticks for count, ticks in self.ints(b"stts", width=2))
 
     def samples(self) -> list[tuple[int, int]]:
         """Offset and size of each sample, in order."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.byte_bpe import encode_documents, encoding_digest
 from gridloom.llm.common import read
+from gridloom.llm.html_main_text import extract_main_text, text_of_blocks
 from gridloom.llm.license_scan import license_digest, scan_licenses
 from gridloom.llm.media_columns import media_columns, media_digest, wrap_payloads
 from gridloom.llm.source_mix import mix_sources
@@ -57,8 +58,14 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digest(media_columns(files, ["doc_id", "n_bytes"]))
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["page_id", "url"]
+    return text_of_blocks(extract_main_text(read(spark, sf_dir, "pages"), keys), keys)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_html_main_text": op2_html_main_text,
     "op3_token_counts": op3_token_counts,
     "op4_media_columns": op4_media_columns,
     "op5_source_mix": op5_source_mix,

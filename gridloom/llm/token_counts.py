@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -193,6 +194,12 @@ class PieceTransducer:
         return self.count_segments(head) + (count or 0) + self.count_segments(tail)
 
 
+@cache
+def machine_of(model_path: str) -> PieceTransducer:
+    """One transducer for all tasks of a Python worker, which go on with what is compiled."""
+    return PieceTransducer.from_sentencepiece(model_path)
+
+
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``n_bytes`` of UTF-8 and ``n_tokens``. One map stage, no shuffle.
 
@@ -201,7 +208,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """
 
     def worker() -> Callable[[list], dict[str, list]]:
-        machine = PieceTransducer.from_sentencepiece(model_path)
+        machine = machine_of(model_path)
 
         def kernel(texts: list) -> dict[str, list]:
             return {"n_bytes": [len((t or "").encode()) for t in texts], "n_tokens": [machine.count(t) for t in texts]}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.byte_bpe import encode_documents, encoding_digest
 from gridloom.llm.common import read
+from gridloom.llm.exact_topk import exact_top_k
 from gridloom.llm.html_main_text import extract_main_text, text_of_blocks
 from gridloom.llm.license_scan import license_digest, scan_licenses
 from gridloom.llm.media_columns import media_columns, media_digest, wrap_payloads
@@ -63,6 +64,11 @@ def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_of_blocks(extract_main_text(read(spark, sf_dir, "pages"), keys), keys)
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_main_text": op2_html_main_text,
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_source_mix": op5_source_mix,
     "op7_url_rules": op7_url_rules,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_exact_topk": op9_exact_topk,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -89,4 +96,13 @@ ORACLE_SQL: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parsed LEFT JOIN (SELECT * FROM fitting WHERE k = 1) f USING (n)
     """,
+    "op9_exact_topk": """
+        WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding]::DOUBLE[] AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+        ranked AS (SELECT query_id, vec_id, score,
+            row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
 }

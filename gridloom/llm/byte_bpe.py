@@ -5,10 +5,11 @@
    kept packed: one row per block with every document's word numbers in order, and
    one row per block and bucket with the words of that bucket. A very common word so
    makes one entry a block, however often it occurs.
-2. The word rows are shuffled by bucket, a hash of the word: all blocks' copies of a
-   word meet in one task, which encodes it once and writes the ids to each row.
-3. All rows of a block meet again (a shuffle by block), and each document is put back
-   together by position: its ids, and its bytes from the joined token-byte table.
+   These rows are shuffled by block, and that shuffle is read twice.
+2. From its first read, the words go on by bucket, a hash of the word: all blocks' copies
+   of a word meet in one task, which encodes it once and answers each row with the ids.
+3. The answers meet the second read by block, and each document is put back together by
+   position: its ids, and its bytes from the joined token-byte table.
 
 A block is bounded by ``BLOCK`` characters (a longer text is a block of its own) and a
 bucket by the number of buckets, which follows spark.sql.shuffle.partitions; the token
@@ -28,6 +29,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -140,15 +142,9 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     slim = docs.select(F.col(id_col), F.col(text_col))
     id_type = slim.schema[0].dataType
     buckets = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    packed = (
-        T.StructType()
-        .add("route", T.LongType())
-        .add("block", T.LongType())
-        .add("bucket", T.IntegerType())
-        .add("doc_ids", T.ArrayType(id_type))
-        .add("blob", T.BinaryType())
-    )
-    names = packed.names
+    packed = T.StructType().add("block", T.LongType()).add("bucket", T.IntegerType())
+    exploded_type = T.StructType([*packed.fields]).add("doc_ids", T.ArrayType(id_type)).add("blob", T.BinaryType())
+    blob_type = T.StructType([*packed.fields]).add("blob", T.BinaryType())
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -160,57 +156,56 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                 if end < len(texts) and size + len(texts[end] or "") <= BLOCK:
                     continue
                 rows = list(block_rows(texts[start:end], pattern, buckets))
-                held = pa.ListArray.from_arrays(
-                    pa.array([0] + [end - start] * len(rows), pa.int32()), ids[start:end]
-                )
+                held = pa.ListArray.from_arrays(pa.array([0] + [end - start] * len(rows), pa.int32()), ids[start:end])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([k if k != DOCS else buckets + block % 1_000_003 for k, _ in rows], pa.int64()),
                         pa.array([block] * len(rows), pa.int64()),
                         pa.array([k for k, _ in rows], pa.int32()),
                         held,
                         pa.array([b for _, b in rows], pa.binary()),
                     ],
-                    names,
+                    exploded_type.names,
                 )
                 block, start, size = block + 1, end, 0
 
+    def words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pc.not_equal(batch.column("bucket"), DOCS))
+            words = [pack(*unpack(b)[1:]) for b in batch.column("blob").to_pylist()]
+            columns = [batch.column("block"), batch.column("bucket"), pa.array(words, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, blob_type.names)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, bucket, known = word_encoder(ranks_path, pattern), DOCS, {}
         for batch in batches:
             out = []
-            for k, blob in zip(batch.column(2).to_pylist(), batch.column(4)):
-                blob = blob.as_py()
-                if k != DOCS:
-                    if k != bucket:
-                        bucket, known = k, {}
-                    gaps, lengths, data = unpack(blob)
-                    ids = []
-                    for word in split_at(data, lengths):
-                        found = known.get(word)
-                        if found is None:
-                            found = known[word] = encoder(word)
-                        ids.append(found)
-                    blob = pack(gaps, np.array([len(x) // 4 for x in ids]), np.frombuffer(b"".join(ids), "<u4"))
-                out.append(blob)
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(4)] + [pa.array(out, pa.binary())], names)
-
-    def reassemble(rows: pa.Table) -> pa.Table:
-        kinds, blobs = rows.column("bucket").to_pylist(), rows.column("blob")
-        at = kinds.index(DOCS)
-        counts, flat = unpack(blobs[at].as_py())
+            for k, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob")):
+                if k != bucket:
+                    bucket, known = k, {}
+                ids = []
+                for word in split_at(*unpack(blob.as_py())[::-1]):
+                    found = known.get(word)
+                    if found is None:
+                        found = known[word] = encoder(word)
+                    ids.append(found)
+                out.append(pack(np.array([len(x) // 4 for x in ids]), np.frombuffer(b"".join(ids), "<u4")))
+            columns = [batch.column("block"), batch.column("bucket"), pa.array(out, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, blob_type.names)
+
+    def reassemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        blobs = dict(zip(rows.column("bucket").to_pylist(), rows.column("blob")))
+        counts, flat = unpack(blobs[DOCS].as_py())
         table = token_bytes(ranks_path)
         spelled, said = {}, {}
-        for i, k in enumerate(kinds):
-            if k == DOCS:
-                continue
-            gaps, lengths, ids = unpack(blobs[i].as_py())
+        for k, answer in zip(answers.column("bucket").to_pylist(), answers.column("blob")):
+            lengths, ids = unpack(answer.as_py())
             parts = split_at(ids.astype("<u4").tobytes(), lengths.astype(np.int64) * 4)
-            for number, part in zip(np.cumsum(gaps, dtype=np.int64).tolist(), parts):
+            for number, part in zip(np.cumsum(unpack(blobs[k].as_py())[0], dtype=np.int64).tolist(), parts):
                 spelled[number] = part
-                said[number] = b"".join(table[i] for i in np.frombuffer(part, "<u4").tolist())
+                said[number] = b"".join([table[i] for i in np.frombuffer(part, "<u4").tolist()])
         ends = np.cumsum(counts, dtype=np.int64).tolist()
         runs = [flat[a:b].tolist() for a, b in zip([0, *ends], ends)]
+        at = rows.column("bucket").to_pylist().index(DOCS)
         return pa.table(
             {
                 id_col: rows.column("doc_ids").combine_chunks().slice(at, 1).flatten(),
@@ -219,10 +214,11 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
             }
         )
 
-    exploded = slim.mapInArrow(explode, packed)
-    encoded = exploded.repartition("route").sortWithinPartitions("bucket").mapInArrow(encode, packed)
+    blocks = slim.mapInArrow(explode, exploded_type).repartition("block")
+    words = blocks.mapInArrow(words_only, blob_type)
+    answers = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(encode, blob_type)
     result = T.StructType().add(id_col, id_type).add("ids", T.BinaryType()).add("decoded", T.BinaryType())
-    return encoded.groupBy("block").applyInArrow(reassemble, result)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(reassemble, result)
 
 
 def encoding_digest(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

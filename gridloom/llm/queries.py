@@ -16,6 +16,7 @@ from gridloom.llm.license_scan import license_digest, scan_licenses
 from gridloom.llm.media_columns import media_columns, media_digest, wrap_payloads
 from gridloom.llm.source_mix import mix_sources
 from gridloom.llm.token_counts import count_tokens, over_limit
+from gridloom.llm.toxicity import score_toxicity
 from gridloom.llm.url_rules import judge_urls
 
 
@@ -69,6 +70,10 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_main_text": op2_html_main_text,
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_rules": op7_url_rules,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_topk": op9_exact_topk,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {

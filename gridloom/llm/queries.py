@@ -14,6 +14,7 @@ from gridloom.llm.exact_topk import exact_top_k
 from gridloom.llm.html_main_text import extract_main_text, text_of_blocks
 from gridloom.llm.license_scan import license_digest, scan_licenses
 from gridloom.llm.media_columns import media_columns, media_digest, wrap_payloads
+from gridloom.llm.ngram_join import jaccard_components
 from gridloom.llm.source_mix import mix_sources
 from gridloom.llm.token_counts import count_tokens, over_limit
 from gridloom.llm.toxicity import score_toxicity
@@ -74,12 +75,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"), percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_main_text": op2_html_main_text,
     "op3_token_counts": op3_token_counts,
     "op4_media_columns": op4_media_columns,
     "op5_source_mix": op5_source_mix,
+    "op6_ngram_join": op6_ngram_join,
     "op7_url_rules": op7_url_rules,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_topk": op9_exact_topk,

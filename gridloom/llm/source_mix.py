@@ -88,8 +88,9 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    keep: tuple[str, ...] | list[str] = (),
 ) -> DataFrame:
-    """Per row: the id, ``source``, ``size``, ``source_size``, ``target`` and ``copies`` (0 or more)."""
+    """Per row: the id, the columns ``keep``, ``source``, ``size``, ``source_size``, ``target`` and ``copies`` (0 or more)."""
     uniform = F.abs(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)) % F.lit(1 << 52)).cast("double") / F.lit(float(1 << 52))
     sizes = cut(
         docs.select(
@@ -99,6 +100,7 @@ def mix_sources(
             uniform.alias("u"),
             F.xxhash64(F.col(text_col), F.lit(seed)).alias("tie"),
             F.monotonically_increasing_id().alias("row"),
+            F.struct(*[F.col(c) for c in keep] or [F.lit(0)]).alias("kept"),
         )
     )
     targets = source_targets(sizes, weights, most)
@@ -131,6 +133,7 @@ def mix_sources(
         )
     return ranked.join(chosen.select("row", F.lit(1).alias("extra")), "row", "left").select(
         F.col("id").alias(id_col),
+        *[F.col("kept")[c].alias(c) for c in keep],
         F.col("source").alias(source_col),
         "size",
         "source_size",

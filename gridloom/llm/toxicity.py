@@ -312,7 +312,7 @@ def fit_classifier(sample: DataFrame) -> tuple[np.ndarray, float]:
     return fitted.coefficients.toArray(), fitted.intercept
 
 
-def score_texts(docs: DataFrame, weights: np.ndarray, intercept: float, id_col: str, text_col: str) -> DataFrame:
+def score_texts(docs: DataFrame, weights: np.ndarray, intercept: float, keep: list[str], text_col: str) -> DataFrame:
     held = {int(k): float(weights[k]) for k in np.flatnonzero(weights)}
 
     def worker() -> Callable[[list], dict[str, list]]:
@@ -339,7 +339,7 @@ def score_texts(docs: DataFrame, weights: np.ndarray, intercept: float, id_col:
 
         return lambda texts: {"score": [score(t) for t in texts]}
 
-    return map_texts(docs, [id_col], text_col, {"score": pa.float64()}, worker)
+    return map_texts(docs, keep, text_col, {"score": pa.float64()}, worker)
 
 
 def boundary(scored: DataFrame) -> float:
@@ -358,8 +358,16 @@ def boundary(scored: DataFrame) -> float:
     return float(np.median(best)) / 20 - 10
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """Per row: the id, ``held_out``, ``score`` and ``predicted``."""
+def score_toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Per row: the columns ``keep`` (the id unless given), ``held_out``, ``score`` and ``predicted``."""
+    keep = keep or [id_col]
     known = (
         labels.filter(~held_out(F.col(id_col)) & F.col(label_col).isin(0, 1))
         .groupBy(F.col(id_col).alias("label_id")).agg(F.max(F.col(label_col)).cast("int").alias("known"))
@@ -397,11 +405,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     sample = map_texts(picked.withColumn("t", F.col("text")), ["text"], "t", {"posterior": pa.float64()}, posteriors)
     marked = labelled.select("text", F.col("toxic").cast("double").alias("posterior"))
     weights, intercept = fit_classifier(sample.unionByName(marked))
-    intercept -= boundary(score_texts(labelled, weights, intercept, "toxic", "text"))
-    scored = score_texts(docs, weights, intercept, id_col, text_col)
+    intercept -= boundary(score_texts(labelled, weights, intercept, ["toxic"], "text"))
+    scored = score_texts(docs.withColumn("__id", F.col(id_col)), weights, intercept, [*keep, "__id"], text_col)
     return scored.select(
-        id_col,
-        held_out(F.col(id_col)).alias("held_out"),
+        *keep,
+        held_out(F.col("__id")).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

@@ -1,13 +1,81 @@
-"""Corpus pipeline; its stages follow."""
+"""Corpus pipeline: toxic documents go, one document of each near-duplicate group stays,
+sources are mixed to their weights, and what is left is encoded.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows it gets; all but the last
+return the columns of their input. Defined results: a null id is kept by every stage; rows
+that repeat one id are one document from the second stage on (of unequal texts the one with
+the smallest hash); an empty table stays empty; extra columns are carried along.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from gridloom.llm.byte_bpe import encode_documents, encoding_digest
+from gridloom.llm.common import cut, read
+from gridloom.llm.ngram_join import jaccard_components
+from gridloom.llm.source_mix import mix_sources
+from gridloom.llm.toxicity import score_toxicity
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject."""
+    scored = score_toxicity(docs, read(spark, sf_dir, "labels"), keep=docs.columns)
+    return scored.filter(F.col("predicted") == 0).select(*docs.columns)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component, and all without an id."""
+    heads = (
+        jaccard_components(docs, percent=80)
+        .filter(F.col("doc_id") == F.col("component_id"))
+        .groupBy(F.col("doc_id").alias("__head")).agg(F.count("*").alias("__rows"))
+    )
+    kept = docs.join(heads, docs["doc_id"] == heads["__head"])
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    repeated = kept.filter(F.col("__rows") > 1).withColumn("__k", F.row_number().over(first)).filter("__k = 1")
+    parts = [kept.filter(F.col("__rows") == 1), repeated, docs.filter(F.col("doc_id").isNull())]
+    one, more, none = (x.select(*docs.columns) for x in parts)
+    return one.unionByName(more).unionByName(none)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; equal rows of one id are taken together."""
+    mixed = mix_sources(docs.withColumn("__text", F.xxhash64("text")), [1, 2, 3], most=3.0, keep=["__text"])
+    copies = mixed.groupBy(F.col("doc_id").alias("__mixed"), "__text").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
+    taken = docs.withColumn("__text", F.xxhash64("text")).join(
+        copies.filter("__copies > 0").withColumnRenamed("__text", "__mixed_text"),
+        F.col("doc_id").eqNullSafe(F.col("__mixed")) & F.col("__text").eqNullSafe(F.col("__mixed_text")),
+    )
+    # Of n equal rows, the k-th takes every n-th copy.
+    order = Window.partitionBy("doc_id", "__text").orderBy("text")
+    repeated = taken.filter(F.col("__rows") > 1).withColumn("__k", F.row_number().over(order))
+    alone = taken.filter(F.col("__rows") == 1).withColumn("__k", F.lit(1))
+    share = F.floor((F.col("__copies") + F.col("__rows") - F.col("__k")) / F.col("__rows")).cast("int")
+    return alone.unionByName(repeated).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), share))).select(*docs.columns)
+
+
+def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document: token count and digests of its ids and of the bytes decoded from them."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encoding_digest(encode_documents(docs, ranks, public_tokenizers.PATTERN))
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("mixing sources to target weights", source_mixing),
+    ("byte-level BPE encoding and decoding", byte_level_bpe),
+]
+
+#: No stage but the third is SQL; the stages are tested against plain versions instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -44,7 +44,9 @@ from gridloom.llm.common import cut, map_texts
 #: Bounds of the labelled rows that voters are mined from and of the classifier's training rows.
 LABELLED_ROWS, TRAIN_ROWS = 12_000, 4_000
 #: Mined voters, the fewest toxic rows that a mined feature marks, features of the classifier.
-MINED, SUPPORT, WIDTH = 44, 2, 1 << 18
+MINED, SUPPORT, WIDTH = 44, 2, 1 << 17
+#: Tasks over vote patterns, and over the classifier's bounded training rows.
+TASKS = 16
 #: Share of a text's words from which on a beginning is dense.
 SHARE = 0.01
 #: Lengths of word beginnings that are features.
@@ -63,14 +65,32 @@ LEXICONS = (
     frozenset("ugly fat freak creep pervert weirdo".split()),
     frozenset("bitch bastard asshole shit fuck fucking cunt whore slut".split()),
 )
-# Pattern voters.
-PATTERNS = (
-    re.compile(r"\byou(?: are|'re)(?: such)?(?: an?| the| all)? [a-z]{3,12}\b[!.]", re.I),
-    re.compile(r"\b(?:shut up|get lost|go away|drop dead|screw you)\b", re.I),
-    re.compile(r"!{3,}"),
-    re.compile(r"[@#$%&*]{4,}"),
+# Phrases of a lexicon voter of their own.
+PHRASES = ("shut up", "get lost", "go away", "drop dead", "screw you")
+YOU_ARE = re.compile(r"(?:you are|you're)(?: such)?(?: an?| the| all)? [a-z]{3,12}[!.]")
+SYMBOLS = re.compile(r"[@#$%&*]{4,}")
+#: Pattern voters, each over the lower-cased text.
+PATTERNS: tuple[Callable[[str], bool], ...] = (
+    lambda low: bool(YOU_ARE.search(low)) if "you are" in low or "you're" in low else False,
+    lambda low: any(p in low for p in PHRASES),
+    lambda low: "!!!" in low,
+    lambda low: bool(SYMBOLS.search(low)),
 )
 
+
+class Known(dict):
+    """What is made of a word, kept for words met before, emptied when full."""
+
+    def __init__(self, make: Callable[[str], tuple], most: int = 400_000) -> None:
+        self.make, self.most = make, most
+
+    def __missing__(self, word: str) -> tuple:
+        if len(self) >= self.most:
+            self.clear()
+        found = self[word] = self.make(word)
+        return found
+
+
 words_of = re.compile(r"[^\W\d_]+").findall
 
 
@@ -125,34 +145,33 @@ class Voters:
     def __init__(self, mined: list[str]) -> None:
         self.mined = {feature: 1 << k for k, feature in enumerate(mined)}
         self.n = len(mined) + len(LEXICONS) + len(PATTERNS)
-        #: By word: the bits that it sets alone, and the features that want several words.
-        self.words: dict[str, tuple[int, tuple[str, ...]]] = {}
+        self.words = Known(self.of_word)
 
-    def of_word(self, word: str) -> tuple[int, tuple[str, ...]]:
+    def of_word(self, word: str) -> tuple:
+        """The bits that a word sets alone and its features that want a share; empty where it says nothing."""
         bits = sum(1 << len(self.mined) + k for k, lexicon in enumerate(LEXICONS) if word in lexicon)
         features = features_of(word)
         for feature in features:
             bits |= self.mined.get(feature, 0)
-        if len(self.words) > 400_000:
-            self.words.clear()
-        found = self.words[word] = bits, tuple(f for f in features if f"{f}+" in self.mined)
-        return found
+        more = tuple(f for f in features if f"{f}+" in self.mined)
+        return (bits, more) if bits or more else ()
 
     def vote(self, text: str | None) -> int:
         if not text:
             return 0
-        bits, known, several = 0, self.words, Counter()
-        words, total = counted(text)
-        for word, n in words.items():
-            alone, more = known.get(word) or self.of_word(word)
+        low = text.lower()
+        words = words_of(low)
+        bits, several = 0, Counter()
+        for word in filter(self.words.__getitem__, set(words)):
+            alone, more = self.words[word]
             bits |= alone
             for feature in more:
-                several[feature] += n
+                several[feature] += words.count(word)
         for feature, n in several.items():
-            if dense(n, total):
+            if dense(n, len(words)):
                 bits |= self.mined[f"{feature}+"]
         for k, pattern in enumerate(PATTERNS):
-            if pattern.search(text):
+            if pattern(low):
                 bits |= 1 << len(self.mined) + len(LEXICONS) + k
         return bits
 
@@ -241,15 +260,15 @@ def moments(patterns: DataFrame, n: int, posterior: Callable[[np.ndarray, np.nda
             p = posterior(bits, labelled, marked)
             total[1] += votes.T @ (votes * (rows * p)[:, None])
             total[0] += votes.T @ (votes * (rows * (1 - p))[:, None])
-        c, i, j = np.nonzero(total)
+        c, i, j = np.nonzero(np.triu(total))
         yield pa.RecordBatch.from_arrays(
             [pa.array((c * (n + 1) + i) * (n + 1) + j, pa.int32()), pa.array(total[c, i, j], pa.float64())], ["cell", "sum"]
         )
 
     total = np.zeros(2 * (n + 1) ** 2)
-    for r in patterns.mapInArrow(sums, "cell int, sum double").groupBy("cell").agg(F.sum("sum").alias("sum")).collect():
+    for r in patterns.coalesce(TASKS).mapInArrow(sums, "cell int, sum double").groupBy("cell").agg(F.sum("sum").alias("sum")).collect():
         total[r["cell"]] = r["sum"]
-    clean, toxic = total.reshape(2, n + 1, n + 1)
+    clean, toxic = (m + np.triu(m, 1).T for m in total.reshape(2, n + 1, n + 1))
     return float(toxic[0, 0]), toxic, float(clean[0, 0]), clean
 
 
@@ -298,7 +317,7 @@ def fit_classifier(sample: DataFrame) -> tuple[np.ndarray, float]:
     def vector(text: str | None) -> SparseVector:
         return SparseVector(WIDTH, values_of(text))
 
-    rows = cut(sample.select(vector("text").alias("features"), "posterior"))
+    rows = cut(sample.repartition(TASKS).select(vector("text").alias("features"), "posterior"))
     both = rows.withColumn("label", F.lit(1.0)).withColumn("weight", F.col("posterior")).unionByName(
         rows.withColumn("label", F.lit(0.0)).withColumn("weight", 1 - F.col("posterior"))
     ).filter(F.col("weight") > 1e-3)
@@ -316,25 +335,23 @@ def score_texts(docs: DataFrame, weights: np.ndarray, intercept: float, keep: li
     held = {int(k): float(weights[k]) for k in np.flatnonzero(weights)}
 
     def worker() -> Callable[[list], dict[str, list]]:
-        known: dict[str, tuple[float, tuple[str, ...]]] = {}
+        def of_word(word: str) -> tuple:
+            first, *rest = features_of(word)
+            alone, more = held.get(slot(first), 0.0), tuple(f for f in rest if slot(f) in held)
+            return (alone, more) if alone or more else ()
 
-        def of_word(word: str) -> tuple[float, tuple[str, ...]]:
-            if len(known) > 400_000:
-                known.clear()
-            features = features_of(word)
-            found = known[word] = held.get(slot(features[0]), 0.0), tuple(f for f in features[1:] if slot(f) in held)
-            return found
+        known = Known(of_word)
 
         def score(text: str | None) -> float:
-            words, total = counted(text)
+            words = words_of((text or "").lower())
             logit, shares = intercept, Counter()
-            for word, n in words.items():
-                alone, more = known.get(word) or of_word(word)
+            for word in sorted(filter(known.__getitem__, set(words))):  # sorted: sums in one order
+                alone, more = known[word]
                 logit += alone
                 for feature in more:
-                    shares[feature] += n
+                    shares[feature] += words.count(word)
             for feature, n in shares.items():
-                logit += held[slot(feature)] * min(1.0, n / (2 * SHARE * total))
+                logit += held[slot(feature)] * min(1.0, n / (2 * SHARE * len(words)))
             return 1 / (1 + math.exp(-max(-50.0, min(50.0, logit))))
 
         return lambda texts: {"score": [score(t) for t in texts]}

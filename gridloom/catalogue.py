@@ -1,10 +1,623 @@
-"""Registered queries of the grid engine, and the SQL that must give the same rows."""
+"""Registered queries of the grid engine, and the SQL that must give the same rows.
+
+Real-valued results are rounded to six places on both sides, as sums depend on their order.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from gridloom.functions.bandmath import INDICES, RANGES, SENSORS, band_math, spectral_index
+from gridloom.operators import features, focal, masks, metrics, models, surface, terrain, texture
+from gridloom.sources.grid import BANDS, file_type, pixel_grid, table
+from gridloom.streaming.seasons import season_of
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+PX = """px AS (SELECT cast(floor(k / 50.0) AS integer) AS "row", cast(k % 50 AS integer) AS col,
+    q / n / 50 AS b02, e / n / 100 / 100000 AS b03, t / n / 100 * 5 + 0.05::double AS b04, d / n / 100 * 5 + 0.2::double AS b08,
+    sqrt(n * q2 - q * q) / n / 50 AS b11, sqrt(n * e2 - e * e) / n / 100 / 100000 AS b12, e / n / 100 / 10 AS elevation,
+    cast(p_size % 12 AS integer) AS scl
+  FROM (SELECT k, count(*) AS n, sum(q)::bigint AS q, sum(e)::bigint AS e, sum(t)::bigint AS t, sum(d)::bigint AS d,
+      sum(q * q)::bigint AS q2, sum(e * e)::bigint AS e2
+    FROM (SELECT l_partkey AS k, round(l_quantity)::bigint AS q, round(l_extendedprice * 100)::bigint AS e,
+      round(l_tax * 100)::bigint AS t, round(l_discount * 100)::bigint AS d FROM lineitem) GROUP BY k)
+  JOIN (SELECT p_partkey AS k, p_size FROM part) USING (k))"""
+#: A closed-form score with its label, for metrics and surfaces.
+SCORED_SQL = PX + """, med AS (SELECT quantile_cont(elevation, 0.5) AS m FROM px),
+  scored AS (SELECT *, 1 / (1 + exp(-(8 * (b08 - b04) / (b08 + b04) + elevation / 1000.0 - 8))) AS p,
+    CASE WHEN elevation > m THEN 1 ELSE 0 END AS y FROM px, med),
+  predicted AS (SELECT *, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS z FROM scored)"""
+
+
+def six(x: str) -> str:
+    return f"floor(({x}) * 1e6 + 0.5) / 1e6"
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[(F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = lambda spark, sf_dir: rounded(f(spark, sf_dir))
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = masks.with_stats(pixel_grid(spark, sf_dir), m=F.percentile("elevation", 0.5))
+    logit = 8 * (F.col("b08") - F.col("b04")) / (F.col("b08") + F.col("b04")) + F.col("elevation") / 1000.0 - 8
+    d = d.withColumns({"p": 1 / (1 + F.exp(-logit)), "y": (F.col("elevation") > F.col("m")).cast("int")})
+    return d.withColumn("z", (F.col("p") >= 0.5).cast("int"))
+
+
+def formula_sql(text: str) -> str:
+    """A predefined formula as SQL over the physical bands; division by zero gives NULL."""
+    import ast
+
+    def say(n: ast.AST) -> str:
+        match n:
+            case ast.BinOp(op=ast.Div()):
+                return f"({say(n.left)} / nullif({say(n.right)}, 0))"
+            case ast.BinOp():
+                return f"({say(n.left)} {({ast.Add: '+', ast.Sub: '-', ast.Mult: '*'})[type(n.op)]} {say(n.right)})"
+            case ast.Name():
+                return SENSORS["sentinel2"][n.id]
+        return f"{float(n.value)}::double"
+
+    return say(ast.parse(text, mode="eval").body)
+
+
+# Scans, band math, masks -------------------------------------------------------------
+
+
+@query("pixels_scan", f'WITH {PX} SELECT "row", col, {", ".join(f"{six(b)} AS {b}" for b in BANDS)}, scl FROM px')
+def _(spark, d):
+    return pixel_grid(spark, d).select("row", "col", *BANDS, "scl")
+
+
+for _name in INDICES:
+
+    @query(f"band_math_{_name.lower()}", f'WITH {PX} SELECT "row", col, {six(formula_sql(INDICES[_name]))} AS value FROM px')
+    def _(spark, d, name=_name):
+        return pixel_grid(spark, d).select("row", "col", spectral_index(name).alias("value"))
+
+
+@query("index_stats", f"WITH {PX}, v AS (SELECT {formula_sql(INDICES['NDVI'])} AS v FROM px) SELECT {six('min(v)')} AS min, {six('max(v)')} AS max, {six('avg(v)')} AS mean, count(v) AS n FROM v")
+def _(spark, d):
+    v = pixel_grid(spark, d).select(spectral_index("NDVI").alias("v"))
+    return v.agg(F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.count("v").alias("n"))
+
+
+@query("custom_expression", f"""WITH {PX} SELECT "row", col, {six("CASE WHEN b08 > 0.4::double THEN greatest(least(sqrt(b08 * b04) / nullif(b02, 0), 0.6::double), 0.1::double) * 2.0 + 1 END")} AS value FROM px""")
+def _(spark, d):
+    out = band_math(pixel_grid(spark, d), {"value": "sqrt(b08 * b04) / b02"}, mask="b08 > 0.4", clip=(0.1, 0.6), scale=2.0, offset=1.0)
+    return out.select("row", "col", "value")
+
+
+@query("evi_clipped", f'WITH {PX} SELECT "row", col, {six(f"greatest(least({formula_sql(INDICES["EVI"])}, {RANGES["EVI"][1]}), {RANGES["EVI"][0]})")} AS value FROM px')
+def _(spark, d):
+    return pixel_grid(spark, d).select("row", "col", spectral_index("EVI", clip=True).alias("value"))
+
+
+@query("dos_correction", f"""WITH {PX}, s AS (SELECT quantile_cont(b04, 0.01) AS p4, quantile_cont(b08, 0.01) AS p8 FROM px)
+SELECT "row", col, {six("greatest(least(greatest(b04 - p4, 0.0), 1.0), 0.0) * 10000")} AS b04, {six("greatest(least(greatest(b08 - p8, 0.0), 1.0), 0.0) * 10000")} AS b08 FROM px, s""")
+def _(spark, d):
+    return masks.dark_object(pixel_grid(spark, d), ["b04", "b08"]).select("row", "col", "b04", "b08")
+
+
+@query("sen2cor_sim", f"""WITH {PX}, s AS (SELECT quantile_cont(b02, 0.01) AS p FROM px)
+SELECT "row", col, cast(trunc(greatest(least(greatest(b02 - p, 0.0), 1.0), 0.0) * 10000) AS integer) AS b02 FROM px, s""")
+def _(spark, d):
+    return masks.dark_object(pixel_grid(spark, d), ["b02"]).select("row", "col", F.col("b02").cast("int").alias("b02"))
+
+
+@query("scl_mask", f'WITH {PX} SELECT "row", col, scl IN (8, 9, 10, 3) AS masked, scl IN (8, 9, 10, 3, 1) AS masked_conservative FROM px')
+def _(spark, d):
+    return pixel_grid(spark, d).select("row", "col", masks.scene_mask(F.col("scl")).alias("masked"), masks.scene_mask(F.col("scl"), True).alias("masked_conservative"))
+
+
+@query("threshold_mask", f"""WITH {PX}, b AS (SELECT *, (b02 + b03 + b04) / 3 AS bright FROM px),
+s AS (SELECT quantile_cont(bright, 0.95) AS p95, quantile_cont(b08, 0.05) AS p5 FROM b)
+SELECT "row", col, bright > p95 * 0.9::double AS cloud, b08 < p5 * 1.05::double AS shadow FROM b, s""")
+def _(spark, d):
+    return masks.threshold_mask(pixel_grid(spark, d), ["b02", "b03", "b04"], "b08").select("row", "col", "cloud", "shadow")
+
+
+@query("spectral_mask", f"""WITH {PX}, b AS (SELECT *, (b02 + b03 + b04) / 3 AS v FROM px),
+s AS (SELECT quantile_cont(v, 0.95) AS p95, quantile_cont(b02, 0.9) AS p90, quantile_cont(v, 0.1) AS p10, quantile_cont(b08, 0.2) AS p20 FROM b)
+SELECT "row", col, (b03 - b11) / nullif(b03 + b11, 0) > 0.4 OR v > 0.8 * p95 OR b02 > p90 AS cloud, v < p10 AND b08 < p20 AS shadow FROM b, s""")
+def _(spark, d):
+    return masks.spectral_mask(pixel_grid(spark, d), "b02", "b03", "b04", "b08", "b11").select("row", "col", "cloud", "shadow")
+
+
+@query("mask_coverage", f"""WITH {PX}, c AS (SELECT avg((scl IN (8, 9, 10))::int) * 100 AS c, avg((scl = 3)::int) * 100 AS s, avg((scl IN (8, 9, 10, 3))::int) * 100 AS m FROM px)
+SELECT {six("c")} AS cloud_pct, {six("s")} AS shadow_pct, {six("m")} AS masked_pct, {six("100 - m")} AS usable_pct,
+CASE WHEN m < 5 THEN 'excellent' WHEN m < 15 THEN 'good' WHEN m < 30 THEN 'fair' ELSE 'poor' END AS rating FROM c""")
+def _(spark, d):
+    return masks.coverage(pixel_grid(spark, d), F.col("scl").isin(8, 9, 10), F.col("scl") == 3)
+
+
+@query("global_mask", f'WITH {PX} SELECT "row", col, CASE WHEN scl NOT IN (8, 9, 10, 3) THEN {six("b04")} END AS b04 FROM px')
+def _(spark, d):
+    return masks.apply_mask(pixel_grid(spark, d), masks.scene_mask(F.col("scl")), ["b04"]).select("row", "col", "b04")
+
+
+@query("bbox_clip", f'WITH {PX} SELECT "row", col, {six("b08")} AS b08 FROM px WHERE "row" BETWEEN 1 AND 20 AND col BETWEEN 5 AND 30')
+def _(spark, d):
+    return masks.clip_box(pixel_grid(spark, d), (1, 20), (5, 30)).select("row", "col", "b08")
+
+
+# Terrain and focal -------------------------------------------------------------------
+
+GRAD = """g AS (SELECT *,
+    CASE WHEN lag({v}) OVER c IS NULL THEN lead({v}) OVER c - {v} WHEN lead({v}) OVER c IS NULL THEN {v} - lag({v}) OVER c ELSE (lead({v}) OVER c - lag({v}) OVER c) / 2 END AS gx,
+    CASE WHEN lag({v}) OVER r IS NULL THEN lead({v}) OVER r - {v} WHEN lead({v}) OVER r IS NULL THEN {v} - lag({v}) OVER r ELSE (lead({v}) OVER r - lag({v}) OVER r) / 2 END AS gy
+  FROM {t} WINDOW c AS (PARTITION BY "row" ORDER BY col), r AS (PARTITION BY col ORDER BY "row"))"""
+G = GRAD.format(v="elevation", t="px")
+NEAR = """ext AS (SELECT max("row") AS mr, max(col) AS mc FROM px),
+  near AS (SELECT a."row", a.col, a.elevation AS z, b.elevation AS v FROM px a, ext,
+      (SELECT unnest([-1, 0, 1]) AS dr) x, (SELECT unnest([-1, 0, 1]) AS dc) y, px b
+    WHERE b."row" = greatest(least(a."row" + dr, mr), 0) AND b.col = greatest(least(a.col + dc, mc), 0))"""
+
+
+@query("slope_aspect", f"""WITH {PX}, {G} SELECT "row", col, {six("degrees(atan(sqrt(gx * gx + gy * gy)))")} AS slope, {six("sqrt(gx * gx + gy * gy) * 100")} AS slope_percent,
+{six("degrees(CASE WHEN atan2(-gx, gy) < 0 THEN atan2(-gx, gy) + 2 * pi() ELSE atan2(-gx, gy) END)")} AS aspect FROM g""")
+def _(spark, d):
+    return terrain.slope_aspect(pixel_grid(spark, d)).select("row", "col", "slope", "slope_percent", "aspect")
+
+
+G2 = G + """, h AS (SELECT * REPLACE (1 AS scl), CASE WHEN lag(gx) OVER c IS NULL THEN lead(gx) OVER c - gx WHEN lead(gx) OVER c IS NULL THEN gx - lag(gx) OVER c ELSE (lead(gx) OVER c - lag(gx) OVER c) / 2 END AS xx,
+    CASE WHEN lag(gx) OVER r IS NULL THEN lead(gx) OVER r - gx WHEN lead(gx) OVER r IS NULL THEN gx - lag(gx) OVER r ELSE (lead(gx) OVER r - lag(gx) OVER r) / 2 END AS xy,
+    CASE WHEN lag(gy) OVER r IS NULL THEN lead(gy) OVER r - gy WHEN lead(gy) OVER r IS NULL THEN gy - lag(gy) OVER r ELSE (lead(gy) OVER r - lag(gy) OVER r) / 2 END AS yy
+  FROM g WINDOW c AS (PARTITION BY "row" ORDER BY col), r AS (PARTITION BY col ORDER BY "row")), k AS (SELECT *, gx * gx + gy * gy AS p FROM h)"""
+
+
+@query("curvatures", f"""WITH {PX}, {G2} SELECT "row", col, {six("coalesce(-(xx * gy * gy - 2 * xy * gx * gy + yy * gx * gx) / nullif(pow(p, 1.5), 0), 0)")} AS plan,
+{six("coalesce(-(xx * gx * gx + 2 * xy * gx * gy + yy * gy * gy) / nullif(p * pow(1 + p, 1.5), 0), 0)")} AS profile, {six("-(xx + yy)")} AS general FROM k""")
+def _(spark, d):
+    return terrain.curvatures(pixel_grid(spark, d)).select("row", "col", "plan", "profile", "general")
+
+
+@query("tri_topo", f'WITH {PX}, {NEAR} SELECT "row", col, {six("sum(abs(v - z)) / 8")} AS tri FROM near GROUP BY "row", col')
+def _(spark, d):
+    return terrain.ruggedness(pixel_grid(spark, d)).select("row", "col", "tri")
+
+
+@query("tri_dem", f"""WITH {PX}, n AS (SELECT a."row", a.col, a.elevation AS z, b.elevation AS v FROM px a JOIN px b ON abs(a."row" - b."row") <= 1 AND abs(a.col - b.col) <= 1)
+SELECT "row", col, {six("avg(abs(v - z))")} AS tri_dem, {six("CASE WHEN count(*) = 9 THEN stddev_pop(v) END")} AS roughness_dem FROM n GROUP BY "row", col""")
+def _(spark, d):
+    return terrain.ruggedness(pixel_grid(spark, d)).select("row", "col", "tri_dem", "roughness_dem")
+
+
+@query("roughness_topo", f"""WITH {PX}, {G}, s AS (SELECT "row", col, sqrt(gx * gx + gy * gy) AS g FROM g), ext AS (SELECT max("row") AS mr, max(col) AS mc FROM px)
+SELECT a."row", a.col, {six("stddev_pop(b.g)")} AS roughness FROM s a, ext, (SELECT unnest([-1, 0, 1]) AS dr) x, (SELECT unnest([-1, 0, 1]) AS dc) y, s b
+WHERE b."row" = greatest(least(a."row" + dr, mr), 0) AND b.col = greatest(least(a.col + dc, mc), 0) GROUP BY a."row", a.col""")
+def _(spark, d):
+    return terrain.roughness(pixel_grid(spark, d)).select("row", "col", "roughness")
+
+
+@query("focal_stats_3x3", f"""WITH {PX}, {NEAR} SELECT "row", col, {six("avg(v)")} AS mean, {six("stddev_pop(v)")} AS std, {six("min(v)")} AS min, {six("max(v)")} AS max,
+{six("quantile_cont(v, 0.5)")} AS median FROM near GROUP BY "row", col""")
+def _(spark, d):
+    v = focal.neighbours9(pixel_grid(spark, d), "elevation", "v")
+    return v.select("row", "col", focal.mean(F.col("v")).alias("mean"), focal.std(F.col("v")).alias("std"), F.array_min("v").alias("min"), F.array_max("v").alias("max"), F.sort_array("v")[4].alias("median"))
+
+
+@query("tpi_r3", f"""WITH {PX}, ext AS (SELECT max("row") AS mr, max(col) AS mc FROM px),
+o AS (SELECT dr, dc FROM (SELECT unnest(range(-3, 4)) AS dr) x, (SELECT unnest(range(-3, 4)) AS dc) y WHERE dr * dr + dc * dc <= 9)
+SELECT a."row", a.col, {six("any_value(a.elevation) - avg(b.elevation)")} AS tpi FROM px a, ext, o, px b
+WHERE b."row" = greatest(least(a."row" + dr, mr), 0) AND b.col = greatest(least(a.col + dc, mc), 0) GROUP BY a."row", a.col""")
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    size = g.agg(F.max("row").alias("r"), F.max("col").alias("c")).first()
+    return focal.topographic_position(g, "elevation", 3, size["r"] + 1, size["c"] + 1).select("row", "col", "tpi")
+
+
+@query("erode_dilate", f"""WITH {PX}, ext AS (SELECT max("row") AS mr, max(col) AS mc FROM px), m AS (SELECT "row", col, (scl IN (8, 9, 10, 3))::int AS m FROM px)
+SELECT a."row", a.col, min(b.m)::int AS eroded, max(b.m)::int AS dilated FROM m a, ext, (SELECT unnest([-1, 0, 1]) AS dr) x, (SELECT unnest([-1, 0, 1]) AS dc) y, m b
+WHERE b."row" = greatest(least(a."row" + dr, mr), 0) AND b.col = greatest(least(a.col + dc, mc), 0) GROUP BY a."row", a.col""")
+def _(spark, d):
+    m = pixel_grid(spark, d).withColumn("m", masks.scene_mask(F.col("scl")).cast("int"))
+    return focal.morphology(focal.morphology(m, "m", "eroded", True), "m", "dilated", False).select("row", "col", "eroded", "dilated")
+
+
+@query("illumination_correction", f"""WITH {PX}, {G}, s AS (SELECT *, atan(sqrt(gx * gx + gy * gy)) AS s, CASE WHEN atan2(-gx, gy) < 0 THEN atan2(-gx, gy) + 2 * pi() ELSE atan2(-gx, gy) END AS a FROM g)
+SELECT "row", col, {six("b04 / greatest(least(cos(s) * cos(radians(45)) + sin(s) * sin(radians(45)) * cos(radians(135) - a), 1.0), 0.1::double)")} AS b04 FROM s""")
+def _(spark, d):
+    return terrain.illumination(terrain.slope_aspect(pixel_grid(spark, d)), ["b04"]).select("row", "col", "b04")
+
+
+@query("d8_flow_direction", f"""WITH {PX}, o AS (SELECT * FROM (VALUES (0,-1,-1),(1,-1,0),(2,-1,1),(3,0,-1),(4,0,1),(5,1,-1),(6,1,0),(7,1,1)) t(i, dr, dc)),
+f AS (SELECT a."row", a.col, i, (a.elevation - b.elevation) / CASE WHEN dr * dc <> 0 THEN sqrt(2.0::double) ELSE 1.0::double END AS fall FROM px a, o, px b WHERE b."row" = a."row" + dr AND b.col = a.col + dc),
+k AS (SELECT *, row_number() OVER (PARTITION BY "row", col ORDER BY fall DESC, i) AS k FROM f WHERE fall > 0)
+SELECT px."row", px.col, coalesce(i, -1)::int AS direction FROM px LEFT JOIN (SELECT * FROM k WHERE k = 1) k ON k."row" = px."row" AND k.col = px.col""")
+def _(spark, d):
+    return terrain.flow_direction(pixel_grid(spark, d)).select("row", "col", "direction")
+
+
+for _d in (1, 2, 3):
+    for _a, (_dr, _dc) in {0: (0, _d), 45: (-_d, _d), 90: (-_d, 0), 135: (-_d, -_d)}.items():
+
+        @query(f"glcm_d{_d}_a{_a}", f"""WITH {PX}, e AS (SELECT min(elevation) AS lo, max(elevation) AS hi FROM px),
+l AS (SELECT "row", col, least(floor((elevation - lo) / (hi - lo) * 16), 15)::int AS l FROM px, e),
+m AS (SELECT a.l AS i, b.l AS j FROM l a JOIN l b ON b."row" = a."row" + ({_dr}) AND b.col = a.col + ({_dc})), s AS (SELECT i, j FROM m UNION ALL SELECT j, i FROM m),
+p AS (SELECT i, j, count(*) / (SELECT count(*) FROM s) AS p FROM s GROUP BY i, j),
+t AS (SELECT sum(p * (i - j) * (i - j)) AS c, sum(p * abs(i - j)) AS d, sum(p / (1 + (i - j) * (i - j))) AS h, sum(p * p) AS a, sum(p * i) AS mi, sum(p * j) AS mj, sum(p * i * i) AS ii, sum(p * j * j) AS jj, sum(p * i * j) AS ij FROM p)
+SELECT {six("c")} AS contrast, {six("d")} AS dissimilarity, {six("h")} AS homogeneity, {six("a")} AS asm, {six("sqrt(a)")} AS energy,
+{six("(ij - mi * mj) / (sqrt(ii - mi * mi) * sqrt(jj - mj * mj))")} AS correlation FROM t""")
+        def _(spark, d, dr=_dr, dc=_dc):
+            return texture.texture_features(texture.co_occurrence(texture.quantise(pixel_grid(spark, d), "elevation", 16), "level", dr, dc))
+
+
+# Resampling and mosaics --------------------------------------------------------------
+
+_RESAMPLE = {"average": "avg(elevation)", "min": "min(elevation)", "max": "max(elevation)", "median": "quantile_cont(elevation, 0.5)", "q1": "quantile_cont(elevation, 0.25)", "q3": "quantile_cont(elevation, 0.75)", "sum": "sum(elevation)", "rms": "sqrt(avg(elevation * elevation))"}
+for _m, _sql in _RESAMPLE.items():
+
+    @query(f"resample_{_m}", f'WITH {PX} SELECT floor("row" / 4)::int AS "row", floor(col / 4)::int AS col, {six(_sql)} AS value FROM px GROUP BY 1, 2')
+    def _(spark, d, m=_m):
+        return texture.downsample(pixel_grid(spark, d), "elevation", 4, m)
+
+
+@query("resample_nearest", f'WITH {PX} SELECT ("row" // 4)::int AS "row", (col // 4)::int AS col, {six("elevation")} AS value FROM px WHERE "row" % 4 = 2 AND col % 4 = 2')
+def _(spark, d):
+    return texture.downsample(pixel_grid(spark, d), "elevation", 4, "nearest")
+
+
+@query("resample_mode", f"""WITH {PX}, c AS (SELECT "row" // 4 AS r, col // 4 AS c, scl, count(*) AS n FROM px GROUP BY 1, 2, 3),
+k AS (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY n DESC, scl) AS k FROM c) SELECT r::int AS "row", c::int AS col, scl AS value FROM k WHERE k = 1""")
+def _(spark, d):
+    return texture.downsample(pixel_grid(spark, d), "scl", 4, "mode")
+
+
+@query("resample_bilinear", f"""WITH {PX}, n AS (SELECT "row", col, elevation AS z, coalesce(lead(elevation) OVER (PARTITION BY "row" ORDER BY col), elevation) AS r FROM px),
+m AS (SELECT *, coalesce(lead(z) OVER w, z) AS d, coalesce(lead(r) OVER w, r) AS x FROM n WINDOW w AS (PARTITION BY col ORDER BY "row"))
+SELECT ("row" * 2 + i)::int AS "row", (col * 2 + j)::int AS col, {six("(z * (1 - j / 2) + r * (j / 2)) * (1 - i / 2) + (d * (1 - j / 2) + x * (j / 2)) * (i / 2)")} AS value
+FROM m, (SELECT unnest([0, 1]) AS i) a, (SELECT unnest([0, 1]) AS j) b""")
+def _(spark, d):
+    return texture.upsample_bilinear(pixel_grid(spark, d), "elevation", 2)
+
+
+for _m, _sql in {"first": "min_by(v, k)", "last": "max_by(v, k)", "min": "min(v)", "max": "max(v)"}.items():
+
+    @query(f"mosaic_{_m}", f"""WITH {PX}, u AS (SELECT "row", col, b04 AS v, 0 AS k FROM px WHERE col < 30 UNION ALL SELECT "row", col, b08 AS v, 1 AS k FROM px WHERE col >= 20)
+SELECT "row", col, {six(_sql)} AS value FROM u GROUP BY "row", col""")
+    def _(spark, d, m=_m):
+        g = pixel_grid(spark, d)
+        scenes = [g.filter("col < 30").select("row", "col", F.col("b04").alias("v")), g.filter("col >= 20").select("row", "col", F.col("b08").alias("v"))]
+        return texture.mosaic(scenes, "v", m)
+
+
+# Features ----------------------------------------------------------------------------
+
+
+@query("stack_equi_join", f'WITH {PX} SELECT "row", col, {six("b04")} AS red, {six("b08")} AS nir FROM px')
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    return features.stack({"red": g.select("row", "col", F.col("b04").alias("value")), "nir": g.select("row", "col", F.col("b08").alias("value"))})
+
+
+@query("impute_median", f"""WITH {PX}, h AS (SELECT "row", col, CASE WHEN scl <> 5 THEN b04 END AS v FROM px), s AS (SELECT quantile_cont(v, 0.5) AS m FROM h) SELECT "row", col, {six("coalesce(v, m)")} AS b04 FROM h, s""")
+def _(spark, d):
+    g = pixel_grid(spark, d).withColumn("b04", F.when(F.col("scl") != 5, F.col("b04")))
+    return features.impute_median(g, ["b04"]).select("row", "col", "b04")
+
+
+for _m, (_c, _s) in {"standard": ("avg(b04)", "stddev_pop(b04)"), "robust": ("quantile_cont(b04, 0.5)", "quantile_cont(b04, 0.75) - quantile_cont(b04, 0.25)"), "minmax": ("min(b04)", "max(b04) - min(b04)")}.items():
+
+    @query(f"scale_{_m}", f'WITH {PX}, s AS (SELECT {_c} AS c, {_s} AS s FROM px) SELECT "row", col, {six("(b04 - c) / s")} AS b04 FROM px, s')
+    def _(spark, d, m=_m):
+        return features.scale(pixel_grid(spark, d), ["b04"], m).select("row", "col", "b04")
+
+
+LONG = PX + ", long AS (" + " UNION ALL ".join(f"SELECT '{b}' AS feature, {b} AS v FROM px" for b in BANDS) + ")"
+
+
+@query("feature_quality", f"""WITH {LONG} SELECT feature, count(v) AS n_valid, {six("count(v) * 100 / count(*)")} AS coverage_pct, {six("avg(v)")} AS mean, {six("stddev_pop(v)")} AS std,
+{six("min(v)")} AS min, {six("max(v)")} AS max, {six("quantile_cont(v, 0.5)")} AS median FROM long GROUP BY feature""")
+def _(spark, d):
+    return features.feature_quality(pixel_grid(spark, d), BANDS)
+
+
+@query("variance_select", f"WITH {LONG}, s AS (SELECT feature, var_pop(v) AS v FROM long GROUP BY feature) SELECT feature, {six('v')} AS variance, v > 0.001 OR NOT bool_or(v > 0.001) OVER () AS kept FROM s")
+def _(spark, d):
+    return features.variance_select(pixel_grid(spark, d), BANDS, 0.001)
+
+
+_PAIRS = [(a, b) for k, a in enumerate(BANDS) for b in BANDS[k + 1 :]]
+
+
+@query("correlation_pairs", f"WITH {PX} " + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, {six(f'corr({a}, {b})')} AS r FROM px" for a, b in _PAIRS))
+def _(spark, d):
+    return features.correlation_pairs(pixel_grid(spark, d), BANDS)
+
+
+@query("correlation_prune", f"WITH {PX}, r AS (" + " UNION ALL ".join(f"SELECT '{b}' AS b, corr({a}, {b}) AS r FROM px" for a, b in _PAIRS) + "), f AS (SELECT * FROM (VALUES " + ", ".join(f"({k}, '{b}')" for k, b in enumerate(BANDS)) + ") t(position, feature)) SELECT feature, position::int AS position FROM f WHERE feature NOT IN (SELECT b FROM r WHERE abs(r) > 0.3)")
+def _(spark, d):
+    return features.correlation_prune(pixel_grid(spark, d), BANDS, 0.3)
+
+
+@query("importance_rank_cumshare", f"""WITH {LONG}, s AS (SELECT feature, var_pop(v) AS importance FROM long GROUP BY feature)
+SELECT feature, {six("importance")} AS importance, (row_number() OVER w)::int AS rank, {six("importance / sum(importance) OVER ()")} AS share, {six("sum(importance) OVER w / sum(importance) OVER ()")} AS cumulative FROM s WINDOW w AS (ORDER BY importance DESC, feature ROWS UNBOUNDED PRECEDING)""")
+def _(spark, d):
+    v = features.variance_select(pixel_grid(spark, d), BANDS, 0.0).select("feature", F.col("variance").alias("importance"))
+    return features.rank_importance(v)
+
+
+@query("topk_features", f"WITH {LONG} SELECT feature, {six('var_pop(v)')} AS variance FROM long GROUP BY feature ORDER BY var_pop(v) DESC LIMIT 3")
+def _(spark, d):
+    v = features.variance_select(pixel_grid(spark, d), BANDS, 0.0)
+    return v.orderBy(F.col("variance").desc()).limit(3).select("feature", "variance")
+
+
+@query("stratified_split", f"""WITH {SCORED_SQL}, k AS (SELECT "row", col, y, row_number() OVER (PARTITION BY y ORDER BY md5('42:' || ("row" * 50 + col)::varchar)) AS k, count(*) OVER (PARTITION BY y) AS n FROM scored)
+SELECT "row", col, y, k <= floor(n * 0.2) AS is_test FROM k""")
+def _(spark, d):
+    s = scored(spark, d).withColumn("id", (F.col("row") * 50 + F.col("col")).cast("string"))
+    return features.stratified_split(s, "y", "id", 0.2).select("row", "col", "y", "is_test")
+
+
+# Metrics -----------------------------------------------------------------------------
+
+
+@query("confusion_matrix", f"WITH {SCORED_SQL} SELECT y AS label, z AS predicted, count(*) AS count, {six('count(*) / sum(count(*)) OVER (PARTITION BY y)')} AS row_share FROM predicted GROUP BY y, z")
+def _(spark, d):
+    return metrics.confusion(scored(spark, d), "y", "z")
+
+
+@query("prf1_mcc_kappa", f"""WITH {SCORED_SQL}, c AS (SELECT sum(y * z)::double AS tp, sum((1 - y) * z)::double AS fp, sum(y * (1 - z))::double AS fn, sum((1 - y) * (1 - z))::double AS tn, count(*)::double AS n FROM predicted),
+r AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tp / nullif(tp + fn, 0), 0) AS r1, coalesce(tn / nullif(tn + fp, 0), 0) AS r0, (tp + fn) / n AS w1, (tn + fp) / n AS w0 FROM c)
+SELECT {six("(tp + tn) / n")} AS accuracy, {six("w1 * p1 + w0 * p0")} AS "precision", {six("w1 * r1 + w0 * r0")} AS recall,
+{six("w1 * coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) + w0 * coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0)")} AS f1,
+{six("coalesce((tp * tn - fp * fn) / nullif(sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)), 0), 0)")} AS mcc,
+{six("coalesce(((tp + tn) / n - ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / (n * n)) / nullif(1 - ((tp + fp) * (tp + fn) + (tn + fn) * (tn + fp)) / (n * n), 0), 0)")} AS kappa FROM r""")
+def _(spark, d):
+    return metrics.binary_metrics(scored(spark, d), "y", "z")
+
+
+@query("roc_auc", f"""WITH {SCORED_SQL}, s AS (SELECT round(p, 2) AS s, sum(y) AS p, count(*) AS c FROM scored GROUP BY 1),
+r AS (SELECT *, coalesce(sum(c) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (c + 1) / 2 AS r FROM s)
+SELECT {six("(sum(p * r) - sum(p) * (sum(p) + 1) / 2) / nullif(sum(p) * (sum(c) - sum(p)), 0)")} AS auc FROM r""")
+def _(spark, d):
+    return metrics.roc_auc(scored(spark, d).withColumn("s", F.round("p", 2)), "y", "s")
+
+
+@query("pr_curve", f"""WITH {SCORED_SQL}, s AS (SELECT floor(p * 50) / 50 AS s, sum(y) AS p, sum(1 - y) AS n FROM scored GROUP BY 1),
+c AS (SELECT s, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM s WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING))
+SELECT {six("s")} AS threshold, {six("tp / (tp + fp)")} AS "precision", {six("tp / max(tp) OVER ()")} AS recall FROM c""")
+def _(spark, d):
+    return metrics.precision_recall(scored(spark, d).withColumn("s", F.floor(F.col("p") * 50) / 50), "y", "s")
+
+
+@query("log_loss_brier", f"WITH {SCORED_SQL} SELECT {six('avg(-(y * ln(p) + (1 - y) * ln(1 - p)))')} AS log_loss, {six('avg((p - y) * (p - y))')} AS brier FROM scored")
+def _(spark, d):
+    return metrics.probability_scores(scored(spark, d), "y", "p")
+
+
+@query("calibration_bins", f"WITH {SCORED_SQL} SELECT least(floor(p * 10), 9)::int AS bin, count(*) AS n, {six('avg(p)')} AS mean_predicted, {six('avg(y)')} AS observed FROM scored GROUP BY 1")
+def _(spark, d):
+    return metrics.calibration(scored(spark, d), "y", "p")
+
+
+@query("regression_metrics", f"""WITH {PX}, e AS (SELECT b04 AS t, b04 - (b08 * 0.8::double) AS e FROM px),
+m AS (SELECT avg(e * e) AS mse, avg(abs(e)) AS mae, avg(abs(e / nullif(t, 0))) AS mape, avg(e) AS rm, stddev_pop(e) AS rs, var_pop(t) AS v, var_pop(e) AS ve FROM e)
+SELECT {six("mse")} AS mse, {six("sqrt(mse)")} AS rmse, {six("mae")} AS mae, {six("mape")} AS mape, {six("rm")} AS residual_mean, {six("rs")} AS residual_std, {six("1 - mse / v")} AS r2, {six("1 - ve / v")} AS explained_variance FROM m""")
+def _(spark, d):
+    return metrics.regression(pixel_grid(spark, d).withColumn("h", F.col("b08") * 0.8), "b04", "h")
+
+
+# Surfaces ----------------------------------------------------------------------------
+
+POINTS = PX + """, pts AS (SELECT col::double AS x, "row"::double AS y, b08 AS v FROM px WHERE "row" % 2 = 0 AND col % 10 = 0)"""
+NODES = POINTS + """, b AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM pts),
+  nodes AS (SELECT i, j, x0 - 0.1::double * (x1 - x0) + j * (1.2::double * (x1 - x0) / 19) AS gx, y0 - 0.1::double * (y1 - y0) + i * (1.2::double * (y1 - y0) / 19) AS gy FROM b, (SELECT unnest(range(0, 20)) AS i) p, (SELECT unnest(range(0, 20)) AS j) q),
+  near AS (SELECT i, j, v, sqrt((gx - x) * (gx - x) + (gy - y) * (gy - y)) AS d FROM nodes, pts WHERE sqrt((gx - x) * (gx - x) + (gy - y) * (gy - y)) <= 9)"""
+
+
+def points(spark, d):
+    return pixel_grid(spark, d).filter("row % 2 = 0 AND col % 10 = 0").select(F.col("col").cast("double").alias("x"), F.col("row").cast("double").alias("y"), F.col("b08").alias("v"))
+
+
+@query("grid_generate", f"WITH {NODES} SELECT i::int AS i, j::int AS j, {six('gx')} AS gx, {six('gy')} AS gy FROM nodes")
+def _(spark, d):
+    return surface.regular_grid(points(spark, d), 20)
+
+
+@query("idw_surface", f"WITH {NODES}, w AS (SELECT i, j, sum(v / pow(greatest(d, 1e-10), 2)) / sum(1 / pow(greatest(d, 1e-10), 2)) AS v FROM near GROUP BY i, j) SELECT n.i::int AS i, n.j::int AS j, {six('coalesce(v, 0)')} AS value FROM nodes n LEFT JOIN w ON w.i = n.i AND w.j = n.j")
+def _(spark, d):
+    p = points(spark, d)
+    return surface.inverse_distance(surface.regular_grid(p, 20), p, "v", 2.0, 9.0)
+
+
+@query("nearest_training_distance", f"WITH {NODES}, m AS (SELECT i, j, min(d) AS d FROM near GROUP BY i, j) SELECT n.i::int AS i, n.j::int AS j, {six('d')} AS distance FROM nodes n LEFT JOIN m ON m.i = n.i AND m.j = n.j")
+def _(spark, d):
+    p = points(spark, d)
+    return surface.nearest_distance(surface.regular_grid(p, 20), p, 9.0)
+
+
+ZONE = "(p >= 0.2)::int + (p >= 0.4)::int + (p >= 0.6)::int + (p >= 0.8)::int"
+
+
+@query("risk_zones", f'WITH {SCORED_SQL} SELECT "row", col, {ZONE} AS zone FROM scored')
+def _(spark, d):
+    return scored(spark, d).select("row", "col", surface.zone(F.col("p"), surface.ZONES["landslide"]).alias("zone"))
+
+
+@query("zone_stats", f"WITH {SCORED_SQL} SELECT {ZONE} AS zone, count(*) AS n, {six('avg(p)')} AS mean, {six('stddev_pop(p)')} AS std, {six('count(*) * 100 / sum(count(*)) OVER ()')} AS area_pct FROM scored GROUP BY 1")
+def _(spark, d):
+    return surface.zone_stats(scored(spark, d), "p", surface.ZONES["landslide"])
+
+
+@query("surface_stats", f"WITH {SCORED_SQL} SELECT {six('avg(p)')} AS mean, {six('stddev_pop(p)')} AS std, {six('min(p)')} AS min, {six('max(p)')} AS max, {six('quantile_cont(p, 0.25)')} AS q25, {six('quantile_cont(p, 0.5)')} AS median, {six('quantile_cont(p, 0.75)')} AS q75 FROM scored")
+def _(spark, d):
+    return surface.surface_stats(scored(spark, d), "p")
+
+
+@query("confidence_scores", f"""WITH {SCORED_SQL} SELECT "row", col, {six("greatest(p, 1 - p)")} AS max_probability, {six("1 - (-(p * ln(p + 1e-10)) - (1 - p) * ln(1 - p + 1e-10)) / ln(2)")} AS entropy_confidence, {six("abs(2 * p - 1)")} AS margin FROM scored""")
+def _(spark, d):
+    return scored(spark, d).select("row", "col", *[c.alias(n) for n, c in surface.confidence(F.array("p", 1 - F.col("p"))).items()])
+
+
+@query("class_distribution", f"WITH {SCORED_SQL} SELECT z AS class, count(*) AS n, {six('count(*) * 100 / sum(count(*)) OVER ()')} AS pct FROM predicted GROUP BY z")
+def _(spark, d):
+    n = scored(spark, d).groupBy(F.col("z").alias("class")).agg(F.count("*").alias("n"))
+    return n.withColumn("pct", F.col("n") * 100 / F.sum("n").over(Window.partitionBy()))
+
+
+@query("prediction_interval", f"""WITH {SCORED_SQL}, s AS (SELECT stddev_pop(y - p) AS s FROM scored) SELECT "row", col, {six("p - 1.959964 * s")} AS lower, {six("p + 1.959964 * s")} AS upper FROM scored, s""")
+def _(spark, d):
+    s = masks.with_stats(scored(spark, d), s=F.stddev_pop(F.col("y") - F.col("p")))
+    return s.select("row", "col", (F.col("p") - 1.959964 * F.col("s")).alias("lower"), (F.col("p") + 1.959964 * F.col("s")).alias("upper"))
+
+
+@query("uncertainty_combine", f"""WITH {PX}, m AS (SELECT avg(b11) AS a, avg(b12) AS b FROM px) SELECT "row", col, {six("(b11 + b12) / 2")} AS mean, {six("greatest(b11, b12)")} AS max, {six("(b11 / a + b12 / b) / (1 / a + 1 / b)")} AS weighted FROM px, m""")
+def _(spark, d):
+    m = masks.with_stats(pixel_grid(spark, d), a=F.avg("b11"), b=F.avg("b12"))
+    parts, means = [F.col("b11"), F.col("b12")], [F.col("a"), F.col("b")]
+    return m.select("row", "col", *[surface.combine_uncertainty(parts, means, k).alias(k) for k in ("mean", "max", "weighted")])
+
+
+@query("ndvi_zonal_stats", f"""WITH {PX}, v AS (SELECT (b08 - b04) / (b08 + b04) AS v FROM px WHERE scl NOT IN (8, 9, 10, 3)), z AS (SELECT v, (v >= 0.2)::int + (v >= 0.3)::int + (v >= 0.4)::int AS zone FROM v)
+SELECT zone, count(*) AS n, {six("avg(v)")} AS mean, {six("stddev_pop(v)")} AS std, {six("count(*) * 100 / sum(count(*)) OVER ()")} AS area_pct FROM z GROUP BY zone""")
+def _(spark, d):
+    clear = pixel_grid(spark, d).filter(~masks.scene_mask(F.col("scl"))).select(spectral_index("NDVI").alias("ndvi"))
+    return surface.zone_stats(clear, "ndvi", [0.2, 0.3, 0.4])
+
+
+# Seasons, distances, validation, inventory -------------------------------------------
+
+SEASON = "CASE WHEN month(l_shipdate) IN (4, 5) THEN 'pre_monsoon' WHEN month(l_shipdate) BETWEEN 6 AND 9 THEN 'monsoon' WHEN month(l_shipdate) IN (10, 11) THEN 'post_monsoon' END"
+
+
+@query("season_composite", f"SELECT {SEASON} AS season, count(*) AS n, {six('avg(l_quantity)')} AS mean, {six('stddev_pop(l_quantity)')} AS std, {six('min(l_quantity)')} AS min, {six('max(l_quantity)')} AS max FROM lineitem WHERE {SEASON} IS NOT NULL GROUP BY 1")
+def _(spark, d):
+    s = table(spark, d, "lineitem").select(season_of(F.col("l_shipdate")).alias("season"), "l_quantity").filter("season IS NOT NULL")
+    q = "l_quantity"
+    return s.groupBy("season").agg(F.count("*").alias("n"), F.avg(q).alias("mean"), F.stddev_pop(q).alias("std"), F.min(q).alias("min"), F.max(q).alias("max"))
+
+
+@query("season_change", f"""WITH s AS (SELECT l_partkey AS k, {SEASON} AS season, avg(l_discount) AS v FROM lineitem GROUP BY 1, 2)
+SELECT k, {six("max(v) FILTER (season = 'post_monsoon') - max(v) FILTER (season = 'pre_monsoon')")} AS change FROM s GROUP BY k""")
+def _(spark, d):
+    s = table(spark, d, "lineitem").select(F.col("l_partkey").alias("k"), season_of(F.col("l_shipdate")).alias("season"), "l_discount")
+    w = s.groupBy("k").pivot("season", ["pre_monsoon", "post_monsoon"]).agg(F.avg("l_discount"))
+    return w.select("k", (F.col("post_monsoon") - F.col("pre_monsoon")).alias("change"))
+
+
+@query("haversine", f"""WITH {PX}, h AS (SELECT "row", col, pow(sin(radians("row" / 100) / 2), 2) + cos(radians(27.6::double)) * cos(radians(27.6::double + "row" / 100)) * pow(sin(radians(col / 100) / 2), 2) AS h FROM px)
+SELECT "row", col, {six("2 * 6371 * asin(sqrt(h))")} AS km, (floor((85.3 + col / 100 + 180) / 6) + 1)::int AS utm_zone FROM h""")
+def _(spark, d):
+    lat, lon = 27.6 + F.col("row") / 100, 85.3 + F.col("col") / 100
+    return pixel_grid(spark, d).select("row", "col", surface.haversine_km(F.lit(27.6), F.lit(85.3), lat, lon).alias("km"), surface.utm_zone(lon).alias("utm_zone"))
+
+
+EXT = r"lower(regexp_extract(regexp_replace(url, '[?#].*$', ''), '(\.[A-Za-z0-9]+)$', 1))"
+KIND = f"CASE WHEN {EXT} IN ('.tif', '.tiff', '.img', '.jp2', '.hdf', '.nc') THEN 'spatial' WHEN {EXT} IN ('.shp', '.geojson', '.gpkg', '.kml') THEN 'vector' WHEN {EXT} IN ('.csv', '.json', '.parquet', '.xlsx', '.txt') THEN 'data' ELSE 'other' END"
+
+
+def typed(spark, d):
+    ext = F.lower(F.regexp_extract(F.regexp_replace("url", "[?#].*$", ""), r"(\.[A-Za-z0-9]+)$", 1))
+    return table(spark, d, "pages").select("page_id", ext.alias("extension"), file_type(ext).alias("file_type"), "html")
+
+
+@query("file_type_classify", f"SELECT page_id, {EXT} AS extension, {KIND} AS file_type FROM pages")
+def _(spark, d):
+    return typed(spark, d).select("page_id", "extension", "file_type")
+
+
+@query("inventory_summary", f"SELECT {EXT} AS extension, count(*) AS n, sum(length(html))::bigint AS chars FROM pages GROUP BY 1")
+def _(spark, d):
+    return typed(spark, d).groupBy("extension").agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("chars"))
+
+
+@query("quality_rules", f"""WITH {PX} SELECT "row", col, concat_ws(';', CASE WHEN elevation < 3500 THEN 'low' END, CASE WHEN elevation > 6500 THEN 'high' END, CASE WHEN scl IN (1, 3, 8, 9, 10, 11) THEN 'masked' END) AS errors FROM px""")
+def _(spark, d):
+    rules = [F.when(F.col("elevation") < 3500, "low"), F.when(F.col("elevation") > 6500, "high"), F.when(F.col("scl").isin(1, 3, 8, 9, 10, 11), "masked")]
+    return pixel_grid(spark, d).select("row", "col", F.concat_ws(";", *rules).alias("errors"))
+
+
+@query("event_windows", f"SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS n, {six('sum(value)')} AS total FROM events GROUP BY 1, 2")
+def _(spark, d):
+    e = table(spark, d, "events")
+    return e.groupBy(F.window("ts", "6 hours"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
+
+
+# Spectra -----------------------------------------------------------------------------
+
+
+@query("absorption_depth", f'WITH {PX} SELECT "row", col, {six("CASE WHEN (b04 + b11) / 2 > 0 THEN 1 - b08 / nullif((b04 + b11) / 2, 0) END")} AS depth FROM px')
+def _(spark, d):
+    from gridloom.operators.spectral import ratio_depth
+
+    return pixel_grid(spark, d).select("row", "col", ratio_depth("b04", "b08", "b11").alias("depth"))
+
+
+@query("spectral_derivatives", f"""WITH {PX}, s AS (SELECT "row", col, [b02, b03, b04, b08, b11, b12] AS v, [490.0, 560.0, 665.0, 842.0, 1610.0, 2190.0]::double[] AS w FROM px),
+f AS (SELECT "row", col, [(v[i + 1] - v[i - 1]) / (w[i + 1] - w[i - 1]) for i in range(2, 6)] AS f FROM s)
+SELECT "row", col, {six("list_min(f)")} AS least, {six("list_max(f)")} AS most FROM f""")
+def _(spark, d):
+    from gridloom.operators.spectral import derivative
+
+    f = derivative(F.array(*BANDS), [490.0, 560.0, 665.0, 842.0, 1610.0, 2190.0])
+    return pixel_grid(spark, d).select("row", "col", F.array_min(f).alias("least"), F.array_max(f).alias("most"))
+
+
+@query("continuum_removal")
+def _(spark, d):
+    from gridloom.operators.spectral import continuum_removed
+
+    return continuum_removed(pixel_grid(spark, d), BANDS, [490.0, 560.0, 665.0, 842.0, 1610.0, 2190.0])
+
+
+# Models ------------------------------------------------------------------------------
+
+
+@query("cluster_profile", f"""WITH {PX}, c AS (SELECT scl AS cluster, b04 FROM px) SELECT cluster, count(*) AS n, {six("count(*) * 100 / sum(count(*)) OVER ()")} AS pct, {six("avg(b04)")} AS b04_mean, {six("stddev_pop(b04)")} AS b04_std, {six("min(b04)")} AS b04_min, {six("max(b04)")} AS b04_max FROM c GROUP BY cluster""")
+def _(spark, d):
+    return models.cluster_profile(pixel_grid(spark, d).withColumnRenamed("scl", "cluster"), "cluster", ["b04"])
+
+
+@query("variance_ratio_importance", f"""WITH {LONG}, l AS (""" + " UNION ALL ".join(f"SELECT '{b}' AS feature, scl AS c, {b} AS v FROM px" for b in BANDS) + f"""), m AS (SELECT feature, c, count(*) AS n, avg(v) AS m, var_pop(v) AS s FROM l GROUP BY 1, 2), g AS (SELECT feature, avg(v) AS g FROM l GROUP BY 1)
+SELECT feature, {six("sum(n * (m - g) * (m - g)) / nullif(sum(n * s), 0)")} AS ratio FROM m JOIN g USING (feature) GROUP BY feature""")
+def _(spark, d):
+    return models.variance_ratio(pixel_grid(spark, d), "scl", BANDS)
+
+
+@query("kmeans_assign")
+def _(spark, d):
+    return models.kmeans(pixel_grid(spark, d), ["b02", "b04", "b08"], 4).select("row", "col", "cluster")
+
+
+@query("rf_predict")
+def _(spark, d):
+    return models.random_forest(scored(spark, d), ["b02", "b04", "b08", "b11"], "y").select("row", "col", "probability", "predicted")
+
+
+@query("logreg_coeffs")
+def _(spark, d):
+    return models.logistic_table(scored(spark, d), ["b02", "b04", "b08", "elevation"], "y")
+
+
+@query("pca_project")
+def _(spark, d):
+    return models.pca(features.scale(pixel_grid(spark, d), BANDS, "standard"), BANDS, 2).select("row", "col", "component_1", "component_2")
+
+
+@query("cv_scores")
+def _(spark, d):
+    return models.cross_validate(scored(spark, d), ["b04", "b08", "elevation"], "y", 3)
+
+
+@query("ensemble_uncertainty")
+def _(spark, d):
+    return models.ensemble(scored(spark, d), ["b04", "b08", "elevation"], "y", 3).select("row", "col", "mean", "std")

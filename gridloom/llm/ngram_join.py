@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import cut
 
 #: Frequent tokens, leaders of a class, bits of the bitmap, bytes of text hashed at a time.
-FREQUENT, LEADERS, BITMAP, STRETCH = 50_000, 2, 1 << 23, 1 << 21
+FREQUENT, LEADERS, BITMAP, STRETCH = 50_000, 1, 1 << 23, 1 << 21
 #: Tokens counted at a time by a task, the fewest counts that it reports.
 COUNTED, LOCAL = 4_000_000, 3
 HOT = 1 << 62
@@ -214,9 +214,11 @@ def needed(a: str | Column, b: str | Column, percent: int) -> Column:
 
 def pair_bound(percent: int) -> Column:
     """Whether classes a and b, sharing c prefix tokens, can reach the threshold: all prefix
-    tokens of the one whose prefix ends first were compared, so it shares c and its rest at most."""
+    tokens of the one whose prefix ends first were compared, so it shares c and its rest at most,
+    and none shares more than it has."""
     rest = lambda x: F.ceil(F.col(f"n_{x}") * percent / F.lit(100.0) - 1e-9) - 1
-    return F.col("c") + F.when(F.col("end_a") <= F.col("end_b"), rest("a")).otherwise(rest("b")) >= needed("n_a", "n_b", percent)
+    most = F.least("n_a", "n_b", F.col("c") + F.when(F.col("end_a") <= F.col("end_b"), rest("a")).otherwise(rest("b")))
+    return most >= needed("n_a", "n_b", percent)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -250,12 +252,11 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     frequent = frequent_tokens(texts)
     made = cut(prefixes(rows, frequent, percent))
-    classes = cut(made.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("uid").alias("cls")))
-    reps = made.select("uid", "prefix").join(classes.withColumnRenamed("cls", "uid"), "uid").select(F.col("uid").alias("cls"), "n", "k1", "k2", "prefix")
-    reps = cut(reps)
-    about = reps.select("cls", "n", F.element_at("prefix", -1).alias("end"))
+    whole = made.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("uid").alias("cls"), F.first("prefix").alias("prefix"))
+    classes = cut(whole.select("cls", "n", "k1", "k2", F.element_at("prefix", -1).alias("end")))
+    about = classes.select("cls", "n", "end")
 
-    lists = reps.select("cls", F.explode("prefix").alias("token"))
+    lists = whole.select("cls", F.explode("prefix").alias("token"))
     cold = lists.filter(F.col("token") < HOT).withColumn("size", F.count("*").over(Window.partitionBy("token"))).filter("size > 1")
     hot = lists.filter(F.col("token") >= HOT)
     sizes = hot.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
@@ -277,7 +278,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
 
     def wanted(pairs: DataFrame) -> DataFrame:
         both = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        return classes.join(both, "cls")
+        return classes.drop("end").join(both, "cls")
 
     star = cut(verified(led, whole_sets(texts, wanted(led)), percent))
     grouped = components(star)
@@ -323,7 +324,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
 
     # Documents of a class, classes of a component.
     of_doc = (
-        made.select("id", "n", "k1", "k2").join(classes, ["n", "k1", "k2"], "left")
+        made.select("id", "n", "k1", "k2").join(classes.drop("end"), ["n", "k1", "k2"], "left")
         .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
         .select("id", "n", F.coalesce("root", "cls").alias("root"))
     )

@@ -6,8 +6,9 @@
    pattern. Expectation maximisation over the patterns estimates the class balance and each
    voter's accuracy in both classes; the votes' correlations within the toxic class discount
    voters that say the same. This gives each document a posterior label.
-3. Classifier. A linear classifier over words and word beginnings (hashed; a word
-   counts once, a beginning by its share of the words; L1-regularised) is trained on the posterior labels of a bounded
+3. Classifier. A linear classifier over the words and word beginnings that tell most in the
+   labelled rows and those of the lexicons (at most ``VOCABULARY``; a word counts once, a
+   beginning by its share of the words; L1-regularised) is trained on the posterior labels of a bounded
    sample of documents (``TRAIN_ROWS``) and of the labelled rows, whose posterior is their
    label; then it scores every whole text.
 
@@ -27,7 +28,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -44,7 +44,7 @@ from gridloom.llm.common import cut, map_texts
 #: Bounds of the labelled rows that voters are mined from and of the classifier's training rows.
 LABELLED_ROWS, TRAIN_ROWS = 12_000, 4_000
 #: Mined voters, the fewest toxic rows that a mined feature marks, features of the classifier.
-MINED, SUPPORT, WIDTH = 44, 2, 1 << 17
+MINED, SUPPORT, VOCABULARY = 44, 2, 4096
 #: Tasks over vote patterns, and over the classifier's bounded training rows.
 TASKS = 16
 #: Share of a text's words from which on a beginning is dense.
@@ -125,14 +125,15 @@ def votes_of(text: str | None) -> set[str]:
     return {*counts, *[f"{f}+" for f, n in counts.items() if dense(n, total)]}
 
 
-def values_of(text: str | None) -> dict[int, float]:
+def values_of(text: str | None, vocabulary: dict[str, int]) -> dict[int, float]:
     """A text as the classifier sees it: 1 for a word, and for a beginning its share of the words, up to 1."""
     words, total = counted(text)
-    out: dict[int, float] = {}
-    for feature, n in by_feature(words).items():
-        k = slot(feature)
-        out[k] = out.get(k, 0.0) + (1.0 if feature[0] == "=" else min(1.0, n / (2 * SHARE * total)))
-    return out
+    counts: Counter = Counter()
+    for word, n in words.items():
+        for feature in features_of(word):
+            if feature in vocabulary:
+                counts[feature] += n
+    return {vocabulary[f]: 1.0 if f[0] == "=" else min(1.0, n / (2 * SHARE * total)) for f, n in counts.items()}
 
 
 def held_out(id_col: Column) -> Column:
@@ -196,8 +197,9 @@ def unpacked(bits: np.ndarray, n: int) -> np.ndarray:
     return (bits[:, None] >> np.arange(n, dtype=np.int64)) & 1
 
 
-def mine_voters(labelled: DataFrame) -> list[str]:
-    """Features of (text, toxic) that mark toxic rows and hardly any others, most telling first.
+def mine_features(labelled: DataFrame) -> tuple[list[str], list[str]]:
+    """From (text, toxic): voters, which mark toxic rows and hardly any others, and the
+    classifier's vocabulary, both with the most telling first.
 
     Each task counts its own rows, the counts meet in one aggregate, and the top comes back.
     """
@@ -230,14 +232,16 @@ def mine_voters(labelled: DataFrame) -> list[str]:
     odds = F.log(smooth("toxic", n1)) - F.log(smooth("clean", n0))
     gain = F.col("toxic") * odds  # coverage at its precision
     telling = (
-        sums.filter((F.col("toxic") >= SUPPORT) & (odds > 3))
+        sums.withColumn("odds", odds).filter((F.col("toxic") >= SUPPORT) & (F.col("odds") > 1.5))
         .orderBy(gain.desc(), F.length("feature").desc(), "feature")
-        .limit(MINED * 40)
+        .limit(VOCABULARY)
         .collect()
     )
+    known = [f"={w}" for lexicon in LEXICONS for w in sorted(lexicon)]
+    vocabulary = list(dict.fromkeys([*known, *[r["feature"].rstrip("+") for r in telling]]))
     chosen: list[tuple[str, int]] = []
     features: list[str] = []
-    for r in telling:
+    for r in (r for r in telling if r["odds"] > 3):
         # Of a word and its beginnings that mark about the same rows one is enough.
         bare = r["feature"].strip("=+")
         kin = [n for x, n in chosen if bare.startswith(x) or x.startswith(bare)]
@@ -246,7 +250,7 @@ def mine_voters(labelled: DataFrame) -> list[str]:
             features.append(r["feature"])
         if len(features) == MINED:
             break
-    return features
+    return features, vocabulary
 
 
 def moments(patterns: DataFrame, n: int, posterior: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> tuple[float, np.ndarray, float, np.ndarray]:
@@ -306,16 +310,12 @@ def fit_label_model(votes: DataFrame, n: int, rounds: int = 4) -> LabelModel:
     return model
 
 
-def slot(feature: str) -> int:
-    return zlib.crc32(feature.encode()) % WIDTH
-
-
-def fit_classifier(sample: DataFrame) -> tuple[np.ndarray, float]:
+def fit_classifier(sample: DataFrame, vocabulary: dict[str, int]) -> tuple[dict[str, float], float]:
     """Weights and intercept from (text, posterior); each row counts for both classes by its posterior."""
 
     @F.udf(VectorUDT())
     def vector(text: str | None) -> SparseVector:
-        return SparseVector(WIDTH, values_of(text))
+        return SparseVector(len(vocabulary), values_of(text, vocabulary))
 
     rows = cut(sample.repartition(TASKS).select(vector("text").alias("features"), "posterior"))
     both = rows.withColumn("label", F.lit(1.0)).withColumn("weight", F.col("posterior")).unionByName(
@@ -324,20 +324,19 @@ def fit_classifier(sample: DataFrame) -> tuple[np.ndarray, float]:
     classes = {r["label"]: r["w"] for r in both.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
     if len(classes) < 2 or min(classes.values()) < 0.5:
         share = (classes.get(1.0, 0.0) + 0.01) / (sum(classes.values()) + 1)
-        return np.zeros(WIDTH), math.log(share / (1 - share))
+        return {}, math.log(share / (1 - share))
     fitted = LogisticRegression(
         maxIter=60, regParam=1e-4, elasticNetParam=1.0, standardization=False, weightCol="weight"
     ).fit(both)
-    return fitted.coefficients.toArray(), fitted.intercept
-
+    weights = fitted.coefficients.toArray().tolist()
+    return {f: weights[k] for f, k in vocabulary.items() if weights[k]}, fitted.intercept
 
-def score_texts(docs: DataFrame, weights: np.ndarray, intercept: float, keep: list[str], text_col: str) -> DataFrame:
-    held = {int(k): float(weights[k]) for k in np.flatnonzero(weights)}
 
+def score_texts(docs: DataFrame, held: dict[str, float], intercept: float, keep: list[str], text_col: str) -> DataFrame:
     def worker() -> Callable[[list], dict[str, list]]:
         def of_word(word: str) -> tuple:
             first, *rest = features_of(word)
-            alone, more = held.get(slot(first), 0.0), tuple(f for f in rest if slot(f) in held)
+            alone, more = held.get(first, 0.0), tuple(f for f in rest if f in held)
             return (alone, more) if alone or more else ()
 
         known = Known(of_word)
@@ -351,7 +350,7 @@ def score_texts(docs: DataFrame, weights: np.ndarray, intercept: float, keep: li
                 for feature in more:
                     shares[feature] += words.count(word)
             for feature, n in shares.items():
-                logit += held[slot(feature)] * min(1.0, n / (2 * SHARE * len(words)))
+                logit += held[feature] * min(1.0, n / (2 * SHARE * len(words)))
             return 1 / (1 + math.exp(-max(-50.0, min(50.0, logit))))
 
         return lambda texts: {"score": [score(t) for t in texts]}
@@ -392,7 +391,7 @@ def score_toxicity(
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     chosen = known.orderBy(F.xxhash64("label_id")).limit(LABELLED_ROWS)
     labelled = cut(slim.join(chosen, slim["id"] == chosen["label_id"]).select("text", F.col("known").alias("toxic")))
-    mined = mine_voters(labelled)
+    mined, vocabulary = mine_features(labelled)
     n = Voters(mined).n
 
     def worker() -> Callable[[list], dict[str, list]]:
@@ -421,7 +420,7 @@ def score_toxicity(
 
     sample = map_texts(picked.withColumn("t", F.col("text")), ["text"], "t", {"posterior": pa.float64()}, posteriors)
     marked = labelled.select("text", F.col("toxic").cast("double").alias("posterior"))
-    weights, intercept = fit_classifier(sample.unionByName(marked))
+    weights, intercept = fit_classifier(sample.unionByName(marked), {f: k for k, f in enumerate(vocabulary)})
     intercept -= boundary(score_texts(labelled, weights, intercept, ["toxic"], "text"))
     scored = score_texts(docs.withColumn("__id", F.col(id_col)), weights, intercept, [*keep, "__id"], text_col)
     return scored.select(

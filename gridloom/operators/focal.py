@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ALONG = Window.partitionBy("row").orderBy("col")
-ACROSS = Window.partitionBy("col").orderBy("row")
+
+def lines() -> tuple[Window, Window]:
+    """Along a row, and across the rows of a column."""
+    return Window.partitionBy("row").orderBy("col"), Window.partitionBy("col").orderBy("row")
 
 
 def gradient(df: DataFrame, value: str, gx: str, gy: str, spacing: float = 1.0) -> DataFrame:
@@ -20,7 +22,8 @@ def gradient(df: DataFrame, value: str, gx: str, gy: str, spacing: float = 1.0)
             .otherwise((after - before) / (2 * spacing))
         )
 
-    return df.withColumn(gx, along(ALONG)).withColumn(gy, along(ACROSS))
+    by_row, by_col = lines()
+    return df.withColumn(gx, along(by_row)).withColumn(gy, along(by_col))
 
 
 def neighbours9(df: DataFrame, value: str, out: str, nearest: bool = True) -> DataFrame:
@@ -36,7 +39,8 @@ def neighbours9(df: DataFrame, value: str, out: str, nearest: bool = True) -> Da
         gone = here if nearest else (F.lit(None) if c == value else F.transform(here, lambda _: F.lit(None).cast("double")))
         return F.array(F.when(back, gone).otherwise(F.lag(c).over(w)), here, F.when(ahead, gone).otherwise(F.lead(c).over(w)))
 
-    return df.withColumn("__r", three(ALONG, value)).withColumn(out, F.flatten(three(ACROSS, "__r"))).drop("__r")
+    by_row, by_col = lines()
+    return df.withColumn("__r", three(by_row, value)).withColumn(out, F.flatten(three(by_col, "__r"))).drop("__r")
 
 
 def mean(values: Column) -> Column:

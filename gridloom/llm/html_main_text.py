@@ -3,9 +3,9 @@
 Markup is stripped into lines, one for each block element, with menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments left out; each such
 element leaves empty lines where it stood. A line's length counts its characters outside
-links. Over sliding windows of ``WINDOW`` lines the lengths are summed; where a sum rises
-above the threshold text surges, where it falls to nothing text dives, and all lines
-between a surge and its dive are kept. Where the page marks its article (``article`` or
+links. Over sliding windows of ``WINDOW`` lines the lengths are summed; text surges where a
+sum leaves nothing on its way above the threshold, and dives where it falls to nothing
+again; all lines between a surge and its dive are kept. Where the page marks its article (``article`` or
 ``main``), lines outside have no length, and inside every character counts from the
 first; else the threshold is ``SURGE`` characters, or half the page's highest sum if
 that is lower.
@@ -198,14 +198,18 @@ def kept_blocks(page: str | None) -> list[str]:
         running.append(running[-1] + x)
     sums = [running[min(i + WINDOW, len(lengths))] - running[i] for i in range(len(lengths))]
     threshold = 0 if marked else min(SURGE, max(sums, default=0) // 2)
-    kept, inside = [], False
-    for (text, _, _), length, total in zip(lines, lengths, sums):
+    kept: list[str] = []
+    rising: list[str] = []  # lines since the last dive
+    surged = False
+    for (text, _, _), total in zip(lines, sums):
         if total == 0:
-            inside = False
-        elif total > threshold and length:
-            inside = True
-        if inside and text:
-            kept.append(text)
+            kept += rising if surged else []
+            rising, surged = [], False
+        else:
+            surged |= total > threshold
+            if text:
+                rising.append(text)
+    kept += rising if surged else []
     return kept
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.bandmath import INDICES, RANGES, SENSORS, band_math, spectral_index
-from gridloom.operators import features, focal, masks, metrics, models, surface, terrain, texture
+from gridloom.operators import features, focal, hydrology, masks, metrics, models, surface, terrain, texture
 from gridloom.sources.grid import BANDS, file_type, pixel_grid, table
 from gridloom.streaming.seasons import season_of
 
@@ -245,6 +245,46 @@ def _(spark, d):
     return terrain.flow_direction(pixel_grid(spark, d)).select("row", "col", "direction")
 
 
+def size_of(g):
+    size = g.agg(F.max("row").alias("r"), F.max("col").alias("c")).first()
+    return size["r"] + 1, size["c"] + 1
+
+
+@query("pit_filling", f"""WITH {PX}, ext AS (SELECT max("row") AS mr, max(col) AS mc FROM px),
+o AS (SELECT dr, dc FROM (SELECT unnest(range(-3, 4)) AS dr) x, (SELECT unnest(range(-3, 4)) AS dc) y WHERE dr * dr + dc * dc <= 9),
+u AS (SELECT a."row", a.col, any_value(a.elevation) AS z, max(b.elevation) AS v FROM px a, ext, o, px b WHERE b."row" = greatest(least(a."row" + dr, mr), 0) AND b.col = greatest(least(a.col + dc, mc), 0) GROUP BY a."row", a.col)
+SELECT a."row", a.col, {six("greatest(any_value(a.z), min(b.v))")} AS filled FROM u a, ext, o, u b WHERE b."row" = greatest(least(a."row" + dr, mr), 0) AND b.col = greatest(least(a.col + dc, mc), 0) GROUP BY a."row", a.col""")
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    return hydrology.fill_pits(g, "elevation", 3, *size_of(g)).select("row", "col", "filled")
+
+
+@query("gaussian_smooth", f"""WITH {PX}, ext AS (SELECT max("row") + 1 AS nr, max(col) + 1 AS nc FROM px), k AS (SELECT k, exp(-0.5 * k * k) / sum(exp(-0.5 * k * k)) OVER () AS w FROM (SELECT unnest(range(-4, 5)) AS k) t),
+a AS (SELECT p."row", p.col, sum(q.b04 * w) AS v FROM px p, ext, k, px q WHERE q."row" = p."row" AND q.col = CASE WHEN p.col + k < 0 THEN -(p.col + k) - 1 WHEN p.col + k >= nc THEN 2 * nc - 1 - (p.col + k) ELSE p.col + k END GROUP BY p."row", p.col)
+SELECT p."row", p.col, {six("sum(q.v * w)")} AS value FROM a p, ext, k, a q WHERE q.col = p.col AND q."row" = greatest(least(CASE WHEN p."row" + k < 0 THEN -(p."row" + k) - 1 WHEN p."row" + k >= nr THEN 2 * nr - 1 - (p."row" + k) ELSE p."row" + k END, nr - 1), 0) GROUP BY p."row", p.col""")
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    return focal.gaussian(g, "b04", 1.0, *size_of(g))
+
+
+FLOW = """o AS (SELECT * FROM (VALUES (0,-1,-1),(1,-1,0),(2,-1,1),(3,0,-1),(4,0,1),(5,1,-1),(6,1,0),(7,1,1)) t(i, dr, dc)),
+f AS (SELECT a."row", a.col, i, b."row" AS tr, b.col AS tc, (a.elevation - b.elevation) / CASE WHEN dr * dc <> 0 THEN sqrt(2.0::double) ELSE 1.0::double END AS fall FROM px a, o, px b WHERE b."row" = a."row" + dr AND b.col = a.col + dc),
+nxt AS (SELECT "row", col, tr, tc FROM (SELECT *, row_number() OVER (PARTITION BY "row", col ORDER BY fall DESC, i) AS k FROM f WHERE fall > 0) WHERE k = 1),
+walk AS (SELECT "row" AS sr, col AS sc, "row", col FROM px UNION ALL SELECT sr, sc, tr, tc FROM walk JOIN nxt USING ("row", col)),
+acc AS (SELECT "row", col, count(*) AS cells FROM walk GROUP BY "row", col)"""
+
+
+@query("flow_accumulation", f'WITH RECURSIVE {PX}, {FLOW} SELECT "row", col, cells, {six("log10(cells + 1)")} AS accumulation FROM acc')
+def _(spark, d):
+    return hydrology.flow_accumulation(pixel_grid(spark, d))
+
+
+@query("wetness_indices", f"""WITH RECURSIVE {PX}, {FLOW}, {G}, t AS (SELECT "row", col, log10(cells + 1) AS a, tan(atan(sqrt(gx * gx + gy * gy))) AS t FROM acc JOIN g USING ("row", col))
+SELECT "row", col, {six("CASE WHEN a * t > 0 THEN ln(a * t) ELSE 0 END")} AS spi, {six("CASE WHEN a / nullif(t, 0) > 0 THEN ln(a / t) ELSE 0 END")} AS twi FROM t""")
+def _(spark, d):
+    return hydrology.wetness(pixel_grid(spark, d)).select("row", "col", "spi", "twi")
+
+
 for _d in (1, 2, 3):
     for _a, (_dr, _dc) in {0: (0, _d), 45: (-_d, _d), 90: (-_d, 0), 135: (-_d, -_d)}.items():
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,15 +56,37 @@ def std(values: Column) -> Column:
     return F.when(~F.exists(values, lambda x: x.isNull()), F.sqrt(mean(F.transform(values, lambda x: (x - m) * (x - m)))))
 
 
-def offsets_join(df: DataFrame, value: str, offsets: list[tuple[int, int]], rows: int, cols: int) -> DataFrame:
-    """(row, col, value) of each cell's neighbourhood, clamped at the edges; one copy of a cell per offset."""
-    spread = F.explode(F.array(*[F.struct(F.lit(r).alias("dr"), F.lit(c).alias("dc")) for r, c in offsets]))
-    clamp = lambda x, n: F.greatest(F.least(x, F.lit(n - 1)), F.lit(0))
+def offsets_join(df: DataFrame, value: str, offsets: list[tuple[int, int]], rows: int, cols: int, reflect: bool = False, weights: list[float] | None = None) -> DataFrame:
+    """(row, col, value, weight) of each cell's neighbourhood; one copy of a cell per offset.
+
+    Beyond the edge is the nearest cell, or with ``reflect`` the grid's mirror image.
+    """
+    weights = weights or [1.0] * len(offsets)
+    spread = F.explode(F.array(*[F.struct(F.lit(r).alias("dr"), F.lit(c).alias("dc"), F.lit(w).alias("w")) for (r, c), w in zip(offsets, weights)]))
+
+    def held_in(x: Column, n: int) -> Column:
+        if reflect:
+            x = F.when(x < 0, -x - 1).when(x >= n, 2 * n - 1 - x).otherwise(x)
+        return F.greatest(F.least(x, F.lit(n - 1)), F.lit(0))
+
     wanted = df.select("row", "col", spread.alias("o")).select(
-        "row", "col", clamp(F.col("row") + F.col("o.dr"), rows).alias("nr"), clamp(F.col("col") + F.col("o.dc"), cols).alias("nc")
+        "row", "col", held_in(F.col("row") + F.col("o.dr"), rows).alias("nr"), held_in(F.col("col") + F.col("o.dc"), cols).alias("nc"), F.col("o.w").alias("weight")
     )
     held = df.select(F.col("row").alias("nr"), F.col("col").alias("nc"), F.col(value).alias("value"))
-    return wanted.join(held, ["nr", "nc"]).select("row", "col", "value")
+    return wanted.join(held, ["nr", "nc"]).select("row", "col", "value", "weight")
+
+
+def gaussian(df: DataFrame, value: str, sigma: float, rows: int, cols: int) -> DataFrame:
+    """(row, col, value) smoothed, first along rows and then across, to four deviations."""
+    reach = int(4 * sigma + 0.5)
+    raw = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-reach, reach + 1)]
+    weights = [w / sum(raw) for w in raw]
+    out = df.select("row", "col", F.col(value).alias("value"))
+    for step in ((0, 1), (1, 0)):
+        offsets = [(step[0] * k, step[1] * k) for k in range(-reach, reach + 1)]
+        near = offsets_join(out, "value", offsets, rows, cols, reflect=True, weights=weights)
+        out = near.groupBy("row", "col").agg(F.sum(F.col("value") * F.col("weight")).alias("value"))
+    return out
 
 
 def disk(radius: int) -> list[tuple[int, int]]:

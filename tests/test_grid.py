@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions.bandmath import band_math, compile_expression, spectral_index
-from gridloom.operators import features, focal, masks, metrics, models, spectral, surface, terrain, texture
+from gridloom.operators import features, focal, hydrology, masks, metrics, models, spectral, surface, terrain, texture
 from gridloom.sources.grid import fill_nodata, inventory, null_if, write_layers
 
 
@@ -139,3 +139,16 @@ def test_files(spark, tmp_path):
 
 def test_elbow():
     assert models.elbow([(2, 100.0), (3, 40.0), (4, 35.0), (5, 31.0), (6, 28.0)]) == 3
+
+
+def test_flow_reaches_the_outlet(spark):
+    slope = grid(spark, [[10 - c + 0.1 * r for c in range(6)] for r in range(3)]).withColumnRenamed("z", "elevation")
+    got = cells(hydrology.flow_accumulation(slope), "cells")
+    assert got[0, 5] == 18 and got[2, 0] == 1
+
+
+def test_pits_are_filled_and_constants_stay(spark):
+    pit = hydrology.fill_pits(grid(spark, [[5] * 5, [5] * 5, [5, 5, 1, 5, 5], [5] * 5, [5] * 5]), "z", 1, 5, 5)
+    assert set(cells(pit, "filled").values()) == {5.0}
+    smooth = focal.gaussian(grid(spark, [[2] * 4] * 4), "z", 1.0, 4, 4)
+    assert all(v == pytest.approx(2.0) for v in cells(smooth, "value").values())

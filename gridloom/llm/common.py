@@ -1,8 +1,7 @@
-"""What the corpus operators share: table reads, word classes, and lineage cuts."""
+"""What the corpus operators share: table reads, texts through Arrow, and lineage cuts."""
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,22 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from gridloom.plans.lineage import cut
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
+__all__ = ["cut", "map_texts", "read"]
 
-def cut(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` into the folder the session names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (as in tests) gets a folder of its own.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gridloom-checkpoint-"))
-    return df.checkpoint(eager=True)
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def map_texts(

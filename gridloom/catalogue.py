@@ -586,6 +586,22 @@ def _(spark, d):
     return pixel_grid(spark, d).select("row", "col", F.concat_ws(";", *rules).alias("errors"))
 
 
+@query("bbox_validate", """SELECT k, concat_ws(';', CASE WHEN w < -180 OR e > 180 THEN 'longitude' END, CASE WHEN s < -90 OR n > 90 THEN 'latitude' END, CASE WHEN w >= e OR s >= n THEN 'order' END) AS errors
+FROM (SELECT p_partkey AS k, p_size * 8.0 - 200 AS w, p_size * 7.0 - 190 AS e, p_size * 4.0 - 95 AS s, p_size * 4.0 - 94 AS n FROM part)""")
+def _(spark, d):
+    size = F.col("p_size")
+    boxes = table(spark, d, "part").select(F.col("p_partkey").alias("k"), (size * 8.0 - 200).alias("w"), (size * 4.0 - 95).alias("s"), (size * 7.0 - 190).alias("e"), (size * 4.0 - 94).alias("n"))
+    return boxes.select("k", masks.box_errors("w", "s", "e", "n").alias("errors"))
+
+
+@query("date_validate", """SELECT k, x AS text, try_strptime(x, '%Y-%m-%d') IS NOT NULL AND coalesce(year(try_strptime(x, '%Y-%m-%d')) >= 1970, false) AS valid
+FROM (SELECT p_partkey AS k, (1960 + p_size) || '-' || lpad((p_size % 14)::varchar, 2, '0') || '-15' AS x FROM part)""")
+def _(spark, d):
+    size = F.col("p_size")
+    text = F.concat((1960 + size).cast("string"), F.lit("-"), F.lpad((size % 14).cast("string"), 2, "0"), F.lit("-15"))
+    return table(spark, d, "part").select(F.col("p_partkey").alias("k"), text.alias("text")).withColumn("valid", masks.valid_date("text"))
+
+
 @query("event_windows", f"SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS n, {six('sum(value)')} AS total FROM events GROUP BY 1, 2")
 def _(spark, d):
     e = table(spark, d, "events")
@@ -602,6 +618,13 @@ def _(spark, d):
     return pixel_grid(spark, d).select("row", "col", ratio_depth("b04", "b08", "b11").alias("depth"))
 
 
+@query("mineral_index", f'WITH {PX} SELECT "row", col, {six("(coalesce(CASE WHEN (b04 + b11) / 2 > 0 THEN 1 - b08 / nullif((b04 + b11) / 2, 0) END, 0) + coalesce(CASE WHEN (b08 + b12) / 2 > 0 THEN 1 - b11 / nullif((b08 + b12) / 2, 0) END, 0)) / 2")} AS value FROM px')
+def _(spark, d):
+    from gridloom.operators.spectral import mineral_index, ratio_depth
+
+    return pixel_grid(spark, d).select("row", "col", mineral_index([ratio_depth("b04", "b08", "b11"), ratio_depth("b08", "b11", "b12")]).alias("value"))
+
+
 @query("spectral_derivatives", f"""WITH {PX}, s AS (SELECT "row", col, [b02, b03, b04, b08, b11, b12] AS v, [490.0, 560.0, 665.0, 842.0, 1610.0, 2190.0]::double[] AS w FROM px),
 f AS (SELECT "row", col, [(v[i + 1] - v[i - 1]) / (w[i + 1] - w[i - 1]) for i in range(2, 6)] AS f FROM s)
 SELECT "row", col, {six("list_min(f)")} AS least, {six("list_max(f)")} AS most FROM f""")

@@ -65,3 +65,17 @@ def dark_object(df: DataFrame, bands: list[str], percent: float = 0.01, divisor:
 
 def clip_box(df: DataFrame, rows: tuple[int, int], cols: tuple[int, int]) -> DataFrame:
     return df.filter(F.col("row").between(*rows) & F.col("col").between(*cols))
+
+
+def box_errors(west: str, south: str, east: str, north: str) -> Column:
+    """What is wrong with a bounding box in degrees, joined by semicolons; empty if nothing is."""
+    w, s, e, n = (F.col(c) for c in (west, south, east, north))
+    return F.concat_ws(
+        ";", F.when((w < -180) | (e > 180), "longitude"), F.when((s < -90) | (n > 90), "latitude"), F.when((w >= e) | (s >= n), "order")
+    )
+
+
+def valid_date(text: str) -> Column:
+    """Whether a text is a date as yyyy-mm-dd from 1970 on."""
+    parsed = F.try_to_timestamp(F.col(text), F.lit("yyyy-MM-dd"))
+    return parsed.isNotNull() & (F.coalesce(F.year(parsed), F.lit(0)) >= 1970)

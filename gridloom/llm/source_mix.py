@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import cut
 
-#: Slices of the rank order of a source, and passes that fill what is still missing.
-SLICES, ROUNDS = 1024, 4
+#: Slices of the rank order of a source, passes that fill what is still missing, and parts
+#: of a source's rows where they meet its row of a table per source.
+SLICES, ROUNDS, SALTS = 1024, 4, 64
 
 
 def word_count(text: Column) -> Column:
@@ -63,6 +64,14 @@ def source_targets(sizes: DataFrame, weights: list[float], most: float) -> DataF
     )
 
 
+def beside_source(rows: DataFrame, per_source: DataFrame, key: str) -> DataFrame:
+    """Rows with their source's columns. A hot source's rows are dealt over SALTS parts, each
+    with a copy of the source's one row."""
+    copies = per_source.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("__part", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
+    return dealt.join(copies, F.col("source").eqNullSafe(F.col(key)) & (F.col("__part") == F.col("__salt"))).drop("__part", "__salt", key)
+
+
 def fill(left: DataFrame, missing: DataFrame) -> DataFrame:
     """Of the rows of ``left`` (source, size, slice, key, tie), the prefix per source with at most ``room`` words."""
     slices = left.groupBy("source", "slice").agg(F.sum("size").alias("words"))
@@ -109,7 +118,7 @@ def mix_sources(
     targets = targets.withColumn("certain", F.floor(ratio + 1e-9)).withColumn("p", F.greatest(ratio - F.col("certain"), F.lit(0.0)))
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
     ranked = cut(
-        sizes.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+        beside_source(sizes, targets.withColumnRenamed("source", "of"), "of")
         .withColumn("key", F.when(F.col("p") > 1e-9, odds))
         .withColumn("slice", F.floor(F.col("key") / (1 + F.col("key")) * SLICES).cast("int"))
     )
@@ -126,8 +135,7 @@ def mix_sources(
             .select("to_source", (F.col("room") - F.coalesce("got", F.lit(0))).alias("room"))
         )
         rows = (
-            rows.join(taken.select("row"), "row", "left_anti")
-            .join(room.withColumnRenamed("to_source", "s"), F.col("source").eqNullSafe(F.col("s")))
+            beside_source(rows.join(taken.select("row"), "row", "left_anti"), room.withColumnRenamed("to_source", "s"), "s")
             .filter(F.col("size") <= F.col("room"))
             .select("source", "size", "slice", "key", "tie", "row")
         )

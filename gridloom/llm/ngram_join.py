@@ -310,13 +310,18 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
         .filter(qualifies).select(F.col("cls").alias("a"), "other")
     )
 
-    # 4. Members of open groups, by their own prefix overlap, then exactly.
+    # 4. Members of open groups, by their own prefix overlap, then exactly. A pair is one row
+    # with both prefixes, whatever they share.
     opened = cut(opened)
-    queries = opened.join(shared.select(F.col("cls").alias("a"), "token"), "a")
-    members = inside.select(F.col("cls").alias("b"), F.col("g").alias("other"), "token")
+    held = shared.groupBy("cls").agg(F.collect_list("token").alias("tokens"))  # a prefix at most
+    with_tokens = lambda c: held.select(F.col("cls").alias(c), F.col("tokens").alias(f"tokens_{c}"))
+    asking = opened.select("a").distinct().join(with_tokens("a"), "a").join(left, "a")
+    inmates = member.select(F.col("cls").alias("b"), F.col("g").alias("other")).join(opened.select("other").distinct(), "other")
+    inmates = inmates.join(with_tokens("b"), "b").join(right, "b")
+    fits = F.least("n_a", "n_b") >= needed("n_a", "n_b", percent)
     close = (
-        queries.join(members, ["other", "token"]).groupBy("a", "b").agg(F.count("*").alias("c"))
-        .join(left, "a").join(right, "b").filter(pair_bound(percent)).select("a", "b")
+        opened.join(asking, "a").join(inmates, "other").filter(fits)
+        .withColumn("c", F.size(F.array_intersect("tokens_a", "tokens_b"))).filter(pair_bound(percent)).select("a", "b")
     )
     close = cut(close)
     links = verified(close, whole_sets(texts, wanted(close)), percent)

@@ -5,10 +5,15 @@ sidebars, notices, adverts, forms, scripts, styles and reader comments left out;
 element leaves empty lines where it stood. A line's length counts its characters outside
 links. Over sliding windows of ``WINDOW`` lines the lengths are summed; text surges where a
 sum leaves nothing on its way above the threshold, and dives where it falls to nothing
-again; all lines between a surge and its dive are kept. Where the page marks its article (``article`` or
-``main``), lines outside have no length, and inside every character counts from the
-first; else the threshold is ``SURGE`` characters, or half the page's highest sum if
-that is lower.
+again; all lines between a surge and its dive are kept, and short stretches between kept ones. Where the page
+marks its article (``article`` or ``main``), lines outside have no length, and inside every
+character counts from the first; else the threshold is ``SURGE`` characters, or half the
+page's highest sum if that is lower. Blocks that only their names mark as the article count
+so where together they hold a window of the highest sum and half the characters outside links.
+
+A class or id doesn't leave out an element that holds an ``article`` or ``main``, nor one
+that holds most of the page's characters outside links (so comments that outweigh the rest
+of their page stay).
 
 Defined results: null or empty html has no text (an empty string); a page that ends early
 keeps what it has; repeated rows each give a row; other columns are ignored; an empty
@@ -50,6 +55,7 @@ MARKED = set(
 )
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 ARTICLE_WORDS = set("article content entry main post story".split())
+STATES = set("has no with without".split())  # begin names of what an element has, not of what it is
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
@@ -62,44 +68,54 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 def part_of(name: str, rest: str, in_article: bool) -> str:
-    """``apart`` for an element that is no part of an article, ``article`` for one that marks it, else empty."""
+    """``apart`` for an element that is no part of an article, ``doubt`` for one that only its class or id says so of
+    (``doubt named`` if they name an article, too), ``article`` and ``named`` for one that marks it, ``card`` for an
+    article named as a comment or the like, else empty."""
     if name in APART or (name == "header" and not in_article):
         return "apart"
-    if name in ("article", "main"):
-        return "article"
+    own = name in ("article", "main")
     if rest == ">" or name in ("html", "body"):
-        return ""
+        return "article" if own else ""
     words: set[str] = set()
     for key, value in ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
-            words |= {w.lower() for w in WORD.findall(value)}
+            for token in value.split():
+                found = [w.lower() for w in WORD.findall(token)]
+                if found and found[0] not in STATES:
+                    words.update(found)
+        elif own:
+            continue
         elif key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return "apart"
         elif key == "role" and value.lower() in ("article", "main"):
-            return "article"
+            own = True
         elif key == "style" and HIDDEN.search(value):
             return "apart"
-    found = words & MARKED
     titled = words & ARTICLE_WORDS
-    if found - {"header", "tags", "byline"} if titled else found:
-        return "apart"
-    return "article" if titled and name in ("div", "section", "td") else ""
+    marked = words & MARKED - {"header", "tags", "byline"} if titled else words & MARKED
+    if own:
+        return "card" if marked and not titled else "article"
+    named = "named" if titled and name in ("div", "section", "td") else ""
+    return f"doubt {named}".strip() if marked else named
 
 
-def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """(text, characters outside links, inside an article) per line, empty lines included; whether an article is marked."""
-    lines: list[tuple[str, int, bool]] = []
+def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str]]]:
+    """(text, characters outside links, innermost element with a part) per line, and of an element's cliffs an empty
+    text and no characters; (element around, part) of the elements with a part, the page itself at 0."""
+    lines: list[tuple[str, int, int]] = []
+    elements: list[tuple[int, str]] = [(0, "")]
     parts: list[str] = []
     stack: list[tuple[str, str]] = []  # open elements and their part
+    inmost = 0
     apart = links = articles = 0
-    outside, marked = 0, False
+    outside = 0
 
     def flush() -> None:
         nonlocal outside
         if parts:
             if text := " ".join(entities.unescape("".join(parts)).split()):
-                lines.append((text, outside, articles > 0))
+                lines.append((text, outside, inmost))
             parts.clear()
         outside = 0
 
@@ -111,20 +127,28 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                 outside += len("".join(raw.split()))
 
     def cliff() -> None:
-        lines.extend([("", 0, articles > 0)] * WINDOW)
+        lines.append(("", 0, inmost))
+
+    def enter(part: str) -> None:
+        nonlocal inmost
+        elements.append((inmost, part))
+        inmost = len(elements) - 1
+        cliff()
 
     def close(to: int) -> None:
         """Closes the open elements down to a depth."""
-        nonlocal apart, links, articles
+        nonlocal apart, links, articles, inmost
         while len(stack) > to:
             name, part = stack.pop()
             if name in BLOCKS and not apart:
                 flush()
             links -= name == "a"
             if part:
-                articles -= part == "article"
+                articles -= part != "apart" and part != "doubt"
                 apart -= part == "apart"
+                flush()
                 cliff()
+                inmost = elements[inmost][0]
 
     at, n = 0, len(page)
     while at < n:
@@ -175,36 +199,83 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
         if name in VOID or tag["rest"].endswith("/>") and name not in BLOCKS:
             continue
         part = part_of(name, tag["rest"], articles > 0)
-        if part == "apart":
+        if apart and part != "apart":
+            part = ""
+        if part:
             flush()
-            apart += 1
-            cliff()
-        elif part == "article":
-            articles += 1
-            marked |= not apart
-            cliff()
+            apart += part == "apart"
+            articles += part != "apart" and part != "doubt"
+            enter(part)
         links += name == "a"
         stack.append((name, part))
     flush()
-    return lines, marked
+    return lines, elements
 
 
-def kept_blocks(page: str | None) -> list[str]:
-    """The lines between each surge and its dive."""
-    lines, marked = lines_of(page or "")
-    lengths = [(len(text) if inside else 0) if marked else outside for text, outside, inside in lines]
+def measured(page: str) -> tuple[list[tuple[str, int]], bool]:
+    """(text, length) per line that is part of the page's text, empty lines included; whether an article limits them."""
+    lines, elements = lines_of(page)
+    held = [0] * len(elements)  # characters outside links
+    for _, outside, at in lines:
+        held[at] += outside
+    holds = [part == "article" for _, part in elements]
+    for k in range(len(elements) - 1, 0, -1):
+        around = elements[k][0]
+        held[around] += held[k]
+        holds[around] |= holds[k]
+    # From the outside in: whether an element is left out, doubted, in a marked article, in an article by any sign.
+    gone, doubted, sure, inside = ([False] * len(elements) for _ in range(4))
+    for k, (around, part) in enumerate(elements[1:], 1):
+        doubt = part.startswith("doubt")
+        gone[k] = gone[around] or part == "apart" or doubt and not holds[k] and 2 * held[k] <= held[0]
+        doubted[k] = doubted[around] or doubt
+        sure[k] = sure[around] or part in ("article", "card") and not doubted[k]
+        inside[k] = inside[around] or part not in ("apart", "doubt")
+    marked = any(sure)
+
+    def windows(limited: bool) -> tuple[list[tuple[str, int, bool]], list[int]]:
+        rows: list[tuple[str, int, bool]] = []
+        for text, outside, at in lines:
+            part = elements[at][1]
+            if text:
+                if not gone[at]:
+                    rows.append((text, outside, inside[at]))
+            elif gone[at] or part in ("article", "card") or limited and part.endswith("named"):
+                rows.extend([("", 0, inside[at])] * WINDOW)
+        return rows, sums_of([outside for _, outside, _ in rows])
+
+    rows, sums = windows(marked)
+    if not marked and any(inside):
+        most = max(sums, default=0)
+        highest = any(x == most and all(within or not outside for _, outside, within in rows[i : i + WINDOW]) for i, x in enumerate(sums))
+        marked = highest and 2 * sum(x for _, x, within in rows if within) >= sum(x for _, x, _ in rows)
+        rows = windows(True)[0] if marked else rows
+    return [(text, (len(text) if within else 0) if marked else outside) for text, outside, within in rows], marked
+
+
+def sums_of(lengths: list[int]) -> list[int]:
+    """Per line the lengths of the window that begins there."""
     running = [0]
     for x in lengths:
         running.append(running[-1] + x)
-    sums = [running[min(i + WINDOW, len(lengths))] - running[i] for i in range(len(lengths))]
+    return [running[min(i + WINDOW, len(lengths))] - running[i] for i in range(len(lengths))]
+
+
+def kept_blocks(page: str | None) -> list[str]:
+    """The lines between each surge and its dive, and between kept ones."""
+    lines, marked = measured(page or "")
+    sums = sums_of([length for _, length in lines])
     threshold = 0 if marked else min(SURGE, max(sums, default=0) // 2)
     kept: list[str] = []
-    rising: list[str] = []  # lines since the last dive
+    rising: list[str] = []  # lines since the last kept stretch, or from the last dive before the first
     surged = False
-    for (text, _, _), total in zip(lines, sums):
+    for (text, _), total in zip(lines, sums):
         if total == 0:
-            kept += rising if surged else []
-            rising, surged = [], False
+            if surged:
+                kept += rising
+            if surged or not kept:
+                rising = []
+            surged = False
         else:
             surged |= total > threshold
             if text:

@@ -176,3 +176,26 @@ def test_bpe_blocks(monkeypatch):
     rows = dict(byte_bpe.block_rows(["a b a", "", "b"], public_tokenizers.PATTERN, 4))
     counts, flat = byte_bpe.unpack(rows[byte_bpe.DOCS])
     assert counts.tolist() == [3, 0, 1] and len(set(flat.tolist())) == 4
+
+
+BODY = ["A first paragraph that is long enough to stand for a whole article body here.", "Short.", "A second paragraph, and it is about as long as the first one of this body was."]
+INNER = "".join(f"<p>{x}</p>" for x in BODY)
+
+
+@pytest.mark.parametrize("page", [
+    f"<div id='page' class='has-sidebar'><article>{INNER}</article></div>",
+    f"<div class='layout-rail'><div class='search-results'><main>{INNER}</main></div><div class='sidebar'>More</div></div>",
+    f"<div class='search-results'>{INNER}</div><div class='menu'>Home</div>",
+    f"<div class='post has-comments'>{INNER}</div>",
+    f"<div class='post-date'>1 May</div>{INNER}",
+    f"<div class='post-lead'><p>{BODY[0]}</p></div>" + "".join(f"<p>{x}</p>" for x in BODY[1:]),
+    f"<p>{BODY[0]}</p><div class='ad'>Buy</div><p>Short.</p><div class='ad'>Buy</div><p>{BODY[2]}</p>",
+    f"<main>{INNER}</main><div id='comments'><article class='comment-body'>I have read this, and it is good.</article></div>",
+    f"<div class='related'><article>Teaser</article></div>{INNER}",
+])
+def test_main_text_is_whole(page):
+    assert [x for x in kept_blocks(f"<html><body>{page}</body></html>") if x not in ("Teaser", "1 May")] == BODY
+
+
+def test_main_text_of_several_posts():
+    assert kept_blocks(f"<div class='post has-comments'>{INNER}</div>" * 5) == BODY * 5

@@ -465,7 +465,7 @@ NODES = POINTS + """, b AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max
 
 
 def points(spark, d):
-    return pixel_grid(spark, d).filter("row % 2 = 0 AND col % 10 = 0").select(F.col("col").cast("double").alias("x"), F.col("row").cast("double").alias("y"), F.col("b08").alias("v"))
+    return pixel_grid(spark, d).select(F.col("col").cast("double").alias("x"), F.col("row").cast("double").alias("y"), F.col("b08").alias("v"))
 
 
 @query("grid_generate", f"WITH {NODES} SELECT i::int AS i, j::int AS j, {six('gx')} AS gx, {six('gy')} AS gy FROM nodes")

@@ -476,13 +476,13 @@ def _(spark, d):
 @query("idw_surface", f"WITH {NODES}, w AS (SELECT i, j, sum(v / pow(greatest(d, 1e-10), 2)) / sum(1 / pow(greatest(d, 1e-10), 2)) AS v FROM near GROUP BY i, j) SELECT n.i::int AS i, n.j::int AS j, {six('coalesce(v, 0)')} AS value FROM nodes n LEFT JOIN w ON w.i = n.i AND w.j = n.j")
 def _(spark, d):
     p = points(spark, d)
-    return surface.inverse_distance(surface.regular_grid(p, 20), p, "v", 2.0, 9.0)
+    return surface.inverse_distance(surface.regular_grid(p, 20), p, "v", 2.0)
 
 
 @query("nearest_training_distance", f"WITH {NODES}, m AS (SELECT i, j, min(d) AS d FROM near GROUP BY i, j) SELECT n.i::int AS i, n.j::int AS j, {six('d')} AS distance FROM nodes n LEFT JOIN m ON m.i = n.i AND m.j = n.j")
 def _(spark, d):
     p = points(spark, d)
-    return surface.nearest_distance(surface.regular_grid(p, 20), p, 9.0)
+    return surface.nearest_distance(surface.regular_grid(p, 20), p)
 
 
 ZONE = "(p >= 0.2)::int + (p >= 0.4)::int + (p >= 0.6)::int + (p >= 0.8)::int"

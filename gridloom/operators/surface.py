@@ -30,16 +30,23 @@ def near_pairs(grid: DataFrame, points: DataFrame, reach: float) -> DataFrame:
     return asked.join(held, ["sx", "sy"]).withColumn("d", d).filter(F.col("d") <= reach)
 
 
-def inverse_distance(grid: DataFrame, points: DataFrame, value: str, power: float, reach: float) -> DataFrame:
-    """Weighted mean of the points within reach; 0 where there is none."""
+def all_pairs(grid: DataFrame, points: DataFrame) -> DataFrame:
+    """Nodes with all points. The nodes are a bounded set that is broadcast; the points stream past them into sums."""
+    d = F.sqrt((F.col("gx") - F.col("x")) * (F.col("gx") - F.col("x")) + (F.col("gy") - F.col("y")) * (F.col("gy") - F.col("y")))
+    return points.crossJoin(F.broadcast(grid)).withColumn("d", d)
+
+
+def inverse_distance(grid: DataFrame, points: DataFrame, value: str, power: float, reach: float | None = None) -> DataFrame:
+    """Weighted mean of all points, or of those within reach; 0 where there is none."""
     w = 1 / F.pow(F.greatest("d", F.lit(1e-10)), F.lit(power))
-    means = near_pairs(grid, points, reach).groupBy("i", "j").agg((F.sum(w * F.col(value)) / F.sum(w)).alias("value"))
+    pairs = all_pairs(grid, points) if reach is None else near_pairs(grid, points, reach)
+    means = pairs.groupBy("i", "j").agg((F.sum(w * F.col(value)) / F.sum(w)).alias("value"))
     return grid.join(means, ["i", "j"], "left").select("i", "j", F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
-def nearest_distance(grid: DataFrame, points: DataFrame, reach: float) -> DataFrame:
-    """Distance to the nearest point within reach, else NULL."""
-    least = near_pairs(grid, points, reach).groupBy("i", "j").agg(F.min("d").alias("distance"))
+def nearest_distance(grid: DataFrame, points: DataFrame) -> DataFrame:
+    """Distance to the nearest point, however far; NULL without points."""
+    least = all_pairs(grid, points).groupBy("i", "j").agg(F.min("d").alias("distance"))
     return grid.select("i", "j").join(least, ["i", "j"], "left")
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from gridloom.catalogue import QUERIES
+from gridloom.operators import surface
 from gridloom.sources.grid import pixel_grid
 
 SF = "/root/testdata/sf0.001"
@@ -25,3 +26,25 @@ def test_nodes_span_all_pixels(spark, pixels):
     got = {(r["i"], r["j"]): (r["gx"], r["gy"]) for r in QUERIES["grid_generate"](spark, SF).collect()}
     want = nodes(pixels)
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-5) for k in want)
+
+
+def test_every_point_weighs_and_every_node_has_a_nearest(spark, pixels):
+    value = {(r["i"], r["j"]): r["value"] for r in QUERIES["idw_surface"](spark, SF).collect()}
+    near = {(r["i"], r["j"]): r["distance"] for r in QUERIES["nearest_training_distance"](spark, SF).collect()}
+    assert value.keys() == near.keys() == nodes(pixels).keys()
+    for k, (x, y) in nodes(pixels).items():
+        d = np.hypot(pixels[:, 0] - x, pixels[:, 1] - y)
+        w = 1 / np.maximum(d, 1e-10) ** 2
+        assert value[k] == pytest.approx((w * pixels[:, 2]).sum() / w.sum(), abs=2e-6)
+        assert near[k] == pytest.approx(d.min(), abs=2e-6)
+
+
+def test_far_nodes_count(spark):
+    points = spark.createDataFrame([(0.0, 0.0, 1.0), (10.0, 0.0, 3.0)], "x double, y double, v double")
+    far = spark.createDataFrame([(0, 0, 5.0, 400.0), (0, 1, 13.0, 4.0)], "i int, j int, gx double, gy double")
+    assert {r["j"]: r["distance"] for r in surface.nearest_distance(far, points).collect()} == pytest.approx({0: np.hypot(5, 400), 1: 5.0})
+    got = {r["j"]: r["value"] for r in surface.inverse_distance(far, points, "v", 2.0).collect()}
+    a, b = 1 / (13**2 + 4**2), 1 / 25
+    assert got == pytest.approx({0: 2.0, 1: (a + 3 * b) / (a + b)})
+    none = surface.nearest_distance(far, points.limit(0)).collect()
+    assert [r["distance"] for r in none] == [None, None]

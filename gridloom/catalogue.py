@@ -429,14 +429,14 @@ def _(spark, d):
 r AS (SELECT *, coalesce(sum(c) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (c + 1) / 2 AS r FROM s)
 SELECT {six("(sum(p * r) - sum(p) * (sum(p) + 1) / 2) / nullif(sum(p) * (sum(c) - sum(p)), 0)")} AS auc FROM r""")
 def _(spark, d):
-    return metrics.roc_auc(scored(spark, d).withColumn("s", F.round("p", 2)), "y", "s")
+    return metrics.roc_auc(scored(spark, d).withColumn("s", F.round("p", 9)), "y", "s")
 
 
 @query("pr_curve", f"""WITH {SCORED_SQL}, s AS (SELECT floor(p * 50) / 50 AS s, sum(y) AS p, sum(1 - y) AS n FROM scored GROUP BY 1),
 c AS (SELECT s, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM s WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING))
 SELECT {six("s")} AS threshold, {six("tp / (tp + fp)")} AS "precision", {six("tp / max(tp) OVER ()")} AS recall FROM c""")
 def _(spark, d):
-    return metrics.precision_recall(scored(spark, d).withColumn("s", F.floor(F.col("p") * 50) / 50), "y", "s")
+    return metrics.precision_recall(scored(spark, d).withColumn("s", F.round("p", 9)), "y", "s")
 
 
 @query("log_loss_brier", f"WITH {SCORED_SQL} SELECT {six('avg(-(y * ln(p) + (1 - y) * ln(1 - p)))')} AS log_loss, {six('avg((p - y) * (p - y))')} AS brier FROM scored")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.plans.lineage import cut
+
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
     """Counts, and each label's row normalised."""
@@ -32,24 +34,45 @@ def binary_metrics(df: DataFrame, label: str, predicted: str) -> DataFrame:
     )
 
 
+def running(per: DataFrame, by: str, sums: list[str]) -> DataFrame:
+    """Running sums, the row's own included, over rows of rising ``by``, as ``upto_`` columns.
+
+    Rows are dealt by ranges of ``by`` with about equal counts, as many as shuffle partitions; a
+    row's sum is that of the ranges before it and of the rows before it in its own range. The
+    input is cut first, as the ranges' bounds, their sums and the windows must see the same rows.
+    """
+    per = cut(per)
+    n = int(per.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = sorted(set(per.approxQuantile(by, [k / n for k in range(1, n)], 0.1 / n))) if n > 1 else []
+    place = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x < F.col(by))) if bounds else F.lit(0)
+    dealt = per.withColumn("__range", place)
+    # One row for each range.
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("__range").agg(*[F.sum(c).alias(f"__{c}") for c in sums])
+    offsets = totals.select(F.col("__range").alias("__at"), *[F.coalesce(F.sum(f"__{c}").over(before), F.lit(0)).alias(f"__{c}") for c in sums])
+    own = Window.partitionBy("__range").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = dealt.withColumns({f"upto_{c}": F.sum(c).over(own) for c in sums})
+    joined = inside.join(F.broadcast(offsets), F.col("__range") == F.col("__at"))
+    return joined.select(*per.columns, *[(F.col(f"upto_{c}") + F.col(f"__{c}")).alias(f"upto_{c}") for c in sums])
+
+
 def curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score, falling: true and false positives so far. Counts are summed per
-    score first, so the running sum is over distinct scores."""
-    per = df.groupBy(F.col(score).alias("threshold")).agg(F.sum(label).alias("p"), F.sum(1 - F.col(label)).alias("n"))
-    w = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per.select("threshold", F.sum("p").over(w).alias("tp"), F.sum("n").over(w).alias("fp"))
+    """Per distinct score: true and false positives of it and all higher ones. Counts are summed
+    per score first, so the running sums are over distinct scores."""
+    per = df.groupBy((-F.col(score)).alias("falling")).agg(F.sum(label).alias("p"), F.sum(1 - F.col(label)).alias("n"))
+    return running(per, "falling", ["p", "n"]).select((-F.col("falling")).alias("threshold"), F.col("upto_p").alias("tp"), F.col("upto_n").alias("fp"))
 
 
 def precision_recall(df: DataFrame, label: str, score: str) -> DataFrame:
-    every = F.max("tp").over(Window.partitionBy())
-    return curve(df, label, score).select("threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), (F.col("tp") / every).alias("recall"))
+    c = curve(df, label, score)
+    every = c.agg(F.max("tp").alias("every"))
+    return c.crossJoin(F.broadcast(every)).select("threshold", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.try_divide("tp", "every").alias("recall"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area by rank sums; tied scores share their average rank."""
     per = df.groupBy(F.col(score).alias("s")).agg(F.sum(label).alias("p"), F.count("*").alias("c"))
-    before = F.coalesce(F.sum("c").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = per.withColumn("rank", before + (F.col("c") + 1) / 2)
+    ranked = running(per, "s", ["c"]).withColumn("rank", F.col("upto_c") - (F.col("c") - 1) / 2)
     sums = ranked.agg(F.sum(F.col("p") * F.col("rank")).alias("r"), F.sum("p").alias("p"), F.sum("c").alias("c"))
     p, n = F.col("p"), F.col("c") - F.col("p")
     return sums.select(F.try_divide(F.col("r") - p * (p + 1) / 2, p * n).alias("auc"))

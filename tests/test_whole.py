@@ -2,9 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from gridloom.catalogue import QUERIES
-from gridloom.operators import surface
+from gridloom.catalogue import QUERIES, scored
+from gridloom.operators import metrics, surface
 from gridloom.sources.grid import pixel_grid
 
 SF = "/root/testdata/sf0.001"
@@ -48,3 +49,27 @@ def test_far_nodes_count(spark):
     assert got == pytest.approx({0: 2.0, 1: (a + 3 * b) / (a + b)})
     none = surface.nearest_distance(far, points.limit(0)).collect()
     assert [r["distance"] for r in none] == [None, None]
+
+
+def test_curves_take_every_score(spark):
+    rows = [(r["y"], round(r["p"], 9)) for r in scored(spark, SF).select("y", "p").collect()]
+    pairs = [(a, b) for y, a in rows if y for z, b in rows if not z]
+    auc = sum(1.0 if a > b else 0.5 * (a == b) for a, b in pairs) / len(pairs)
+    assert QUERIES["roc_auc"](spark, SF).first()["auc"] == pytest.approx(auc, abs=1e-6)
+    positives = sum(y for y, _ in rows)
+    above = {t: [y for y, p in rows if p >= t] for t in {p for _, p in rows}}
+    want = sorted((t, sum(a) / len(a), sum(a) / positives) for t, a in above.items())
+    got = sorted((r["threshold"], r["precision"], r["recall"]) for r in QUERIES["pr_curve"](spark, SF).collect())
+    assert len(want) > 51 and len(got) == len(want)
+    assert np.allclose(sorted(got, key=lambda x: (x[2], x[0])), sorted(want, key=lambda x: (round(x[2], 6), x[0])), atol=2e-6)
+
+
+def test_running_sums_over_ranges(spark):
+    rows = [(float(k * k % 997) / 7, k) for k in range(997)]
+    per = spark.createDataFrame(rows, "s double, c long").groupBy("s").agg(F.sum("c").alias("c"))
+    got = {r["s"]: r["upto_c"] for r in metrics.running(per, "s", ["c"]).collect()}
+    for s, upto in got.items():
+        assert upto == sum(c for x, c in rows if x <= s)
+    assert len(got) == len({s for s, _ in rows})
+    assert metrics.running(per.limit(0), "s", ["c"]).count() == 0
+    assert metrics.roc_auc(spark.createDataFrame([(1, None), (0, 0.5)], "y int, s double"), "y", "s").first()["auc"] == 0

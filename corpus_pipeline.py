@@ -2,9 +2,10 @@
 sources are mixed to their weights, and what is left is encoded.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows it gets; all but the last
-return the columns of their input. Defined results: a null id is kept by every stage; rows
-that repeat one id are one document from the second stage on (of unequal texts the one with
-the smallest hash); an empty table stays empty; extra columns are carried along.
+return the columns of their input. Defined results: rows without an id are documents as
+others are, each its own unless their texts are near copies; rows that repeat one id and one
+text are one document from the second stage on, unequal texts of one id are as many; an
+empty table stays empty; extra columns are carried along.
 """
 
 from __future__ import annotations
@@ -27,18 +28,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component, and all without an id."""
+    """One document of each component, that with the smallest id; among equal ids that of the smallest digest."""
+    # The same for copies of one id and text only; no part is null, and rows without an id come last.
+    key = F.struct(
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("id"),
+        F.coalesce(F.md5("text"), F.lit("")).alias("digest"),
+    )
+    keyed = docs.withColumn("__key", key)
     heads = (
-        jaccard_components(docs, percent=80)
-        .filter(F.col("doc_id") == F.col("component_id"))
-        .groupBy(F.col("doc_id").alias("__head")).agg(F.count("*").alias("__rows"))
+        jaccard_components(keyed, percent=80, id_col="__key")
+        .filter(F.col("__key") == F.col("component_id"))
+        .groupBy(F.col("__key").alias("__head")).agg(F.count("*").alias("__rows"), F.max("n_shingles").alias("__n"))
     )
-    kept = docs.join(heads, docs["doc_id"] == heads["__head"])
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    repeated = kept.filter(F.col("__rows") > 1).withColumn("__k", F.row_number().over(first)).filter("__k = 1")
-    parts = [kept.filter(F.col("__rows") == 1), repeated, docs.filter(F.col("doc_id").isNull())]
-    one, more, none = (x.select(*docs.columns) for x in parts)
-    return one.unionByName(more).unionByName(none)
+    # Rows without words are linked with nothing; without an id, too, each is a document of its own.
+    several = (F.col("__rows") > 1) & ~(F.col("__head.no_id") & (F.col("__n") == 0))
+    kept = keyed.join(heads, F.col("__key") == F.col("__head"))
+    alone = kept.filter(~several).select(*docs.columns)
+    one = kept.filter(several).groupBy("__key").agg(F.first(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    return alone.unionByName(one)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,3 +94,14 @@ def test_stages_bear_empty_tables(spark, tmp_path):
     sf = write_labels(spark, tmp_path, [(1, 0)])
     for _, f in corpus_pipeline.STAGES:
         assert f(spark, empty(spark), sf).count() == 0
+
+
+def test_one_row_of_each_component(spark, tmp_path):
+    a, b, c, d = (" ".join(f"{w}{k}" for k in range(30)) for w in "abcd")
+    rows = [(5, a), (5, b), (3, b), (None, c), (None, c), (None, c + " more"), (6, d), (None, d), (6, d), (8, a + " " + c), (None, None), (None, None), (None, d[::-1])]
+    got = stage("n-gram")(spark, documents(spark, rows), str(tmp_path)).select("doc_id", "text").collect()
+    want = [(5, a), (3, b), (6, d), (8, a + " " + c), (None, None), (None, None), (None, d[::-1])]
+    left = [tuple(r) for r in got]
+    assert all(w in left for w in want)
+    rest = [x for x in left if x not in want]
+    assert len(left) == len(want) + 1 and len(rest) == 1 and rest[0] in ((None, c), (None, c + " more"))

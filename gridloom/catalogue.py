@@ -223,6 +223,20 @@ def _(spark, d):
     return focal.topographic_position(g, "elevation", 3, size["r"] + 1, size["c"] + 1).select("row", "col", "tpi")
 
 
+# The wider disks have 253 and 709 cells; a self-join in SQL is too slow for them.
+def _tpi(radius):
+    def tpi(spark, d):
+        g = pixel_grid(spark, d)
+        size = g.agg(F.max("row").alias("r"), F.max("col").alias("c")).first()
+        return focal.topographic_position(g, "elevation", radius, size["r"] + 1, size["c"] + 1).select("row", "col", "tpi")
+
+    query(f"tpi_r{radius}")(tpi)
+
+
+for _radius in (9, 15):
+    _tpi(_radius)
+
+
 @query("erode_dilate", f"""WITH {PX}, ext AS (SELECT max("row") AS mr, max(col) AS mc FROM px), m AS (SELECT "row", col, (scl IN (8, 9, 10, 3))::int AS m FROM px)
 SELECT a."row", a.col, min(b.m)::int AS eroded, max(b.m)::int AS dilated FROM m a, ext, (SELECT unnest([-1, 0, 1]) AS dr) x, (SELECT unnest([-1, 0, 1]) AS dc) y, m b
 WHERE b."row" = greatest(least(a."row" + dr, mr), 0) AND b.col = greatest(least(a.col + dc, mc), 0) GROUP BY a."row", a.col""")

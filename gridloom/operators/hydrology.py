@@ -20,11 +20,12 @@ def fill_pits(df: DataFrame, value: str, radius: int, rows: int, cols: int) -> D
     return df.join(out, ["row", "col"]).withColumn("filled", F.greatest(value, "closed")).drop("closed")
 
 
-def flow_accumulation(df: DataFrame, value: str = "elevation", longest: int = 1 << 20) -> DataFrame:
+def flow_accumulation(df: DataFrame, value: str = "elevation") -> DataFrame:
     """Cells that drain through each cell, itself included, and their log10.
 
     Path doubling: with the sums over upstream paths shorter than d and each cell's d-th cell
-    downstream, one join gives both for 2 d. Rounds follow the log of the longest path.
+    downstream, one join gives both for 2 d. Rounds follow the log of the longest path, to its end:
+    each step falls strictly, so no path meets itself.
     """
     fall = flow_direction(df, value)
     move = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in STEPS])
@@ -33,15 +34,13 @@ def flow_accumulation(df: DataFrame, value: str = "elevation", longest: int = 1
         "row", "col", F.lit(1).cast("long").alias("cells"),
         F.when(F.col("direction") >= 0, F.struct((F.col("row") + step["r"]).alias("row"), (F.col("col") + step["c"]).alias("col"))).alias("to"),
     ))
-    length = 1
-    while length < longest and not state.filter(F.col("to").isNotNull()).isEmpty():
+    while not state.filter(F.col("to").isNotNull()).isEmpty():
         arriving = state.filter(F.col("to").isNotNull()).groupBy(F.col("to.row").alias("row"), F.col("to.col").alias("col")).agg(F.sum("cells").alias("more"))
         ahead = state.select(F.struct("row", "col").alias("to"), F.col("to").alias("next"))
         state = cut(
             state.join(arriving, ["row", "col"], "left").join(ahead, "to", "left")
             .select("row", "col", (F.col("cells") + F.coalesce("more", F.lit(0))).alias("cells"), F.col("next").alias("to"))
         )
-        length *= 2
     return state.select("row", "col", "cells", F.log10(F.col("cells") + 1.0).alias("accumulation"))
 
 

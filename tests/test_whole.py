@@ -1,11 +1,13 @@
 """Grid queries do the whole job: each against a brute-force version over every pixel."""
 
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.catalogue import QUERIES, scored
-from gridloom.operators import metrics, surface
+from gridloom.operators import hydrology, metrics, surface
 from gridloom.sources.grid import pixel_grid
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +75,21 @@ def test_running_sums_over_ranges(spark):
     assert len(got) == len({s for s, _ in rows})
     assert metrics.running(per.limit(0), "s", ["c"]).count() == 0
     assert metrics.roc_auc(spark.createDataFrame([(1, None), (0, 0.5)], "y int, s double"), "y", "s").first()["auc"] == 0
+
+
+def test_flow_has_no_longest_path():
+    assert list(inspect.signature(hydrology.flow_accumulation).parameters) == ["df", "value"]
+
+
+@pytest.mark.parametrize("radius", [9, 15])
+def test_wide_topographic_position(spark, radius):
+    z = np.full((5, 51), np.nan)
+    for r in pixel_grid(spark, SF).select("row", "col", "elevation").collect():
+        z[r["row"], r["col"]] = r["elevation"]
+    disk = [(a, b) for a in range(-radius, radius + 1) for b in range(-radius, radius + 1) if a * a + b * b <= radius * radius]
+    got = {(r["row"], r["col"]): r["tpi"] for r in QUERIES[f"tpi_r{radius}"](spark, SF).collect()}
+    high, wide = max(r for r, _ in got), max(c for _, c in got)
+    assert len(got) == np.isfinite(z).sum()
+    for (r, c), v in got.items():
+        around = [z[min(max(r + a, 0), high), min(max(c + b, 0), wide)] for a, b in disk]
+        assert v == pytest.approx(z[r, c] - np.nanmean(around), abs=2e-6)

@@ -439,14 +439,14 @@ def _(spark, d):
     return metrics.binary_metrics(scored(spark, d), "y", "z")
 
 
-@query("roc_auc", f"""WITH {SCORED_SQL}, s AS (SELECT round(p, 2) AS s, sum(y) AS p, count(*) AS c FROM scored GROUP BY 1),
+@query("roc_auc", f"""WITH {SCORED_SQL}, s AS (SELECT round(p, 9) AS s, sum(y) AS p, count(*) AS c FROM scored GROUP BY 1),
 r AS (SELECT *, coalesce(sum(c) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (c + 1) / 2 AS r FROM s)
 SELECT {six("(sum(p * r) - sum(p) * (sum(p) + 1) / 2) / nullif(sum(p) * (sum(c) - sum(p)), 0)")} AS auc FROM r""")
 def _(spark, d):
     return metrics.roc_auc(scored(spark, d).withColumn("s", F.round("p", 9)), "y", "s")
 
 
-@query("pr_curve", f"""WITH {SCORED_SQL}, s AS (SELECT floor(p * 50) / 50 AS s, sum(y) AS p, sum(1 - y) AS n FROM scored GROUP BY 1),
+@query("pr_curve", f"""WITH {SCORED_SQL}, s AS (SELECT round(p, 9) AS s, sum(y) AS p, sum(1 - y) AS n FROM scored GROUP BY 1),
 c AS (SELECT s, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM s WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING))
 SELECT {six("s")} AS threshold, {six("tp / (tp + fp)")} AS "precision", {six("tp / max(tp) OVER ()")} AS recall FROM c""")
 def _(spark, d):
@@ -472,10 +472,10 @@ def _(spark, d):
 
 # Surfaces ----------------------------------------------------------------------------
 
-POINTS = PX + """, pts AS (SELECT col::double AS x, "row"::double AS y, b08 AS v FROM px WHERE "row" % 2 = 0 AND col % 10 = 0)"""
+POINTS = PX + """, pts AS (SELECT col::double AS x, "row"::double AS y, b08 AS v FROM px)"""
 NODES = POINTS + """, b AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM pts),
   nodes AS (SELECT i, j, x0 - 0.1::double * (x1 - x0) + j * (1.2::double * (x1 - x0) / 19) AS gx, y0 - 0.1::double * (y1 - y0) + i * (1.2::double * (y1 - y0) / 19) AS gy FROM b, (SELECT unnest(range(0, 20)) AS i) p, (SELECT unnest(range(0, 20)) AS j) q),
-  near AS (SELECT i, j, v, sqrt((gx - x) * (gx - x) + (gy - y) * (gy - y)) AS d FROM nodes, pts WHERE sqrt((gx - x) * (gx - x) + (gy - y) * (gy - y)) <= 9)"""
+  near AS (SELECT i, j, v, sqrt((gx - x) * (gx - x) + (gy - y) * (gy - y)) AS d FROM nodes, pts)"""
 
 
 def points(spark, d):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.bandmath import INDICES, RANGES, SENSORS, band_math, spectral_index
 from gridloom.operators import features, focal, hydrology, masks, metrics, models, surface, terrain, texture
+from gridloom.plans.quantiles import exact_quantiles
 from gridloom.sources.grid import BANDS, file_type, pixel_grid, table
 from gridloom.streaming.seasons import season_of
 
@@ -54,7 +55,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = masks.with_stats(pixel_grid(spark, sf_dir), m=F.percentile("elevation", 0.5))
+    g = pixel_grid(spark, sf_dir)
+    d = g.withColumn("m", F.lit(exact_quantiles(g, {"m": ("elevation", 0.5)})["m"]))
     logit = 8 * (F.col("b08") - F.col("b04")) / (F.col("b08") + F.col("b04")) + F.col("elevation") / 1000.0 - 8
     d = d.withColumns({"p": 1 / (1 + F.exp(-logit)), "y": (F.col("elevation") > F.col("m")).cast("int")})
     return d.withColumn("z", (F.col("p") >= 0.5).cast("int"))
@@ -109,16 +111,27 @@ def _(spark, d):
     return pixel_grid(spark, d).select("row", "col", spectral_index("EVI", clip=True).alias("value"))
 
 
-@query("dos_correction", f"""WITH {PX}, s AS (SELECT quantile_cont(b04, 0.01) AS p4, quantile_cont(b08, 0.01) AS p8 FROM px)
-SELECT "row", col, {six("greatest(least(greatest(b04 - p4, 0.0), 1.0), 0.0) * 10000")} AS b04, {six("greatest(least(greatest(b08 - p8, 0.0), 1.0), 0.0) * 10000")} AS b08 FROM px, s""")
-def _(spark, d):
-    return masks.dark_object(pixel_grid(spark, d), ["b04", "b08"]).select("row", "col", "b04", "b08")
+_dark = lambda b: f"cast(trunc(greatest(least(greatest({b} * 10000 - p_{b}, 0.0::double) / 10000, 1.0::double), 0.0::double) * 10000) AS integer) AS {b}"
+_valid = lambda b, hi: f"{b} * 10000 > 0 AND {b} * 10000 < {hi}"
+
+
+def numbers(spark, d, bands):
+    """The grid with some bands as digital numbers."""
+    return pixel_grid(spark, d).withColumns({b: F.col(b) * 10000 for b in bands})
 
 
-@query("sen2cor_sim", f"""WITH {PX}, s AS (SELECT quantile_cont(b02, 0.01) AS p FROM px)
-SELECT "row", col, cast(trunc(greatest(least(greatest(b02 - p, 0.0), 1.0), 0.0) * 10000) AS integer) AS b02 FROM px, s""")
+for _name in ("dos", "simple", "flaash", "6s", "atcor"):
+
+    @query("dos_correction" if _name == "dos" else f"correction_{_name}", f"""WITH {PX}, s AS (SELECT {", ".join(f"quantile_cont({b} * 10000, 0.01) FILTER ({_valid(b, 32767)}) AS p_{b}, count(*) FILTER ({_valid(b, 32767)}) AS n_{b}" for b in ("b04", "b08"))} FROM px)
+SELECT "row", col, {", ".join(f"CASE WHEN n_{b} > 100 THEN {_dark(b).rsplit(' AS ', 1)[0]} ELSE trunc({b} * 10000)::integer END AS {b}" for b in ("b04", "b08"))} FROM px, s""")
+    def _(spark, d, name=_name):
+        return masks.CORRECTIONS[name](numbers(spark, d, ["b04", "b08"]), ["b04", "b08"]).select("row", "col", "b04", "b08")
+
+
+@query("sen2cor_sim", f"""WITH {PX}, s AS (SELECT quantile_cont(b02 * 10000 * 0.0001::double, 0.01) FILTER ({_valid("b02", 10000)}) AS p, count(*) FILTER ({_valid("b02", 10000)}) AS n FROM px)
+SELECT "row", col, cast(trunc(greatest(least(CASE WHEN n > 1000 THEN greatest(b02 * 10000 * 0.0001::double - p, 0.0::double) ELSE b02 * 10000 * 0.0001::double END, 1.0::double), 0.0::double) * 10000) AS integer) AS b02 FROM px, s""")
 def _(spark, d):
-    return masks.dark_object(pixel_grid(spark, d), ["b02"]).select("row", "col", F.col("b02").cast("int").alias("b02"))
+    return masks.sen2cor_like(numbers(spark, d, ["b02"]), ["b02"]).select("row", "col", "b02")
 
 
 @query("scl_mask", f'WITH {PX} SELECT "row", col, scl IN (8, 9, 10, 3) AS masked, scl IN (8, 9, 10, 3, 1) AS masked_conservative FROM px')
@@ -126,20 +139,38 @@ def _(spark, d):
     return pixel_grid(spark, d).select("row", "col", masks.scene_mask(F.col("scl")).alias("masked"), masks.scene_mask(F.col("scl"), True).alias("masked_conservative"))
 
 
-@query("threshold_mask", f"""WITH {PX}, b AS (SELECT *, (b02 + b03 + b04) / 3 AS bright FROM px),
-s AS (SELECT quantile_cont(bright, 0.95) AS p95, quantile_cont(b08, 0.05) AS p5 FROM b)
-SELECT "row", col, bright > p95 * 0.9::double AS cloud, b08 < p5 * 1.05::double AS shadow FROM b, s""")
+VALID = "b02 > 0 AND b03 > 0 AND b04 > 0 AND b08 > 0"
+
+
+@query("threshold_mask", f"""WITH {PX}, b AS (SELECT *, {VALID} AS ok, (b02 + b03 + b04 + b08) / 4 AS bright FROM px),
+s AS (SELECT count(*) AS n, quantile_cont(bright, 0.95) AS hi, quantile_cont(bright, 0.05) AS lo FROM b WHERE ok)
+SELECT "row", col, ok AND n > 1000 AND bright > hi * 0.1::double AS cloud, ok AND n > 1000 AND bright < lo * (1 + 0.05::double) AS shadow FROM b, s""")
 def _(spark, d):
-    return masks.threshold_mask(pixel_grid(spark, d), ["b02", "b03", "b04"], "b08").select("row", "col", "cloud", "shadow")
+    return masks.threshold_mask(pixel_grid(spark, d), "b02", "b03", "b04", "b08").select("row", "col", "cloud", "shadow")
 
 
-@query("spectral_mask", f"""WITH {PX}, b AS (SELECT *, (b02 + b03 + b04) / 3 AS v FROM px),
-s AS (SELECT quantile_cont(v, 0.95) AS p95, quantile_cont(b02, 0.9) AS p90, quantile_cont(v, 0.1) AS p10, quantile_cont(b08, 0.2) AS p20 FROM b)
-SELECT "row", col, (b03 - b11) / nullif(b03 + b11, 0) > 0.4 OR v > 0.8 * p95 OR b02 > p90 AS cloud, v < p10 AND b08 < p20 AS shadow FROM b, s""")
+SPECTRAL = f"""b AS (SELECT *, {VALID} AS ok, (b02 + b03 + b04 + b08) / 4 AS bright, (b02 + b03 + b04) / 3 AS v FROM px),
+s AS (SELECT count(*) AS n, quantile_cont(bright, 0.95) AS p95, quantile_cont(b02, 0.9) AS p90, quantile_cont(v, 0.1) AS p10, quantile_cont(b08, 0.2) AS p20 FROM b WHERE ok),
+spectral AS (SELECT "row", col, ok AND n > 1000 AND (coalesce((b03 - b11) / nullif(b03 + b11, 0), 0) > 0.4::double OR bright > p95 * 0.8::double OR b02 > p90) AS cloud, ok AND n > 1000 AND v < p10 AND b08 < p20 AS shadow FROM b, s)"""
+
+
+@query("spectral_mask", f"WITH {PX}, {SPECTRAL} SELECT * FROM spectral")
 def _(spark, d):
     return masks.spectral_mask(pixel_grid(spark, d), "b02", "b03", "b04", "b08", "b11").select("row", "col", "cloud", "shadow")
 
 
+@query("cluster_mask", f"""WITH {PX}, c AS (SELECT scl, count(*) AS n, (avg(b02) + avg(b03) + avg(b04) + avg(b08)) / 4 AS b FROM px GROUP BY scl HAVING count(*) > 100),
+k AS (SELECT scl, row_number() OVER (ORDER BY b DESC, scl DESC) <= 2 AND b > avg(b) OVER () * 1.2::double AS cloud, row_number() OVER (ORDER BY b, scl) <= 2 AND b < avg(b) OVER () * 0.8::double AS shadow FROM c)
+SELECT "row", col, coalesce(cloud, false) AS cloud, coalesce(shadow, false) AS shadow FROM px LEFT JOIN k USING (scl)""")
+def _(spark, d):
+    return masks.cluster_mask(pixel_grid(spark, d), "scl", ["b02", "b03", "b04", "b08"]).select("row", "col", "cloud", "shadow")
+
+
+@query("kmeans_mask")
+def _(spark, d):
+    return masks.kmeans_mask(pixel_grid(spark, d), ["b02", "b03", "b04", "b08"]).select("row", "col", "cloud", "shadow")
+
+
 @query("mask_coverage", f"""WITH {PX}, c AS (SELECT avg((scl IN (8, 9, 10))::int) * 100 AS c, avg((scl = 3)::int) * 100 AS s, avg((scl IN (8, 9, 10, 3))::int) * 100 AS m FROM px)
 SELECT {six("c")} AS cloud_pct, {six("s")} AS shadow_pct, {six("m")} AS masked_pct, {six("100 - m")} AS usable_pct,
 CASE WHEN m < 5 THEN 'excellent' WHEN m < 15 THEN 'good' WHEN m < 30 THEN 'fair' ELSE 'poor' END AS rating FROM c""")

@@ -7,6 +7,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.plans.quantiles import exact_quantiles
+
 
 def stack(grids: dict[str, DataFrame]) -> DataFrame:
     """Aligned grids (row, col, value) side by side: inner equi-joins on the cell."""
@@ -18,22 +20,23 @@ def stack(grids: dict[str, DataFrame]) -> DataFrame:
 
 
 def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    medians = df.agg(*[F.percentile(c, 0.5).alias(f"__{c}") for c in columns])
-    filled = df.crossJoin(F.broadcast(medians)).withColumns({c: F.coalesce(c, f"__{c}") for c in columns})
-    return filled.drop(*[f"__{c}" for c in columns])
+    medians = exact_quantiles(df, {c: (c, 0.5) for c in columns})
+    return df.withColumns({c: F.coalesce(c, F.lit(medians[c])) for c in columns})
 
 
 def scale(df: DataFrame, columns: list[str], method: str) -> DataFrame:
     """standard (population deviation), robust (median and quartiles) or minmax, fitted on complete rows."""
-    centre, spread = {
-        "standard": (F.avg, F.stddev_pop),
-        "robust": (lambda c: F.percentile(c, 0.5), lambda c: F.percentile(c, 0.75) - F.percentile(c, 0.25)),
-        "minmax": (F.min, lambda c: F.max(c) - F.min(c)),
-    }[method]
-    fitted = df.dropna(subset=columns).agg(*[x for c in columns for x in (centre(c).alias(f"__c_{c}"), spread(c).alias(f"__s_{c}"))])
+    complete = df.dropna(subset=columns)
+    if method == "robust":
+        q = exact_quantiles(complete, {f"{c}:{p}": (c, p) for c in columns for p in (0.25, 0.5, 0.75)})
+        zero = lambda x: 0.0 if x is None else x
+        fitted = {c: (q[f"{c}:0.5"], zero(q[f"{c}:0.75"]) - zero(q[f"{c}:0.25"])) for c in columns}
+        return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s or 1.0) for c, (m, s) in fitted.items()})
+    centre, spread = {"standard": (F.avg, F.stddev_pop), "minmax": (F.min, lambda c: F.max(c) - F.min(c))}[method]
+    one = complete.agg(*[x for c in columns for x in (centre(c).alias(f"__c_{c}"), spread(c).alias(f"__s_{c}"))])
     # A constant column keeps its centred values.
     scaled = {c: (F.col(c) - F.col(f"__c_{c}")) / F.when(F.col(f"__s_{c}") != 0, F.col(f"__s_{c}")).otherwise(1.0) for c in columns}
-    return df.crossJoin(F.broadcast(fitted)).withColumns(scaled).drop(*[x for c in columns for x in (f"__c_{c}", f"__s_{c}")])
+    return df.crossJoin(F.broadcast(one)).withColumns(scaled).drop(*[x for c in columns for x in (f"__c_{c}", f"__s_{c}")])
 
 
 def unpivot(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -41,10 +44,12 @@ def unpivot(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def feature_quality(df: DataFrame, columns: list[str]) -> DataFrame:
+    medians = exact_quantiles(df, {c: (c, 0.5) for c in columns})
+    middle = F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(medians[c]).cast("double"))])
     return unpivot(df, columns).groupBy("feature").agg(
         F.count("value").alias("n_valid"), (F.count("value") * 100 / F.count("*")).alias("coverage_pct"), F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), F.percentile("value", 0.5).alias("median"),
-    )
+        F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
+    ).withColumn("median", middle[F.col("feature")])
 
 
 def variance_select(df: DataFrame, columns: list[str], threshold: float) -> DataFrame:
@@ -77,7 +82,22 @@ def rank_importance(df: DataFrame) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float, seed: int = 42) -> DataFrame:
-    """Marks a fixed share of each label's rows as test, in an order by hash."""
-    order = Window.partitionBy(label).orderBy(F.md5(F.concat_ws(":", F.lit(seed), key)))
-    n = F.count("*").over(Window.partitionBy(label))
-    return df.withColumn("is_test", F.row_number().over(order) <= F.floor(n * test_share))
+    """Marks a fixed share of each label's rows as test, those first in an order by hash.
+
+    Rows are counted by label and the hash's first four digits; running sums over these at most
+    65,536 ranges name the one where a label's share ends, and only its rows are put in order.
+    """
+    hashed = df.withColumn("__hash", F.md5(F.concat_ws(":", F.lit(seed), key))).withColumn("__range", F.substring("__hash", 1, 4))
+    ranges = hashed.groupBy(F.col(label).alias("__label"), F.col("__range").alias("__at")).agg(F.count("*").alias("__n"))
+    by_label = Window.partitionBy("__label")
+    counted = ranges.withColumns({
+        "__upto": F.sum("__n").over(by_label.orderBy("__at").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "__take": F.floor(F.sum("__n").over(by_label) * test_share),
+    })
+    same = F.col(label).eqNullSafe(F.col("__label")) & (F.col("__range") == F.col("__at"))
+    joined = hashed.join(counted, same)
+    whole = joined.filter((F.col("__upto") <= F.col("__take")) | (F.col("__upto") - F.col("__n") >= F.col("__take"))).withColumn("is_test", F.col("__upto") <= F.col("__take"))
+    split = joined.filter((F.col("__upto") > F.col("__take")) & (F.col("__upto") - F.col("__n") < F.col("__take")))
+    place = F.row_number().over(Window.partitionBy("__label").orderBy("__hash"))
+    part = split.withColumn("is_test", F.col("__upto") - F.col("__n") + place <= F.col("__take"))
+    return whole.select(*df.columns, "is_test").unionByName(part.select(*df.columns, "is_test"))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.plans.quantiles import exact_quantiles
+
 # Zone thresholds by kind of map.
 ZONES = {"landslide": [0.2, 0.4, 0.6, 0.8], "mineral": [0.25, 0.5, 0.75], "generic": [0.33, 0.67]}
 
@@ -61,10 +63,9 @@ def zone_stats(df: DataFrame, score: str, thresholds: list[float]) -> DataFrame:
 
 
 def surface_stats(df: DataFrame, score: str) -> DataFrame:
-    return df.agg(
-        F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"), F.min(score).alias("min"), F.max(score).alias("max"),
-        *[F.percentile(score, q).alias(n) for q, n in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))],
-    )
+    quartiles = exact_quantiles(df, {"q25": (score, 0.25), "median": (score, 0.5), "q75": (score, 0.75)})
+    one = df.agg(F.avg(score).alias("mean"), F.stddev_pop(score).alias("std"), F.min(score).alias("min"), F.max(score).alias("max"))
+    return one.withColumns({n: F.lit(x).cast("double") for n, x in quartiles.items()})
 
 
 def confidence(probabilities: Column) -> dict[str, Column]:

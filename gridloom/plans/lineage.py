@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame
 def cut(df: DataFrame) -> DataFrame:
     """``checkpoint()`` into the folder the session names in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (as in tests) gets a folder of its own.
+    Only a local session without that setting (as in tests) gets a folder of its own; on a
+    cluster, where executors share no local folder, its lack is an error.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gridloom-checkpoint-"))
     return df.checkpoint(eager=True)

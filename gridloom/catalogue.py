@@ -250,22 +250,65 @@ SELECT a."row", a.col, {six("any_value(a.elevation) - avg(b.elevation)")} AS tpi
 WHERE b."row" = greatest(least(a."row" + dr, mr), 0) AND b.col = greatest(least(a.col + dc, mc), 0) GROUP BY a."row", a.col""")
 def _(spark, d):
     g = pixel_grid(spark, d)
-    size = g.agg(F.max("row").alias("r"), F.max("col").alias("c")).first()
-    return focal.topographic_position(g, "elevation", 3, size["r"] + 1, size["c"] + 1).select("row", "col", "tpi")
+    return focal.topographic_position(g, "elevation", 3, *size_of(g)).select("row", "col", "tpi")
 
 
-# The wider disks have 253 and 709 cells; a self-join in SQL is too slow for them.
-def _tpi(radius):
-    def tpi(spark, d):
-        g = pixel_grid(spark, d)
-        size = g.agg(F.max("row").alias("r"), F.max("col").alias("c")).first()
-        return focal.topographic_position(g, "elevation", radius, size["r"] + 1, size["c"] + 1).select("row", "col", "tpi")
+EXT_SQL = 'ext AS (SELECT max("row") AS mr, max(col) AS mc FROM px)'
 
-    query(f"tpi_r{radius}")(tpi)
+
+def disk_sql(radius: int) -> str:
+    return f"""o AS (SELECT dr, dc FROM (SELECT unnest(range(-{radius}, {radius + 1})) AS dr) x, (SELECT unnest(range(-{radius}, {radius + 1})) AS dc) y WHERE dr * dr + dc * dc <= {radius * radius}),
+spots AS MATERIALIZED (SELECT a."row", a.col, a.elevation AS z, greatest(least(a."row" + dr, mr), 0) AS nr, greatest(least(a.col + dc, mc), 0) AS nc FROM px a, ext, o),
+near AS (SELECT spots."row", spots.col, z, b.elevation AS v FROM spots JOIN px b ON b."row" = nr AND b.col = nc)"""
 
 
 for _radius in (9, 15):
-    _tpi(_radius)
+
+    @query(f"tpi_r{_radius}", f'WITH {PX}, {EXT_SQL}, {disk_sql(_radius)} SELECT "row", col, {six("any_value(z) - avg(v)")} AS tpi FROM near GROUP BY "row", col')
+    def _(spark, d, radius=_radius):
+        g = pixel_grid(spark, d)
+        return focal.topographic_position(g, "elevation", radius, *size_of(g)).select("row", "col", "tpi")
+
+
+@query("tpi_standardised", f'WITH {PX}, {EXT_SQL}, {disk_sql(3)} SELECT "row", col, {six("coalesce((any_value(z) - avg(v)) / nullif(stddev_pop(v), 0), 0)")} AS tpi FROM near GROUP BY "row", col')
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    return focal.topographic_position(g, "elevation", 3, *size_of(g), standardise=True).select("row", "col", "tpi")
+
+
+@query("dem_curvatures", f"""WITH {PX}, {G2}, c AS (SELECT "row", col, coalesce((gx * gx * yy - 2 * gx * gy * xy + gy * gy * xx) / nullif(pow(p, 1.5), 0), 0) AS f, coalesce((gx * gx * yy - 2 * gx * gy * xy + gy * gy * xx) / nullif(p, 0), 0) AS g FROM k)
+SELECT "row", col, {six("f")} AS profile, {six("g")} AS plan, {six("(f + g) / 2")} AS mean FROM c""")
+def _(spark, d):
+    return terrain.dem_curvatures(pixel_grid(spark, d)).select("row", "col", "profile", "plan", "mean")
+
+
+#: A cell's index beyond the edge, mirrored.
+MIRROR = "CASE WHEN {x} < 0 THEN -({x}) - 1 WHEN {x} > {m} THEN 2 * {m} + 1 - ({x}) ELSE {x} END"
+
+
+def smooth_sql(value: str, sigma: int, out: str) -> str:
+    """Two passes of a Gaussian; a grid narrower than its reach is held at the edge."""
+    reach = int(4 * sigma + 0.5)
+    held = lambda x, m: f"greatest(least({MIRROR.format(x=x, m=m)}, {m}), 0)"
+    return f"""kern AS (SELECT k, exp(-0.5 * k * k / {sigma * sigma}) / sum(exp(-0.5 * k * k / {sigma * sigma})) OVER () AS w FROM (SELECT unnest(range(-{reach}, {reach + 1})) AS k) t),
+along AS (SELECT p."row", p.col, sum(q.{value} * w) AS v FROM px p, ext, kern, px q WHERE q."row" = p."row" AND q.col = {held("p.col + k", "mc")} GROUP BY p."row", p.col),
+{out} AS (SELECT p."row", p.col, sum(q.v * w) AS {value} FROM along p, ext, kern, along q WHERE q.col = p.col AND q."row" = {held('p."row" + k', "mr")} GROUP BY p."row", p.col)"""
+
+
+@query("multiscale_terrain", f"""WITH {PX}, {EXT_SQL}, {smooth_sql("elevation", 2, "smooth")}, {GRAD.format(v="elevation", t="smooth")},
+h AS (SELECT *, CASE WHEN lag(gx) OVER c IS NULL THEN lead(gx) OVER c - gx WHEN lead(gx) OVER c IS NULL THEN gx - lag(gx) OVER c ELSE (lead(gx) OVER c - lag(gx) OVER c) / 2 END AS xx,
+    CASE WHEN lag(gy) OVER r IS NULL THEN lead(gy) OVER r - gy WHEN lead(gy) OVER r IS NULL THEN gy - lag(gy) OVER r ELSE (lead(gy) OVER r - lag(gy) OVER r) / 2 END AS yy
+  FROM g WINDOW c AS (PARTITION BY "row" ORDER BY col), r AS (PARTITION BY col ORDER BY "row"))
+SELECT "row", col, {six("degrees(atan(sqrt(gx * gx + gy * gy)))")} AS slope, {six("-(xx + yy)")} AS general FROM h""")
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    return terrain.multiscale(g, "elevation", 2, *size_of(g)).select("row", "col", "slope", "general")
+
+
+def size_of(g):
+    """Rows and columns of a grid: one aggregate, as windows must know its edges."""
+    size = g.agg(F.max("row").alias("r"), F.max("col").alias("c")).first()
+    return size["r"] + 1, size["c"] + 1
 
 
 @query("erode_dilate", f"""WITH {PX}, ext AS (SELECT max("row") AS mr, max(col) AS mc FROM px), m AS (SELECT "row", col, (scl IN (8, 9, 10, 3))::int AS m FROM px)
@@ -290,11 +333,6 @@ def _(spark, d):
     return terrain.flow_direction(pixel_grid(spark, d)).select("row", "col", "direction")
 
 
-def size_of(g):
-    size = g.agg(F.max("row").alias("r"), F.max("col").alias("c")).first()
-    return size["r"] + 1, size["c"] + 1
-
-
 @query("pit_filling", f"""WITH {PX}, ext AS (SELECT max("row") AS mr, max(col) AS mc FROM px),
 o AS (SELECT dr, dc FROM (SELECT unnest(range(-3, 4)) AS dr) x, (SELECT unnest(range(-3, 4)) AS dc) y WHERE dr * dr + dc * dc <= 9),
 u AS (SELECT a."row", a.col, any_value(a.elevation) AS z, max(b.elevation) AS v FROM px a, ext, o, px b WHERE b."row" = greatest(least(a."row" + dr, mr), 0) AND b.col = greatest(least(a.col + dc, mc), 0) GROUP BY a."row", a.col)
@@ -344,6 +382,76 @@ SELECT {six("c")} AS contrast, {six("d")} AS dissimilarity, {six("h")} AS homoge
             return texture.texture_features(texture.co_occurrence(texture.quantise(pixel_grid(spark, d), "elevation", 16), "level", dr, dc))
 
 
+def ellipse_sql(size: int) -> str:
+    return ", ".join(f"({r}, {c})" for r, c in focal.ellipse(size))
+
+
+def shaped_sql(source: str, out: str, size: int, pick: str) -> str:
+    return f"""{out} AS (SELECT a."row", a.col, {pick}(b.m) AS m FROM {source} a JOIN (SELECT * FROM (VALUES {ellipse_sql(size)}) t(dr, dc)) o ON true JOIN {source} b ON b."row" = a."row" + dr AND b.col = a.col + dc GROUP BY a."row", a.col)"""
+
+
+@query("mask_cleaned", f"""WITH {PX}, m0 AS (SELECT "row", col, (scl IN (8, 9, 10, 3))::int AS m FROM px), {shaped_sql("m0", "m1", 3, "min")}, {shaped_sql("m1", "m2", 5, "max")}, {shaped_sql("m2", "m3", 5, "max")}, {shaped_sql("m3", "m4", 5, "min")}
+SELECT "row", col, m::int AS m FROM m4""")
+def _(spark, d):
+    m = pixel_grid(spark, d).withColumn("m", masks.scene_mask(F.col("scl")).cast("int"))
+    return focal.cleaned_mask(m, "m", *size_of(m)).select("row", "col", "m")
+
+
+@query("mask_buffer", f"""WITH {PX}, m0 AS (SELECT "row", col, (scl = 9)::int AS m FROM px), {shaped_sql("m0", "m1", 11, "max")} SELECT "row", col, m::int AS m FROM m1""")
+def _(spark, d):
+    m = pixel_grid(spark, d).withColumn("m", (F.col("scl") == 9).cast("int"))
+    return focal.buffered_mask(m, "m", 50.0, *size_of(m)).select("row", "col", "m")
+
+
+def window_sql(r: int, right: int | None = None) -> str:
+    """The cells of the square around each cell, mirrored at the edges."""
+    held = lambda x, m: f"greatest(least({MIRROR.format(x=x, m=m)}, {m}), 0)"
+    return f"""{EXT_SQL}, spots AS MATERIALIZED (SELECT a."row", a.col, {held('a."row" + dr', "mr")} AS nr, {held("a.col + dc", "mc")} AS nc, {held("a.col + dc + 1", "mc")} AS nx
+  FROM px a, ext, (SELECT unnest(range(-{r}, {r + 1})) AS dr) x, (SELECT unnest(range(-{r}, {(r if right is None else right) + 1})) AS dc) y),
+near AS (SELECT spots."row", spots.col, nr, nx, b.b04 AS v FROM spots JOIN px b ON b."row" = nr AND b.col = nc)"""
+
+
+@query("statistical_texture", f"""WITH {PX}, {window_sql(4)}, l AS (SELECT "row", col, list(v) AS l, count(*) AS n, avg(v) AS m, min(v) AS lo, max(v) AS hi FROM near GROUP BY "row", col),
+d AS (SELECT *, list_avg([(x - m) * (x - m) for x in l]) AS m2, list_avg([(x - m) * (x - m) * (x - m) for x in l]) AS m3, list_avg([(x - m) * (x - m) * (x - m) * (x - m) for x in l]) AS m4,
+  [least(floor((x - lo) / (hi - lo) * 10), 9) for x in l] AS b FROM l),
+e AS (SELECT "row", col, -sum(c / 81.0::double * ln(c / 81.0::double)) AS e FROM (SELECT "row", col, x, count(*) AS c FROM (SELECT "row", col, unnest(b) AS x FROM d) GROUP BY ALL) GROUP BY "row", col)
+SELECT "row", col, {six("m")} AS mean, {six("sqrt(m2)")} AS std, {six("m2")} AS variance, {six("m3 / pow(m2, 1.5)")} AS skewness, {six("m4 / (m2 * m2) - 3")} AS kurtosis, {six("e")} AS entropy FROM d JOIN e USING ("row", col)""")
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    return texture.statistical_texture(g, "b04", *size_of(g))
+
+
+@query("texture_variance", f'WITH {PX}, {window_sql(3)} SELECT "row", col, {six("var_pop(v)")} AS variance FROM near GROUP BY "row", col')
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    return texture.local_variance(g, "b04", *size_of(g))
+
+
+@query("glcm_windowed", f"""WITH raw AS (WITH {PX} SELECT * FROM px), e AS (SELECT min(b04) AS lo, max(b04) AS hi FROM raw), px AS (SELECT "row", col, least(floor((b04 - lo) / (hi - lo) * 64), 63) AS b04 FROM raw, e),
+{window_sql(4, 3)} SELECT n."row", n.col, {six("avg((n.v - c.b04) * (n.v - c.b04))")} AS contrast FROM near n JOIN px c ON c."row" = nr AND c.col = nx GROUP BY n."row", n.col""")
+def _(spark, d):
+    g = texture.quantise(pixel_grid(spark, d), "b04", 64)
+    return texture.windowed_contrast(g, "level", *size_of(g))
+
+
+@query("multiscale_texture", " UNION ALL ".join(f"""SELECT * FROM (WITH {PX}, z AS (SELECT "row" // {s} AS r, col // {s} AS c, avg(b04) AS v FROM px GROUP BY 1, 2), e AS (SELECT min(v) AS lo, max(v) AS hi FROM z),
+l AS (SELECT r, c, least(floor((v - lo) / (hi - lo) * 64), 63) AS l FROM z, e) SELECT {s} AS scale, {six("avg((a.l - b.l) * (a.l - b.l))")} AS contrast FROM l a JOIN l b ON b.r = a.r AND b.c = a.c + 1)""" for s in (1, 2, 4)))
+def _(spark, d):
+    return texture.multiscale_contrast(pixel_grid(spark, d), "b04", [1, 2, 4])
+
+
+_GABOR = texture.gabor_kernel(0.4, 0.7853981633974483)
+
+
+@query("gabor_response", f"""WITH raw AS (WITH {PX} SELECT * FROM px), e AS (SELECT avg(b04) AS m, stddev_pop(b04) AS s FROM raw), px AS (SELECT "row", col, (b04 - m) / s AS b04 FROM raw, e), {EXT_SQL},
+w AS (SELECT * FROM (VALUES {", ".join(f"({-y}, {-x}, {w!r}::double)" for (y, x), w in _GABOR.items())}) t(dr, dc, w)),
+spots AS MATERIALIZED (SELECT a."row", a.col, w, greatest(least({MIRROR.format(x='a."row" + dr', m="mr")}, mr), 0) AS nr, greatest(least({MIRROR.format(x="a.col + dc", m="mc")}, mc), 0) AS nc FROM px a, ext, w)
+SELECT spots."row", spots.col, {six("abs(sum(w * b.b04))")} AS response FROM spots JOIN px b ON b."row" = nr AND b.col = nc GROUP BY spots."row", spots.col""")
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    return texture.gabor(g, "b04", 0.4, 0.7853981633974483, *size_of(g))
+
+
 # Resampling and mosaics --------------------------------------------------------------
 
 _RESAMPLE = {"average": "avg(elevation)", "min": "min(elevation)", "max": "max(elevation)", "median": "quantile_cont(elevation, 0.5)", "q1": "quantile_cont(elevation, 0.25)", "q3": "quantile_cont(elevation, 0.75)", "sum": "sum(elevation)", "rms": "sqrt(avg(elevation * elevation))"}

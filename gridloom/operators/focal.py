@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Cells of a tile's side.
+TILE = 256
+
 
 def lines() -> tuple[Window, Window]:
     """Along a row, and across the rows of a column."""
@@ -76,17 +83,76 @@ def offsets_join(df: DataFrame, value: str, offsets: list[tuple[int, int]], rows
     return wanted.join(held, ["nr", "nc"]).select("row", "col", "value", "weight")
 
 
+Kernel = Callable[[np.ndarray, int], dict[str, np.ndarray]]
+
+
+def tiled(df: DataFrame, value: str, halo: int, rows: int, cols: int, kernel: Kernel, fields: list[str], edge: str = "edge", tile: int = TILE) -> DataFrame:
+    """(row, col, fields) from windows of up to ``halo`` cells around each cell.
+
+    Cells are dealt to square tiles, and those near a border to the tiles across it, too: a wide
+    window so costs a copy for the cells near borders, not one for each of its offsets. A tile is
+    bounded by its sides. ``kernel`` gets a tile with its halo (missing cells are NaN) and returns
+    an array for each field; outside the grid are its edge cells, its mirror image (``symmetric``), or nothing (``constant``).
+    """
+
+    def tiles_of(x: Column, n: int) -> Column:
+        last = (n - 1) // tile
+        at = lambda v: F.greatest(F.least(F.floor(v / tile), F.lit(last)), F.lit(0)).cast("int")
+        return F.explode(F.sequence(at(x - halo), at(x + halo)))
+
+    def run(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+        r0, c0 = key[0] * tile, key[1] * tile
+        r1, c1 = min(r0 + tile, rows), min(c0 + tile, cols)
+        top, left = max(r0 - halo, 0), max(c0 - halo, 0)
+        inner = np.full((min(r1 + halo, rows) - top, min(c1 + halo, cols) - left), np.nan)
+        inner[cells["row"] - top, cells["col"] - left] = cells["v"]
+        pad = ((top - r0 + halo, r1 + halo - top - inner.shape[0]), (left - c0 + halo, c1 + halo - left - inner.shape[1]))
+        padded = np.pad(inner, pad, constant_values=np.nan) if edge == "constant" else np.pad(inner, pad, mode=edge)
+        found = kernel(padded, halo)
+        own = cells[(cells["row"] >= r0) & (cells["row"] < r1) & (cells["col"] >= c0) & (cells["col"] < c1)]
+        at = (own["row"].to_numpy() - r0, own["col"].to_numpy() - c0)
+        return pd.DataFrame({"row": own["row"], "col": own["col"], **{f: found[f][at] for f in fields}})
+
+    cells = df.select("row", "col", F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))).alias("v"))
+    dealt = cells.withColumn("__tr", tiles_of(F.col("row"), rows)).withColumn("__tc", tiles_of(F.col("col"), cols))
+    schema = ", ".join(["row int", "col int", *[f"{f} double" for f in fields]])
+    out = dealt.groupBy("__tr", "__tc").applyInPandas(run, schema)
+    return out.withColumns({f: F.nanvl(F.col(f), F.lit(None).cast("double")) for f in fields})
+
+
+def shifted(padded: np.ndarray, halo: int, dr: int, dc: int) -> np.ndarray:
+    """The tile's cells at an offset."""
+    h, w = padded.shape[0] - 2 * halo, padded.shape[1] - 2 * halo
+    return padded[halo + dr : halo + dr + h, halo + dc : halo + dc + w]
+
+
+def moments_kernel(offsets: list[tuple[int, int]]) -> Kernel:
+    """Mean and population deviation over the cells at some offsets; missing ones don't count."""
+
+    def kernel(padded: np.ndarray, halo: int) -> dict[str, np.ndarray]:
+        held = ~np.isnan(padded)
+        centre = np.nanmean(padded) if held.any() else 0.0
+        filled = np.where(held, padded - centre, 0.0)
+        n, s, q = (sum(shifted(x, halo, *o) for o in offsets) for x in (held.astype(float), filled, filled * filled))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            mean = s / n
+            return {"mean": mean + centre, "std": np.sqrt(np.maximum(q / n - mean * mean, 0))}
+
+    return kernel
+
+
 def gaussian(df: DataFrame, value: str, sigma: float, rows: int, cols: int) -> DataFrame:
     """(row, col, value) smoothed, first along rows and then across, to four deviations."""
     reach = int(4 * sigma + 0.5)
     raw = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-reach, reach + 1)]
     weights = [w / sum(raw) for w in raw]
-    out = df.select("row", "col", F.col(value).alias("value"))
-    for step in ((0, 1), (1, 0)):
-        offsets = [(step[0] * k, step[1] * k) for k in range(-reach, reach + 1)]
-        near = offsets_join(out, "value", offsets, rows, cols, reflect=True, weights=weights)
-        out = near.groupBy("row", "col").agg(F.sum(F.col("value") * F.col("weight")).alias("value"))
-    return out
+
+    def kernel(padded: np.ndarray, halo: int) -> dict[str, np.ndarray]:
+        h, w = padded.shape[0] - 2 * halo, padded.shape[1] - 2 * halo
+        along = sum(x * padded[:, k : k + w] for k, x in enumerate(weights))
+        return {"value": sum(x * along[k : k + h] for k, x in enumerate(weights))}
+
+    return tiled(df, value, reach, rows, cols, kernel, ["value"], edge="symmetric")
 
 
 def disk(radius: int) -> list[tuple[int, int]]:
@@ -94,10 +160,46 @@ def disk(radius: int) -> list[tuple[int, int]]:
     return [(r, c) for r in span for c in span if r * r + c * c <= radius * radius]
 
 
-def topographic_position(df: DataFrame, value: str, radius: int, rows: int, cols: int) -> DataFrame:
-    """Height above the mean of the disk around it."""
-    around = offsets_join(df, value, disk(radius), rows, cols).groupBy("row", "col").agg(F.avg("value").alias("mean"))
-    return df.join(around, ["row", "col"]).withColumn("tpi", F.col(value) - F.col("mean")).drop("mean")
+def topographic_position(df: DataFrame, value: str, radius: int, rows: int, cols: int, standardise: bool = False) -> DataFrame:
+    """Height above the mean of the disk around it; if asked over the disk's deviation, 0 where that is 0."""
+    around = tiled(df, value, radius, rows, cols, moments_kernel(disk(radius)), ["mean", "std"])
+    above = F.col(value) - F.col("mean")
+    tpi = F.when(F.col("std") > 1e-9, above / F.col("std")).otherwise(0.0) if standardise else above
+    return df.join(around, ["row", "col"]).withColumn("tpi", tpi).drop("mean", "std")
+
+
+def ellipse(size: int) -> list[tuple[int, int]]:
+    """Offsets of the elliptic structuring element of an odd size."""
+    r = size // 2
+    reach = lambda dy: round(r * math.sqrt(max(0.0, (r * r - dy * dy) / (r * r)))) if r else 0
+    return [(dy, dx) for dy in range(-r, r + 1) for dx in range(-reach(dy), reach(dy) + 1)]
+
+
+def shaped(df: DataFrame, mask: str, out: str, size: int, erode: bool, rows: int, cols: int) -> DataFrame:
+    """Erosion or dilation of a 0/1 mask by an ellipse; what is outside the grid counts for neither."""
+    outside = 1.0 if erode else 0.0
+
+    def kernel(padded: np.ndarray, halo: int) -> dict[str, np.ndarray]:
+        inside = np.where(np.isnan(padded), outside, padded)
+        pick = np.minimum if erode else np.maximum
+        return {"v": reduce(pick, [shifted(inside, halo, *o) for o in ellipse(size)])}
+
+    found = tiled(df, mask, size // 2, rows, cols, kernel, ["v"], edge="constant")
+    return df.join(found, ["row", "col"]).withColumn(out, F.col("v").cast("int")).drop("v")
+
+
+def cleaned_mask(df: DataFrame, mask: str, rows: int, cols: int, erosion: int = 3, dilation: int = 5, gaps: int = 5) -> DataFrame:
+    """A 0/1 mask without small specks, widened, with small gaps closed."""
+    out = df
+    for size, erode in ((erosion, True), (dilation, False), (gaps, False), (gaps, True)):
+        if size:
+            out = shaped(out, mask, mask, size, erode, rows, cols)
+    return out
+
+
+def buffered_mask(df: DataFrame, mask: str, metres: float, rows: int, cols: int, pixel: float = 10.0) -> DataFrame:
+    """A 0/1 mask widened by a distance."""
+    return shaped(df, mask, mask, 2 * max(1, int(metres / pixel)) + 1, False, rows, cols)
 
 
 def morphology(df: DataFrame, mask: str, out: str, erode: bool) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators.focal import gradient, mean, neighbours9, std
+from gridloom.operators.focal import gaussian, gradient, mean, neighbours9, std
 
 
 def slope_aspect(df: DataFrame, value: str = "elevation", spacing: float = 1.0) -> DataFrame:
@@ -35,6 +35,23 @@ def curvatures(df: DataFrame, value: str = "elevation", spacing: float = 1.0) ->
     }).drop("zxx", "zxy", "zyx", "zyy")
 
 
+def dem_curvatures(df: DataFrame, value: str = "elevation") -> DataFrame:
+    """Profile, plan and mean curvature of the elevation step, in unit cells; flat cells have 0."""
+    g = gradient(df, value, "gx", "gy")
+    g = gradient(gradient(g, "gx", "zxx", "zxy"), "gy", "zyx", "zyy")
+    x, y, xx, xy, yy = (F.col(c) for c in ("gx", "gy", "zxx", "zxy", "zyy"))
+    bend, p = x * x * yy - 2 * x * y * xy + y * y * xx, x * x + y * y
+    zero = lambda v: F.coalesce(v, F.lit(0.0))
+    out = g.withColumns({"profile": zero(F.try_divide(bend, F.pow(p, F.lit(1.5)))), "plan": zero(F.try_divide(bend, p))})
+    return out.withColumn("mean", (F.col("profile") + F.col("plan")) / 2).drop("gx", "gy", "zxx", "zxy", "zyx", "zyy")
+
+
+def multiscale(df: DataFrame, value: str, scale: int, rows: int, cols: int, pixel: float = 1.0) -> DataFrame:
+    """Slope and curvatures after smoothing with a deviation of ``scale`` pixels."""
+    smooth = gaussian(df, value, scale * pixel, rows, cols).withColumnRenamed("value", "elevation")
+    return curvatures(slope_aspect(smooth, spacing=pixel).drop("gx", "gy"), spacing=pixel)
+
+
 def ruggedness(df: DataFrame, value: str = "elevation") -> DataFrame:
     """Mean difference to the 8 neighbours (edges repeat), and over 9 cells without what is outside."""
     near = neighbours9(df, value, "near")

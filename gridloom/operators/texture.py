@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import math
+import warnings
+from functools import reduce
+
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.focal import Kernel, moments_kernel, shifted, tiled
+
 
 def quantise(df: DataFrame, value: str, levels: int, out: str = "level") -> DataFrame:
     """Global minimum to maximum in equal steps, 0 to levels - 1."""
@@ -36,6 +43,101 @@ def texture_features(matrix: DataFrame) -> DataFrame:
     return sums.select("contrast", "dissimilarity", "homogeneity", "asm", F.sqrt("asm").alias("energy"), corr.alias("correlation"))
 
 
+def statistics_kernel(window: int) -> Kernel:
+    """Mean, deviation, variance, skewness, excess kurtosis and entropy (10 bins between the window's least and greatest
+    value) of the values around each cell; skewness is 0 for 2 values or fewer, kurtosis for 3, and both for equal ones."""
+    r = window // 2
+
+    def kernel(padded: np.ndarray, halo: int) -> dict[str, np.ndarray]:
+        out = {f: [] for f in STATISTICS}
+        for i in range(padded.shape[0] - 2 * halo):  # a line of cells at a time: window x window values each
+            lines = padded[i + halo - r : i + halo + r + 1]
+            values = np.lib.stride_tricks.sliding_window_view(lines, (window, window))[0][halo - r : padded.shape[1] - halo - r]
+            v = values.reshape(len(values), -1)
+            n = (~np.isnan(v)).sum(1)
+            with np.errstate(invalid="ignore", divide="ignore"), warnings.catch_warnings():
+                warnings.simplefilter("ignore", RuntimeWarning)  # windows without a value
+                mean, low, high = np.nanmean(v, 1), np.nanmin(v, 1), np.nanmax(v, 1)
+                d = v - mean[:, None]
+                m2, m3, m4 = (np.nanmean(d**k, 1) for k in (2, 3, 4))
+                bins = np.minimum(np.floor((v - low[:, None]) / (high - low)[:, None] * 10), 9)
+                shares = np.stack([(bins == k).sum(1) for k in range(10)], 1) / n[:, None]
+                entropy = -np.where(shares > 0, shares * np.log(np.where(shares > 0, shares, 1)), 0).sum(1)
+                spread = high > low
+                row = (mean, np.sqrt(m2), m2, np.where(spread & (n > 2), m3 / m2**1.5, 0), np.where(spread & (n > 3), m4 / m2**2 - 3, 0), np.where(spread & (n > 1), entropy, 0))
+            for f, x in zip(STATISTICS, row):
+                out[f].append(np.where(n > 0, x, np.nan))
+        return {f: np.stack(x) for f, x in out.items()}
+
+    return kernel
+
+
+STATISTICS = ["mean", "std", "variance", "skewness", "kurtosis", "entropy"]
+
+
+def statistical_texture(df: DataFrame, value: str, rows: int, cols: int, window: int = 9) -> DataFrame:
+    """(row, col, STATISTICS) over a square window, mirrored at the edges."""
+    return tiled(df, value, window // 2, rows, cols, statistics_kernel(window), STATISTICS, edge="symmetric")
+
+
+def local_variance(df: DataFrame, value: str, rows: int, cols: int, radius: int = 3) -> DataFrame:
+    """(row, col, variance) over a square window."""
+    size = [(r, c) for r in range(-radius, radius + 1) for c in range(-radius, radius + 1)]
+    spread = tiled(df, value, radius, rows, cols, moments_kernel(size), ["std"], edge="symmetric")
+    return spread.select("row", "col", (F.col("std") * F.col("std")).alias("variance"))
+
+
+def windowed_contrast(df: DataFrame, level: str, rows: int, cols: int, window: int = 9) -> DataFrame:
+    """(row, col, contrast): of neighbours along a row within the window, the mean squared difference of levels."""
+    r = window // 2
+
+    def kernel(padded: np.ndarray, halo: int) -> dict[str, np.ndarray]:
+        d = padded[:, 1:] - padded[:, :-1]
+        square = np.pad(d * d, ((0, 0), (0, 1)), constant_values=np.nan)
+        held = ~np.isnan(square)
+        offsets = [(a, b) for a in range(-r, r + 1) for b in range(-r, r)]
+        total, n = (sum(shifted(x, halo, *o) for o in offsets) for x in (np.where(held, square, 0.0), held.astype(float)))
+        return {"contrast": np.where(n > 0, total / np.maximum(n, 1), 0.0)}
+
+    return tiled(df, level, r, rows, cols, kernel, ["contrast"], edge="symmetric")
+
+
+def multiscale_contrast(df: DataFrame, value: str, scales: list[int], levels: int = 64) -> DataFrame:
+    """(scale, contrast): co-occurrence contrast of row neighbours after averaging blocks of scale x scale cells."""
+    parts = []
+    for scale in scales:
+        coarse = downsample(df, value, scale, "average") if scale > 1 else df.select("row", "col", F.col(value).alias("value"))
+        matrix = co_occurrence(quantise(coarse, "value", levels), "level", 0, 1)
+        parts.append(texture_features(matrix).select(F.lit(scale).alias("scale"), "contrast"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def gabor_kernel(frequency: float, theta: float) -> dict[tuple[int, int], float]:
+    """The real part of a Gabor filter of one octave, by offset (row, column), out to three deviations."""
+    sigma = math.sqrt(math.log(2) / 2) / math.pi * 3 / frequency
+    reach = max(1, math.ceil(3 * sigma))
+    out = {}
+    for y in range(-reach, reach + 1):
+        for x in range(-reach, reach + 1):
+            along = x * math.cos(theta) + y * math.sin(theta)
+            out[(y, x)] = math.exp(-0.5 * (x * x + y * y) / sigma**2) / (2 * math.pi * sigma**2) * math.cos(2 * math.pi * frequency * along)
+    return out
+
+
+def gabor(df: DataFrame, value: str, frequency: float, theta: float, rows: int, cols: int) -> DataFrame:
+    """(row, col, response): the size of a Gabor filter's answer on the standardised band, mirrored at the edges."""
+    weights = gabor_kernel(frequency, theta)
+    halo = max(y for y, _ in weights)
+    one = df.agg(F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"))
+    z = df.crossJoin(F.broadcast(one)).withColumn("__z", (F.col(value) - F.col("__m")) / F.when(F.col("__s") > 0, F.col("__s")).otherwise(1.0))
+
+    def kernel(padded: np.ndarray, halo: int) -> dict[str, np.ndarray]:
+        filled = np.nan_to_num(padded)
+        return {"response": np.abs(sum(w * shifted(filled, halo, -y, -x) for (y, x), w in weights.items()))}
+
+    return tiled(z, "__z", halo, rows, cols, kernel, ["response"], edge="symmetric")
+
+
 AGGREGATES = {
     "average": F.avg, "min": F.min, "max": F.max, "median": lambda c: F.percentile(c, 0.5), "q1": lambda c: F.percentile(c, 0.25),
     "q3": lambda c: F.percentile(c, 0.75), "sum": F.sum, "rms": lambda c: F.sqrt(F.avg(F.col(c) * F.col(c))),

@@ -33,6 +33,7 @@ RANGES = {"NDVI": (-1, 1), "NDWI": (-1, 1), "SAVI": (-1.5, 1.5), "EVI": (-1, 1),
 SENSORS = {
     "sentinel2": {"blue": "b02", "green": "b03", "red": "b04", "nir": "b08", "swir1": "b11", "swir2": "b12"},
     "landsat8": {"blue": "b2", "green": "b3", "red": "b4", "nir": "b5", "swir1": "b6", "swir2": "b7"},
+    "generic": {"blue": "band_1", "green": "band_2", "red": "band_3", "nir": "band_4", "swir1": "band_5", "swir2": "band_6"},
 }
 
 FUNCTIONS: dict[str, Callable[..., Column]] = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
@@ -19,6 +20,56 @@ def stack(grids: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def aligned(reference: DataFrame, coarse: DataFrame, factor: int) -> DataFrame:
+    """A coarse grid's values on the cells of the reference grid: each cell takes that of the block it lies in."""
+    block = [F.floor(F.col(c) / factor).cast("int").alias(f"__{c}") for c in ("row", "col")]
+    held = coarse.select(F.col("row").alias("__row"), F.col("col").alias("__col"), "value")
+    return reference.select("row", "col", *block).join(held, ["__row", "__col"]).select("row", "col", "value")
+
+
+def prefixed(files: list[DataFrame]) -> DataFrame:
+    """Aligned grids side by side, the bands of file k named F<k>_<band>."""
+    out = None
+    for k, grid in enumerate(files):
+        named = grid.select("row", "col", *[F.col(c).alias(f"F{k}_{c}") for c in grid.columns if c not in ("row", "col")])
+        out = named if out is None else out.join(named, ["row", "col"])
+    return out
+
+
+def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows without a missing value; NaN is missing."""
+    return df.dropna(subset=columns)
+
+
+def fill_missing(df: DataFrame, columns: list[str], policy: str, constant: float = 0.0) -> DataFrame:
+    """By a constant, each column's mean or median, or (invalidate) missing in all columns where it is in one."""
+    if policy == "median":
+        return impute_median(df, columns)
+    if policy == "constant":
+        return df.withColumns({c: F.coalesce(c, F.lit(constant)) for c in columns})
+    if policy == "mean":
+        means = df.agg(*[F.avg(c).alias(f"__{c}") for c in columns])
+        return df.crossJoin(F.broadcast(means)).withColumns({c: F.coalesce(c, f"__{c}") for c in columns}).drop(*[f"__{c}" for c in columns])
+    if policy == "invalidate":
+        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        return df.withColumns({c: F.when(whole, F.col(c)) for c in columns})
+    raise ValueError(f"unknown policy {policy}")
+
+
+def dem_check(df: DataFrame, value: str) -> DataFrame:
+    """Cells, valid ones, their share and range, and warnings about heights that can't be."""
+    v = F.col(value)
+    return df.agg(
+        F.count("*").alias("cells"), F.count(v).alias("valid"), (F.count(v) * 100 / F.count("*")).alias("completeness"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.concat_ws(";", F.when(F.min(v) < -500, "low"), F.when(F.max(v) > 10000, "high")).alias("warnings"),
+    )
+
+
+def k_best(df: DataFrame, columns: list[str], k: int) -> DataFrame:
+    """The k features of the greatest variance."""
+    return variance_select(df, columns, 0.0).orderBy(F.col("variance").desc(), "feature").limit(k).select("feature", "variance")
+
+
 def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
     medians = exact_quantiles(df, {c: (c, 0.5) for c in columns})
     return df.withColumns({c: F.coalesce(c, F.lit(medians[c])) for c in columns})

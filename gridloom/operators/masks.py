@@ -157,3 +157,8 @@ def valid_date(text: str) -> Column:
     """Whether a text is a date as yyyy-mm-dd from 1970 on."""
     parsed = F.try_to_timestamp(F.col(text), F.lit("yyyy-MM-dd"))
     return parsed.isNotNull() & (F.coalesce(F.year(parsed), F.lit(0)) >= 1970)
+
+
+def iso_time(text: str) -> Column:
+    """The time of a text as yyyy-mm-ddThh:mm:ss, with or without a Z, in UTC; NULL if it is none."""
+    return F.try_to_timestamp(F.regexp_replace(F.col(text), "Z$", ""), F.lit("yyyy-MM-dd'T'HH:mm:ss"))

@@ -66,6 +66,13 @@ def choose_k(df: DataFrame, columns: list[str], ks: range, seed: int = 42) -> li
         data.unpersist()
 
 
+def elbow_differences(curve: DataFrame) -> DataFrame:
+    """(k, inertia) with the fall of inertia from the k before, and how it compares with the fall before."""
+    order = Window.orderBy("k")
+    falls = curve.withColumn("fall", F.lag("inertia").over(order) - F.col("inertia"))
+    return falls.withColumn("ratio", F.try_divide("fall", F.lag("fall").over(order)))
+
+
 def elbow(curve: list[tuple[int, float]]) -> int:
     """The k farthest below the line from the first to the last point."""
     (k0, c0), (k1, c1) = curve[0], curve[-1]

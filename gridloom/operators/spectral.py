@@ -22,6 +22,53 @@ def derivative(spectrum: Column, wavelengths: list[float]) -> Column:
     return F.array(*[(spectrum[i + 1] - spectrum[i - 1]) / (wavelengths[i + 1] - wavelengths[i - 1]) for i in inner])
 
 
+def second_derivative(spectrum: Column, wavelengths: list[float]) -> Column:
+    """The derivative of the derivative at the inner wavelengths; the first derivative is 0 at both ends."""
+    first = F.concat(F.array(F.lit(0.0)), derivative(spectrum, wavelengths), F.array(F.lit(0.0)))
+    return derivative(first, wavelengths)
+
+
+# By mineral, centres and ranges of its absorption features, in nanometres.
+MINERALS = {
+    "kaolinite": ((2206, 2190, 2220), (2165, 2150, 2180)),
+    "muscovite": ((2200, 2180, 2220), (2345, 2320, 2360)),
+    "alunite": ((2165, 2150, 2180), (2315, 2300, 2330)),
+    "calcite": ((2340, 2320, 2360),),
+    "dolomite": ((2325, 2310, 2340),),
+    "goethite": ((480, 460, 500), (650, 630, 670), (900, 880, 920)),
+    "hematite": ((565, 550, 580), (860, 840, 880)),
+    "jarosite": ((430, 410, 450), (2265, 2250, 2280)),
+    "chlorite": ((2255, 2240, 2270), (2330, 2315, 2345)),
+    "epidote": ((2338, 2320, 2356),),
+}
+
+
+def mineral_bands(name: str, wavelengths: list[float]) -> list[tuple[int, int, int]]:
+    """(left, centre, right) bands of a mineral's features; a range with fewer than three bands has none."""
+    out = []
+    for centre, low, high in MINERALS[name]:
+        inside = [k for k, w in enumerate(wavelengths) if low <= w <= high]
+        if len(inside) >= 3:
+            out.append((inside[0], min(range(len(wavelengths)), key=lambda k: abs(wavelengths[k] - centre)), inside[-1]))
+    return out
+
+
+def mineral(name: str, spectrum: Column, wavelengths: list[float]) -> Column:
+    """Mean depth of a mineral's features; a feature without a positive continuum counts as 0, no feature gives NULL."""
+    depths = []
+    for left, centre, right in mineral_bands(name, wavelengths):
+        around = (spectrum[left] + spectrum[right]) / 2.0
+        depths.append(F.coalesce(F.when(around > 0, 1 - F.try_divide(spectrum[centre], around)), F.lit(0.0)))
+    return sum(depths, F.lit(0.0)) / len(depths) if depths else F.lit(None).cast("double")
+
+
+def mineral_sql(name: str, wavelengths: list[float], spectrum: str) -> str:
+    """The same in SQL, over a list."""
+    around = lambda a, b: f"(({spectrum}[{a + 1}] + {spectrum}[{b + 1}]) / 2.0)"
+    depths = [f"coalesce(CASE WHEN {around(a, b)} > 0 THEN 1 - {spectrum}[{c + 1}] / {around(a, b)} END, 0)" for a, c, b in mineral_bands(name, wavelengths)]
+    return f"({' + '.join(depths)}) / {len(depths)}" if depths else "NULL::double"
+
+
 def mineral_index(depths: list[Column]) -> Column:
     """Mean depth; missing ones count as 0."""
     return sum((F.coalesce(d, F.lit(0.0)) for d in depths), F.lit(0.0)) / len(depths)

@@ -9,6 +9,7 @@ from gridloom.catalogue import EXT_SQL, ORACLE_SQL, PX, QUERIES, SCORED_SQL, que
 from gridloom.functions import geo, naming
 from gridloom.functions.bandmath import INDICES, SENSORS, band_math, spectral_index
 from gridloom.operators import features, masks, models, predictions, spectral, texture, validation
+from gridloom.plans import process, steps
 from gridloom.sources.grid import BANDS, null_if, pixel_grid, table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -390,3 +391,51 @@ def _(spark, d):
     bands = F.transform(F.sequence(F.lit(0), F.lit(200)), lambda i: F.col("b04") + F.col("b08") * F.sin(i * F.col("b11")) / 4 + 1)
     s = pixel_grid(spark, d).withColumn("v", bands)
     return s.select("row", "col", *[spectral.mineral(m, F.col("v"), _FINE).alias(m) for m in spectral.MINERALS])
+
+
+# Processes ---------------------------------------------------------------------------
+
+_U = "(('0x' || substr(md5('42:' || {key}), 1, 13))::bigint::double / 4503599627370496::double)"
+_AREA = """cells AS (SELECT (k // {cols})::int AS "row", (k % {cols})::int AS col FROM (SELECT unnest(range({rows} * {cols})) AS k) t)"""
+_DEM_SQL = f"""WITH {_AREA.format(rows=55, cols=111)} SELECT "row", col, {six(f'''1000 + 500 * sin(col * 10.0::double / 110 * 0.5) * cos("row" * 10.0::double / 54 * 0.3) + 200 * sin(col * 10.0::double / 110 * 1.2) + 300 * cos("row" * 10.0::double / 54 * 0.8) + 100 * {_U.format(key="row || ':' || col").replace("row ||", '"row" ||')}''')} AS elevation FROM cells"""
+
+
+@query("mock_dem", _DEM_SQL)
+def _(spark, d):
+    return steps.mock_dem(spark, [85.0, 27.0, 85.1, 27.05], 100)
+
+
+def _band_sql(k: int) -> str:
+    u, v = (_U.format(key=f"\"row\" || ':' || col || ':{k}{side}'") for side in "ab")
+    return f"""trunc(greatest(least((sin(col * 5.0::double / 110) * cos("row" * 5.0::double / 54) * 0.3::double + 0.5::double + sqrt(-2 * ln(greatest({u}, 1e-12))) * cos({v} * 6.283185307179586::double) * 0.1::double) * ({0.8 + k * 0.1}::double) * 4000, 4000.0::double), 0.0::double))::int"""
+
+
+@query("mock_imagery", f"""WITH {_AREA.format(rows=55, cols=111)} SELECT "row", col, {", ".join(f"{_band_sql(k)} AS {b}" for k, b in enumerate(("b02", "b03", "b04", "b08")))} FROM cells""")
+def _(spark, d):
+    return steps.mock_imagery(spark, [85.0, 27.0, 85.1, 27.05], 100)
+
+
+@query("band_selection", f'WITH {PX} SELECT "row", col, {six("b08")} AS b08, {six("b04")} AS b04 FROM px')
+def _(spark, d):
+    return steps.selected(pixel_grid(spark, d), ["b08", "4"])
+
+
+#: Zone statistics of clear pixels as a declared process.
+ZONAL_PROCESS = {
+    "process_info": {"name": "zonal statistics"},
+    "global_config": {"default_values": {"thresholds": [0.2, 0.3, 0.4], "with_report": False}},
+    "steps": [
+        {"id": "statistics", "type": "zone_statistics", "inputs": {"scores": {"source": "index", "key": "ndvi"}}, "hyperparameters": {"score": "ndvi", "thresholds": "{thresholds}"}},
+        {"id": "index", "type": "spectral_indices", "inputs": {"imagery": "clear"}, "hyperparameters": {"indices": ["NDVI"]}},
+        {"id": "clear", "type": "filter", "inputs": {"scene": "scene"}, "hyperparameters": {"condition": "where(abs(scl - 9) > 1.5, abs(scl - 3) > 0.5, 1 < 0)"}},
+        {"id": "scene", "type": "pixel_grid", "hyperparameters": {"path": "{path}"}},
+        {"id": "report", "type": "inventory_generation", "inputs": {"all": {"sources": ["scene", "clear"], "aggregate": True}}, "condition": "with_report == true"},
+    ],
+}
+
+
+@query("process_run", ORACLE_SQL["ndvi_zonal_stats"])
+def _(spark, d):
+    known = steps.register_steps(process.Registry())
+    context = process.execute(process.load(ZONAL_PROCESS, {"path": d}), spark, {"with_report": False}, known)
+    return context.results["statistics"]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.bandmath import INDICES, RANGES, SENSORS, band_math, spectral_index
-from gridloom.operators import features, focal, hydrology, masks, metrics, models, surface, terrain, texture
+from gridloom.operators import features, focal, hydrology, masks, metrics, models, spectral, surface, terrain, texture
 from gridloom.plans.quantiles import exact_quantiles
 from gridloom.sources.grid import BANDS, file_type, pixel_grid, table
 from gridloom.streaming.seasons import season_of
@@ -766,33 +766,28 @@ def _(spark, d):
 
 @query("absorption_depth", f'WITH {PX} SELECT "row", col, {six("CASE WHEN (b04 + b11) / 2 > 0 THEN 1 - b08 / nullif((b04 + b11) / 2, 0) END")} AS depth FROM px')
 def _(spark, d):
-    from gridloom.operators.spectral import ratio_depth
-
-    return pixel_grid(spark, d).select("row", "col", ratio_depth("b04", "b08", "b11").alias("depth"))
+    return pixel_grid(spark, d).select("row", "col", spectral.ratio_depth("b04", "b08", "b11").alias("depth"))
 
 
 @query("mineral_index", f'WITH {PX} SELECT "row", col, {six("(coalesce(CASE WHEN (b04 + b11) / 2 > 0 THEN 1 - b08 / nullif((b04 + b11) / 2, 0) END, 0) + coalesce(CASE WHEN (b08 + b12) / 2 > 0 THEN 1 - b11 / nullif((b08 + b12) / 2, 0) END, 0)) / 2")} AS value FROM px')
 def _(spark, d):
-    from gridloom.operators.spectral import mineral_index, ratio_depth
-
-    return pixel_grid(spark, d).select("row", "col", mineral_index([ratio_depth("b04", "b08", "b11"), ratio_depth("b08", "b11", "b12")]).alias("value"))
+    return pixel_grid(spark, d).select("row", "col", spectral.mineral_index([spectral.ratio_depth("b04", "b08", "b11"), spectral.ratio_depth("b08", "b11", "b12")]).alias("value"))
 
 
 @query("spectral_derivatives", f"""WITH {PX}, s AS (SELECT "row", col, [b02, b03, b04, b08, b11, b12] AS v, [490.0, 560.0, 665.0, 842.0, 1610.0, 2190.0]::double[] AS w FROM px),
 f AS (SELECT "row", col, [(v[i + 1] - v[i - 1]) / (w[i + 1] - w[i - 1]) for i in range(2, 6)] AS f FROM s)
 SELECT "row", col, {six("list_min(f)")} AS least, {six("list_max(f)")} AS most FROM f""")
 def _(spark, d):
-    from gridloom.operators.spectral import derivative
-
-    f = derivative(F.array(*BANDS), [490.0, 560.0, 665.0, 842.0, 1610.0, 2190.0])
+    f = spectral.derivative(F.array(*BANDS), [490.0, 560.0, 665.0, 842.0, 1610.0, 2190.0])
     return pixel_grid(spark, d).select("row", "col", F.array_min(f).alias("least"), F.array_max(f).alias("most"))
 
 
-@query("continuum_removal")
-def _(spark, d):
-    from gridloom.operators.spectral import continuum_removed
+WAVES = [490.0, 560.0, 665.0, 842.0, 1610.0, 2190.0]
 
-    return continuum_removed(pixel_grid(spark, d), BANDS, [490.0, 560.0, 665.0, 842.0, 1610.0, 2190.0])
+
+@query("continuum_removal", f"""WITH {PX}, {spectral.continuum_sql(BANDS, WAVES, "px")} SELECT "row", col, {six("list_avg(r)")} AS mean, {six("1 - list_min(r)")} AS depth, {six(f"({WAVES}::double[])[list_position(r, list_min(r))]")} AS position FROM ratios""")
+def _(spark, d):
+    return spectral.continuum_removed(pixel_grid(spark, d), BANDS, WAVES)
 
 
 # Models ------------------------------------------------------------------------------
@@ -814,9 +809,19 @@ def _(spark, d):
     return models.kmeans(pixel_grid(spark, d), ["b02", "b04", "b08"], 4).select("row", "col", "cluster")
 
 
+@query("k_selection")
+def _(spark, d):
+    return models.choose_k(pixel_grid(spark, d), ["b02", "b04", "b08"], range(2, 7))
+
+
 @query("rf_predict")
 def _(spark, d):
-    return models.random_forest(scored(spark, d), ["b02", "b04", "b08", "b11"], "y").select("row", "col", "probability", "predicted")
+    return models.random_forest(scored(spark, d), ["b02", "b04", "b08", "b11"], "y", trees=20, depth=5).select("row", "col", "probability", "predicted")
+
+
+@query("rf_regress")
+def _(spark, d):
+    return models.random_forest_regression(scored(spark, d), ["b02", "b04", "b08", "b11"], "p", trees=20, depth=5).select("row", "col", "predicted")
 
 
 @query("logreg_coeffs")
@@ -829,11 +834,43 @@ def _(spark, d):
     return models.pca(features.scale(pixel_grid(spark, d), BANDS, "standard"), BANDS, 2).select("row", "col", "component_1", "component_2")
 
 
+#: Folds by rank in an order by hash, within each label.
+@query("stratified_folds", f"""WITH {SCORED_SQL}, h AS (SELECT "row", col, y, ('0x' || substr(md5('42:' || ("row"::bigint * 50 + col)), 1, 13))::bigint AS h FROM scored)
+SELECT "row", col, y, ((row_number() OVER (PARTITION BY y ORDER BY h) - 1) % 5)::int AS fold FROM h""")
+def _(spark, d):
+    s = scored(spark, d).withColumn("id", (F.col("row") * 50 + F.col("col")).cast("long"))
+    return models.stratified_folds(s.select("row", "col", "y", "id"), "y", "id", 5).select("row", "col", "y", "fold")
+
+
+def keyed(spark, d):
+    return scored(spark, d).withColumn("id", (F.col("row") * 50 + F.col("col")).cast("long"))
+
+
 @query("cv_scores")
 def _(spark, d):
-    return models.cross_validate(scored(spark, d), ["b04", "b08", "elevation"], "y", 3)
+    return models.cross_validate(keyed(spark, d), ["b04", "b08", "elevation"], "y", "id", 5)
+
+
+@query("learning_curve")
+def _(spark, d):
+    return models.learning_curve(keyed(spark, d), ["b04", "b08", "elevation"], "y", "id", [0.1, 0.4, 0.7, 1.0])
+
+
+@query("validation_curve")
+def _(spark, d):
+    return models.validation_curve(keyed(spark, d), ["b04", "b08", "elevation"], "y", "id", [0.01, 1.0, 100.0])
+
+
+@query("permutation_refits")
+def _(spark, d):
+    return models.permutation_refits(keyed(spark, d), ["b04", "b08", "elevation"], "y", "id", permutations=3)
 
 
 @query("ensemble_uncertainty")
 def _(spark, d):
-    return models.ensemble(scored(spark, d), ["b04", "b08", "elevation"], "y", 3).select("row", "col", "mean", "std")
+    return models.ensemble(keyed(spark, d), ["b04", "b08", "elevation"], "y", "id", members=3, trees=5, depth=5).select("row", "col", "mean", "std", "variance", "lower", "upper")
+
+
+@query("bootstrap_uncertainty")
+def _(spark, d):
+    return models.bootstrap(keyed(spark, d), ["b04", "b08", "elevation"], "y", "id", members=5).select("row", "col", "mean", "std", "lower", "upper")

@@ -3,24 +3,28 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
+from typing import Any
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.metrics import running
+from gridloom.operators.validation import cluster_scores, hash_number, shuffled
+from gridloom.plans.lineage import cut
+
 
 def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(df)
 
 
-def fold(*keys: str, folds: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int")
-
-
 def balanced(df: DataFrame, label: str) -> DataFrame:
     """A weight per row that makes labels count alike."""
     n = df.groupBy(label).agg(F.count("*").alias("__n"))
@@ -28,18 +32,43 @@ def balanced(df: DataFrame, label: str) -> DataFrame:
     return df.join(F.broadcast(n.select(label, share.alias("weight"))), label)
 
 
-def random_forest(df: DataFrame, columns: list[str], label: str, trees: int = 20, depth: int = 5, seed: int = 42) -> DataFrame:
+def checked_parameters(**given: float) -> None:
+    """Numbers of trees, depths, folds, members and repeats are 1 or more; shares are above 0 and up to 1."""
+    for name, value in given.items():
+        if name.endswith("share") and not 0 < value <= 1:
+            raise ValueError(f"{name} must be above 0 and at most 1")
+        if not name.endswith("share") and value < 1:
+            raise ValueError(f"{name} must be 1 or more")
+
+
+def random_forest(df: DataFrame, columns: list[str], label: str, trees: int = 100, depth: int = 10, seed: int = 42) -> DataFrame:
+    """``probability`` of label 1 and ``predicted`` of a forest in which labels count alike; a missing column is an error."""
+    checked_parameters(trees=trees, depth=depth)
     data = assembled(balanced(df, label), columns)
     model = RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(data)
     out = model.transform(data)
     return out.withColumn("probability", vector_to_array("probability")[1]).withColumn("predicted", F.col("prediction").cast("int"))
 
 
-def logistic_table(df: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """Coefficients with odds ratio, standard error, z and p. The information matrix is one
-    aggregate over the rows; only its few numbers reach the driver."""
-    data = assembled(df, columns)
-    model = LogisticRegression(labelCol=label, regParam=0.01, standardization=False).fit(data)
+def random_forest_regression(df: DataFrame, columns: list[str], target: str, trees: int = 100, depth: int = 10, seed: int = 42) -> DataFrame:
+    checked_parameters(trees=trees, depth=depth)
+    data = assembled(df.dropna(subset=[target]), columns)
+    model = RandomForestRegressor(labelCol=target, numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(data)
+    return model.transform(data).withColumnRenamed("prediction", "predicted")
+
+
+def logistic(label: str, rows: int, penalty: str = "l2", c: float = 1.0, l1_ratio: float = 0.5, **more: str) -> LogisticRegression:
+    """A logistic regression with the strength of regularisation ``c`` over so many rows."""
+    mixed = {"l2": 0.0, "l1": 1.0, "elasticnet": l1_ratio, "none": 0.0}[penalty]
+    strength = 0.0 if penalty == "none" else 1 / (c * max(1, rows))
+    return LogisticRegression(labelCol=label, regParam=strength, elasticNetParam=mixed, standardization=False, **more)
+
+
+def logistic_table(df: DataFrame, columns: list[str], label: str, penalty: str = "l2", c: float = 1.0) -> DataFrame:
+    """Coefficients with odds ratio, standard error, z and p, of a model in which labels count alike. The information
+    matrix is one aggregate over the rows; only its few numbers reach the driver."""
+    data = assembled(balanced(df, label), columns)
+    model = logistic(label, data.count(), penalty, c, weightCol="weight").fit(data)
     fitted = model.transform(data).withColumn("w", vector_to_array("probability")[1]).withColumn("w", F.col("w") * (1 - F.col("w")))
     k = len(columns)
     sums = fitted.agg(*[F.sum(F.col("w") * F.col(a) * F.col(b)).alias(f"s{i}_{j}") for i, a in enumerate(columns) for j, b in enumerate(columns)]).first()
@@ -57,13 +86,18 @@ def kmeans(df: DataFrame, columns: list[str], k: int, seed: int = 42) -> DataFra
     return KMeans(k=k, seed=seed).fit(data).transform(data).withColumnRenamed("prediction", "cluster")
 
 
-def choose_k(df: DataFrame, columns: list[str], ks: range, seed: int = 42) -> list[tuple[int, float]]:
-    """(k, inertia) of a fit for each k."""
-    data = assembled(df, columns).cache()
-    try:
-        return [(k, KMeans(k=k, seed=seed).fit(data).summary.trainingCost) for k in ks]
-    finally:
-        data.unpersist()
+def choose_k(df: DataFrame, columns: list[str], ks: range, seed: int = 42) -> DataFrame:
+    """Per k the inertia, the scores of its clusters and whether it is the best: the k of the highest silhouette if it
+    is within 2 of the elbow, else the elbow."""
+    data = cut(df.select(*columns).dropna())
+    rows = []
+    for k in ks:
+        one = cluster_scores(kmeans(data, columns, k, seed), "cluster", columns).first()
+        rows.append((k, *one))
+    bend = elbow([(r[0], r[1]) for r in rows])
+    widest = max(rows, key=lambda r: r[4])[0]
+    best = widest if abs(bend - widest) <= 2 else bend
+    return df.sparkSession.createDataFrame([(*r, r[0] == best) for r in rows], "k int, inertia double, calinski_harabasz double, davies_bouldin double, silhouette double, chosen boolean")
 
 
 def elbow_differences(curve: DataFrame) -> DataFrame:
@@ -79,10 +113,13 @@ def elbow(curve: list[tuple[int, float]]) -> int:
     return max(curve, key=lambda x: c0 + (c1 - c0) * (x[0] - k0) / max(1, k1 - k0) - x[1])[0]
 
 
-def pca(df: DataFrame, columns: list[str], k: int) -> DataFrame:
+def pca(df: DataFrame, columns: list[str], k: int | None = None, variance: float = 0.95) -> DataFrame:
+    """``k`` components, or as many as hold the share of the variance."""
     data = assembled(df, columns)
-    out = PCA(k=k, inputCol="features", outputCol="projected").fit(data).transform(data)
-    return out.withColumns({f"component_{i + 1}": vector_to_array("projected")[i] for i in range(k)})
+    fitted = PCA(k=k or len(columns), inputCol="features", outputCol="projected").fit(data)
+    shares = np.cumsum(fitted.explainedVariance.toArray())
+    n = k or int(np.searchsorted(shares, variance - 1e-12) + 1)
+    return fitted.transform(data).withColumns({f"component_{i + 1}": vector_to_array("projected")[i] for i in range(min(n, len(columns)))})
 
 
 def cluster_profile(df: DataFrame, cluster: str, columns: list[str]) -> DataFrame:
@@ -101,29 +138,129 @@ def variance_ratio(df: DataFrame, cluster: str, columns: list[str]) -> DataFrame
     return centred.groupBy("feature").agg(F.try_divide(between, F.sum(F.col("n") * F.col("s"))).alias("ratio"))
 
 
-def cross_validate(df: DataFrame, columns: list[str], label: str, folds: int) -> DataFrame:
-    """Accuracy on training and test rows of each fold, and the gap."""
-    data = assembled(df, columns).withColumn("__fold", fold("row", "col", folds=folds)).cache()
-    parts = []
+def stratified_folds(df: DataFrame, label: str, key: str, folds: int, seed: int = 42) -> DataFrame:
+    """Rows with ``fold``: within each label, rank in an order by hash, modulo the folds. Ranks are running sums over
+    ranges, so no task orders a label's rows. Labels are few; a row without a label has no fold."""
+    checked_parameters(folds=folds)
+    hashed = cut(df.withColumn("__hash", hash_number(F.lit(seed), F.col(key).cast("string"))).withColumn("__one", F.lit(1)))
+    labels = [r[0] for r in hashed.select(label).distinct().collect() if r[0] is not None]
+    parts = [running(hashed.filter(F.col(label) == y), "__hash", ["__one"]) for y in sorted(labels)]
+    if not parts:
+        return df.withColumn("fold", F.lit(None).cast("int")).limit(0)
+    ranked = reduce(DataFrame.unionByName, parts)
+    return ranked.withColumn("fold", F.pmod(F.col("upto___one") - 1, F.lit(folds)).cast("int")).drop("__hash", "__one", "upto___one")
+
+
+def scores_of(data: DataFrame, label: str, test: Column, train: Column, c: float = 1.0) -> tuple[float, float]:
+    """Accuracy of a logistic regression on its training rows and on the test rows."""
+    rows = data.filter(train)
+    fitted = logistic(label, rows.count(), c=c).fit(rows)
+    hit = (F.col("prediction") == F.col(label)).cast("double")
+    one = fitted.transform(data).agg(F.avg(F.when(train, hit)).alias("train"), F.avg(F.when(test, hit)).alias("test")).first()
+    return one["train"], one["test"]
+
+
+def folded(df: DataFrame, columns: list[str], label: str, key: str, folds: int) -> DataFrame:
+    """What the loops of fits read: written once, as they must all see the same folds."""
+    kept = stratified_folds(df.select(*dict.fromkeys([*columns, label, key])).dropna(), label, key, folds)
+    return assembled(cut(kept.withColumn("__order", hash_number(F.lit(7), F.col(key).cast("string")) / float(1 << 52))), columns)
+
+
+def cross_validate(df: DataFrame, columns: list[str], label: str, key: str, folds: int = 5, c: float = 1.0) -> DataFrame:
+    """Accuracy on training and test rows of each of the stratified folds, and the gap."""
+    data, rows = folded(df, columns, label, key, folds), []
     for k in range(folds):
-        model = LogisticRegression(labelCol=label, regParam=0.01).fit(data.filter(F.col("__fold") != k))
-        hit = (F.col("prediction") == F.col(label)).cast("double")
-        part = model.transform(data).agg(F.avg(F.when(F.col("__fold") != k, hit)).alias("train"), F.avg(F.when(F.col("__fold") == k, hit)).alias("test"))
-        parts.append(part.select(F.lit(k).alias("fold"), "train", "test", (F.col("train") - F.col("test")).alias("gap")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def ensemble(df: DataFrame, columns: list[str], label: str, members: int) -> DataFrame:
-    """Mean and deviation of the probabilities of models fitted on bootstrap samples."""
-    data = assembled(df, columns)
+        train, test = scores_of(data, label, F.col("fold") == k, F.col("fold") != k, c)
+        rows.append((k, train, test, train - test))
+    return df.sparkSession.createDataFrame(rows, "fold int, train double, test double, gap double")
+
+
+def learning_curve(df: DataFrame, columns: list[str], label: str, key: str, shares: list[float], folds: int = 5) -> DataFrame:
+    """Mean accuracies over the folds by the share of the training rows, those first by hash."""
+    for share in shares:
+        checked_parameters(train_share=share)
+    data, rows = folded(df, columns, label, key, folds), []
+    for share in shares:
+        found = [scores_of(data, label, F.col("fold") == k, (F.col("fold") != k) & (F.col("__order") <= share)) for k in range(folds)]
+        rows.append((share, *(float(np.mean(x)) for x in zip(*found))))
+    return df.sparkSession.createDataFrame(rows, "share double, train double, test double")
+
+
+def validation_curve(df: DataFrame, columns: list[str], label: str, key: str, strengths: list[float], folds: int = 5) -> DataFrame:
+    """Mean accuracies over the folds by the strength of regularisation."""
+    data, rows = folded(df, columns, label, key, folds), []
+    for c in strengths:
+        found = [scores_of(data, label, F.col("fold") == k, F.col("fold") != k, c) for k in range(folds)]
+        rows.append((c, *(float(np.mean(x)) for x in zip(*found))))
+    return df.sparkSession.createDataFrame(rows, "c double, train double, test double")
+
+
+def permutation_refits(df: DataFrame, columns: list[str], label: str, key: str, permutations: int = 100, folds: int = 3) -> DataFrame:
+    """(score, p_value): mean test accuracy over the folds, and how often models fitted on labels dealt anew reach it."""
+    checked_parameters(permutations=permutations)
+
+    def score(frame: DataFrame) -> float:
+        data = folded(frame, columns, label, key, folds)
+        return float(np.mean([scores_of(data, label, F.col("fold") == k, F.col("fold") != k)[1] for k in range(folds)]))
+
+    slim = df.select(*dict.fromkeys([*columns, label, key])).dropna()
+    own = score(slim)
+    others = [score(shuffled(slim, label, key, seed)) for seed in range(permutations)]
+    p = (sum(x >= own for x in others) + 1) / (permutations + 1)
+    return df.sparkSession.createDataFrame([(own, p)], "score double, p_value double")
+
+
+def resampled(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """A bootstrap sample as weights: each row as often as a Poisson draw from its hash, the same however rows are dealt."""
+    u = hash_number(F.lit(f"b{seed}"), F.col(key).cast("string")) / float(1 << 52)
+    upto, steps = 0.0, []
+    for k in range(8):
+        upto += math.exp(-1) / math.factorial(k)
+        steps.append(F.when(u >= upto, 1.0).otherwise(0.0))
+    return df.withColumn("__times", sum(steps, F.lit(0.0)))
+
+
+def spread_of(df: DataFrame, parts: list[str], confidence: float = 0.95) -> DataFrame:
+    """Mean, deviation, variance and percentile interval over some columns of a row."""
+    each = F.sort_array(F.array(*parts))
+    n = len(parts)
+    mean = F.aggregate(each, F.lit(0.0), lambda a, x: a + x) / n
+
+    def percentile(q: float) -> Column:
+        at = q * (n - 1)
+        low = min(int(at), n - 1)
+        high = min(low + 1, n - 1)
+        return each[low] + (each[high] - each[low]) * (at - low)
+
+    d = df.withColumns({"mean": mean, "lower": percentile((1 - confidence) / 2), "upper": percentile((1 + confidence) / 2)})
+    variance = F.aggregate(each, F.lit(0.0), lambda a, x: a + (x - F.col("mean")) * (x - F.col("mean"))) / n
+    return d.withColumn("variance", variance).withColumn("std", F.sqrt("variance"))
+
+
+def members_of(df: DataFrame, columns: list[str], label: str, key: str, members: int, fit: Callable[[int, DataFrame], Any]) -> DataFrame:
+    """Rows with the mean and spread of the probabilities of models fitted on bootstrap samples."""
+    checked_parameters(members=members)
+    data = assembled(cut(df), columns)
     out, names = data, []
     for k in range(members):
-        model = LogisticRegression(labelCol=label, regParam=0.01, probabilityCol=f"__v{k}", predictionCol=f"__d{k}", rawPredictionCol=f"__r{k}").fit(data.sample(True, 1.0, seed=k))
-        out = model.transform(out).withColumn(f"__p{k}", vector_to_array(f"__v{k}")[1])
-        names.append(F.col(f"__p{k}"))
-    mean = sum(names, F.lit(0.0)) / members
-    variance = sum(((p - mean) * (p - mean) for p in names), F.lit(0.0)) / members
-    return out.withColumn("mean", mean).withColumn("std", F.sqrt(variance))
+        sample = resampled(data, key, k).filter("__times > 0")
+        model = fit(k, sample)
+        scored = model.transform(out).withColumn(f"__p{k}", vector_to_array("probability")[1])
+        out = scored.drop("probability", "prediction", "rawPrediction")
+        names.append(f"__p{k}")
+    return spread_of(out, names).drop(*names)
+
+
+def ensemble(df: DataFrame, columns: list[str], label: str, key: str, members: int = 10, trees: int = 50, depth: int = 10) -> DataFrame:
+    """Forests on bootstrap samples."""
+    checked_parameters(trees=trees, depth=depth)
+
+    def fit(k: int, sample: DataFrame) -> Any:
+        return RandomForestClassifier(labelCol=label, weightCol="__times", numTrees=trees, maxDepth=depth, seed=k, featureSubsetStrategy="sqrt").fit(sample)
+
+    return members_of(df, columns, label, key, members, fit)
+
+
+def bootstrap(df: DataFrame, columns: list[str], label: str, key: str, members: int = 100) -> DataFrame:
+    """Logistic regressions on bootstrap samples."""
+    return members_of(df, columns, label, key, members, lambda _, sample: logistic(label, sample.count(), weightCol="__times").fit(sample))

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,27 +73,55 @@ def mineral_index(depths: list[Column]) -> Column:
     return sum((F.coalesce(d, F.lit(0.0)) for d in depths), F.lit(0.0)) / len(depths)
 
 
-def upper_hull(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The upper convex hull of a spectrum, interpolated at x."""
-    hull: list[int] = []
-    for i in range(len(x)):
-        # The last point goes while it isn't above the line from the one before it to this.
-        while len(hull) > 1 and (y[hull[-1]] - y[hull[-2]]) * (x[i] - x[hull[-2]]) <= (y[i] - y[hull[-2]]) * (x[hull[-1]] - x[hull[-2]]):
-            hull.pop()
-        hull.append(i)
-    return np.interp(x, x[hull], y[hull])
-
-
-def continuum_removed(df: DataFrame, bands: list[str], wavelengths: list[float]) -> DataFrame:
-    """(row, col, mean, depth, position): the spectrum over its hull, its deepest point and where."""
-    x = np.array(wavelengths)
+def smoothing(n: int, window: int = 5, order: int = 2) -> list[list[float]]:
+    """By band the weights of all bands in a running polynomial fit; at the ends the first and last fit count."""
+    out = []
+    for i in range(n):
+        first = min(max(i - window // 2, 0), n - window)
+        powers = np.vander(np.arange(window, dtype=float), order + 1)
+        weights = np.vander([float(i - first)], order + 1)[0] @ np.linalg.pinv(powers)
+        out.append([float(weights[k - first]) if first <= k < first + window else 0.0 for k in range(n)])
+    return out
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            y = batch[bands].to_numpy(float)
-            ratio = np.array([s / np.where((h := upper_hull(x, s)) > 0, h, np.nan) for s in y]).reshape(y.shape)
-            deepest = np.nanargmin(np.where(np.isnan(ratio), np.inf, ratio), axis=1) if len(y) else np.zeros(0, int)
-            low = np.nanmin(np.where(np.isnan(ratio), np.inf, ratio), axis=1) if len(y) else np.zeros(0)
-            yield pd.DataFrame({"row": batch["row"], "col": batch["col"], "mean": np.nanmean(ratio, axis=1) if len(y) else [], "depth": 1 - low, "position": x[deepest]})
 
-    return df.select("row", "col", *bands).dropna().mapInPandas(run, "row int, col int, mean double, depth double, position double")
+def continuum_terms(wavelengths: list[float], smooth: bool = True) -> tuple[list[list[float]], list[list[tuple[int, int, float]]]]:
+    """What a continuum is made of: by band its smoothing weights, and the chords (left, right, part) over it, of which
+    the highest is the upper convex hull."""
+    n = len(wavelengths)
+    weights = smoothing(n) if smooth and n >= 5 else [[float(i == k) for k in range(n)] for i in range(n)]
+    chords = []
+    for i, w in enumerate(wavelengths):
+        over = [(a, b, (w - wavelengths[a]) / (wavelengths[b] - wavelengths[a])) for a in range(i) for b in range(i + 1, n)]
+        chords.append([(i, i, 0.0), *over])
+    return weights, chords
+
+
+def continuum_removed(df: DataFrame, bands: list[str], wavelengths: list[float], smooth: bool = True) -> DataFrame:
+    """(row, col, mean, depth, position): the smoothed spectrum over its upper hull, its deepest point and where that is.
+
+    Rows with a missing band are left out; without a positive hull all three are NULL. For a handful of bands the hull is
+    the highest of the chords over each band, so it needs no loop over pixels.
+    """
+    weights, chords = continuum_terms(wavelengths, smooth)
+    complete = df.dropna(subset=bands)
+    even = [f"__s{i}" for i in range(len(bands))]
+    d = complete.withColumns({c: sum((F.col(b) * w for b, w in zip(bands, row) if w), F.lit(0.0)) for c, row in zip(even, weights)})
+    chord = lambda a, b, part: F.col(even[a]) + (F.col(even[b]) - F.col(even[a])) * part
+    hulls = [F.greatest(*[chord(*c) for c in over]) if len(over) > 1 else F.col(even[k]) for k, over in enumerate(chords)]
+    positive = reduce(lambda a, b: a & b, [h > 0 for h in hulls])
+    ratio = F.when(positive, F.array(*[F.try_divide(F.col(c), h) for c, h in zip(even, hulls)]))
+    at = F.array_position("__r", F.array_min("__r"))
+    return d.withColumn("__r", ratio).select(
+        "row", "col", (F.aggregate("__r", F.lit(0.0), lambda a, x: a + x) / len(bands)).alias("mean"), (1 - F.array_min("__r")).alias("depth"),
+        F.element_at(F.array(*map(F.lit, wavelengths)), at.cast("int")).alias("position"),
+    )
+
+
+def continuum_sql(bands: list[str], wavelengths: list[float], source: str) -> str:
+    """The same in SQL."""
+    weights, chords = continuum_terms(wavelengths)
+    even = ", ".join("0.0::double" + "".join(f" + {b} * {w!r}::double" for b, w in zip(bands, row) if w) + f" AS s{i}" for i, row in enumerate(weights))
+    hulls = ["greatest(" + ", ".join(f"s{a} + (s{b} - s{a}) * {part!r}::double" for a, b, part in over) + ")" if len(over) > 1 else f"s{k}" for k, over in enumerate(chords)]
+    n = len(bands)
+    return f"""smooth AS (SELECT "row", col, {even} FROM {source}), hulls AS (SELECT *, {", ".join(f"{h} AS h{k}" for k, h in enumerate(hulls))} FROM smooth),
+ratios AS (SELECT "row", col, CASE WHEN {" AND ".join(f"h{k} > 0" for k in range(n))} THEN [{", ".join(f"s{k} / h{k}" for k in range(n))}] END AS r FROM hulls)"""

@@ -184,8 +184,8 @@ def zones(spark: SparkSession, score: str = "probability", application_type: str
     return df.withColumn("zone", surface.zone(F.col(score), surface.ZONES.get(application_type.split("_")[0], surface.ZONES["generic"])))
 
 
-def uncertainty(spark: SparkSession, feature_columns: list[str], target: str, n_models: int = 10, **given: Any) -> DataFrame:
-    return models.ensemble(the_frame(given), feature_columns, target, n_models)
+def uncertainty(spark: SparkSession, feature_columns: list[str], target: str, key: str, n_models: int = 10, n_estimators: int = 50, **given: Any) -> DataFrame:
+    return models.ensemble(the_frame(given), feature_columns, target, key, n_models, n_estimators)
 
 
 def register_steps(into: Registry = registry) -> Registry:
@@ -210,7 +210,7 @@ def register_steps(into: Registry = registry) -> Registry:
         ("random_forest", "modeling", forest, ()),
         ("logistic_regression", "modeling", lambda spark, feature_columns, target, **given: models.logistic_table(the_frame(given), feature_columns, target), ()),
         ("kmeans_clustering", "modeling", lambda spark, feature_columns, n_clusters=5, random_state=42, **given: models.kmeans(the_frame(given), feature_columns, n_clusters, random_state), ()),
-        ("model_validation", "modeling", lambda spark, feature_columns, target, cv_folds=5, **given: models.cross_validate(the_frame(given), feature_columns, target, cv_folds), ()),
+        ("model_validation", "modeling", lambda spark, feature_columns, target, key, cv_folds=5, **given: models.cross_validate(the_frame(given), feature_columns, target, key, cv_folds), ()),
         ("classification_prediction", "prediction", classes, ("multi_class_prediction", "susceptibility_prediction", "prospectivity_prediction")),
         ("probability_mapping", "prediction", zones, ("risk_mapping", "susceptibility_mapping", "prospectivity_mapping")),
         ("uncertainty_quantification", "prediction", uncertainty, ("confidence_analysis", "prediction_uncertainty")),

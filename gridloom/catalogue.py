@@ -874,3 +874,7 @@ def _(spark, d):
 @query("bootstrap_uncertainty")
 def _(spark, d):
     return models.bootstrap(keyed(spark, d), ["b04", "b08", "elevation"], "y", "id", members=5).select("row", "col", "mean", "std", "lower", "upper")
+
+
+#: What this module registers; others add theirs.
+FIRST = frozenset(QUERIES)

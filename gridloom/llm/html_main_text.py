@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -62,9 +63,22 @@ TAG = re.compile(
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>)",
     re.S,
 )
+#: What needs no ">" to end at the end of the page.
+UNENDED = re.compile(r"<!--.*|<!\[CDATA\[.*", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'=/>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+# Elements that only a list or table holds, and what ends the search for one of them.
+LISTED = set().union(SIBLINGS, *SIBLINGS.values())
+LISTS = set("ul ol dl table tbody thead tfoot select".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+ZEROS, NO_CHARACTER = re.compile(r"&#0++(?=[0-9])"), re.compile(r"&#[0-9]{8,}+;?")
+
+
+def decoded(raw: str) -> str:
+    """The text with its character references decoded; numbers that are no character's give U+FFFD, however long."""
+    if "&#" in raw:
+        raw = NO_CHARACTER.sub("\ufffd", ZEROS.sub("&#", raw))
+    return entities.unescape(raw)
 
 
 def part_of(name: str, rest: str, in_article: bool) -> str:
@@ -107,6 +121,9 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str
     elements: list[tuple[int, str]] = [(0, "")]
     parts: list[str] = []
     stack: list[tuple[str, str]] = []  # open elements and their part
+    opened: Counter[str] = Counter()  # how many of each name are open
+    blocks: list[int] = []  # where block elements are in the stack
+    listed: list[int] = []  # where lists, tables and what they hold are
     inmost = 0
     apart = links = articles = 0
     outside = 0
@@ -114,7 +131,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str
     def flush() -> None:
         nonlocal outside
         if parts:
-            if text := " ".join(entities.unescape("".join(parts)).split()):
+            if text := " ".join(decoded("".join(parts)).split()):
                 lines.append((text, outside, inmost))
             parts.clear()
         outside = 0
@@ -140,8 +157,13 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str
         nonlocal apart, links, articles, inmost
         while len(stack) > to:
             name, part = stack.pop()
-            if name in BLOCKS and not apart:
-                flush()
+            opened[name] -= 1
+            if name in BLOCKS:
+                blocks.pop()
+                if not apart:
+                    flush()
+            if name in LISTED or name in LISTS:
+                listed.pop()
             links -= name == "a"
             if part:
                 articles -= part != "apart" and part != "doubt"
@@ -151,22 +173,22 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str
                 inmost = elements[inmost][0]
 
     at, n = 0, len(page)
+    last = page.rfind(">")  # behind it no tag ends
     while at < n:
-        tag = TAG.search(page, at)
+        tag = (TAG if at <= last else UNENDED).search(page, at)
         if not tag:
             add(page[at:])
             break
         add(page[at : tag.start()])
         at = tag.end()
-        if not tag["name"]:
+        if tag.re is UNENDED or not tag["name"]:
             if page.startswith("<![CDATA[", tag.start()):
                 add(entities.escape(tag[0][9:].removesuffix("]]>")))
             continue
         name = tag["name"].lower()
         if tag["end"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                close(depth)
+            if opened[name]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             elif name in BLOCKS and not apart:
                 flush()
             continue
@@ -178,20 +200,12 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str
                 end = re.compile(rf"</{re.escape(name)}(?![^\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else n
             continue
-        if name in ENDS_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+        if name in ENDS_P and blocks and stack[blocks[-1]][0] == "p":
+            close(blocks[-1])
         if name in SIBLINGS:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in SIBLINGS[name]:
-                    close(i)
-                    break
-                if stack[i][0] in ("ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "select"):
-                    break
+            around = next((i for i in reversed(listed) if stack[i][0] in SIBLINGS[name] or stack[i][0] in LISTS), None)
+            if around is not None and stack[around][0] in SIBLINGS[name]:
+                close(around)
         if name == "body" and stack and stack[-1][0] == "head":
             close(len(stack) - 1)
         if name in BLOCKS and not apart:
@@ -207,6 +221,11 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str
             articles += part != "apart" and part != "doubt"
             enter(part)
         links += name == "a"
+        if name in BLOCKS:
+            blocks.append(len(stack))
+        if name in LISTED or name in LISTS:
+            listed.append(len(stack))
+        opened[name] += 1
         stack.append((name, part))
     flush()
     return lines, elements

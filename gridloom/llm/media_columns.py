@@ -4,10 +4,11 @@
 bytes, in chunks, each chunk's first picture marked as a sync sample. ``media_columns``
 walks the nested boxes of any such container, decodes the sample tables (stsd, stts,
 stsc, stsz, stco or co64, stss) and gives codec, duration and the byte ranges of the
-keyframes; sample bytes are addressed through the tables, never decoded.
+keyframes; sample bytes are addressed through the tables, never decoded. The first track is
+described; samples in movie fragments (moof) aren't, and edit lists don't change the duration.
 
 Defined results: null text counts as empty, whose payload is 64 zero bytes; equal texts
-give equal files; bytes that are no container, or end early, give nulls; repeated rows
+give equal files; bytes that are no container, end early, nest too deep or claim more samples than bytes give nulls; repeated rows
 each give a row; other columns are ignored; an empty table stays empty.
 """
 
@@ -90,6 +91,8 @@ class Track:
     """The tables of a track."""
 
     boxes: dict[bytes, bytes] = field(default_factory=dict)
+    #: Bytes of the file.
+    length: int = 0
 
     def ints(self, kind: bytes, at: int = 4, width: int = 1, code: str = "I") -> list[tuple[int, ...]]:
         body = self.boxes.get(kind, b"")
@@ -113,6 +116,8 @@ class Track:
     def samples(self) -> list[tuple[int, int]]:
         """Offset and size of each sample, in order."""
         one, n = struct.unpack_from(">II", self.boxes[b"stsz"], 4)
+        if one * n > self.length:
+            raise ValueError("more samples than bytes")
         sizes = [one] * n if one else [x for (x,) in self.ints(b"stsz", 8)]
         offsets = [x for (x,) in self.ints(b"stco") or self.ints(b"co64", code="Q")]
         runs = self.ints(b"stsc", width=3)
@@ -176,10 +181,11 @@ def describe(media: bytes | None) -> dict:
     out |= {"media_bytes": len(media), "media_sha256": hashlib.sha256(media).hexdigest()}
     try:
         track = next(walk(memoryview(media), 0, len(media)))
+        track.length = len(media)
         samples, (rate, ticks) = track.samples(), track.clock()
         keyframes = [{"sample": k, "offset": samples[k][0], "size": samples[k][1]} for k in track.keyframes()]
         codec = track.codec()
-    except (StopIteration, ValueError, KeyError, IndexError, struct.error):
+    except (StopIteration, ValueError, KeyError, IndexError, RecursionError, struct.error):
         return out
     sha, tail, total, i = hashlib.sha256(), b"", 0, 0
     while i < len(samples):  # samples beside each other are one read

@@ -1,29 +1,38 @@
 """Exact top-k search by inner product with an impact-ordered, score-at-a-time index.
 
-Rows are dealt by hash into candidate blocks and query blocks of bounded expected size,
-and each pair of blocks is one group of a cogroup. In a group the candidates are indexed
-by posting segments: for each dimension the candidates of one quantised level. A query
-takes the segments by descending quantised impact (its component's size times the level
-above the least useful one), adding each segment's guaranteed contribution. It stops only
-on proof: a candidate whose sum plus all that unread segments can still give is below the
-k-th largest sum cannot be a member. Every possible member is then rescored exactly. The
-k best of each pair of blocks meet in a window by query.
+Rows are dealt by hash into candidate blocks of bounded expected size, and every query goes
+to every block. Each block's rows are sorted so that its candidates come first: they are
+indexed once by posting segments, for each dimension the candidates of one quantised level,
+and the block's queries then stream past the index in Arrow batches. A query takes the
+segments by descending quantised impact (its component's size times the level above the least
+useful one), adding each segment's guaranteed contribution. It stops only on proof: a
+candidate whose sum plus all that unread segments can still give is below the k-th largest
+sum cannot be a member. Every possible member is then rescored exactly. The k best of each
+block meet in a window by query. A task holds one block's index and one batch of queries.
 
 Defined results: vectors that are null or hold null, NaN or infinite components take no
 part; a query is compared with vectors of its own length, and with every row but those
 of its own id; of repeated candidates each is a row of its own; a query row that
-is repeated answers once, and of unequal rows with one query id the best k together; ties go to the smaller id; without candidates a query has no rows.
+is repeated answers once, and of unequal rows with one query id the best k together; ties go
+to the smaller id; without candidates a query has no rows. Sums and scores are exact: where
+they could exceed 2^53 in a block, its candidates are scored with integers of any size and
+without the index, and a score beyond 64 bits is given as the nearest 64-bit integer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block of candidates and of queries, levels of a dimension, reads between two proofs.
-CANDIDATES, QUERIES, LEVELS, ROUNDS = 4096, 256, 32, 10
+#: Rows of a block of candidates, levels of a dimension, reads between two proofs.
+CANDIDATES, LEVELS, ROUNDS = 8192, 32, 10
+#: Up to here every integer is a double.
+EXACT, LONG = 1 << 53, (1 << 63) - 1
 
 
 def usable(vector: Column) -> Column:
@@ -35,7 +44,7 @@ class ImpactIndex:
     """Posting segments over the integer vectors of a block."""
 
     def __init__(self, vectors: np.ndarray) -> None:
-        self.vectors = vectors
+        self.vectors = vectors.astype(float)
         n, dims = vectors.shape
         self.low, self.high = vectors.min(0), vectors.max(0)
         span = self.high - self.low + 1
@@ -93,43 +102,82 @@ class ImpactIndex:
         if len(own) == len(ids):
             return ids[:0], ids[:0]
         found = self.possible(query, k, own)
-        scores = self.vectors[found] @ query
+        scores = (self.vectors[found] @ query.astype(float)).astype(np.int64)
         order = np.lexsort((ids[found], -scores))[:k]
         return ids[found][order], scores[order]
 
 
+class Block:
+    """A block's candidates, indexed when its first query comes."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.index: ImpactIndex | None = None
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.parts.append((ids, vectors))
+
+    def answer(self, ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
+        """(query, candidate, score) of the k best of each query, whose components are whole numbers, as the candidates' are."""
+        if not self.parts:
+            return
+        if len(self.parts) > 1 or self.index is None:
+            self.parts = [tuple(np.concatenate(x) for x in zip(*self.parts))]
+            self.most = float(np.abs(self.parts[0][1]).max())
+        held, vectors = self.parts[0]
+        for own, query in zip(ids.tolist(), queries):
+            if self.most * float(np.abs(query).max()) * len(query) >= EXACT or self.most >= EXACT:
+                whole = [int(x) for x in query]
+                scores = ((sum(int(x) * q for x, q in zip(v, whole)), i) for i, v in zip(held.tolist(), vectors) if i != own)
+                yield from ((own, i, max(-LONG - 1, min(LONG, x))) for x, i in sorted(scores, key=lambda s: (-s[0], s[1]))[:k])
+                continue
+            if self.index is None:
+                self.index = ImpactIndex(vectors.astype(np.int64))
+            for i, x in zip(*self.index.best(query.astype(np.int64), k, held, own)):
+                yield own, int(i), int(x)
+
+
 def exact_top_k(
     vectors: DataFrame, is_query: Column, k: int, scale: float = 256.0, id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id``, ``score`` (the integer inner product of floor(scale * x))."""
-    usable_rows = vectors.filter(usable(F.col(vec_col))).select(
-        F.col(id_col).alias("id"),
-        F.transform(vec_col, lambda x: F.floor(x.cast("double") * F.lit(scale)).cast("long")).alias("v"),
-        is_query.alias("asks"),
+    rows = (
+        vectors.filter(usable(F.col(vec_col)))
+        .select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: x.cast("double") * F.lit(scale)).alias("v"), is_query.alias("asks"))
+        .filter(F.col("id").isNotNull() & (F.size("v") > 0))
     )
-    rows = usable_rows.filter(F.col("id").isNotNull() & (F.size("v") > 0)).withColumn("dims", F.size("v"))
-    sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
-    cand_blocks, query_blocks = -(-sizes["n"] // CANDIDATES) or 1, -(-sizes["q"] // QUERIES) or 1
-    dealt = F.xxhash64("id", "v")
-    copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    queries = (
-        rows.filter("asks").select("id", "v", "dims").dropDuplicates()
-        .withColumn("qb", F.pmod(dealt, F.lit(query_blocks))).withColumn("cb", copies(cand_blocks))
+    # Of equal rows no more than k can be among the best, and one asks.
+    distinct = rows.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("times"), F.max("asks").alias("asks")).withColumn("dims", F.size("v"))
+    blocks = -(-vectors.count() // CANDIDATES) or 1
+    numbers = lambda n: F.sequence(F.lit(0), n - 1)
+    candidates = (
+        distinct.withColumn("copy", F.explode(numbers(F.col("times"))))
+        .select("id", "v", "dims", F.pmod(F.xxhash64("id", "v", "copy"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asking"))
     )
-    # Repeated candidates would meet in one block: a salt of their own keeps blocks even.
-    salted = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(cand_blocks))
-    candidates = rows.select("id", "v", "dims", salted.alias("cb")).withColumn("qb", copies(query_blocks))
-
-    def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(asked) and len(held):
-            index, ids = ImpactIndex(np.stack(held["v"])), held["id"].to_numpy()
-            for own_id, query in zip(asked["id"], asked["v"]):
-                found, scores = index.best(np.asarray(query), k, ids, own_id)
-                out += [(own_id, int(i), int(s)) for i, s in zip(found, scores)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    keys = ["qb", "cb", "dims"]
-    parts = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
+    queries = distinct.filter("asks").select("id", "v", "dims", F.explode(numbers(F.lit(blocks))).alias("block"), F.lit(True).alias("asking"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, Block()
+        for batch in batches:
+            keys = [np.asarray(pc.cast(batch.column(name), pa.int64())) for name in ("dims", "block", "asking")]
+            ids, flat = np.asarray(batch.column("id")), np.floor(np.asarray(batch.column("v").flatten()))
+            offsets = np.r_[0, np.cumsum(keys[0])]
+            cuts = np.flatnonzero(np.any([np.diff(x) != 0 for x in keys], axis=0)) + 1
+            out: list[tuple[int, int, int]] = []
+            for a, b in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(ids)].tolist()):
+                if a == b:
+                    continue
+                if at != (keys[0][a], keys[1][a]):
+                    at, held = (keys[0][a], keys[1][a]), Block()
+                some = flat[offsets[a] : offsets[b]].reshape(b - a, -1)
+                if keys[2][a]:
+                    out += held.answer(ids[a:b], some, k)
+                else:
+                    held.add(ids[a:b], some)
+            columns = [pa.array([x[i] for x in out], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+
+    sides = candidates.unionByName(queries).repartition("dims", "block").sortWithinPartitions("dims", "block", "asking")
+    parts = sides.mapInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return parts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

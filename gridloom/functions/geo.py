@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.surface import haversine_km, utm_zone
 
-#: Metres of a degree, as pixel sizes and displacements take it.
+# Metres of a degree, as pixel sizes and displacements take it.
 PIXEL_DEGREE, SHIFT_DEGREE = 111_320.0, 111_000.0
 
 

@@ -22,7 +22,7 @@ from gridloom.operators.validation import hash_number
 from gridloom.plans.process import Registry, registry
 from gridloom.sources import grid
 
-#: Metres of a degree in made imagery and elevation, and sides of made areas in cells.
+# Metres of a degree in made imagery and elevation, and sides of made areas in cells.
 IMAGERY_DEGREE, DEM_DEGREE, IMAGERY_SIDES, DEM_SIDE = 111_319, 111_320, (50, 500), 512
 
 
@@ -41,6 +41,7 @@ def mock_dem(spark: SparkSession, bbox: list[float], resolution: float = 30, see
     west, south, east, north = bbox
     cols, rows = (min(DEM_SIDE, max(1, int((b - a) * DEM_DEGREE / resolution))) for a, b in ((west, east), (south, north)))
     x, y = F.col("col") * 10.0 / max(1, cols - 1), F.col("row") * 10.0 / max(1, rows - 1)
+    # Amplitudes and frequencies of the made surface.
     height = 1000 + 500 * F.sin(x * 0.5) * F.cos(y * 0.3) + 200 * F.sin(x * 1.2) + 300 * F.cos(y * 0.8) + 100 * uniform(seed, "row", "col")
     return cells(spark, rows, cols).withColumn("elevation", height)
 
@@ -50,6 +51,7 @@ def mock_imagery(spark: SparkSession, bbox: list[float], resolution: float = 10,
     west, south, east, north = bbox
     low, high = IMAGERY_SIDES
     cols, rows = (max(low, min(high, int((b - a) * IMAGERY_DEGREE / resolution))) for a, b in ((west, east), (south, north)))
+    # Pattern, gains and range of the made bands.
     base = F.sin(F.col("col") * 5.0 / (cols - 1)) * F.cos(F.col("row") * 5.0 / (rows - 1)) * 0.3 + 0.5
     out = {}
     for k, band in enumerate(bands or ["B02", "B03", "B04", "B08"]):
@@ -60,7 +62,7 @@ def mock_imagery(spark: SparkSession, bbox: list[float], resolution: float = 10,
     return cells(spark, rows, cols).withColumns(out)
 
 
-#: Collections of imagery by name; others are the second level of Sentinel-2.
+# Sensors of collections of imagery; others are the second level of Sentinel-2.
 COLLECTIONS = {"SENTINEL-2-L2A": "sentinel2", "SENTINEL-2-L1C": "sentinel2", "LANDSAT-8": "landsat8", "LANDSAT-8-L1": "landsat8"}
 
 

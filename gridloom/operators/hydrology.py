@@ -9,6 +9,7 @@ from gridloom.operators.focal import disk, offsets_join
 from gridloom.operators.terrain import flow_direction, slope_aspect
 from gridloom.plans.lineage import cut
 
+# The eight neighbours, by row, then column.
 STEPS = [(-1, -1), (-1, 0), (-1, 1), (0, -1), (0, 1), (1, -1), (1, 0), (1, 1)]
 
 

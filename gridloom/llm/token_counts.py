@@ -10,12 +10,15 @@ encoding of its text if and only if every adjacent pair is the encoding of its o
 
 No piece holds a space behind another character, and a character outside the
 alphabet becomes byte tokens that never merge. At both the transducer is back in
-its start state, whatever came before. So the state map of a chunk of text is
-constant behind its first such point, and is kept as (head, count, tail): the
-characters before the first point, the tokens up to the last, the characters behind
-it. Maps compose associatively; a long text's chunk maps are folded pairwise, level
-by level, as in a parallel prefix scan. Segments between two points are themselves
-composed maps from start to start; those seen before are taken from a bounded memo.
+its start state, whatever came before; segments between two such points that were
+seen before are taken from a bounded memo.
+
+A long text is cut into chunks, which are rows of their own, dealt over all tasks. Each
+becomes a state map: from any entry state to the exit state and the tokens counted. A map
+is kept as the run from the start state and, for its first characters, the states on the
+way: a run from another entry state goes on only until it meets that run, from where on
+both are the same. Maps compose associatively; a document's maps are folded pairwise, level
+by level, as in a parallel prefix scan.
 
 Defined results: null counts as empty (0 bytes, 0 tokens); repeated rows each give a
 row; other columns are ignored whatever their names; an empty table stays empty.
@@ -23,18 +26,50 @@ row; other columns are ignored whatever their names; an empty table stays empty.
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import map_texts
+from gridloom.llm.common import cut, map_texts, pieces
 
 FIELDS = {"n_bytes": pa.int64(), "n_tokens": pa.int64()}
 SPACE = "▁"
+#: Characters of a chunk, and of the longest text that isn't cut.
+CHUNK, WHOLE = 1 << 15, 1 << 16
+
+
+#: A state as all workers know it: for each still growing suffix (suffix, last token before it, tokens since), and the last token.
+State = tuple[tuple[tuple[str, str, int], ...], str]
+#: A state, and the tokens up to there.
+Met = tuple[State, int]
+START: State = ((), "")
+
+
+class Part(NamedTuple):
+    """One chunk: whether it begins and ends with a space, the characters before its first point, what the run from the
+    start state met on them, its state and count behind them, and the state and tokens behind the rest, if there is one."""
+
+    begins: bool
+    ends: bool
+    head: str
+    met: tuple[Met, ...]
+    state: State
+    count: int
+    exit: State | None = None
+    tokens: int = 0
+
+
+class ChunkMap(NamedTuple):
+    """The state map of neighbouring chunks: the parts, and where the run from the start state is behind each."""
+
+    parts: list[Part]
+    exits: list[Met]
 
 
 class Memo(dict):
@@ -59,8 +94,8 @@ class PieceTransducer:
     MEMO = 400_000
     #: States that are kept compiled at a time; beyond, compilation starts anew.
     STATES = 300_000
-    #: Characters of a chunk.
-    CHUNK = 1 << 15
+    #: Characters of a chunk for which a map holds the states on the way.
+    MET = 64
 
     def __init__(self, ranks: dict[str, int]) -> None:
         if any(SPACE in piece.lstrip(SPACE) for piece in ranks):
@@ -159,39 +194,89 @@ class PieceTransducer:
         """Tokens of a text that begins and ends at points where the transducer is in its start state."""
         return sum(map(self.memo.__getitem__, self.segments(text)))
 
-    def chunk_map(self, chunk: str) -> tuple[str, int | None, str]:
-        """(head, count, tail); count is None where the chunk has no point, and all is head."""
+    def key(self, k: int) -> State:
+        return self.states[k], self.lasts[k]
+
+    def walk(self, entry: State, segment: str, beside: list[Met] = ()) -> tuple[State, int, int]:
+        """From an entry state over a stretch without a point: the state and the count where the walk ends, and how
+        many characters it took, which are all unless it comes to one of the states ``beside`` after as many."""
+        state, count = self.number(*entry), 0
+        for at, c in enumerate(segment):
+            if at < len(beside) and self.key(state) == beside[at][0]:
+                return self.key(state), count, at
+            move = self.moves[state].get(c)
+            if move is None and c not in self.alphabet:
+                count += len(c.encode())
+                state = 0
+                continue
+            state, change = move or self.compile_move(state, c)
+            count += change
+        return self.key(state), count, len(segment)
+
+    def chunk_map(self, chunk: str) -> ChunkMap:
+        """The state map of a chunk, which isn't empty."""
+        if len(self.states) > self.STATES:
+            self.start()
         first = self.points(chunk)
-        if not first:
-            return chunk, None, ""
-        cut = first.start()
-        space = chunk.rfind(" ")
-        while space > 0 and chunk[space - 1] == " ":  # a run of spaces begins one segment
-            space -= 1
-        last = max(cut, space, -1 if "\n" in self.alphabet else chunk.rfind("\n"))
-        return chunk[:cut], self.count_segments(chunk[cut:last]), chunk[last:]
-
-    def compose(self, a: tuple, b: tuple) -> tuple[str, int | None, str]:
-        if a[1] is None and b[1] is None:
-            return a[0] + b[0], None, ""
-        if b[1] is None:
-            return a[0], a[1], a[2] + b[0]
-        if a[1] is None:
-            return a[0] + b[0], b[1], b[2]
-        return a[0], a[1] + self.count_segments(a[2] + b[0]) + b[1], b[2]
-
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        text = " " + text.replace(SPACE, " ")
-        if len(text) <= self.CHUNK:
-            return self.count_segments(text)
-        maps = [self.chunk_map(text[i : i + self.CHUNK]) for i in range(0, len(text), self.CHUNK)]
+        head = (chunk[: first.start()] if first else chunk).replace(" ", SPACE)
+        met, state, count = [], START, 0
+        for at in range(0, min(len(head), self.MET)):
+            met.append((state, count))
+            state, more, _ = self.walk(state, head[at])
+            count += more
+        state, more, _ = self.walk(state, head[len(met) :])
+        part = Part(chunk[0] == " ", chunk[-1] == " ", head, tuple(met), state, count + more)
+        if first:
+            space = chunk.rfind(" ")
+            while space > 0 and chunk[space - 1] == " ":  # a run of spaces begins one segment
+                space -= 1
+            last = max(first.start(), space, -1 if "\n" in self.alphabet else chunk.rfind("\n"))
+            tail, tokens, _ = self.walk(START, chunk[last:].replace(" ", SPACE))
+            part = part._replace(exit=tail, tokens=self.count_segments(chunk[first.start() : last]) + tokens)
+        return ChunkMap([part], [self.through(part, START)])
+
+    def through(self, part: Part, entry: State) -> tuple[State, int]:
+        """The exit state and the count of one chunk from an entry state."""
+        state, count, at = self.walk(entry, part.head, part.met)
+        if at < len(part.head):  # met the run from the start state
+            state, count = part.state, count + part.count - part.met[at][1]
+        return (state, count) if part.exit is None else (part.exit, count + part.tokens)
+
+    def apply(self, chunks: ChunkMap, entry: State, space: bool) -> list[Met]:
+        """The state and the count behind each chunk, from an entry state and whether a space is before it."""
+        state, total, out = entry, 0, []
+        for n, part in enumerate(chunks.parts):
+            if part.begins and not space:
+                state = START
+            state, count = self.through(part, state)
+            total += count
+            out.append((state, total))
+            known, upto = chunks.exits[n]
+            if state == known:  # from here on the run from the start state
+                return out + [(s, c + total - upto) for s, c in chunks.exits[n + 1 :]]
+            space = part.ends
+        return out
+
+    def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
+        state, count = a.exits[-1]
+        behind = self.apply(b, state, a.parts[-1].ends)
+        return ChunkMap(a.parts + b.parts, a.exits + [(s, c + count) for s, c in behind])
+
+    def fold(self, maps: list[ChunkMap]) -> int:
+        """The tokens of a whole text from the maps of its chunks."""
         while len(maps) > 1:
             pairs = [self.compose(*maps[i : i + 2]) for i in range(0, len(maps) - 1, 2)]
             maps = pairs + maps[len(pairs) * 2 :]
-        head, count, tail = maps[0]
-        return self.count_segments(head) + (count or 0) + self.count_segments(tail)
+        return maps[0].exits[-1][1] if maps else 0
+
+    def count(self, text: str | None) -> int:
+        """Tokens of a text in one run, for texts that aren't cut."""
+        return self.count_segments(prepared(text)) if text else 0
+
+
+def prepared(text: str) -> str:
+    """The text as the transducer reads it; the piece's own space is a space, too."""
+    return " " + text.replace(SPACE, " ")
 
 
 @cache
@@ -201,9 +286,11 @@ def machine_of(model_path: str) -> PieceTransducer:
 
 
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, ``n_bytes`` of UTF-8 and ``n_tokens``. One map stage, no shuffle.
+    """Per row: the id, ``n_bytes`` of UTF-8 and ``n_tokens``.
 
-    The compiled transducer, bounded by the vocabulary and its memo, lives in each
+    Texts of at most WHOLE characters are counted in one map stage without a shuffle. Longer ones
+    are cut into chunk rows, mapped in parallel, and folded in a group for each text, which holds
+    its maps. The compiled transducer, bounded by the vocabulary and its memo, lives in each
     Python worker; ``model_path`` must be readable there.
     """
 
@@ -215,7 +302,36 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
         return kernel
 
-    return map_texts(docs, [id_col], text_col, FIELDS, worker)
+    def chunk_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = machine_of(model_path)
+        for batch in batches:
+            for start, end in pieces(batch.column(4)):
+                some = batch.slice(start, end - start)
+                blobs = [pickle.dumps([*map(tuple, machine.chunk_map(c).parts)]) for c in some.column(4).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*some.columns[:4], pa.array(blobs, pa.binary())], ["row", "id", "n_bytes", "no", "map"])
+
+    def fold(table: pa.Table) -> pa.Table:
+        machine = machine_of(model_path)
+        blobs = sorted(zip(table.column("no").to_pylist(), table.column("map").to_pylist()))
+        parts = [Part(*fields) for _, blob in blobs for fields in pickle.loads(blob)]
+        maps = [ChunkMap([part], [machine.through(part, START)]) for part in parts]
+        first = table.slice(0, 1)
+        return pa.table({id_col: first.column("id"), "n_bytes": first.column("n_bytes"), "n_tokens": pa.array([machine.fold(maps)], pa.int64())})
+
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    is_long = F.coalesce(F.length("text"), F.lit(0)) > WHOLE
+    short = map_texts(slim.filter(~is_long), ["id"], "text", FIELDS, worker).withColumnRenamed("id", id_col)
+    read_as = F.concat(F.lit(" "), F.translate("text", SPACE, " "))
+    # Written, so that rows keep their numbers whatever is lost behind them.
+    chunks = cut(
+        slim.filter(is_long)
+        .withColumn("row", F.monotonically_increasing_id())
+        .select("row", "id", F.octet_length("text").cast("long").alias("n_bytes"), F.posexplode(F.regexp_extract_all(read_as, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).alias("no", "chunk"))
+    )
+    id_type = slim.schema["id"].dataType.simpleString()
+    maps = chunks.repartition("row", "no").mapInArrow(chunk_maps, f"row long, id {id_type}, n_bytes long, no int, map binary")
+    folded = maps.groupBy("row").applyInArrow(fold, f"`{id_col}` {id_type}, n_bytes long, n_tokens long")
+    return short.unionByName(folded)
 
 
 def over_limit(counted: DataFrame, limit: int) -> DataFrame:

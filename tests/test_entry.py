@@ -13,6 +13,8 @@ SAMPLE = [
     "gabor_response", "glcm_d1_a45", "resample_mode", "mosaic_first", "impute_median", "scale_robust", "feature_quality", "correlation_pairs", "stratified_split", "stratified_folds", "prf1_mcc_kappa",
     "roc_auc", "pr_curve", "calibration_bins", "regression_metrics", "idw_surface", "nearest_training_distance", "zone_stats", "surface_stats", "season_composite", "event_windows", "continuum_removal",
 ]
+#: Their windows are wider than the smallest grid, whose mirror image the SQL doesn't repeat.
+WIDE = {"multiscale_terrain", "gabor_response"}
 MORE = sorted(k for k in ORACLE_SQL if k not in catalogue.FIRST)
 
 
@@ -27,9 +29,10 @@ def test_oracles_belong_to_queries():
 @pytest.mark.parametrize("name", [*SAMPLE, *MORE])
 def test_matches_sql(spark, name):
     con = duckdb.connect()
+    sf = SF.replace("0.001", "0.01") if name in WIDE else SF
     for t in ("lineitem", "part", "events", "pages"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    got = QUERIES[name](spark, SF)
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    got = QUERIES[name](spark, sf)
     want = con.execute(ORACLE_SQL[name])
     order = [x[0] for x in want.description]
     assert sorted(order) == sorted(got.columns)

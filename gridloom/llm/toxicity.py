@@ -3,14 +3,15 @@
 1. Voters. Fixed lexicon and pattern voters, and lexicon voters mined from labelled
    training rows: words and word beginnings that mark toxic rows and no others.
 2. Label model. Every document's votes, over all documents, are summed to one row per vote
-   pattern. Expectation maximisation over the patterns estimates the class balance and each
-   voter's accuracy in both classes; the votes' correlations within the toxic class discount
-   voters that say the same. This gives each document a posterior label.
-3. Classifier. A linear classifier over the words and word beginnings that tell most in the
-   labelled rows and those of the lexicons (at most ``VOCABULARY``; a word counts once, a
-   beginning by its share of the words; L1-regularised) is trained on the posterior labels of a bounded
-   sample of documents (``TRAIN_ROWS``) and of the labelled rows, whose posterior is their
-   label; then it scores every whole text.
+   pattern. The model is generative: a class, and in each class a forest of voters in which a
+   voter depends on the class and on the voter that it correlates with most. Expectation
+   maximisation over the patterns estimates the class balance, each voter's accuracy and these
+   correlations, so voters that say the same count once. This gives each document a posterior.
+3. Classifier. A linear classifier over words and word beginnings (a word counts once, a
+   beginning by its share of the words; L1-regularised) is trained on the posterior labels of a
+   bounded sample of distinct texts (``TRAIN_ROWS``) and of the labelled rows, whose posterior is
+   their label. Its features are those that tell most about these posteriors, of both classes
+   (at most ``VOCABULARY``), and the lexicons; then it scores every whole text.
 
 What passes the driver is bounded by parameters: the mined features, the sums of the label
 model (voters squared), and the classifier's weights. Labels are read of training rows only
@@ -21,7 +22,7 @@ Defined results: null counts as empty; empty texts get the classifier's score of
 without labelled toxic rows only the fixed voters vote, and without any posterior label of
 one class the score is the class balance; a null id is held out; repeated rows each give a
 row; rows of ``labels`` without a label are ignored, and of conflicting ones 1 wins; other
-columns are ignored; an empty table stays empty.
+columns are ignored, or carried as one struct, whatever their names; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,14 +44,19 @@ from gridloom.llm.common import cut, map_texts
 
 #: Bounds of the labelled rows that voters are mined from and of the classifier's training rows.
 LABELLED_ROWS, TRAIN_ROWS = 12_000, 4_000
-#: Mined voters, the fewest toxic rows that a mined feature marks, features of the classifier.
-MINED, SUPPORT, VOCABULARY = 44, 2, 4096
-#: Tasks over vote patterns, and over the classifier's bounded training rows.
-TASKS = 16
+#: Mined voters and features of the classifier at most; the share of toxic rows among those that a mined voter
+#: marks; the share of a voter's evidence that a feature of the classifier needs.
+MINED, VOCABULARY, PURE, LOOSE = 178, 4096, 0.8, 0.4
+#: Rows that a voter's rate without its parent counts for, where its rate with it is estimated.
+PRIOR = 4.0
+#: Tasks over vote patterns, over the bounded training rows (as many as shuffle partitions, up to this), and in the
+#: classifier's many short rounds.
+TASKS, SAMPLE_TASKS, FIT_TASKS = 16, 32, 3
 #: Share of a text's words from which on a beginning is dense.
 SHARE = 0.01
 #: Lengths of word beginnings that are features.
 BEGINNINGS = range(3, 7)
+SHORTEST = BEGINNINGS[0]
 
 # Lexicon voters.
 LEXICONS = (
@@ -81,8 +87,14 @@ PATTERNS: tuple[Callable[[str], bool], ...] = (
 class Known(dict):
     """What is made of a word, kept for words met before, emptied when full."""
 
-    def __init__(self, make: Callable[[str], tuple], most: int = 400_000) -> None:
+    def __init__(self, make: Callable[[str], tuple], features: Iterable[str], most: int = 50_000) -> None:
         self.make, self.most = make, most
+        #: How words begin that can say something: most words are told apart by this alone, and are not kept.
+        self.begins = {f.strip("=+")[:SHORTEST] for f in features}
+
+    def telling(self, words: Iterable[str]) -> list[str]:
+        """The words that say something."""
+        return [w for w in words if w[:SHORTEST] in self.begins and self[w]]
 
     def __missing__(self, word: str) -> tuple:
         if len(self) >= self.most:
@@ -146,7 +158,7 @@ class Voters:
     def __init__(self, mined: list[str]) -> None:
         self.mined = {feature: 1 << k for k, feature in enumerate(mined)}
         self.n = len(mined) + len(LEXICONS) + len(PATTERNS)
-        self.words = Known(self.of_word)
+        self.words = Known(self.of_word, [*mined, *[w for lexicon in LEXICONS for w in lexicon]])
 
     def of_word(self, word: str) -> tuple:
         """The bits that a word sets alone and its features that want a share; empty where it says nothing."""
@@ -163,7 +175,7 @@ class Voters:
         low = text.lower()
         words = words_of(low)
         bits, several = 0, Counter()
-        for word in filter(self.words.__getitem__, set(words)):
+        for word in self.words.telling(set(words)):
             alone, more = self.words[word]
             bits |= alone
             for feature in more:
@@ -176,72 +188,104 @@ class Voters:
                 bits |= 1 << len(self.mined) + len(LEXICONS) + k
         return bits
 
+    def votes(self, texts: list[str | None]) -> list[bytes]:
+        """Each text's votes as a bitmap."""
+        return [self.vote(t).to_bytes(-(-self.n // 8), "little") for t in texts]
+
 
 @dataclass
 class LabelModel:
-    """P(toxic), each voter's rate of votes in both classes, and its discount."""
+    """P(toxic), the voter that each voter depends on (or -1), and by class, parent's vote, voter and
+    own vote the logarithm of how likely that vote is."""
 
     balance: float
-    toxic: np.ndarray
-    clean: np.ndarray
-    discount: np.ndarray
+    parent: np.ndarray
+    logs: np.ndarray
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         """votes: rows of 0 and 1."""
-        yes, no = np.log(self.toxic / self.clean), np.log((1 - self.toxic) / (1 - self.clean))
-        logit = math.log(self.balance / (1 - self.balance)) + votes @ (self.discount * yes) + (1 - votes) @ (self.discount * no)
+        above = np.c_[votes, np.zeros(len(votes), votes.dtype)][:, self.parent]
+        tell = (self.logs[1] - self.logs[0])[above, np.arange(votes.shape[1]), votes]
+        logit = math.log(self.balance / (1 - self.balance)) + tell.sum(1)
         return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
 
 
-def unpacked(bits: np.ndarray, n: int) -> np.ndarray:
-    return (bits[:, None] >> np.arange(n, dtype=np.int64)) & 1
+def forest(joint: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The parent of each voter (or -1) in the forest of greatest mutual information, the classes counting alike.
 
+    joint: by class, how often two voters vote together (how often one does on the diagonal)."""
+    n = joint.shape[1]
+    shared = np.zeros((n, n))
+    for m, total in zip(joint, np.maximum(counts, 1.0)):
+        p = np.clip(np.diag(m) / total, 1e-9, 1 - 1e-9)
+        both = np.clip(m / total, 0, 1)
+        for q, a, b in ((both, p[:, None], p[None]), (p[:, None] - both, p[:, None], 1 - p[None]), (p[None] - both, 1 - p[:, None], p[None]), (1 - p[:, None] - p[None] + both, 1 - p[:, None], 1 - p[None])):
+            q = np.clip(q, 0, 1)
+            shared += np.where(q > 1e-12, q * np.log(np.maximum(q, 1e-12) / (a * b)), 0.0)
+    np.fill_diagonal(shared, 0)
+    parent, gain, done = np.full(n, -1), np.zeros(n), np.zeros(n, bool)
+    for _ in range(n):  # the next voter is the one that shares most with a voter already there
+        k = int(np.argmax(np.where(done, -1.0, gain)))
+        done[k] = True
+        better = ~done & (shared[k] > gain) & (shared[k] > 1e-3)
+        parent[better], gain[better] = k, shared[k][better]
+    return parent
 
-def mine_features(labelled: DataFrame) -> tuple[list[str], list[str]]:
-    """From (text, toxic): voters, which mark toxic rows and hardly any others, and the
-    classifier's vocabulary, both with the most telling first.
 
-    Each task counts its own rows, the counts meet in one aggregate, and the top comes back.
-    """
+def unpacked(bitmaps: list[bytes], n: int) -> np.ndarray:
+    """Rows of 0 and 1 from bitmaps of n votes."""
+    rows = np.frombuffer(b"".join(bitmaps), np.uint8).reshape(len(bitmaps), -1)
+    return np.unpackbits(rows, axis=1, bitorder="little")[:, :n].astype(np.int64)
+
+
+def feature_sums(rows: DataFrame, features: Callable[[str | None], Iterable[str]]) -> DataFrame:
+    """From (text, weight): per feature the weights of the rows that have it, as ``toxic``, and what they leave
+    of 1, as ``clean``. Each task counts its own rows, and the counts meet in one aggregate."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = Counter(), Counter()
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[toxic].update(votes_of(text))
-        # A feature of clean rows alone can't be mined, wherever else it occurs.
-        names = list(seen[1])
-        rare = [f for f in seen[0] if f not in seen[1]]
+            for text, weight in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for feature in features(text):
+                    seen[0][feature] += 1
+                    if weight:
+                        seen[1][feature] += weight
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(names + rare, pa.string()),
-                pa.array([seen[1][f] for f in names] + [0] * len(rare), pa.int64()),
-                pa.array([seen[0][f] for f in names + rare], pa.int64()),
-            ],
-            ["feature", "toxic", "clean"],
+            [pa.array(list(seen[0]), pa.string()), pa.array([seen[1][f] for f in seen[0]], pa.float64()), pa.array([float(x) for x in seen[0].values()], pa.float64())],
+            ["feature", "toxic", "all"],
         )
 
-    sums = (
-        labelled.select("text", F.col("toxic").cast("int").alias("toxic"))
-        .mapInArrow(count, "feature string, toxic long, clean long")
-        .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    )
-    totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = totals.get(1, 0), totals.get(0, 0)
-    smooth = lambda c, n: (F.col(c) + 0.5) / (n + 1)
-    odds = F.log(smooth("toxic", n1)) - F.log(smooth("clean", n0))
-    gain = F.col("toxic") * odds  # coverage at its precision
+    made = rows.select("text", F.col("weight").cast("double")).mapInArrow(count, "feature string, toxic double, all double")
+    # To six places, so that the order of the sums tells nothing.
+    toxic, total = F.round(F.sum("toxic"), 6), F.sum("all")
+    return made.groupBy("feature").agg(toxic.alias("toxic"), F.round(total - toxic, 6).alias("clean"))
+
+
+def evidence(rows: DataFrame, sums: DataFrame) -> tuple[Column, Column, float]:
+    """For a feature's sums: whether it leans to toxic, the evidence that it isn't by chance that its rows are of one
+    class rather than the other (a bound of the logarithm of that chance, below 0), and the evidence that is needed
+    for less than one feature of all to pass by chance."""
+    total = rows.agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("toxic"), F.count("*").alias("n")).first()
+    base = (total["toxic"] + 0.5) / (total["n"] + 1)
+    n = F.col("toxic") + F.col("clean")
+    share = F.greatest(F.least(F.col("toxic") / n, F.lit(1 - 1e-9)), F.lit(1e-9))
+    found = n * (share * F.log(share / base) + (1 - share) * F.log((1 - share) / (1 - base)))
+    return share > base, F.round(found, 6), math.log(max(sums.count(), 1) + 1)
+
+
+def mine_voters(labelled: DataFrame) -> list[str]:
+    """From (text, weight 0 or 1): features that mark toxic rows and hardly any others, the most telling first."""
+    sums = cut(feature_sums(labelled, votes_of))
+    toxic, found, least = evidence(labelled, sums)
     telling = (
-        sums.withColumn("odds", odds).filter((F.col("toxic") >= SUPPORT) & (F.col("odds") > 1.5))
-        .orderBy(gain.desc(), F.length("feature").desc(), "feature")
+        sums.withColumn("found", found).filter(toxic & (F.col("found") >= least) & (F.col("toxic") >= PURE * (F.col("toxic") + F.col("clean"))))
+        .orderBy(F.col("found").desc(), F.length("feature").desc(), "feature")
         .limit(VOCABULARY)
         .collect()
     )
-    known = [f"={w}" for lexicon in LEXICONS for w in sorted(lexicon)]
-    vocabulary = list(dict.fromkeys([*known, *[r["feature"].rstrip("+") for r in telling]]))
-    chosen: list[tuple[str, int]] = []
+    chosen: list[tuple[str, float]] = []
     features: list[str] = []
-    for r in (r for r in telling if r["odds"] > 3):
+    for r in telling:
         # Of a word and its beginnings that mark about the same rows one is enough.
         bare = r["feature"].strip("=+")
         kin = [n for x, n in chosen if bare.startswith(x) or x.startswith(bare)]
@@ -250,18 +294,30 @@ def mine_features(labelled: DataFrame) -> tuple[list[str], list[str]]:
             features.append(r["feature"])
         if len(features) == MINED:
             break
-    return features, vocabulary
+    return features
+
 
+def mine_vocabulary(sample: DataFrame) -> list[str]:
+    """From (text, weight): the words of the lexicons, and of each class the features that tell most."""
+    sums = cut(feature_sums(sample, lambda text: by_feature(counted(text)[0])))
+    toxic, found, least = evidence(sample, sums)
+    names = [f"={w}" for lexicon in LEXICONS for w in sorted(lexicon)]
+    for side in (toxic, ~toxic):
+        top = sums.withColumn("found", found).filter(side & (F.col("found") >= least * LOOSE)).orderBy(F.col("found").desc(), F.length("feature").desc(), "feature")
+        names += [r[0] for r in top.select("feature").limit(VOCABULARY // 2).collect()]
+    return list(dict.fromkeys(names))
 
-def moments(patterns: DataFrame, n: int, posterior: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> tuple[float, np.ndarray, float, np.ndarray]:
-    """Rows and vote-by-vote sums of each class, over all patterns; each task sums its own."""
+
+def moments(patterns: DataFrame, n: int, posterior: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """By class (clean, toxic) vote-by-vote sums, with the rows in place 0, over all patterns; each task sums its own."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, n + 1, n + 1))
         for batch in batches:
-            bits, rows, labelled, marked = (np.asarray(batch.column(i)) for i in range(4))
-            votes = np.c_[np.ones((len(bits), 1)), unpacked(bits, n)]
-            p = posterior(bits, labelled, marked)
+            rows, labelled, marked = (np.asarray(batch.column(i)) for i in range(1, 4))
+            found = unpacked(batch.column(0).to_pylist(), n)
+            votes = np.c_[np.ones((len(found), 1)), found]
+            p = posterior(found, labelled, marked)
             total[1] += votes.T @ (votes * (rows * p)[:, None])
             total[0] += votes.T @ (votes * (rows * (1 - p))[:, None])
         c, i, j = np.nonzero(np.triu(total))
@@ -272,8 +328,7 @@ def moments(patterns: DataFrame, n: int, posterior: Callable[[np.ndarray, np.nda
     total = np.zeros(2 * (n + 1) ** 2)
     for r in patterns.coalesce(TASKS).mapInArrow(sums, "cell int, sum double").groupBy("cell").agg(F.sum("sum").alias("sum")).collect():
         total[r["cell"]] = r["sum"]
-    clean, toxic = (m + np.triu(m, 1).T for m in total.reshape(2, n + 1, n + 1))
-    return float(toxic[0, 0]), toxic, float(clean[0, 0]), clean
+    return np.round(np.stack([m + np.triu(m, 1).T for m in total.reshape(2, n + 1, n + 1)]), 6)
 
 
 def fit_label_model(votes: DataFrame, n: int, rounds: int = 4) -> LabelModel:
@@ -287,37 +342,41 @@ def fit_label_model(votes: DataFrame, n: int, rounds: int = 4) -> LabelModel:
         .select("bits", F.col("rows").cast("double").alias("rows"), F.col("known").isNotNull().alias("l"), F.coalesce("known", F.lit(0)).cast("double").alias("m"))
     )
 
-    def model_of(sums: tuple[float, np.ndarray, float, np.ndarray]) -> LabelModel:
-        n1, toxic, n0, clean = sums
-        rates = lambda m, k: np.clip((np.diag(m)[1:] + 0.05) / (k + 1), 1e-5, 1 - 1e-5)
-        t, c = rates(toxic, n1), rates(clean, n0)
-        c = np.minimum(c, np.maximum(1e-5, t * 0.999))  # a voter is never a sign of the other class
-        joint = toxic[1:, 1:] / max(n1, 1)
-        spread = np.sqrt(t * (1 - t))
-        correlation = (joint - np.outer(t, t)) / np.maximum(np.outer(spread, spread), 1e-9)
-        np.fill_diagonal(correlation, 0)
-        discount = 1 / (1 + np.clip(correlation, 0, 1).sum(1))
-        return LabelModel(min(0.5, max(1e-4, (n1 + 1) / (n1 + n0 + 2))), t, c, np.maximum(discount, 0.34))
-
-    def start(bits: np.ndarray, labelled: np.ndarray, marked: np.ndarray) -> np.ndarray:
-        agree = unpacked(bits, n).sum(1)
+    def model_of(sums: np.ndarray) -> LabelModel:
+        counts, joint = sums[:, 0, 0], sums[:, 1:, 1:]
+        parent = forest(joint, counts)
+        alone = np.stack([np.clip((np.diag(m) + 0.05) / (k + 1), 1e-5, 1 - 1e-5) for m, k in zip(joint, counts)])
+        with_parent = np.stack([np.where(parent >= 0, m[np.arange(n), parent], 0.0) for m in joint])
+        above = np.stack([np.where(parent >= 0, np.diag(m)[parent], 0.0) for m in joint])
+        own = np.stack([np.diag(m) for m in joint])
+        rate = lambda hits, rows: (np.maximum(hits, 0) + PRIOR * alone) / (np.maximum(rows, 0) + PRIOR)
+        # By parent's vote and class; a voter without a parent has its own rate.
+        yes = np.stack([np.where(parent >= 0, rate(own - with_parent, counts[:, None] - above), alone), np.where(parent >= 0, rate(with_parent, above), alone)])
+        yes = np.clip(yes, 1e-5, 1 - 1e-5)
+        yes[:, 0] = np.minimum(yes[:, 0], np.maximum(1e-5, yes[:, 1] * 0.999))  # a voter is never a sign of the other class
+        logs = np.log(np.stack([1 - yes, yes], axis=-1)).transpose(1, 0, 2, 3)
+        return LabelModel(min(0.5, max(1e-4, (counts[1] + 1) / (counts.sum() + 2))), parent, logs)
+
+    def start(found: np.ndarray, labelled: np.ndarray, marked: np.ndarray) -> np.ndarray:
+        agree = found.sum(1)
         return np.where(labelled, marked, np.where(agree >= 2, 0.9, np.where(agree == 1, 0.5, 0.02)))
 
     model = model_of(moments(patterns, n, start))
     for _ in range(rounds):
         current = model
-        model = model_of(moments(patterns, n, lambda bits, labelled, marked: np.where(labelled, marked, current.posterior(unpacked(bits, n)))))  # noqa: B023
+        model = model_of(moments(patterns, n, lambda found, labelled, marked: np.where(labelled, marked, current.posterior(found))))  # noqa: B023
     return model
 
 
 def fit_classifier(sample: DataFrame, vocabulary: dict[str, int]) -> tuple[dict[str, float], float]:
-    """Weights and intercept from (text, posterior); each row counts for both classes by its posterior."""
+    """Weights and intercept from (text, weight); each row counts for both classes by its posterior, the weight."""
 
     @F.udf(VectorUDT())
     def vector(text: str | None) -> SparseVector:
         return SparseVector(len(vocabulary), values_of(text, vocabulary))
 
-    rows = cut(sample.repartition(TASKS).select(vector("text").alias("features"), "posterior"))
+    rows = cut(sample.select(vector("text").alias("features"), F.col("weight").alias("posterior")))
+    rows = rows.coalesce(FIT_TASKS)
     both = rows.withColumn("label", F.lit(1.0)).withColumn("weight", F.col("posterior")).unionByName(
         rows.withColumn("label", F.lit(0.0)).withColumn("weight", 1 - F.col("posterior"))
     ).filter(F.col("weight") > 1e-3)
@@ -339,12 +398,12 @@ def score_texts(docs: DataFrame, held: dict[str, float], intercept: float, keep:
             alone, more = held.get(first, 0.0), tuple(f for f in rest if f in held)
             return (alone, more) if alone or more else ()
 
-        known = Known(of_word)
+        known = Known(of_word, held)
 
         def score(text: str | None) -> float:
             words = words_of((text or "").lower())
             logit, shares = intercept, Counter()
-            for word in sorted(filter(known.__getitem__, set(words))):  # sorted: sums in one order
+            for word in sorted(known.telling(set(words))):  # sorted: sums in one order
                 alone, more = known[word]
                 logit += alone
                 for feature in more:
@@ -359,13 +418,13 @@ def score_texts(docs: DataFrame, held: dict[str, float], intercept: float, keep:
 
 
 def boundary(scored: DataFrame) -> float:
-    """The logit that parts (toxic, score) with the fewest errors; 0 without rows of both labels.
+    """The logit that parts (weight 0 or 1, score) with the fewest errors; 0 without rows of both labels.
 
     From a histogram of 400 logits, so what comes back is bounded; of equal cuts the middle.
     """
     logit = F.log(F.col("score") + 1e-9) - F.log(1 - F.col("score") + 1e-9)
     bins = np.zeros((2, 401))
-    for r in scored.groupBy("toxic", F.round((F.greatest(F.least(logit, F.lit(10.0)), F.lit(-10.0)) + 10) * 20).cast("int").alias("bin")).count().collect():
+    for r in scored.groupBy(F.col("weight").cast("int").alias("toxic"), F.round((F.greatest(F.least(logit, F.lit(10.0)), F.lit(-10.0)) + 10) * 20).cast("int").alias("bin")).count().collect():
         bins[r["toxic"], r["bin"]] += r["count"]
     if not bins.sum(1).all():
         return 0.0
@@ -374,58 +433,58 @@ def boundary(scored: DataFrame) -> float:
     return float(np.median(best)) / 20 - 10
 
 
+def sampled(slim: DataFrame, votes: DataFrame) -> DataFrame:
+    """(text) of TRAIN_ROWS distinct texts, those of the smallest hashes: copies count once, and reruns agree."""
+    last = votes.select("pick").distinct().orderBy("pick").limit(TRAIN_ROWS).agg(F.max("pick")).first()[0]
+    pick = F.xxhash64("text", F.lit(5))
+    return slim.filter(pick <= F.lit(last)).groupBy(pick.alias("pick")).agg(F.first("text").alias("text")).select("text")
+
+
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    keep: list[str] | None = None,
+    carry: bool = False,
 ) -> DataFrame:
-    """Per row: the columns ``keep`` (the id unless given), ``held_out``, ``score`` and ``predicted``."""
-    keep = keep or [id_col]
+    """Per row: the id, ``held_out``, ``score`` and ``predicted``; with ``carry`` all columns of the row as a
+    struct ``row`` in place of the id."""
     known = (
         labels.filter(~held_out(F.col(id_col)) & F.col(label_col).isin(0, 1))
         .groupBy(F.col(id_col).alias("label_id")).agg(F.max(F.col(label_col)).cast("int").alias("known"))
     )
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    chosen = known.orderBy(F.xxhash64("label_id")).limit(LABELLED_ROWS)
-    labelled = cut(slim.join(chosen, slim["id"] == chosen["label_id"]).select("text", F.col("known").alias("toxic")))
-    mined, vocabulary = mine_features(labelled)
+    tasks = min(SAMPLE_TASKS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chosen = known.orderBy(F.xxhash64("label_id"), "label_id").limit(LABELLED_ROWS)
+    labelled = cut(slim.join(chosen, slim["id"] == chosen["label_id"]).select("text", F.col("known").cast("double").alias("weight")).repartition(tasks))
+    mined = mine_voters(labelled)
     n = Voters(mined).n
 
     def worker() -> Callable[[list], dict[str, list]]:
         voters = Voters(mined)
-        return lambda texts: {"bits": [voters.vote(t) for t in texts]}
+        return lambda texts: {"bits": voters.votes(texts)}
 
     votes = cut(
-        map_texts(slim.withColumn("pick", F.xxhash64("text")), ["id", "pick"], "text", {"bits": pa.int64()}, worker)
-        .join(known, F.col("id") == F.col("label_id"), "left").select("id", "pick", "bits", "known")
+        map_texts(slim.withColumn("pick", F.xxhash64("text", F.lit(5))), ["id", "pick"], "text", {"bits": pa.binary()}, worker)
+        .join(known, F.col("id") == F.col("label_id"), "left").select("pick", "bits", "known")
     )
     model = fit_label_model(votes, n)
-    total = votes.count()
-    share = min(1.0, TRAIN_ROWS / max(1, total))
-    # A text's hash picks it, so copies are picked together and reruns agree.
-    fraction = F.pmod(F.xxhash64("text", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = slim.filter(fraction < share).limit(2 * TRAIN_ROWS).select("text")
 
     def posteriors() -> Callable[[list], dict[str, list]]:
         voters = Voters(mined)
-
-        def kernel(texts: list) -> dict[str, list]:
-            bits = np.array([voters.vote(t) for t in texts], np.int64)
-            return {"posterior": model.posterior(unpacked(bits, n)).tolist()}
-
-        return kernel
-
-    sample = map_texts(picked.withColumn("t", F.col("text")), ["text"], "t", {"posterior": pa.float64()}, posteriors)
-    marked = labelled.select("text", F.col("toxic").cast("double").alias("posterior"))
-    weights, intercept = fit_classifier(sample.unionByName(marked), {f: k for k, f in enumerate(vocabulary)})
-    intercept -= boundary(score_texts(labelled, weights, intercept, ["toxic"], "text"))
-    scored = score_texts(docs.withColumn("__id", F.col(id_col)), weights, intercept, [*keep, "__id"], text_col)
+        return lambda texts: {"weight": model.posterior(unpacked(voters.votes(texts), n)).tolist()}
+
+    sample = map_texts(sampled(slim, votes), ["text"], "text", {"weight": pa.float64()}, posteriors)
+    sample = cut(sample.unionByName(labelled).repartition(tasks))
+    weights, intercept = fit_classifier(sample, {f: k for k, f in enumerate(mine_vocabulary(sample))})
+    intercept -= boundary(score_texts(labelled, weights, intercept, ["weight"], "text"))
+    rows = docs.select(F.struct(*docs.columns).alias("row")) if carry else slim
+    scored = score_texts(rows, weights, intercept, ["row" if carry else "id"], f"row.{text_col}" if carry else "text")
+    id_of = F.col("row")[id_col] if carry else F.col("id")
     return scored.select(
-        *keep,
-        held_out(F.col("__id")).alias("held_out"),
+        "row" if carry else F.col("id").alias(id_col),
+        held_out(id_of).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

@@ -20,9 +20,10 @@ result is each document's component. The steps:
 No step is approximate: the order only has to be the same everywhere, and every bound is a
 proof. Lists are never expanded into pairs of documents; the rows of steps 2 and 3 follow
 the prefix tokens times leaders or groups. Frequent tokens, whose lists may hold a third of
-all documents, are counted by partial aggregates apart from the others. Broadcast or sent
-to tasks are the frequent tokens and a bitmap, both bounded by parameters; the bitmap only
-spares work. Whole sets are made again from the texts where they are compared, of classes
+all documents, are counted by partial aggregates apart from the others. A large group, which
+may hold a third of all classes, is dealt over parts in every join on the group. Broadcast or
+sent to tasks are the frequent tokens, the ids of the largest groups and a bitmap, all bounded
+by parameters; the bitmap only spares work. Whole sets are made again from the texts where they are compared, of classes
 that are in a pair alone.
 
 Defined results: null and texts without words have no shingles, are linked with nothing and
@@ -33,24 +34,27 @@ empty table stays empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut
+from gridloom.llm.common import cut, pieces, release
 
 #: Frequent tokens, leaders of a class, bits of the bitmap, bytes of text hashed at a time.
-FREQUENT, LEADERS, BITMAP, STRETCH = 50_000, 1, 1 << 23, 1 << 21
-#: Tokens counted at a time by a task, the fewest counts that it reports.
-COUNTED, LOCAL = 4_000_000, 3
+FREQUENT, LEADERS, BITMAP, STRETCH = 50_000, 1, 1 << 23, 1 << 18
+#: Tokens counted at a time by a task, the fewest counts that it reports, tokens of whole sets sent at a time.
+COUNTED, LOCAL, SENT = 4_000_000, 3, 250_000
+#: Groups of at least so many classes are dealt over parts where rows meet them; how many groups at most (the
+#: largest; every other holds less than a share of 1 / LARGE of all classes), and over how many parts.
+LARGE_MEMBERS, LARGE, PARTS = 256, 20_000, 64
 HOT = 1 << 62
 WORDS = 5
 
-LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-IS_WORD = np.array([c != 32 and not 9 <= c <= 13 for c in range(256)])
+#: A-Z to a-z, white space to spaces.
+LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
 
@@ -67,42 +71,41 @@ PLACE = mix(np.arange(1001, 1001 + WORDS, dtype=np.uint64)) | np.uint64(1)
 
 
 class Shingler:
-    """Sorted distinct shingle hashes of texts, many texts at a time."""
+    """Sorted distinct shingle hashes of texts, a stretch of text at a time."""
 
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
+        self.up, self.down = powers(2 * STRETCH)
 
-    def powers(self, n: int) -> None:
-        if len(self.up) < n:
-            self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, np.uint64)]) for b in (STEP, BACK))
-
-    def sets(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+    def sets(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         held: list[bytes] = []
         size = 0
         for text in texts:
             raw = (text or "").encode().translate(LOWER)
             if held and size + len(raw) > STRETCH:
-                yield from self.stretch(held)
+                yield from self.shingles(*self.words(held))
                 held, size = [], 0
-            held.append(raw)
-            size += len(raw) + 1
-        yield from self.stretch(held)
-
-    def stretch(self, raws: list[bytes]) -> Iterator[np.ndarray]:
-        if not raws:
-            return
-        buffer = np.frombuffer(b"\n" + b"\n".join(raws) + b"\n", np.uint8)
-        self.powers(len(buffer) + 1)
-        inside = IS_WORD[buffer].astype(np.int8)
-        edges = np.diff(inside)
+            if len(raw) > STRETCH:  # a long text is hashed in stretches that end between words
+                parts = [self.words([p])[0] for p in stretches(raw)]
+                words = np.concatenate(parts)
+                yield from self.shingles(words, np.array([0, len(words)]))
+            else:
+                held.append(raw)
+                size += len(raw) + 1
+        yield from self.shingles(*self.words(held))
+
+    def words(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all words of texts whose white space is spaces, and where each text's words begin and end."""
+        buffer = np.frombuffer(b" " + b" ".join(raws) + b" ", np.uint8)
+        up, down = (self.up, self.down) if len(buffer) < len(self.up) else powers(len(buffer) + 1)
+        edges = np.diff((buffer != 32).astype(np.int8))
         starts, ends = np.flatnonzero(edges == 1) + 1, np.flatnonzero(edges == -1) + 1
         sums = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum(BYTE[buffer] * self.up[: len(buffer)], out=sums[1:])
-        words = mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
-        limits = np.cumsum([len(r) + 1 for r in raws])
-        cuts = np.searchsorted(starts, np.r_[0, limits])  # where each text's words begin
-        n = len(words) - WORDS + 1
-        rows = np.zeros(max(n, 0), np.uint64)
+        np.cumsum(BYTE[buffer] * up[: len(buffer)], out=sums[1:])
+        words = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+        return words, np.searchsorted(starts, np.cumsum([0] + [len(r) + 1 for r in raws]))
+
+    def shingles(self, words: np.ndarray, cuts: np.ndarray) -> Iterator[np.ndarray]:
+        rows = np.zeros(max(len(words) - WORDS + 1, 0), np.uint64)
         for j in range(WORDS):
             rows += words[j : j + len(rows)] * PLACE[j]
         rows = mix(rows) >> np.uint64(2)
@@ -116,6 +119,29 @@ class Shingler:
                 yield rows[:0]
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    up, down = (np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, np.uint64)]) for b in (STEP, BACK))
+    return up, down
+
+
+def stretches(raw: bytes) -> Iterator[bytes]:
+    """A text in pieces of about STRETCH bytes, cut at spaces; a longer word stays whole."""
+    at = 0
+    while at < len(raw):
+        end = len(raw) if len(raw) - at <= STRETCH else raw.rfind(b" ", at + 1, at + STRETCH)
+        if end < 0:
+            end = raw.find(b" ", at + STRETCH)
+        end = len(raw) if end < 0 else end
+        yield raw[at:end]
+        at = end
+
+
+def texts_of(column: pa.Array) -> Iterator[str | None]:
+    """The texts of an Arrow column, some of them as Python strings at a time."""
+    for start, end in pieces(column):
+        yield from column.slice(start, end - start).to_pylist()
+
+
 def list_array(parts: list[np.ndarray]) -> pa.ListArray:
     offsets = np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int32)
     values = np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
@@ -129,26 +155,35 @@ def keys_of(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix(tokens + np.uint64(s)).sum().astype(np.int64)) for s in (1, 2))
 
 
+def repeated(tokens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens that occur so often, and how often; sorts its input in place."""
+    tokens.sort()
+    often = np.unique(tokens[: len(tokens) - least + 1][tokens[least - 1 :] == tokens[: len(tokens) - least + 1]])
+    return often, np.searchsorted(tokens, often, "right") - np.searchsorted(tokens, often)
+
+
 def frequent_tokens(texts: DataFrame) -> np.ndarray:
     """At most FREQUENT tokens in the most documents. Each task counts all its documents'
-    tokens, a stretch at a time, and reports those it met LOCAL times; these counts are summed."""
+    tokens, a stretch at a time in one buffer, and reports those it met LOCAL times; these counts are summed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, held, size = Shingler(), [], 0
+        shingler, held, size = Shingler(), np.empty(COUNTED, np.uint64), 0
 
         def report() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            often = counts >= LOCAL
-            return pa.RecordBatch.from_arrays([pa.array(tokens[often].astype(np.int64)), pa.array(counts[often])], ["token", "n"])
+            tokens, counts = repeated(held[:size], LOCAL)
+            return pa.RecordBatch.from_arrays([pa.array(tokens.astype(np.int64)), pa.array(counts, pa.int64())], ["token", "n"])
 
         for batch in batches:
-            for tokens in shingler.sets(batch.column(0).to_pylist()):
-                held.append(tokens)
-                size += len(tokens)
-                if size >= COUNTED:
-                    yield report()
-                    held, size = [], 0
+            for tokens in shingler.sets(texts_of(batch.column(0))):
+                while len(tokens):
+                    some = tokens[: COUNTED - size]
+                    held[size : size + len(some)] = some
+                    size, tokens = size + len(some), tokens[len(some) :]
+                    if size == COUNTED:
+                        yield report()
+                        size = 0
         yield report()
+        release()
 
     sums = texts.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = sums.filter(F.col("n") >= 32).orderBy(F.col("n").desc(), "token").limit(FREQUENT).select("token")
@@ -162,7 +197,7 @@ def prefixes(rows: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
         shingler = Shingler()
         for batch in batches:
             sizes, keys, parts = [], [], []
-            for tokens in shingler.sets(batch.column(2).to_pylist()):
+            for tokens in shingler.sets(texts_of(batch.column(2))):
                 n = len(tokens)
                 sizes.append(n)
                 keys.append(keys_of(tokens))
@@ -170,11 +205,12 @@ def prefixes(rows: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
                     hot = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
                     if hot.any():
                         tokens = np.r_[tokens[~hot], tokens[hot] | np.uint64(HOT)]
-                parts.append(tokens[: n - -(-n * percent // 100) + 1] if n else tokens)
+                parts.append(tokens[: n - -(-n * percent // 100) + 1].copy() if n else tokens)  # a view would keep the whole set
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), list_array(parts)],
                 ["uid", "id", "n", "k1", "k2", "prefix"],
             )
+        release()
 
     id_type = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"uid long, id {id_type}, n long, k1 long, k2 long, prefix array<long>")
@@ -188,19 +224,24 @@ def whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     for r in packed.collect():
         bits[r["at"]] = r["bits"]
 
+    def rows_of(keys: list[tuple[int, int, int]], parts: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*[pa.array([k[i] for k in keys], pa.int64()) for i in range(3)], list_array(parts)], ["n", "k1", "k2", "tokens"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, keys, parts, size = Shingler(), [], [], 0
         for batch in batches:
-            keys, parts = [], []
-            for tokens in shingler.sets(batch.column(0).to_pylist()):
+            for tokens in shingler.sets(texts_of(batch.column(0))):
                 k = keys_of(tokens)
                 at = k[0] % BITMAP
                 if len(tokens) and bits[at // 32] >> np.uint32(at % 32) & 1:
                     keys.append((len(tokens), *k))
                     parts.append(tokens)
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array([k[i] for k in keys], pa.int64()) for i in range(3)], list_array(parts)], ["n", "k1", "k2", "tokens"]
-            )
+                    size += len(tokens)
+                    if size >= SENT:
+                        yield rows_of(keys, parts)
+                        keys, parts, size = [], [], 0
+        yield rows_of(keys, parts)
+        release()
 
     made = texts.mapInArrow(run, "n long, k1 long, k2 long, tokens array<long>")
     return cut(made.join(wanted, ["n", "k1", "k2"]).groupBy("cls").agg(F.first("tokens").alias("tokens")))
@@ -229,6 +270,19 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(shared * 100 >= union * percent).select("a", "b")
 
 
+def dealt(rows: DataFrame, group: str, large: DataFrame, by: Column) -> DataFrame:
+    """Rows with ``part``: those of a large group are dealt over PARTS parts, all others are part 0."""
+    known = F.broadcast(large.select(F.col("g").alias(group), F.lit(PARTS).alias("parts")))  # at most LARGE rows
+    return rows.join(known, group, "left").withColumn("part", F.pmod(F.xxhash64(by), F.coalesce("parts", F.lit(1)))).drop("parts")
+
+
+def copied(rows: DataFrame, group: str, large: DataFrame) -> DataFrame:
+    """Rows once for each ``part`` that their group is dealt over."""
+    known = F.broadcast(large.select(F.col("g").alias(group), F.lit(PARTS).alias("parts")))
+    parts = F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1)
+    return rows.join(known, group, "left").withColumn("part", F.explode(parts)).drop("parts")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each component, for nodes with an edge.
 
@@ -252,8 +306,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     frequent = frequent_tokens(texts)
     made = cut(prefixes(rows, frequent, percent))
-    whole = made.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("uid").alias("cls"), F.first("prefix").alias("prefix"))
-    classes = cut(whole.select("cls", "n", "k1", "k2", F.element_at("prefix", -1).alias("end")))
+    whole = made.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("uid").alias("cls"), F.first("prefix").alias("prefix"), F.min("id").alias("least"))
+    classes = cut(whole.select("cls", "n", "k1", "k2", F.element_at("prefix", -1).alias("end"), "least"))
     about = classes.select("cls", "n", "end")
 
     lists = whole.select("cls", F.explode("prefix").alias("token"))
@@ -278,7 +332,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
 
     def wanted(pairs: DataFrame) -> DataFrame:
         both = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        return classes.drop("end").join(both, "cls")
+        return classes.drop("end", "least").join(both, "cls")
 
     star = cut(verified(led, whole_sets(texts, wanted(led)), percent))
     grouped = components(star)
@@ -287,9 +341,10 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     )
 
     # 3. The token-group matrix, and the overlap of classes with other groups.
-    spans = member.groupBy("g").agg(F.count("*").alias("members"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.min("end").alias("end_min"), F.max("end").alias("end_max"))
-    inside = shared.select("token", "cls").join(member.select("cls", "g"), "cls").join(spans.select("g", "members"), "g")
-    inside = cut(inside)
+    spans = cut(member.groupBy("g").agg(F.count("*").alias("members"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.min("end").alias("end_min"), F.max("end").alias("end_max")))
+    large = cut(spans.filter(F.col("members") >= LARGE_MEMBERS).orderBy(F.col("members").desc(), "g").limit(LARGE).select("g"))
+    placed = dealt(member, "g", large, F.col("cls")).join(copied(spans.select("g", "members"), "g", large), ["g", "part"]).select("cls", "g", "members")
+    inside = cut(shared.select("token", "cls").join(placed, "cls"))
     matrix = inside.groupBy("token", "g", "members").agg(F.count("*").alias("of"))
     several = matrix.groupBy("token").agg(F.count("*").alias("groups")).filter("groups > 1").select("token")
     matrix = matrix.join(several, "token").select("token", F.col("g").alias("other"), F.col("members").alias("others"))
@@ -305,8 +360,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
         ((F.col("end") <= F.col("end_max")) & (F.col("c") + rest(n) >= needed(n, low, percent)))
         | ((F.col("end_min") < F.col("end")) & (F.col("c") + rest(high) + 1 >= needed(n, high, percent)))
     )
+    of_other = spans.withColumnRenamed("g", "other").drop("members")
     opened = (
-        overlap.join(about, "cls").join(spans.withColumnRenamed("g", "other").drop("members"), "other")
+        dealt(overlap.join(about, "cls"), "other", large, F.col("cls")).join(copied(of_other, "other", large), ["other", "part"])
         .filter(qualifies).select(F.col("cls").alias("a"), "other")
     )
 
@@ -316,26 +372,23 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     held = shared.groupBy("cls").agg(F.collect_list("token").alias("tokens"))  # a prefix at most
     with_tokens = lambda c: held.select(F.col("cls").alias(c), F.col("tokens").alias(f"tokens_{c}"))
     asking = opened.select("a").distinct().join(with_tokens("a"), "a").join(left, "a")
-    inmates = member.select(F.col("cls").alias("b"), F.col("g").alias("other")).join(opened.select("other").distinct(), "other")
-    inmates = inmates.join(with_tokens("b"), "b").join(right, "b")
+    inmates = dealt(member.select(F.col("cls").alias("b"), F.col("g").alias("other")), "other", large, F.col("b"))
+    inmates = inmates.join(copied(opened.select("other").distinct(), "other", large), ["other", "part"]).join(with_tokens("b"), "b").join(right, "b")
+    asking = copied(opened.join(asking, "a"), "other", large)
     fits = F.least("n_a", "n_b") >= needed("n_a", "n_b", percent)
     close = (
-        opened.join(asking, "a").join(inmates, "other").filter(fits)
+        asking.join(inmates, ["other", "part"]).filter(fits)
         .withColumn("c", F.size(F.array_intersect("tokens_a", "tokens_b"))).filter(pair_bound(percent)).select("a", "b")
     )
     close = cut(close)
     links = verified(close, whole_sets(texts, wanted(close)), percent)
     roots = components(star.unionByName(links))
 
-    # Documents of a class, classes of a component.
-    of_doc = (
-        made.select("id", "n", "k1", "k2").join(classes.drop("end"), ["n", "k1", "k2"], "left")
-        .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("id", "n", F.coalesce("root", "cls").alias("root"))
-    )
-    full = cut(of_doc)
-    smallest = full.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("smallest"))
-    return full.join(smallest, "root", "left").select(
+    # The smallest id of a component, by its classes; then the documents of each class.
+    rooted = cut(classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("n", "k1", "k2", F.coalesce("root", "cls").alias("root"), "least"))
+    smallest = cut(rooted.groupBy("root").agg(F.min("least").alias("smallest")))
+    of_class = rooted.drop("least").join(smallest, "root").drop("root")
+    return made.select("id", "n", "k1", "k2").join(of_class, ["n", "k1", "k2"], "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("smallest", "id")).alias("component_id"),

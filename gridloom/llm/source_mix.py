@@ -1,21 +1,28 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 A source's target is its share by weight of all words, stopped at ``most`` times its own
-words; what is cut off goes to the others by weight until none is above. Its documents
-then get ``floor(target / words)`` certain copies each, and one more by Pareto sampling:
-with inclusion odds ``p / (1 - p)`` of the remaining fraction p and random odds
-``u / (1 - u)`` from a hash, documents are ranked by random over inclusion odds, and the
-sample is the prefix of that order that fills the words still missing. Where the next
-document would overfill, the order goes on with those that still fit (``ROUNDS`` times),
-so the sample's size in words is fixed up to less than a small document.
-
-DataFrame functions only. A source's prefix is found without gathering the source: words
-are summed per source and slice of the rank order (a partial aggregate, ``SLICES`` slices),
-the running sum over slices names the slice where the prefix ends, and only its documents
-are ordered. The tables per source have a row for each source.
-
-Defined results: null text counts as empty and takes nothing; null is a source of its
-own and comes last; repeated rows are sampled as one after another, and as they are alike
+words; what is cut off goes to the others by weight until none is above. Each of its
+documents then has a number of copies to expect of its own: the source's ``target / words``,
+tilted by the logarithm of the document's length (``TILT``), so that a source's words come
+from more of its shorter documents; it is between 0 and ``most``, and over the source the
+expected words are the target. The whole part are certain copies. The fraction p is the
+inclusion probability of one more, by Pareto sampling: documents are ranked by random odds
+``u / (1 - u)`` from a hash over inclusion odds ``p / (1 - p)``, and the sample is the prefix
+of that order that fills the words still missing. Where the next document would overfill, the
+order goes on with those behind it that still fit, until none does, so the sample's size in
+words is fixed up to less than the smallest document left.
+
+DataFrame functions only. A source's prefix is found without gathering the source: words are
+summed per source and slice of the rank order (a partial aggregate; the slices grow with the
+root of a source's rows), the running sum over slices names the slice where the prefix ends,
+and only its documents are ordered: what is taken first is all up to one place for each source.
+Behind it the next ``HEAD`` documents that fit are looked at together, pass by pass; the words
+missing are then fewer than one document's, so few are taken and passes are few.
+The tables per source are broadcast up to ``BROADCAST`` sources; beyond, a source's rows are
+dealt over ``SALTS`` parts, each with a copy of the source's row.
+
+Defined results: null text counts as empty; an empty text takes no words, has the certain
+copies of its source's ratio and no sampled one; null is a source of its own and comes last; repeated rows are sampled as one after another, and as they are alike
 the result is the same in any order; reruns agree; an empty table stays empty; other
 columns are ignored whatever their names.
 """
@@ -27,9 +34,14 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import cut
 
-#: Slices of the rank order of a source, passes that fill what is still missing, and parts
-#: of a source's rows where they meet its row of a table per source.
-SLICES, ROUNDS, SALTS = 1024, 4, 64
+#: The least slices of a source's rank order, and how far a document's expected copies may lean on its length (0 to 1).
+SLICES, TILT = 64, 0.5
+#: Documents of a source that are looked at in one pass behind its prefix.
+HEAD = 512
+#: Sources whose tables are broadcast at most; parts of a source's rows where they meet its row beyond that.
+BROADCAST, SALTS = 20_000, 64
+#: Behind every place of the order.
+END = (2**31 - 1, float("inf"), 2**63 - 1, 2**63 - 1)
 
 
 def word_count(text: Column) -> Column:
@@ -64,29 +76,68 @@ def source_targets(sizes: DataFrame, weights: list[float], most: float) -> DataF
     )
 
 
-def beside_source(rows: DataFrame, per_source: DataFrame, key: str) -> DataFrame:
-    """Rows with their source's columns. A hot source's rows are dealt over SALTS parts, each
-    with a copy of the source's one row."""
-    copies = per_source.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = rows.withColumn("__part", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
-    return dealt.join(copies, F.col("source").eqNullSafe(F.col(key)) & (F.col("__part") == F.col("__salt"))).drop("__part", "__salt", key)
+def beside_source(rows: DataFrame, per_source: DataFrame, sources: int) -> DataFrame:
+    """Rows with their source's columns."""
+    table = per_source.withColumnRenamed("source", "of")
+    same = F.col("source").eqNullSafe(F.col("of"))
+    if sources <= BROADCAST:
+        return rows.join(F.broadcast(table), same).drop("of")
+    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(SALTS)))
+    return dealt.join(copies, same & (F.col("part") == F.col("salt"))).drop("part", "salt", "of")
 
 
-def fill(left: DataFrame, missing: DataFrame) -> DataFrame:
-    """Of the rows of ``left`` (source, size, slice, key, tie), the prefix per source with at most ``room`` words."""
-    slices = left.groupBy("source", "slice").agg(F.sum("size").alias("words"))
+def place(slice_: Column | int, key: Column | float, tie: Column | int, row: Column | int) -> Column:
+    """A place in the rank order; places compare as structs."""
+    as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
+    return F.struct(as_column(slice_).cast("int").alias("slice"), as_column(key).cast("double").alias("key"), as_column(tie).cast("long").alias("tie"), as_column(row).cast("long").alias("row"))
+
+
+def prefix(rows: DataFrame) -> DataFrame:
+    """Of rows (source, size, place, room), per source the last place of the prefix of at most ``room`` words, and
+    its words ``got``."""
+    slices = rows.groupBy("source", F.col("place.slice").alias("slice")).agg(F.sum("size").alias("words"), F.first("room").alias("room"))
     order = Window.partitionBy("source").orderBy("slice")
-    ends = (
-        slices.withColumn("upto", F.sum("words").over(order))
-        .join(missing, F.col("source").eqNullSafe(F.col("to_source")))
-        .filter(F.col("upto") - F.col("words") <= F.col("room"))
-        .select(F.col("source").alias("in_source"), F.col("slice").alias("in_slice"), (F.col("upto") - F.col("words")).alias("base"), "upto", "room")
+    upto = slices.withColumn("upto", F.sum("words").over(order))
+    over = upto.filter(F.col("upto") > F.col("room")).groupBy("source").agg(F.min("slice").alias("cut"), F.min(F.col("upto") - F.col("words")).alias("base"))
+    every = slices.groupBy("source").agg(F.sum("words").alias("all"))
+    ends = cut(every.join(over.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left").drop("of"))
+    split = rows.join(over.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")) & (F.col("place.slice") == F.col("cut")))
+    inside = Window.partitionBy("source").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = split.withColumn("sum", F.col("base") + F.sum("size").over(inside)).filter(F.col("sum") <= F.col("room"))
+    last = sums.groupBy(F.col("source").alias("of")).agg(F.max("place").alias("last"), F.max("sum").alias("sum"))
+    before = place(F.col("cut") - 1, *END[1:])
+    return ends.join(last, F.col("source").eqNullSafe(F.col("of")), "left").select(
+        "source",
+        F.when(F.col("cut").isNull(), place(*END)).otherwise(F.coalesce("last", before)).alias("upto"),
+        F.when(F.col("cut").isNull(), F.col("all")).otherwise(F.coalesce("sum", "base")).alias("got"),
     )
-    rows = left.join(ends, F.col("source").eqNullSafe(F.col("in_source")) & (F.col("slice") == F.col("in_slice")))
-    whole = rows.filter(F.col("upto") <= F.col("room"))
-    inside = Window.partitionBy("source", "slice").orderBy("key", "tie", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    part = rows.filter(F.col("upto") > F.col("room")).withColumn("sum", F.col("base") + F.sum("size").over(inside))
-    return whole.select(*left.columns).unionByName(part.filter(F.col("sum") <= F.col("room")).select(*left.columns))
+
+
+def next_ones(rows: DataFrame) -> DataFrame:
+    """Of rows (source, size, row, place, room), per source the rows that fit among the next HEAD of the order, taken one
+    after another, as ``rows``, the words that are ``left`` then, and the ``last`` place that was looked at."""
+    ahead = Window.partitionBy("source").orderBy("place")
+    head = rows.withColumn("k", F.row_number().over(ahead)).filter(F.col("k") <= HEAD)
+    listed = head.groupBy("source").agg(F.first("room").alias("room"), F.sort_array(F.collect_list(F.struct("place", "size"))).alias("docs"))
+    nothing = F.struct(F.col("room").alias("left"), F.array().cast("array<bigint>").alias("rows"))
+
+    def take(so_far: Column, doc: Column) -> Column:
+        taken = F.struct((so_far["left"] - doc["size"]).alias("left"), F.array_append(so_far["rows"], doc["place"]["row"]).alias("rows"))
+        return F.when(doc["size"] <= so_far["left"], taken).otherwise(so_far)
+
+    folded = listed.select("source", F.aggregate("docs", nothing, take).alias("f"), F.element_at("docs", -1)["place"].alias("last"))
+    return folded.select("source", "f.left", "f.rows", "last")
+
+
+def expected_copies(ratio: Column, most: float, lean: Column) -> Column:
+    """Copies to expect of a document that leans to fewer or more by -1 to 1; leans weighted by sizes sum to 0."""
+    return whole(ratio + TILT * F.least(ratio, most - ratio) * lean)
+
+
+def whole(x: Column) -> Column:
+    """What is a rounding error off a whole number as that number."""
+    return F.when(F.abs(x - F.round(x)) < 1e-9, F.round(x)).otherwise(x)
 
 
 def mix_sources(
@@ -112,39 +163,70 @@ def mix_sources(
             F.struct(*[F.col(c) for c in keep] or [F.lit(0)]).alias("kept"),
         )
     )
-    targets = source_targets(sizes, weights, most)
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    # A ratio a rounding error below a whole number is that number.
-    targets = targets.withColumn("certain", F.floor(ratio + 1e-9)).withColumn("p", F.greatest(ratio - F.col("certain"), F.lit(0.0)))
+    # To six places, so that the order of the sums tells nothing.
+    full = sizes.filter("size > 0")
+    logs = full.groupBy("source").agg(
+        F.count("*").alias("rows"),
+        F.round(F.sum(F.col("size") * F.log("size")) / F.sum("size"), 6).alias("middle"),
+        F.log(F.min("size")).alias("least"),
+        F.log(F.max("size")).alias("greatest"),
+    )
+    targets = cut(
+        source_targets(sizes, weights, most)
+        .join(logs.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left")
+        .withColumn("ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+        .withColumn("reach", F.greatest(F.col("middle") - F.col("least"), F.col("greatest") - F.col("middle")))
+        .withColumn("slices", F.greatest(F.lit(float(SLICES)), F.ceil(F.sqrt("rows"))))
+        .drop("of", "least", "greatest", "rows", "weight")
+    )
+    sources = targets.count()
+    lean = F.when(F.col("reach") > 1e-5, (F.col("middle") - F.log("size")) / F.col("reach")).otherwise(0.0)
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
     ranked = cut(
-        beside_source(sizes, targets.withColumnRenamed("source", "of"), "of")
-        .withColumn("key", F.when(F.col("p") > 1e-9, odds))
-        .withColumn("slice", F.floor(F.col("key") / (1 + F.col("key")) * SLICES).cast("int"))
+        beside_source(sizes, targets, sources)
+        .withColumn("expected", F.when(F.col("size") > 0, expected_copies(F.col("ratio"), most, lean)).otherwise(whole(F.col("ratio"))))
+        .withColumn("certain", F.floor(F.greatest("expected", F.lit(0.0))))
+        .withColumn("p", F.col("expected") - F.col("certain"))
+        .withColumn("key", F.when((F.col("p") > 1e-9) & (F.col("size") > 0), odds))
+        .withColumn("place", F.when(F.col("key").isNotNull(), place(F.floor(F.col("key") / (1 + F.col("key")) * F.col("slices")), F.col("key"), F.col("tie"), F.col("row"))))
+        .select("id", "source", "size", "row", "kept", "source_size", "target", "certain", "place")
     )
-    rows = ranked.filter(F.col("key").isNotNull() & (F.col("size") > 0)).select("source", "size", "slice", "key", "tie", "row")
-    need = ranked.groupBy("source").agg(F.first("target").alias("target"), (F.first("certain") * F.first("source_size")).alias("sure"))
-    room = need.select(F.col("source").alias("to_source"), F.greatest(F.col("target") - F.col("sure"), F.lit(0.0)).alias("room"))
-    chosen = None
-    for _ in range(ROUNDS):
-        taken = cut(fill(rows, room))
-        chosen = taken if chosen is None else chosen.unionByName(taken)
-        sums = taken.groupBy(F.col("source").alias("s")).agg(F.sum("size").alias("got"))
-        room = cut(
-            room.join(sums, F.col("to_source").eqNullSafe(F.col("s")), "left")
-            .select("to_source", (F.col("room") - F.coalesce("got", F.lit(0))).alias("room"))
-        )
-        rows = (
-            beside_source(rows.join(taken.select("row"), "row", "left_anti"), room.withColumnRenamed("to_source", "s"), "s")
-            .filter(F.col("size") <= F.col("room"))
-            .select("source", "size", "slice", "key", "tie", "row")
+    sure = ranked.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("certain") * F.col("size")).alias("sure"))
+    # Per source: the words still missing, how far the order is read, and where its prefix ends.
+    state = sure.select("source", (F.col("target") - F.col("sure")).alias("room"), place(-1, 0.0, 0, 0).alias("read"))
+    rest = ranked.filter(F.col("place").isNotNull()).select("source", "size", "row", "place")
+    first = prefix(beside_source(rest, state, sources).filter(F.col("size") <= F.col("room"))).withColumnRenamed("source", "of")
+    state = cut(
+        state.join(first, F.col("source").eqNullSafe(F.col("of")), "left")
+        .select("source", (F.col("room") - F.coalesce("got", F.lit(0))).alias("room"), F.coalesce("upto", "read").alias("read"), "upto", F.col("room").alias("most"))
+    )
+    ends = state.select("source", "upto", "most")
+    state = state.select("source", "room", "read")
+    picked = None
+    while True:
+        fits = (F.col("size") <= F.col("room")) & (F.col("place") > F.col("read"))
+        rest = cut(beside_source(rest, state, sources).filter(fits).drop("read"))
+        if rest.isEmpty():
+            break
+        step = cut(next_ones(rest))
+        more = step.select(F.explode("rows").alias("row"))
+        picked = more if picked is None else picked.unionByName(more)
+        state = cut(
+            state.join(step.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left")
+            .select("source", F.coalesce("left", "room").alias("room"), F.coalesce("last", "read").alias("read"))
         )
-    return ranked.join(chosen.select("row", F.lit(1).alias("extra")), "row", "left").select(
+        rest = rest.drop("room")
+    chosen = (F.col("size") <= F.col("most")) & (F.col("place") <= F.col("upto"))
+    rows = beside_source(ranked, ends, sources).withColumn("extra", F.when(F.coalesce(chosen, F.lit(False)), 1).otherwise(0))
+    if picked is not None:
+        later = picked.withColumn("later", F.lit(1))
+        rows = rows.join(later, "row", "left").withColumn("extra", F.col("extra") + F.coalesce("later", F.lit(0)))
+    return rows.select(
         F.col("id").alias(id_col),
         *[F.col("kept")[c].alias(c) for c in keep],
         F.col("source").alias(source_col),
         "size",
         "source_size",
         "target",
-        (F.col("certain") + F.coalesce("extra", F.lit(0))).cast("long").alias("copies"),
+        (F.col("certain") + F.col("extra")).cast("long").alias("copies"),
     )

@@ -11,9 +11,14 @@
 3. The answers meet the second read by block, and each document is put back together by
    position: its ids, and its bytes from the joined token-byte table.
 
-A block is bounded by ``BLOCK`` characters (a longer text is a block of its own) and a
-bucket by the number of buckets, which follows spark.sql.shuffle.partitions; the token
-tables are bounded by the vocabulary. Nothing is collected or broadcast.
+A block is bounded by ``BLOCK`` characters (a longer text is a block of its own). There is a
+bucket for each ``BUCKET`` bytes of text, and at least one for each shuffle partition, so a
+bucket's words don't grow with the input; should they exceed ``REMEMBERED``, its task forgets
+them and goes on, and a word may be encoded again. The token tables are bounded by the
+vocabulary. Nothing is collected or broadcast.
+
+Pre-tokens are the library's for every character: the classes of the pattern are read from the
+library's own regex engine, once a worker, as engines follow different versions of Unicode.
 
 Defined results: null counts as empty (no ids, no bytes); repeated rows each give a
 row; other columns are ignored whatever their names; an empty table stays empty.
@@ -24,7 +29,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -35,8 +40,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters of a block.
-BLOCK = 12_000_000
+from gridloom.llm.common import pieces, release
+
+#: Characters of a block, bytes of text for which there is a bucket, words that a bucket's task remembers at a time.
+BLOCK, BUCKET, REMEMBERED = 8_000_000, 1 << 24, 400_000
 #: The bucket of the row that holds a block's documents.
 DOCS = -1
 
@@ -61,24 +68,84 @@ def token_bytes(path: str) -> dict[int, bytes]:
     return {rank: token for token, rank in ranks_of(path).items()}
 
 
+#: Every character but surrogates, which no text holds.
+CODE_POINTS = (range(0xD800), range(0xE000, 0x110000))
+
+
+def every_character() -> str:
+    return np.concatenate([np.arange(c.start, c.stop, dtype="<u4") for c in CODE_POINTS]).tobytes().decode("utf-32-le")
+
+
+#: A class of characters, a bracket, any other escape, any other character of a pattern.
+PART = re.compile(r"(?P<kind>\\[pP]\{\w+\}|\\[sS])|\\.|.", re.S)
+
+
+@cache
+def members(kind: str) -> str:
+    """The characters of a class as the library knows them; its regex engine has its own version of Unicode."""
+    import tiktoken
+
+    # Whatever a pattern doesn't match is left out of the encoding.
+    probe = tiktoken.Encoding("class", pat_str=kind, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+    return bytes(probe.encode_ordinary(every_character())).decode()
+
+
+def ranges(chars: str) -> str:
+    """Sorted characters as the ranges of a regex class."""
+    codes = np.frombuffer(chars.encode("utf-32-le"), "<u4").astype(np.int64)
+    breaks = np.flatnonzero(np.diff(codes) != 1)
+    firsts, lasts = codes[np.r_[0, breaks + 1]], codes[np.r_[breaks, len(codes) - 1]]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts.tolist(), lasts.tolist()))
+
+
+def spelled_out(pattern: str, kinds: dict[str, str]) -> str:
+    """The pattern with the ranges of its classes in their place."""
+    out, inside = [], False
+    for m in PART.finditer(pattern):
+        if m["kind"]:
+            out.append(kinds[m["kind"]] if inside else f"[{kinds[m['kind']]}]")
+        else:
+            inside = m[0] == "[" or inside and m[0] != "]"
+            out.append(m[0])
+    return "".join(out)
+
+
+def first_difference(a: str, b: str) -> str:
+    """The first character that one of two sorted strings holds alone, or nothing."""
+    x, y = (np.frombuffer(t.encode("utf-32-le"), "<u4") for t in (a, b))
+    apart = np.setxor1d(x, y)
+    return chr(apart[0]) if len(apart) else ""
+
+
+@cache
+def splitters(pattern: str) -> tuple[Callable[[str], list[str]], Callable[[str], list[str]], str]:
+    """A fast way to find pre-tokens, one that agrees with the library on every character, and the
+    first character on which the fast one doesn't."""
+    import regex
+
+    kinds = {m["kind"] for m in PART.finditer(pattern) if m["kind"]}
+    differ = [first_difference(members(kind), "".join(regex.findall(f"{kind}+", every_character()))) for kind in kinds]
+    exact = re.compile(spelled_out(pattern, {kind: ranges(members(kind)) for kind in kinds}))
+    return regex.compile(pattern).findall, exact.findall, min(filter(None, differ), default=chr(0x10FFFF))
+
+
 class PreTokens(dict):
     """From a stretch between safe cuts to the word numbers of a block, for stretches met before."""
 
-    #: Unicode's White_Space, which is what ``\\s`` means in the pattern.
-    WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
     #: One space between two characters that are no white space: a match always ends before it.
     safe = re.compile(r"(?<=\S) (?=\S)").split
 
     def __init__(self, pattern: str) -> None:
-        import regex
-
-        spelled = pattern.replace(r"[^\s", f"[^{self.WHITE}").replace(r"\S", f"[^{self.WHITE}]").replace(r"\s", f"[{self.WHITE}]")
-        self.find = regex.compile(spelled).findall
+        self.fast, self.exact, self.differ = splitters(pattern)
         self.numbers: dict[str, int] = {}
 
     def __missing__(self, stretch: str) -> tuple[int, ...]:
         numbers = self.numbers
-        found = self[stretch] = tuple(numbers.setdefault(w, len(numbers)) for w in self.find(stretch))
+        find = self.fast if max(stretch, default="") < self.differ else self.exact
+        words = find(stretch)
+        if words == [stretch]:
+            words = (stretch,)  # one string in both tables
+        found = self[stretch] = tuple([numbers.setdefault(w, len(numbers)) for w in words])
         return found
 
     def of(self, text: str) -> np.ndarray:
@@ -120,11 +187,14 @@ def block_rows(texts: list[str], pattern: str, buckets: int) -> Iterator[tuple[i
     """The packed explosion of a block: (DOCS, word numbers by document), then (bucket, its words)."""
     words = PreTokens(pattern)
     docs = [words.of(t) if t else np.zeros(0, "<u4") for t in texts]
+    words.clear()  # the stretches; their words are numbered
     flat = np.concatenate(docs) if docs else np.zeros(0, "<u4")
+    lengths = np.array([len(d) for d in docs], "<u4")
+    del docs
     order = np.argsort(-np.bincount(flat, minlength=len(words.numbers)), kind="stable")
     rank = np.empty(len(order), "<u4")
     rank[order] = np.arange(len(order))
-    yield DOCS, pack(np.array([len(d) for d in docs], "<u4"), rank[flat] if len(flat) else flat)
+    yield DOCS, pack(lengths, rank[flat] if len(flat) else flat)
     spelled = [w.encode() for w in words.numbers]
     by_bucket: dict[int, list[int]] = {}
     for k, number in enumerate(order.tolist()):
@@ -141,32 +211,39 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     """
     slim = docs.select(F.col(id_col), F.col(text_col))
     id_type = slim.schema[0].dataType
-    buckets = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    size = slim.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    buckets = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
     packed = T.StructType().add("block", T.LongType()).add("bucket", T.IntegerType())
     exploded_type = T.StructType([*packed.fields]).add("doc_ids", T.ArrayType(id_type)).add("blob", T.BinaryType())
     blob_type = T.StructType([*packed.fields]).add("blob", T.BinaryType())
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
+        ids: list[pa.Array] = []
+        texts: list[str] = []
+        size = 0
+
+        def block_of() -> pa.RecordBatch:
+            rows = list(block_rows(texts, pattern, buckets))
+            held = pa.ListArray.from_arrays(pa.array([0] + [len(texts)] * len(rows), pa.int32()), pa.concat_arrays(ids))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block] * len(rows), pa.int64()), pa.array([k for k, _ in rows], pa.int32()), held, pa.array([b for _, b in rows], pa.binary())],
+                exploded_type.names,
+            )
+
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            start, size = 0, 0
-            for end in range(1, len(texts) + 1):
-                size += len(texts[end - 1] or "")
-                if end < len(texts) and size + len(texts[end] or "") <= BLOCK:
-                    continue
-                rows = list(block_rows(texts[start:end], pattern, buckets))
-                held = pa.ListArray.from_arrays(pa.array([0] + [end - start] * len(rows), pa.int32()), ids[start:end])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([block] * len(rows), pa.int64()),
-                        pa.array([k for k, _ in rows], pa.int32()),
-                        held,
-                        pa.array([b for _, b in rows], pa.binary()),
-                    ],
-                    exploded_type.names,
-                )
-                block, start, size = block + 1, end, 0
+            for start, end in pieces(batch.column(1)):
+                piece = batch.column(1).slice(start, end - start).to_pylist()
+                more = sum(len(t or "") for t in piece)
+                if texts and size + more > BLOCK:
+                    yield block_of()
+                    block, size, ids, texts = block + 1, 0, [], []
+                ids.append(batch.column(0).slice(start, end - start))
+                texts += piece
+                size += more
+        if texts:
+            yield block_of()
+        release()
 
     def words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,6 +263,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                 for word in split_at(*unpack(blob.as_py())[::-1]):
                     found = known.get(word)
                     if found is None:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
                         found = known[word] = encoder(word)
                     ids.append(found)
                 out.append(pack(np.array([len(x) // 4 for x in ids]), np.frombuffer(b"".join(ids), "<u4")))
@@ -193,24 +272,29 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
             yield pa.RecordBatch.from_arrays(columns, blob_type.names)
 
     def reassemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        at = rows.column("bucket").to_pylist().index(DOCS)
         blobs = dict(zip(rows.column("bucket").to_pylist(), rows.column("blob")))
         counts, flat = unpack(blobs[DOCS].as_py())
         table = token_bytes(ranks_path)
-        spelled, said = {}, {}
+        words = int(flat.max()) + 1 if len(flat) else 0
+        spelled, said = [b""] * words, [b""] * words  # by word number
         for k, answer in zip(answers.column("bucket").to_pylist(), answers.column("blob")):
             lengths, ids = unpack(answer.as_py())
             parts = split_at(ids.astype("<u4").tobytes(), lengths.astype(np.int64) * 4)
             for number, part in zip(np.cumsum(unpack(blobs[k].as_py())[0], dtype=np.int64).tolist(), parts):
                 spelled[number] = part
                 said[number] = b"".join([table[i] for i in np.frombuffer(part, "<u4").tolist()])
-        ends = np.cumsum(counts, dtype=np.int64).tolist()
-        runs = [flat[a:b].tolist() for a, b in zip([0, *ends], ends)]
-        at = rows.column("bucket").to_pylist().index(DOCS)
+        coded, decoded, start = [], [], 0
+        for end in np.cumsum(counts, dtype=np.int64).tolist():
+            run = flat[start:end].tolist()
+            coded.append(b"".join([spelled[number] for number in run]))
+            decoded.append(b"".join([said[number] for number in run]))
+            start = end
         return pa.table(
             {
                 id_col: rows.column("doc_ids").combine_chunks().slice(at, 1).flatten(),
-                "ids": pa.array([b"".join(map(spelled.__getitem__, run)) for run in runs], pa.binary()),
-                "decoded": pa.array([b"".join(map(said.__getitem__, run)) for run in runs], pa.binary()),
+                "ids": pa.array(coded, pa.binary()),
+                "decoded": pa.array(decoded, pa.binary()),
             }
         )
 

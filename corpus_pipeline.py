@@ -23,8 +23,8 @@ from gridloom.llm.toxicity import score_toxicity
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
-    scored = score_toxicity(docs, read(spark, sf_dir, "labels"), keep=docs.columns)
-    return scored.filter(F.col("predicted") == 0).select(*docs.columns)
+    scored = score_toxicity(docs, read(spark, sf_dir, "labels"), carry=True)
+    return scored.filter(F.col("predicted") == 0).select("row.*")
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,34 +35,32 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
         F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("id"),
         F.coalesce(F.md5("text"), F.lit("")).alias("digest"),
     )
-    keyed = docs.withColumn("__key", key)
+    # Rows without an id and without words are linked with nothing: each is a document of its own.
+    own = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rest = docs.filter(~own)
     heads = (
-        jaccard_components(keyed, percent=80, id_col="__key")
-        .filter(F.col("__key") == F.col("component_id"))
-        .groupBy(F.col("__key").alias("__head")).agg(F.count("*").alias("__rows"), F.max("n_shingles").alias("__n"))
+        jaccard_components(rest.select(key.alias("key"), "text"), percent=80, id_col="key")
+        .filter(F.col("key") == F.col("component_id")).select("key").distinct()
     )
-    # Rows without words are linked with nothing; without an id, too, each is a document of its own.
-    several = (F.col("__rows") > 1) & ~(F.col("__head.no_id") & (F.col("__n") == 0))
-    kept = keyed.join(heads, F.col("__key") == F.col("__head"))
-    alone = kept.filter(~several).select(*docs.columns)
-    one = kept.filter(several).groupBy("__key").agg(F.first(F.struct(*docs.columns)).alias("__row")).select("__row.*")
-    return alone.unionByName(one)
+    # Rows of one key are as good as each other: one stays, found by partial aggregates.
+    rows = rest.groupBy(key.alias("key")).agg(F.first(F.struct(*docs.columns)).alias("row"))
+    return docs.filter(own).unionByName(rows.join(heads, "key", "left_semi").select("row.*"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; equal rows of one id are taken together."""
-    mixed = mix_sources(docs.withColumn("__text", F.xxhash64("text")), [1, 2, 3], most=3.0, keep=["__text"])
-    copies = mixed.groupBy(F.col("doc_id").alias("__mixed"), "__text").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
-    taken = docs.withColumn("__text", F.xxhash64("text")).join(
-        copies.filter("__copies > 0").withColumnRenamed("__text", "__mixed_text"),
-        F.col("doc_id").eqNullSafe(F.col("__mixed")) & F.col("__text").eqNullSafe(F.col("__mixed_text")),
+    digest = F.xxhash64("text").alias("digest")
+    mixed = mix_sources(docs.select("doc_id", "text", "source", digest), [1, 2, 3], most=3.0, keep=["digest"])
+    copies = mixed.groupBy("doc_id", "digest").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).filter("copies > 0")
+    taken = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), digest.alias("at")).join(
+        copies, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("at").eqNullSafe(F.col("digest"))
     )
     # Of n equal rows, the k-th takes every n-th copy.
-    order = Window.partitionBy("doc_id", "__text").orderBy("text")
-    repeated = taken.filter(F.col("__rows") > 1).withColumn("__k", F.row_number().over(order))
-    alone = taken.filter(F.col("__rows") == 1).withColumn("__k", F.lit(1))
-    share = F.floor((F.col("__copies") + F.col("__rows") - F.col("__k")) / F.col("__rows")).cast("int")
-    return alone.unionByName(repeated).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), share))).select(*docs.columns)
+    order = Window.partitionBy("id", "at").orderBy("id")
+    repeated = taken.filter(F.col("rows") > 1).withColumn("k", F.row_number().over(order))
+    alone = taken.filter(F.col("rows") == 1).withColumn("k", F.lit(1))
+    share = F.floor((F.col("copies") + F.col("rows") - F.col("k")) / F.col("rows")).cast("int")
+    return alone.unionByName(repeated).withColumn("copy", F.explode(F.array_repeat(F.lit(0), share))).select("row.*")
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,7 +49,7 @@ FREQUENT, LEADERS, BITMAP, STRETCH = 50_000, 1, 1 << 23, 1 << 18
 COUNTED, LOCAL, SENT = 4_000_000, 3, 250_000
 #: Groups of at least so many classes are dealt over parts where rows meet them; how many groups at most (the
 #: largest; every other holds less than a share of 1 / LARGE of all classes), and over how many parts.
-LARGE_MEMBERS, LARGE, PARTS = 256, 20_000, 64
+LARGE_MEMBERS, LARGE, PARTS = 256, 20_000, 16
 HOT = 1 << 62
 WORDS = 5
 

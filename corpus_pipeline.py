@@ -33,7 +33,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     key = F.struct(
         F.col("doc_id").isNull().alias("no_id"),
         F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("id"),
-        F.coalesce(F.md5("text"), F.lit("")).alias("digest"),
+        F.xxhash64("text").alias("digest"),
     )
     # Rows without an id and without words are linked with nothing: each is a document of its own.
     own = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))

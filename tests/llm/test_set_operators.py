@@ -1,5 +1,6 @@
 """Source mixing, Jaccard join, URL rules, exact top-k."""
 
+import math
 import random
 import re
 from collections import defaultdict
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.llm import ngram_join, source_mix
 from gridloom.llm.exact_topk import ImpactIndex, exact_top_k
 from gridloom.llm.ngram_join import jaccard_components
 from gridloom.llm.source_mix import mix_sources
@@ -58,6 +60,83 @@ def test_mix_edges(spark):
     assert [x["copies"] * x["size"] for x in mix_sources(nothing, [1]).collect()] == [0, 0, 0]
 
 
+def brute_mix(spark, rows, weights=(1, 2, 3), most=3.0, seed=17):
+    """Copies of each row of (id, text, source), in the order of the rows, by the definition: certain copies, then the
+    order by random over inclusion odds, from which what still fits is taken until nothing does."""
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k long, doc_id long, text string, source string")
+    hashes = df.select("k", F.xxhash64(F.lit(seed), "doc_id", "text").alias("u"), F.xxhash64("text", F.lit(seed)).alias("tie")).collect()
+    at = {r["k"]: ((abs(r["u"]) % (1 << 52)) / float(1 << 52), r["tie"]) for r in hashes}
+    size = [len(SPACES.findall(t or "")) for _, t, _ in rows]
+    total = defaultdict(int)
+    for (_, _, s), n in zip(rows, size):
+        total[s] += n
+    order = sorted(total, key=lambda s: (s is None, s or ""))
+    want = targets(dict(total), {s: weights[i % len(weights)] for i, s in enumerate(order)}, most)
+    copies = [0] * len(rows)
+    for s in order:
+        mine = [k for k, r in enumerate(rows) if r[2] == s and size[k]]
+        if not mine:
+            continue
+        ratio = want[s] / total[s]
+        ratio = round(ratio) if abs(ratio - round(ratio)) < 1e-9 else ratio
+        for k, r in enumerate(rows):
+            if r[2] == s and not size[k]:
+                copies[k] = math.floor(ratio)  # of no words
+        middle = round(sum(size[k] * math.log(size[k]) for k in mine) / total[s], 6)
+        reach = max(middle - math.log(min(size[k] for k in mine)), math.log(max(size[k] for k in mine)) - middle)
+        queue = []
+        for k in mine:
+            expected = ratio + 0.5 * min(ratio, most - ratio) * ((middle - math.log(size[k])) / reach if reach > 1e-5 else 0.0)
+            expected = round(expected) if abs(expected - round(expected)) < 1e-9 else expected
+            copies[k] = math.floor(expected)
+            p, (u, tie) = expected - copies[k], at[k]
+            if p > 1e-9:
+                queue.append(((u / (1 - u)) / (p / (1 - p)), tie, k))
+        room = want[s] - sum(copies[k] * size[k] for k in mine)
+        queue.sort()
+        while queue := [x for x in queue if size[x[2]] <= room]:
+            while queue and size[queue[0][2]] <= room:
+                k = queue.pop(0)[2]
+                copies[k] += 1
+                room -= size[k]
+    return copies
+
+
+def mix_rows(n=500, seed=9):
+    r = random.Random(seed)
+    return [(k, "w%d " % k * int(r.paretovariate(0.8) * 3), r.choice(["hot"] * 5 + ["b", "c", None])) for k in range(n)]
+
+
+def test_selection_is_brute_force(spark):
+    rows = mix_rows() + [(3, None, "b"), (None, "no id", "c"), (None, "no id", "c"), (7, "w " * 9, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(df.withColumn("t", F.col("text")), [1, 2, 3], keep=["t"]).collect()
+    want = brute_mix(spark, rows)
+    assert sorted(repr((r["doc_id"], r["t"], r["copies"])) for r in got) == sorted(repr((i, t, c)) for (i, t, _), c in zip(rows, want))
+
+
+def test_many_sources_are_salted(spark, monkeypatch):
+    rows = mix_rows(150)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = sorted(tuple(map(str, r)) for r in mix_sources(df, [1, 2, 3]).collect())
+    monkeypatch.setattr(source_mix, "BROADCAST", 0)
+    monkeypatch.setattr(source_mix, "SALTS", 3)
+    assert sorted(tuple(map(str, r)) for r in mix_sources(df, [1, 2, 3]).collect()) == want
+
+
+def test_inclusion_follows_its_odds(spark):
+    rows = [(k, "w " * (4 if k % 2 else 64), "s") for k in range(1200)] + [(k, "w " * 2000, "t") for k in range(2000, 2003)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(df, [1, 1]).filter("source = 's'").groupBy("size").agg(F.avg("copies").alias("c"), F.first(F.col("target") / F.col("source_size")).alias("ratio")).collect()
+    share = {r["size"]: r["c"] for r in got}
+    ratio = got[0]["ratio"]
+    assert 0.2 < ratio < 2.8
+    middle = (4 * math.log(4) + 64 * math.log(64)) / 68
+    for n in (4, 64):
+        lean = (middle - math.log(n)) / max(middle - math.log(4), math.log(64) - middle)
+        assert share[n] == pytest.approx(ratio + 0.5 * min(ratio, 3 - ratio) * lean, abs=0.06)
+
+
 def brute_components(rows):
     sets = []
     for _, t in rows:
@@ -100,6 +179,29 @@ def test_jaccard_is_brute_force(spark):
     assert got == brute_components(rows)
 
 
+def test_large_groups_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LARGE_MEMBERS", 2)
+    monkeypatch.setattr(ngram_join, "PARTS", 3)
+    r = random.Random(3)
+    base = [[f"{c}{k}" for k in range(60)] for c in "abc"]
+    rows = []
+    for k in range(60):
+        copy = list(base[k % 3])
+        for _ in range(k % 5):
+            copy[r.randrange(60)] = f"x{r.randrange(20)}"
+        rows.append((k, " ".join(copy[: 60 - k % 7])))
+    got = sorted(tuple(x) for x in jaccard_components(documents(spark, rows)).collect())
+    assert got == brute_components(rows)
+
+
+def test_long_texts_are_hashed_in_stretches(monkeypatch):
+    r = random.Random(1)
+    texts = [" ".join(r.choice(["a", "bb", "x" * 70, "\n"]) for _ in range(300)), "one two", None, "z" * 500, "z" * 500 + " end of it all now"]
+    whole = [x.tolist() for x in ngram_join.Shingler().sets(texts)]
+    monkeypatch.setattr(ngram_join, "STRETCH", 40)
+    assert [x.tolist() for x in ngram_join.Shingler().sets(texts)] == whole
+
+
 def test_jaccard_edges(spark):
     got = jaccard_components(documents(spark)).collect()
     assert len(got) == documents(spark).count()
@@ -124,6 +226,7 @@ def test_urls(spark):
         None, "", "nothing", "http://", "http://X.Com/en/1", "https://a.b.EXAMPLE.com/en/7?q=/en/#x", "ftp://example.com", "http://example.com?x#y", "http://example.com#/en/7",
         "http://notexample.com/en/7", "x://b.example.com//", "http://a..com/en/", "http://example.com./en/7", "http://a://b.com/en/", "http://example.com:80/en/7", "http://example.com/en/7\nz", "http://com/en/",
     ]
+    urls += ["http://" + "a." * 50_000 + "example.com/en/7" + "x" * 100_000, "http://example.com/" + "en/" * 100_000, "x" * 200_000]
     pages = spark.createDataFrame([(k, u, "p", "r") for k, u in enumerate(urls)] + [(4, urls[4], "p", "r")], "page_id long, url string, path string, rule string")
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     got = sorted(map(repr, map(tuple, judge_urls(pages, rules).collect())))
@@ -148,6 +251,22 @@ def test_top_k(spark):
     assert exact_top_k(df.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_top_k_beyond_64_bits(spark):
+    rows = [(0, [1e8] * 4), (1, [1e8] * 4), (2, [-1e8] * 4), (3, [3.0, 1.0, 0.0, 2.0]), (50, [1.0, 2.0, 3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(x) for x in exact_top_k(df, F.col("vec_id") % 50 == 0, 2).collect())
+    held = {i: [int(256 * x) for x in v] for i, v in rows}
+    score = lambda a, b: max(-(1 << 63), min((1 << 63) - 1, sum(x * y for x, y in zip(held[a], held[b]))))
+    assert score(0, 1) == (1 << 63) - 1
+    assert got == [(0, 1, 1, score(0, 1)), (0, 2, 50, score(0, 50)), (50, 1, 0, score(50, 0)), (50, 2, 1, score(50, 1))]
+
+
+def test_equal_rows_are_rows_of_their_own(spark):
+    df = spark.createDataFrame([(0, [1.0, 1.0])] * 3 + [(7, [2.0, 2.0])] * 9 + [(8, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    got = [tuple(x) for x in exact_top_k(df, F.col("vec_id") % 50 == 0, 5).orderBy("rank").collect()]
+    assert got == [(0, k, 7, 2 * 2 * 65536) for k in range(1, 6)]
+
+
 def test_index_stops_only_on_proof():
     g = np.random.default_rng(2)
     for spread in (1, 300):

@@ -5,6 +5,7 @@ import html
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -13,11 +14,11 @@ import pytest
 import sentencepiece
 import tiktoken
 
-from gridloom.llm import byte_bpe
+from gridloom.llm import byte_bpe, token_counts
 from gridloom.llm.html_main_text import extract_main_text, kept_blocks, text_of_blocks
-from gridloom.llm.license_scan import Scanner, default_rules, license_digest, scan_licenses
+from gridloom.llm.license_scan import SIGNATURES, Scanner, Taken, default_rules, license_digest, scan_licenses
 from gridloom.llm.media_columns import describe, media_columns, media_digest, wrap_payloads, write_container
-from gridloom.llm.token_counts import PieceTransducer, count_tokens, over_limit
+from gridloom.llm.token_counts import PieceTransducer, count_tokens, over_limit, prepared
 from tests.llm.helpers import documents, empty, texts
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -57,6 +58,35 @@ def test_license_rules_and_suppression():
     assert len(kept) == 1 and (kept[0]["first_word"], kept[0]["end_word"]) == (0, 8)
 
 
+@pytest.mark.parametrize("text", ["cc by ", "all rights reserved ", "licensed under the ", "copyright 1999 ", "unauthorized use of this file "])
+def test_license_scan_is_linear(text):
+    scan = Scanner(default_rules())
+    began = time.perf_counter()
+    n, _, found = scan.scan(text * (1_000_000 // len(text)))
+    assert n == len(text.split()) * (1_000_000 // len(text)) and time.perf_counter() - began < 20
+    assert all(a["first_word"] <= b["first_word"] for a, b in zip(found, found[1:]))
+
+
+def test_suppression_is_brute_force():
+    r = random.Random(7)
+    for _ in range(300):
+        taken, kept = Taken(), []
+        for _ in range(30):
+            first = r.randrange(20)
+            end = first + r.randint(1, 8)
+            inside = any(a <= first and end <= b for a, b in kept)
+            assert taken.add(first, end) == (not inside)
+            kept.append((first, end))
+
+
+def test_signatures_are_found():
+    scan = Scanner(default_rules())
+    for label, rows in SIGNATURES.items():
+        for body, *_ in rows:
+            plain = body if re.fullmatch(r"[a-z0-9 ]+", body) else None
+            assert plain is None or label in {d["label"] for d in scan.scan(f"x {plain} y")[2]} or any(d["first_word"] <= 1 for d in scan.scan(f"x {plain} y")[2])
+
+
 def test_license_edges(spark):
     assert scan_licenses(documents(spark)).count() == documents(spark).count()
     assert scan_licenses(empty(spark)).count() == 0
@@ -94,28 +124,61 @@ def test_main_text_of_generated_pages(spark):
         assert r["blocks"] == [p for p in parts if p]
 
 
+def test_windows_decide_without_marks(spark):
+    """Without article elements, names and classes the lengths of lines find nearly the same text."""
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    bare = [re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", p) for p in pages]
+    assert not any("<article" in p or "<main" in p for p in bare)
+    same = sum(kept_blocks(a) == kept_blocks(b) for a, b in zip(pages, bare))
+    assert same >= 0.98 * len(pages)
+    short = "<div>" + "<p>one two</p>" * 2 + "<hr></div>"
+    text = "<p>" + "a sentence of some length that goes on for a while, " * 4 + "</p>"
+    found = kept_blocks(f"<body>{short}<nav>x</nav><div>{text * 3}</div><nav>x</nav>{short}</body>")
+    assert len(found) == 3 and "one two" not in found
+
+
+@pytest.mark.parametrize("page", [
+    "<span>" * 60_000 + "</b>" * 60_000, "<a " * 300_000, "<p><td>" + "<span>" * 30_000 + "<hr>" * 30_000, "<ul><li>" + "<span>" * 30_000 + "<td>" * 30_000,
+    "<article>&#" + "9" * 200_000 + ";", "<!-" * 300_000, '<a "' * 200_000 + ">", "<" * 900_000,
+])
+def test_main_text_is_linear(page):
+    began = time.perf_counter()
+    assert isinstance(kept_blocks(page), list) and time.perf_counter() - began < 15
+
+
+def test_number_references():
+    assert kept_blocks("<article><p>&#65;&#0000000000066;&#x43; &#99999999999999999999; &#" + "0" * 5000 + "68;") == ["ABC \ufffd D"]
+
+
 @pytest.fixture(scope="module")
 def pieces():
     path = public_tokenizers.path("piece_bpe_32k.model")
     return path, sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+def maps_of(machine, text, size):
+    read = prepared(text) if text else ""
+    return [machine.chunk_map(read[i : i + size]) for i in range(0, len(read), size)]
+
+
 def test_counts_are_the_librarys(pieces):
     path, library = pieces
     machine, r = PieceTransducer.from_sentencepiece(path), random.Random(2)
-    machine.CHUNK = 23  # many chunk maps
     alphabet = [*" \n▁\x00\x1f　aabé中文字ab01😀", " the", "ing", " <s>", "</s>", "  ", "日本語"]
     for _ in range(3000):
         t = "".join(r.choice(alphabet) for _ in range(r.randint(0, 70)))
-        assert machine.count(t) == len(library.encode(t)), t
+        want = len(library.encode(t))
+        assert machine.count(t) == want, t
+        for size in (1, 7, 23):  # many chunk maps
+            assert machine.fold(maps_of(machine, t, size)) == (want if t else 0), (t, size)
     machine.STATES = 50  # starts anew again and again
     assert all(machine.count(t) == len(library.encode(t)) for t in texts() if t)
 
 
 def test_chunk_maps_compose_in_any_order(pieces):
     machine = PieceTransducer.from_sentencepiece(pieces[0])
-    text = " alpha beta\ngamma delta" * 5 + "x" * 50
-    maps = [machine.chunk_map(text[i : i + 7]) for i in range(0, len(text), 7)]
+    text = " alpha beta\ngamma delta" * 5 + "x" * 50 + "unspacedwords" * 9
+    maps = maps_of(machine, text, 7)
     left = right = None
     for m in maps:
         left = m if left is None else machine.compose(left, m)
@@ -124,6 +187,26 @@ def test_chunk_maps_compose_in_any_order(pieces):
     assert left == right
 
 
+def test_chunk_maps_without_points(pieces):
+    path, library = pieces
+    machine, r = PieceTransducer.from_sentencepiece(path), random.Random(4)
+    for letters in ("abcde", "the", "x", "日本語文字", "aé😀"):
+        text = "".join(r.choice(letters) for _ in range(3000))
+        for size in (1, 50, 1000):
+            assert machine.fold(maps_of(machine, text, size)) == len(library.encode(text))
+    machine.MET = 0  # no state on the way is known: every run goes to its end
+    assert machine.fold(maps_of(machine, text, 100)) == len(library.encode(text))
+
+
+def test_long_texts_are_cut(spark, pieces, monkeypatch):
+    path, library = pieces
+    monkeypatch.setattr(token_counts, "CHUNK", 50)
+    monkeypatch.setattr(token_counts, "WHOLE", 100)
+    rows = [(1, "a b " * 500), (2, "x" * 999), (2, "x" * 999), (None, "▁word\n  " * 60), (3, " " * 400), (4, "é😀" * 200), (5, "short"), (6, None)]
+    got = sorted(map(repr, map(tuple, count_tokens(documents(spark, rows), path).collect())))
+    assert got == sorted(repr((i, len((t or "").encode()), len(library.encode(t or "")))) for i, t in rows)
+
+
 def test_token_counts_edges(spark, pieces):
     path, library = pieces
     got = over_limit(count_tokens(documents(spark), path), 4096).collect()
@@ -150,7 +233,11 @@ def test_media_walk():
     assert found["n_samples"] == 600 and found["duration"] == 24 and found["codec"] == "raw "
     assert [k["sample"] for k in found["keyframes"]] == [0, 256, 512]
     assert all(media[k["offset"] : k["offset"] + k["size"]] == payload[64 * k["sample"] :][:64] for k in found["keyframes"])
-    for broken in (b"", b"abc", media[:100], b"\0" * 64, struct.pack(">I4s", 4, b"moov")):
+    deep = b""
+    for _ in range(5000):
+        deep = struct.pack(">I4s", 8 + len(deep), b"moov") + deep
+    many = media.replace(struct.pack(">II", 64, 600), struct.pack(">II", 64, 1 << 31))
+    for broken in (b"", b"abc", media[:100], b"\0" * 64, struct.pack(">I4s", 4, b"moov"), deep, many):
         assert describe(broken)["codec"] is None
     assert describe(None)["media_bytes"] is None
 
@@ -171,6 +258,27 @@ def test_bpe_is_the_librarys(spark, monkeypatch):
     assert byte_bpe.encode_documents(documents(spark), path, public_tokenizers.PATTERN).count() == documents(spark).count()
 
 
+def test_pre_tokens_are_the_librarys_for_every_character():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.ranks_of(path), special_tokens={})
+    encode = byte_bpe.word_encoder(path, public_tokenizers.PATTERN)
+    every = [chr(c) for span in byte_bpe.CODE_POINTS for c in span]
+    for k in range(0, len(every), 2048):
+        words = byte_bpe.PreTokens(public_tokenizers.PATTERN)
+        text = "".join(f"the{c}'s 1{c} {c}\n" for c in every[k : k + 2048])
+        numbers, ids = words.of(text).tolist(), [encode(w.encode()) for w in words.numbers]
+        assert b"".join(ids[n] for n in numbers) == np.array(library.encode_ordinary(text), "<u4").tobytes(), hex(ord(every[k]))
+
+
+def test_bpe_forgets_and_goes_on(spark, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    want = sorted(map(repr, map(tuple, byte_bpe.encode_documents(documents(spark), path, public_tokenizers.PATTERN).collect())))
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 2)
+    monkeypatch.setattr(byte_bpe, "BLOCK", 50)
+    monkeypatch.setattr(byte_bpe, "BUCKET", 1000)
+    assert sorted(map(repr, map(tuple, byte_bpe.encode_documents(documents(spark), path, public_tokenizers.PATTERN).collect()))) == want
+
+
 def test_bpe_blocks(monkeypatch):
     monkeypatch.setattr(byte_bpe, "BLOCK", 10)
     rows = dict(byte_bpe.block_rows(["a b a", "", "b"], public_tokenizers.PATTERN, 4))

@@ -1,12 +1,21 @@
+import hashlib
+import itertools
+import math
 import random
 import zlib
 
+import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridloom.llm.toxicity import PATTERNS, Voters, held_out, score_toxicity
+from gridloom.llm import toxicity
+from gridloom.llm.byte_bpe import ranks_of
+from gridloom.llm.toxicity import PATTERNS, LabelModel, Voters, fit_label_model, forest, held_out, score_toxicity
 from tests.llm.helpers import documents, empty
+from tests.llm.test_set_operators import brute_components, brute_mix
 
 STEMS = ["zorga", "plimu"]  # unknown to the lexicons: must be learned from labels
 
@@ -62,6 +71,119 @@ def test_held_out_of_null(spark):
     assert spark.range(1).select(held_out(F.lit(None).cast("long"))).first()[0] is True
 
 
+def test_forest_joins_what_says_the_same():
+    r = np.random.default_rng(5)
+    toxic = r.random(4000) < 0.3
+    a = np.where(toxic, r.random(4000) < 0.6, r.random(4000) < 0.05)
+    votes = np.stack([a, a, np.where(toxic, r.random(4000) < 0.5, r.random(4000) < 0.05)], 1).astype(float)
+    joint = np.stack([votes[toxic == c].T @ votes[toxic == c] for c in (0, 1)])
+    counts = np.array([(~toxic).sum(), toxic.sum()], float)
+    parent = forest(joint, counts)
+    assert {parent[0], parent[1]} <= {-1, 0, 1} and (parent[1] == 0 or parent[0] == 1)
+    assert forest(joint[:, 2:, 2:], counts).tolist() == [-1]
+
+
+def test_posterior_is_the_products(spark):
+    model = LabelModel(0.2, np.array([-1, 0, 0]), np.log(np.random.default_rng(1).dirichlet([1, 1], size=(2, 2, 3))))
+    for votes in itertools.product((0, 1), repeat=3):
+        weight = [0.8, 0.2]
+        for c in (0, 1):
+            for k, v in enumerate(votes):
+                above = votes[model.parent[k]] if model.parent[k] >= 0 else 0
+                weight[c] *= math.exp(model.logs[c, above, k, v])
+        assert model.posterior(np.array([votes]))[0] == pytest.approx(weight[1] / sum(weight))
+
+
+def test_a_voter_heard_twice_counts_once(spark, monkeypatch):
+    """Over votes of which two are the same the label model stays near the posteriors of the model without the copy;
+    one in which all voters are taken as independent goes away from them."""
+    r = np.random.default_rng(8)
+    toxic = r.random(3000) < 0.3
+    one = [np.where(toxic, r.random(3000) < t, r.random(3000) < f) for t, f in ((0.7, 0.1), (0.6, 0.1), (0.6, 0.05))]
+
+    def fitted(columns):
+        votes = np.stack(columns, 1)
+        bits = [bytes(np.packbits(v, bitorder="little")) for v in votes]
+        rows = [(b, int(t) if k % 4 == 0 else None) for k, (b, t) in enumerate(zip(bits, toxic))]
+        return fit_label_model(spark.createDataFrame(rows, "bits binary, known int"), len(columns)).posterior(votes.astype(int))
+
+    alone, twice = fitted(one), fitted([one[0], *one])
+    assert ((alone >= 0.5) == toxic).mean() > 0.85
+    monkeypatch.setattr(toxicity, "forest", lambda joint, counts: np.full(joint.shape[1], -1))
+    apart = fitted([one[0], *one])
+    assert np.abs(alone - twice).mean() < 0.5 * np.abs(alone - apart).mean()
+
+
+def test_posteriors_teach_words_that_labels_lack(spark):
+    """Ablation: words that only unlabelled documents hold raise a score, and without the rows of the label model hardly do."""
+    r = random.Random(2)
+    plain = lambda: ["".join(r.choice("aeioubdgklmnr") for _ in range(r.randint(3, 8))) for _ in range(40)]
+    rows, labels = [], []
+    for k in range(600):
+        words = plain()
+        if k % 3 == 0:
+            words[3], words[9], words[20] = r.sample(["idiot", "stupid", "scum", "worthless", "vile", "clown", "hateful", "freak"], 3)
+            if k >= 120:  # not labelled
+                words[5], words[30] = "zorgata", "zorgamo"
+        rows.append((k, " ".join(words)))
+        if k < 120:
+            labels.append((k, int(k % 3 == 0)))
+    probes = [(1000, " ".join([*plain(), "zorgata", "zorgamo"])), (1001, " ".join(plain()))]
+    docs, known = documents(spark, rows + probes), spark.createDataFrame(labels, "doc_id long, toxic int")
+    score = lambda: {x["doc_id"]: x["score"] for x in score_toxicity(docs, known).collect()}
+    with_rows = score()
+    assert with_rows[1000] > 2 * with_rows[1001]
+    sampled = toxicity.sampled
+    toxicity.sampled = lambda slim, votes: sampled(slim, votes).limit(0)
+    try:
+        without = score()
+    finally:
+        toxicity.sampled = sampled
+    assert without[1000] < 1.5 * without[1001]
+
+
+def test_copies_count_once_in_the_sample(spark):
+    docs = documents(spark, [(k, "the same text") for k in range(300)] + [(k, f"text {k}") for k in range(300, 340)])
+    slim = docs.select(F.col("doc_id").alias("id"), "text")
+    votes = slim.select(F.xxhash64("text", F.lit(5)).alias("pick"))
+    assert toxicity.sampled(slim, votes).count() == 41
+
+
+CLASHES = "doc_id long, text string, source string, lang string, predicted int, score string, held_out string, Row int, KEY string, __text string, __rows int, __head string, __copy int, rows string, copies string, id string, digest string, weight double, component_id string"
+
+
+def test_clashing_columns_pass_through(spark, tmp_path):
+    rows, labels = corpus(60)
+    sf = write_labels(spark, tmp_path, labels)
+    more = lambda i: ("s" if i % 2 else None, "en", 7, "a", None, i, "k", "t", 3, None, i, "r", "c", "i", "d", 0.5, "x")
+    data = {i: (i, t, *more(i)) for i, t in rows}
+    docs = spark.createDataFrame([*data.values(), data[7]], CLASHES)
+    for name in ("toxicity", "n-gram", "mixing"):
+        out = stage(name)(spark, docs, sf)
+        got = [tuple(r) for r in out.collect()]
+        assert out.columns == docs.columns and got and all(r == data[r[0]] for r in got), name
+    assert stage("byte")(spark, docs, sf).count() == len(rows) + 1
+
+
+def test_run_is_the_plain_stages(spark, tmp_path):
+    rows, labels = corpus(90)
+    rows += [(300, rows[2][1]), (301, rows[2][1] + " tail"), (302, None), (303, "short text"), (304, "short text")]
+    table = spark.createDataFrame([(i, t, ["a", "b", None][i % 3]) for i, t in rows], "doc_id long, text string, source string")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    sf = write_labels(spark, tmp_path, labels)
+    got = sorted(repr(tuple(r)) for r in corpus_pipeline.run(spark, sf).collect())
+    bad = {r["doc_id"] for r in score_toxicity(table, spark.read.parquet(f"{sf}/labels.parquet")).collect() if r["predicted"]}
+    clean = [(i, t) for i, t in rows if i not in bad]
+    heads = {c for _, _, c in brute_components(clean)}
+    kept = [(i, t, ["a", "b", None][i % 3]) for i, t in clean if i in heads]
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks_of(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    want = []
+    for (i, t, _), copies in zip(kept, brute_mix(spark, kept)):
+        ids = library.encode_ordinary(t or "")
+        want += [repr((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))] * copies
+    assert bad and len(kept) < len(clean) and got == sorted(want)
+
+
 def stage(name):
     return next(f for n, f in corpus_pipeline.STAGES if n.startswith(name))
 

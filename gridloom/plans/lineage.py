@@ -3,21 +3,45 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` into the folder the session names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in ``spark.checkpoint.dir``, or rather this application's own in it.
 
     Only a local session without that setting (as in tests) gets a folder of its own; on a
     cluster, where executors share no local folder, its lack is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None and not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gridloom-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``checkpoint()`` into the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """A Parquet table of ``df`` in the shared folder: columns are pruned and small files are read together, which a
+    checkpoint can't do. It stays until ``dropped`` or the end of the folder; names must differ."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes stored tables that no plan will read again: what was made from them is itself stored or fetched."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

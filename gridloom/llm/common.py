@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from gridloom.plans.lineage import cut
+from gridloom.plans.lineage import cut, dropped, stored
 
-__all__ = ["cut", "map_texts", "pieces", "read", "release"]
+__all__ = ["cut", "dropped", "map_texts", "pieces", "read", "release", "stored"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

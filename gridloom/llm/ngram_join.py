@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut, pieces, release
+from gridloom.llm.common import dropped, pieces, release, stored
 
 #: Frequent tokens, leaders of a class, bits of the bitmap, bytes of text hashed at a time.
 FREQUENT, LEADERS, BITMAP, STRETCH = 50_000, 1, 1 << 23, 1 << 18
@@ -244,20 +244,25 @@ def whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
         release()
 
     made = texts.mapInArrow(run, "n long, k1 long, k2 long, tokens array<long>")
-    return cut(made.join(wanted, ["n", "k1", "k2"]).groupBy("cls").agg(F.first("tokens").alias("tokens")))
+    return stored(made.join(wanted, ["n", "k1", "k2"]).groupBy("cls").agg(F.first("tokens").alias("tokens")))
+
+
+def quotient(x: Column, by: int) -> Column:
+    """Integer division: doubles would lose tokens of the largest sets."""
+    return F.call_function("div", x, F.lit(by))
 
 
 def needed(a: str | Column, b: str | Column, percent: int) -> Column:
     """Shared tokens from which on sets of these sizes reach the threshold."""
     a, b = (F.col(x) if isinstance(x, str) else x for x in (a, b))
-    return F.ceil((a + b) * percent / F.lit(100.0 + percent) - 1e-9)
+    return quotient(percent * (a + b) + 99 + percent, 100 + percent)
 
 
 def pair_bound(percent: int) -> Column:
     """Whether classes a and b, sharing c prefix tokens, can reach the threshold: all prefix
     tokens of the one whose prefix ends first were compared, so it shares c and its rest at most,
     and none shares more than it has."""
-    rest = lambda x: F.ceil(F.col(f"n_{x}") * percent / F.lit(100.0) - 1e-9) - 1
+    rest = lambda x: quotient(F.col(f"n_{x}") * percent + 99, 100) - 1
     most = F.least("n_a", "n_b", F.col("c") + F.when(F.col("end_a") <= F.col("end_b"), rest("a")).otherwise(rest("b")))
     return most >= needed("n_a", "n_b", percent)
 
@@ -288,16 +293,20 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round a node takes the smallest root around it, and roots follow their own roots.
     """
-    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    roots = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    roots = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
     while True:
-        near = both.join(roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        near = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         best = roots.join(near, "node").select("node", F.least("root", "near").alias("mid"), F.col("root").alias("old"))
         ahead = roots.select(F.col("node").alias("mid"), F.col("root").alias("far"))
-        moved = cut(best.join(ahead, "mid", "left").select("node", F.least("mid", "far").alias("root"), "old"))
-        roots = moved.select("node", "root")
+        moved = stored(best.join(ahead, "mid", "left").select("node", F.least("mid", "far").alias("root"), "old"))
+        dropped(roots)
+        roots = moved
         if moved.filter(F.col("root") != F.col("old")).isEmpty():
-            return roots
+            dropped(both)
+            found = moved.select("node", "root")
+            found.stored_at = moved.stored_at
+            return found
 
 
 def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -305,9 +314,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     texts = docs.select(F.col(text_col).alias("text"))
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     frequent = frequent_tokens(texts)
-    made = cut(prefixes(rows, frequent, percent))
+    made = stored(prefixes(rows, frequent, percent))
     whole = made.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("uid").alias("cls"), F.first("prefix").alias("prefix"), F.min("id").alias("least"))
-    classes = cut(whole.select("cls", "n", "k1", "k2", F.element_at("prefix", -1).alias("end"), "least"))
+    classes = stored(whole.select("cls", "n", "k1", "k2", F.element_at("prefix", -1).alias("end"), "least"))
     about = classes.select("cls", "n", "end")
 
     lists = whole.select("cls", F.explode("prefix").alias("token"))
@@ -315,7 +324,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
     hot = lists.filter(F.col("token") >= HOT)
     sizes = hot.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
     hot = hot.join(F.broadcast(sizes), "token")  # at most FREQUENT rows
-    shared = cut(cold.select("token", "cls", "size").unionByName(hot.select("token", "cls", "size")))
+    shared = stored(cold.select("token", "cls", "size").unionByName(hot.select("token", "cls", "size")))
 
     # 2. Groups: each class beside the most central classes of its lists.
     central = shared.groupBy("cls").agg(F.sum("size").alias("central"))
@@ -328,23 +337,25 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
         .withColumn("k", F.row_number().over(Window.partitionBy("a").orderBy(F.col("c").desc(), "b"))).filter(F.col("k") <= LEADERS)
         .select("a", "b")
     )
-    led = cut(led)
-
+    led = stored(led)
     def wanted(pairs: DataFrame) -> DataFrame:
         both = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
         return classes.drop("end", "least").join(both, "cls")
 
-    star = cut(verified(led, whole_sets(texts, wanted(led)), percent))
+    sets = whole_sets(texts, wanted(led))
+    star = stored(verified(led, sets, percent))
+    dropped(led, sets)
     grouped = components(star)
-    member = cut(
+    member = stored(
         about.join(grouped.withColumnRenamed("node", "cls"), "cls", "left").withColumn("g", F.coalesce("root", "cls")).drop("root")
     )
+    dropped(grouped)
 
     # 3. The token-group matrix, and the overlap of classes with other groups.
-    spans = cut(member.groupBy("g").agg(F.count("*").alias("members"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.min("end").alias("end_min"), F.max("end").alias("end_max")))
-    large = cut(spans.filter(F.col("members") >= LARGE_MEMBERS).orderBy(F.col("members").desc(), "g").limit(LARGE).select("g"))
+    spans = stored(member.groupBy("g").agg(F.count("*").alias("members"), F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.min("end").alias("end_min"), F.max("end").alias("end_max")))
+    large = stored(spans.filter(F.col("members") >= LARGE_MEMBERS).orderBy(F.col("members").desc(), "g").limit(LARGE).select("g"))
     placed = dealt(member, "g", large, F.col("cls")).join(copied(spans.select("g", "members"), "g", large), ["g", "part"]).select("cls", "g", "members")
-    inside = cut(shared.select("token", "cls").join(placed, "cls"))
+    inside = stored(shared.select("token", "cls").join(placed, "cls"))
     matrix = inside.groupBy("token", "g", "members").agg(F.count("*").alias("of"))
     several = matrix.groupBy("token").agg(F.count("*").alias("groups")).filter("groups > 1").select("token")
     matrix = matrix.join(several, "token").select("token", F.col("g").alias("other"), F.col("members").alias("others"))
@@ -354,8 +365,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
         .filter((F.col("members") < F.col("others")) | ((F.col("members") == F.col("others")) & (F.col("g") < F.col("other"))))
         .groupBy("cls", "other").agg(F.count("*").alias("c"))
     )
-    n, low, high = F.col("n"), F.greatest("n_min", F.ceil(F.col("n") * percent / F.lit(100.0) - 1e-9)), F.least("n_max", F.floor(F.col("n") * 100 / F.lit(float(percent)) + 1e-9))
-    rest = lambda x: F.ceil(x * percent / F.lit(100.0) - 1e-9) - 1
+    n, low, high = F.col("n"), F.greatest("n_min", quotient(F.col("n") * percent + 99, 100)), F.least("n_max", quotient(F.col("n") * 100, percent))
+    rest = lambda x: quotient(x * percent + 99, 100) - 1
     qualifies = (low <= high) & (
         ((F.col("end") <= F.col("end_max")) & (F.col("c") + rest(n) >= needed(n, low, percent)))
         | ((F.col("end_min") < F.col("end")) & (F.col("c") + rest(high) + 1 >= needed(n, high, percent)))
@@ -368,7 +379,8 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
 
     # 4. Members of open groups, by their own prefix overlap, then exactly. A pair is one row
     # with both prefixes, whatever they share.
-    opened = cut(opened)
+    opened = stored(opened)
+    dropped(inside)
     held = shared.groupBy("cls").agg(F.collect_list("token").alias("tokens"))  # a prefix at most
     with_tokens = lambda c: held.select(F.col("cls").alias(c), F.col("tokens").alias(f"tokens_{c}"))
     asking = opened.select("a").distinct().join(with_tokens("a"), "a").join(left, "a")
@@ -380,14 +392,19 @@ def jaccard_components(docs: DataFrame, percent: int = 80, id_col: str = "doc_id
         asking.join(inmates, ["other", "part"]).filter(fits)
         .withColumn("c", F.size(F.array_intersect("tokens_a", "tokens_b"))).filter(pair_bound(percent)).select("a", "b")
     )
-    close = cut(close)
-    links = verified(close, whole_sets(texts, wanted(close)), percent)
+    close = stored(close)
+    dropped(opened, shared, member, spans, large)
+    sets = whole_sets(texts, wanted(close))
+    links = stored(verified(close, sets, percent))
+    dropped(close, sets)
     roots = components(star.unionByName(links))
 
     # The smallest id of a component, by its classes; then the documents of each class.
-    rooted = cut(classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("n", "k1", "k2", F.coalesce("root", "cls").alias("root"), "least"))
-    smallest = cut(rooted.groupBy("root").agg(F.min("least").alias("smallest")))
-    of_class = rooted.drop("least").join(smallest, "root").drop("root")
+    rooted = stored(classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("n", "k1", "k2", F.coalesce("root", "cls").alias("root"), "least"))
+    dropped(star, links, classes, roots)
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("smallest"))
+    of_class = stored(rooted.drop("least").join(smallest, "root").drop("root"))
+    dropped(rooted)
     return made.select("id", "n", "k1", "k2").join(of_class, ["n", "k1", "k2"], "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),

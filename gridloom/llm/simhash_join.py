@@ -106,7 +106,7 @@ def divided(points: np.ndarray, bits: int) -> tuple[np.uint64, int] | None:
     for vantage in points[np.linspace(0, len(points) - 1, TRIED).astype(int)]:
         counts = np.bincount(apart(points, vantage), minlength=BITS + 1)
         within = np.cumsum(counts)
-        border = within - np.r_[np.zeros(bits, int), within[:-bits]]
+        border = within - np.r_[np.zeros(bits, int), within[: len(within) - bits]]
         fair = np.minimum(within, len(points) - within)
         for least in (len(points) // 4, 1):
             radii = np.flatnonzero(fair >= max(least, 1))

@@ -9,9 +9,10 @@ from gridloom.plans import quantiles
 from gridloom.plans.quantiles import exact_quantiles
 
 
-@pytest.mark.parametrize("bins", [4096, 3])
-def test_quantiles_are_numpys(spark, monkeypatch, bins):
+@pytest.mark.parametrize(("bins", "few"), [(4096, 10_000), (4096, 0), (3, 5)])
+def test_quantiles_are_numpys(spark, monkeypatch, bins, few):
     monkeypatch.setattr(quantiles, "BINS", bins)
+    monkeypatch.setattr(quantiles, "FEW", few)
     g = np.random.default_rng(3)
     a = [*g.normal(size=300).tolist(), 1e300, -1e300, 5.0, 5.0, 5.0]
     b = [float(x) for x in g.integers(0, 4, size=len(a))]
@@ -24,6 +25,39 @@ def test_quantiles_are_numpys(spark, monkeypatch, bins):
     assert exact_quantiles(df.limit(1), {"m": ("a", 0.5)})["m"] == a[0]
 
 
+INF = float("inf")
+AWKWARD = {
+    "minus": [-INF, *range(10)],
+    "both": [-INF, -INF, 1.0, 2.0, INF],
+    "infinite": [INF, INF, -INF],
+    "wide": [1e308, -1e308, 1.7e308, -1.7e308, 0.0, 3.0],
+    "tiny": [5e-324, 1e-323, -5e-324, 0.0, -0.0, 1e-300],
+    "tails": [10.0 ** (k % 600 - 300) * (-1) ** k for k in range(900)],
+    "equal": [7.5] * 50,
+    "close": [1 + k * 2.0**-52 for k in range(40)],
+    "gaps": [1.0] * 40 + [1e18, 1e18 + 256],
+}
+
+
+def test_quantiles_end_on_every_input(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW", 0)
+    passes = []
+    plain = quantiles.refined
+    monkeypatch.setattr(quantiles, "refined", lambda data, spans: passes.append(1) or plain(data, spans))
+    longest = max(map(len, AWKWARD.values()))
+    rows = zip(*[[*map(float, v), *[None if k % 2 else float("nan")] * (longest - len(v))] for k, v in enumerate(AWKWARD.values())])
+    df = spark.createDataFrame(list(rows), ", ".join(f"{c} double" for c in AWKWARD))
+    got = exact_quantiles(df, {f"{c}:{q}": (c, q) for c in AWKWARD for q in (0.0, 0.25, 0.5, 0.9, 1.0)})
+    assert 1 < len(passes) <= 7
+    for c, values in AWKWARD.items():
+        order = sorted(map(float, values))
+        for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+            at = q * (len(order) - 1)
+            low, high, part = order[int(at)], order[min(int(at) + 1, len(order) - 1)], at - int(at)
+            want = low if low == high or not part else low * (1 - part) + high * part
+            assert got[f"{c}:{q}"] == pytest.approx(want, rel=1e-12, nan_ok=True)
+
+
 def grid(spark, rows):
     return spark.createDataFrame([(k, 0, *map(float, r)) for k, r in enumerate(rows)], "row int, col int, b02 double, b03 double, b04 double, b08 double, b11 double")
 

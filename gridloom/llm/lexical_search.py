@@ -6,9 +6,9 @@
    block, none larger than a block. A block's row without a term lists all its documents.
 2. Items. Their terms are counted the same way and joined with the buckets' document counts,
    which gives each term's weight.
-3. Scores. The buckets of a block are brought into one task, the items' terms are joined to them,
-   each match is scored in whole numbers, and the sums by item and document need no further
-   shuffle. A window by item takes the k best; Spark keeps k rows of each partition before it.
+3. Scores. A term's items are joined to its buckets, each bucket once with all that ask for it;
+   the buckets of a block are brought into one task, where each match is scored in whole numbers
+   and the sums by item and document need no further shuffle. A window by item takes the k best; Spark keeps k rows of each partition before it.
 
 Rows shuffled are buckets, whose number follows the distinct terms of blocks, and k rows for
 each item and partition. Nothing but the count and length of all documents reaches the driver;
@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.common import release, stored
 from gridloom.llm.ngram_join import texts_of
 
-#: Documents and bytes of text of a block, bytes cut into words at a time.
-BLOCK, BYTES, STRETCH = 2048, 1 << 24, 1 << 20
+#: Documents and bytes of text of a block, bytes cut into words at a time, items that are held beside one bucket.
+BLOCK, BYTES, STRETCH, ITEMS = 2048, 1 << 24, 1 << 20, 1024
 #: A-Z to a-z; every other byte of ASCII but digits and letters to a space.
 TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -127,12 +127,14 @@ def ranked(
     asked = asked.select("term", F.explode(F.arrays_zip("ids", "tf")).alias("x")).groupBy("term", F.col("x.ids").alias("item")).agg(F.sum("x.tf").alias("times"))
     listed = index.filter(F.col("term").isNotNull())
     wanted = stored(asked)
+    chunks = max(1, -(-wanted.select("item").distinct().count() // ITEMS))
     df = listed.select("term", F.size("at").alias("some")).join(wanted.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("some").alias("df"))
     weight = F.floor(1000 * F.log(F.lit(2.0 * n_docs + 2.0) / (2.0 * F.col("df") + 1.0)))
-    weighed = stored(wanted.join(df, "term").select("term", "item", (F.col("times") * weight).alias("w")))
-    # The buckets of a block meet in one task: what is summed there is whole.
-    met = listed.join(weighed.select("term").distinct(), "term", "left_semi").repartition("block").join(weighed, "term")
-    pairs = met.select("block", "item", "w", F.explode(F.arrays_zip("at", "tf", "n", "ids")).alias("x"))
+    weighed = wanted.join(df, "term").select("term", "item", (F.col("times") * weight).alias("w"))
+    weighed = stored(weighed.groupBy("term", F.pmod(F.xxhash64("item"), F.lit(chunks)).alias("chunk")).agg(F.collect_list(F.struct("item", "w")).alias("asks")))
+    # The buckets of a block meet in one task, each with the items that ask for it: what is summed there is whole.
+    met = listed.join(weighed, "term").repartition("block")
+    pairs = met.select("block", F.explode("asks").alias("a"), "at", "tf", "n", "ids").select("block", F.col("a.item").alias("item"), F.col("a.w").alias("w"), F.explode(F.arrays_zip("at", "tf", "n", "ids")).alias("x"))
     m = 75 + F.call_function("div", 25 * F.col("x.n").cast("long") * n_docs, F.lit(n_terms))
     tf = F.col("x.tf").cast("long")
     score = F.col("w") * F.call_function("div", 1_000_000_000 * tf, 1000 * tf + 12 * m)

@@ -12,8 +12,9 @@ page's highest sum if that is lower. Blocks that only their names mark as the ar
 so where together they hold a window of the highest sum and half the characters outside links.
 
 A class or id doesn't leave out an element that holds an ``article`` or ``main``, nor one
-that holds most of the page's characters outside links (so comments that outweigh the rest
-of their page stay).
+that holds most of the page's characters outside links. Comments go however long they are: only
+an element that wraps the page's own article (the first outside comments) isn't taken for
+comments, and one on a page without an article and without a surge of text elsewhere.
 
 Defined results: null or empty html has no text (an empty string); a page that ends early
 keeps what it has; repeated rows each give a row; other columns are ignored; an empty
@@ -55,7 +56,9 @@ MARKED = set(
     "signup skip social sponsor sponsored subscribe subscription tags toc toolbar widget widgets".split()
 )
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+COMMENTS = set("comment comments disqus replies reply respond".split())
 ARTICLE_WORDS = set("article content entry main post story".split())
+OUTSIDE = ("apart", "doubt", "doubt comments")
 STATES = set("has no with without".split())  # begin names of what an element has, not of what it is
 
 TAG = re.compile(
@@ -83,7 +86,8 @@ def decoded(raw: str) -> str:
 
 def part_of(name: str, rest: str, in_article: bool) -> str:
     """``apart`` for an element that is no part of an article, ``doubt`` for one that only its class or id says so of
-    (``doubt named`` if they name an article, too), ``article`` and ``named`` for one that marks it, ``card`` for an
+    (``doubt named`` if they name an article, too, ``doubt comments`` if one of them names comments and none an article
+    alone), ``article`` and ``named`` for one that marks it, ``card`` for an
     article named as a comment or the like, else empty."""
     if name in APART or (name == "header" and not in_article):
         return "apart"
@@ -91,6 +95,7 @@ def part_of(name: str, rest: str, in_article: bool) -> str:
     if rest == ">" or name in ("html", "body"):
         return "article" if own else ""
     words: set[str] = set()
+    comments = alone = False
     for key, value in ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
@@ -98,6 +103,8 @@ def part_of(name: str, rest: str, in_article: bool) -> str:
                 found = [w.lower() for w in WORD.findall(token)]
                 if found and found[0] not in STATES:
                     words.update(found)
+                    comments |= not COMMENTS.isdisjoint(found)
+                    alone |= COMMENTS.isdisjoint(found) and not ARTICLE_WORDS.isdisjoint(found)
         elif own:
             continue
         elif key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
@@ -110,6 +117,8 @@ def part_of(name: str, rest: str, in_article: bool) -> str:
     marked = words & MARKED - {"header", "tags", "byline"} if titled else words & MARKED
     if own:
         return "card" if marked and not titled else "article"
+    if comments and not alone:
+        return "doubt comments"
     named = "named" if titled and name in ("div", "section", "td") else ""
     return f"doubt {named}".strip() if marked else named
 
@@ -218,7 +227,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, str
         if part:
             flush()
             apart += part == "apart"
-            articles += part != "apart" and part != "doubt"
+            articles += part not in OUTSIDE
             enter(part)
         links += name == "a"
         if name in BLOCKS:
@@ -238,6 +247,16 @@ def measured(page: str) -> tuple[list[tuple[str, int]], bool]:
     for _, outside, at in lines:
         held[at] += outside
     holds = [part == "article" for _, part in elements]
+    # Whether an element is set apart or is comments; the page's own article is the first that isn't in such, or else the first.
+    aside = [False] * len(elements)
+    for k, (around, part) in enumerate(elements[1:], 1):
+        aside[k] = aside[around] or part in ("apart", "doubt comments")
+    own = min((aside[k], k) for k in range(len(elements)) if holds[k])[1] if any(holds) else 0
+    wraps = set()
+    while own:
+        wraps.add(own)
+        own = elements[own][0]
+    enough = max(sums_of([0 if aside[at] else outside for _, outside, at in lines]), default=0) > SURGE
     for k in range(len(elements) - 1, 0, -1):
         around = elements[k][0]
         held[around] += held[k]
@@ -246,10 +265,14 @@ def measured(page: str) -> tuple[list[tuple[str, int]], bool]:
     gone, doubted, sure, inside = ([False] * len(elements) for _ in range(4))
     for k, (around, part) in enumerate(elements[1:], 1):
         doubt = part.startswith("doubt")
-        gone[k] = gone[around] or part == "apart" or doubt and not holds[k] and 2 * held[k] <= held[0]
+        if part == "doubt comments":
+            leaves = k not in wraps and (enough or bool(wraps) or 2 * held[k] <= held[0])
+        else:
+            leaves = part == "apart" or doubt and not holds[k] and 2 * held[k] <= held[0]
+        gone[k] = gone[around] or leaves
         doubted[k] = doubted[around] or doubt
         sure[k] = sure[around] or part in ("article", "card") and not doubted[k]
-        inside[k] = inside[around] or part not in ("apart", "doubt")
+        inside[k] = inside[around] or part not in OUTSIDE
     marked = any(sure)
 
     def windows(limited: bool) -> tuple[list[tuple[str, int, bool]], list[int]]:

@@ -115,9 +115,7 @@ class Track:
 
     def samples(self) -> list[tuple[int, int]]:
         """Offset and size of each sample, in order."""
-        one, n = struct.unpack_from(">II", self.boxes[b"stsz"], 4)
-        if one * n > self.length:
-            raise ValueError("more samples than bytes")
+        one, n = self.sizes()
         sizes = [one] * n if one else [x for (x,) in self.ints(b"stsz", 8)]
         offsets = [x for (x,) in self.ints(b"stco") or self.ints(b"co64", code="Q")]
         runs = self.ints(b"stsc", width=3)
@@ -135,7 +133,14 @@ class Track:
         """Sample numbers from 0; without a table every sample is one."""
         if b"stss" in self.boxes:
             return [k - 1 for (k,) in self.ints(b"stss")]
-        return list(range(struct.unpack_from(">I", self.boxes[b"stsz"], 8)[0]))
+        return list(range(self.sizes()[1]))
+
+    def sizes(self) -> tuple[int, int]:
+        """The size of all samples, or 0 where a table has them, and their number, which the file's bytes bound."""
+        one, n = struct.unpack_from(">II", self.boxes[b"stsz"], 4)
+        if one * n > self.length or not one and 4 * n > len(self.boxes[b"stsz"]) - 12:
+            raise ValueError("more samples than bytes")
+        return one, n
 
 
 def walk(data: memoryview, start: int, end: int, track: Track | None = None) -> Iterator[Track]:

@@ -174,12 +174,13 @@ class Voters:
             return 0
         low = text.lower()
         words = words_of(low)
+        times = Counter(words)
         bits, several = 0, Counter()
-        for word in self.words.telling(set(words)):
+        for word in self.words.telling(set(times)):
             alone, more = self.words[word]
             bits |= alone
             for feature in more:
-                several[feature] += words.count(word)
+                several[feature] += times[word]
         for feature, n in several.items():
             if dense(n, len(words)):
                 bits |= self.mined[f"{feature}+"]
@@ -402,12 +403,13 @@ def score_texts(docs: DataFrame, held: dict[str, float], intercept: float, keep:
 
         def score(text: str | None) -> float:
             words = words_of((text or "").lower())
+            times = Counter(words)
             logit, shares = intercept, Counter()
-            for word in sorted(known.telling(set(words))):  # sorted: sums in one order
+            for word in sorted(known.telling(set(times))):  # sorted: sums in one order
                 alone, more = known[word]
                 logit += alone
                 for feature in more:
-                    shares[feature] += words.count(word)
+                    shares[feature] += times[word]
             for feature, n in shares.items():
                 logit += held[feature] * min(1.0, n / (2 * SHARE * len(words)))
             return 1 / (1 + math.exp(-max(-50.0, min(50.0, logit))))

@@ -155,6 +155,50 @@ def gaussian(df: DataFrame, value: str, sigma: float, rows: int, cols: int) -> D
     return tiled(df, value, reach, rows, cols, kernel, ["value"], edge="symmetric")
 
 
+def uniform(df: DataFrame, value: str, size: int, rows: int, cols: int) -> DataFrame:
+    """(row, col, value): the mean of a square window, mirrored at the edges; missing cells don't count."""
+    before = size // 2
+    offsets = [(r, c) for r in range(-before, size - before) for c in range(-before, size - before)]
+    found = tiled(df, value, before, rows, cols, moments_kernel(offsets), ["mean"], edge="symmetric")
+    return found.withColumnRenamed("mean", "value")
+
+
+#: Doubles of a strip of windows that is sorted at a time.
+STRIP = 1 << 22
+
+
+def median(df: DataFrame, value: str, size: int, rows: int, cols: int) -> DataFrame:
+    """(row, col, value): the median of a square window of an odd size, mirrored at the edges; missing cells don't count.
+
+    A tile's windows are views of its cells; they are partially sorted some rows at a time.
+    """
+    if size % 2 == 0:
+        raise ValueError("a median needs an odd window")
+
+    def kernel(padded: np.ndarray, halo: int) -> dict[str, np.ndarray]:
+        views = np.lib.stride_tricks.sliding_window_view(padded, (size, size))
+        out = np.full(views.shape[:2], np.nan)
+        step = max(1, STRIP // (views.shape[1] * size * size))
+        for start in range(0, len(views), step):
+            some = views[start : start + step].reshape(-1, size * size)
+            n = (~np.isnan(some)).sum(1)
+            ordered = np.sort(some, axis=1)  # missing ones come last
+            low, high = (np.take_along_axis(ordered, np.maximum(at, 0)[:, None], 1)[:, 0] for at in ((n - 1) // 2, n // 2))
+            out[start : start + step] = np.where(n > 0, low + (high - low) / 2, np.nan).reshape(-1, views.shape[1])
+        return {"value": out}
+
+    return tiled(df, value, size // 2, rows, cols, kernel, ["value"], edge="symmetric")
+
+
+SMOOTHING = {"gaussian": gaussian, "uniform": lambda df, value, sigma, rows, cols: uniform(df, value, int(sigma * 2 + 1), rows, cols), "median": lambda df, value, sigma, rows, cols: median(df, value, int(sigma * 2 + 1), rows, cols)}
+
+
+def smoothed(df: DataFrame, value: str, method: str, sigma: float, rows: int, cols: int) -> DataFrame:
+    """(row, col, value) of a surface of shares, smoothed and kept between 0 and 1."""
+    found = SMOOTHING[method](df, value, sigma, rows, cols)
+    return found.withColumn("value", F.greatest(F.least("value", F.lit(1.0)), F.lit(0.0)))
+
+
 def disk(radius: int) -> list[tuple[int, int]]:
     span = range(-radius, radius + 1)
     return [(r, c) for r in span for c in span if r * r + c * c <= radius * radius]

@@ -115,7 +115,11 @@ def neighbours(nodes: DataFrame, points: DataFrame, k: int) -> DataFrame:
         return nodes.withColumns({"near": F.array().cast(NEAR), "known": F.lit(float("inf"))})
     wide, high = b["x1"] - b["x0"], b["y1"] - b["y0"]
     share = min(1.0, TILE_POINTS / b["n"])
-    side = max(math.sqrt(wide * high * share), max(wide, high) * share, 1e-9 * max(1.0, abs(b["x0"]), abs(b["y0"])))
+    side = max(math.sqrt(wide * high * share), max(wide, high) * share)
+    if share == 1.0 or side == 0:  # few points: one tile's halo reaches over all of them from every node
+        at = nodes.agg(*[f(c).alias(f"{c[1]}{e}") for c in ("gx", "gy") for e, f in ((0, F.min), (1, F.max))]).first()
+        ends = [[v for v in (b[f"{c}0"], b[f"{c}1"], at[f"{c}0"], at[f"{c}1"]) if v is not None] for c in "xy"]
+        side = 8 * max(*(max(e) - min(e) for e in ends), 1e-9 * max(1.0, *map(abs, ends[0] + ends[1])))
     open_, done = nodes, []
     while True:
         found = one_round(open_, points, k, side, b["x0"], b["y0"])
@@ -213,7 +217,14 @@ def patch(points: np.ndarray, cx: float, cy: float, scale: float, kernel: str, s
     right = np.r_[points[:, 3], np.zeros(m)]
     if n >= m and np.linalg.matrix_rank(poly) == m:
         return np.linalg.solve(system, right)
-    return np.linalg.lstsq(system, right, rcond=None)[0]  # too few points, or all on one line: the flattest of all solutions
+    # Too few points, or all on one line: of all solutions the flattest around the points' middle.
+    mx, my = (x.mean(), y.mean()) if degree else (0.0, 0.0)
+    system[:n, n:] = monomials(x - mx, y - my, degree)
+    system[n:, :n] = system[:n, n:].T
+    found = np.linalg.lstsq(system, right, rcond=None)[0]
+    if degree:
+        found[n] -= found[n + 1] * mx + found[n + 2] * my
+    return found
 
 
 def radial(nodes: DataFrame, points: DataFrame, value: str, kernel: str = "thin_plate_spline", smoothing: float = 0.0, k: int = 64) -> DataFrame:

@@ -112,6 +112,42 @@ def multiscale_contrast(df: DataFrame, value: str, scales: list[int], levels: in
     return reduce(DataFrame.unionByName, parts)
 
 
+def circle(points: int, radius: float) -> list[list[tuple[int, int, float]]]:
+    """Of each place on a circle around a cell, the cells around it (row, column) with their bilinear weights."""
+    out = []
+    for k in range(points):
+        r, c = round(-radius * math.sin(2 * math.pi * k / points), 5), round(radius * math.cos(2 * math.pi * k / points), 5)
+        top, left = math.floor(r), math.floor(c)
+        corners = [(top + a, left + b, abs(1 - a - (r - top)) * abs(1 - b - (c - left))) for a in (0, 1) for b in (0, 1)]
+        out.append([x for x in corners if x[2] > 0])
+    return out
+
+
+def binary_patterns(df: DataFrame, value: str, rows: int, cols: int, points: int = 24, radius: int = 3) -> DataFrame:
+    """(row, col, code): uniform, rotation-invariant local binary patterns of a band of 0 to 1, as bytes.
+
+    Places on the circle are interpolated; those at least as bright as the middle are ones. Around a
+    circle with at most two changes the code is the number of ones, else one more than places. Missing
+    cells and those outside the grid are 0.
+    """
+    places, halo = circle(points, radius), math.ceil(radius)
+
+    def kernel(padded: np.ndarray, halo: int) -> dict[str, np.ndarray]:
+        level = np.floor(np.clip(np.nan_to_num(padded), 0, 1) * 255 + 0.5)
+        middle = shifted(level, halo, 0, 0)
+        ones = np.stack([sum(w * shifted(level, halo, r, c) for r, c, w in place) >= middle - 1e-6 for place in places])
+        changes = (ones != np.roll(ones, 1, 0)).sum(0)
+        return {"code": np.where(changes <= 2, ones.sum(0), points + 1).astype(float)}
+
+    found = tiled(df, value, halo, rows, cols, kernel, ["code"], edge="constant")
+    return found.withColumn("code", F.col("code").cast("int"))
+
+
+def pattern_variance(df: DataFrame, value: str, rows: int, cols: int, window: int = 9, points: int = 24, radius: int = 3) -> DataFrame:
+    """(row, col, variance) of the binary patterns in a square window."""
+    return local_variance(binary_patterns(df, value, rows, cols, points, radius), "code", rows, cols, window // 2)
+
+
 def gabor_kernel(frequency: float, theta: float) -> dict[tuple[int, int], float]:
     """The real part of a Gabor filter of one octave, by offset (row, column), out to three deviations."""
     sigma = math.sqrt(math.log(2) / 2) / math.pi * 3 / frequency

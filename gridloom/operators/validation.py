@@ -143,14 +143,16 @@ def validation_summary(accuracy: Column, gap: Column) -> dict[str, Column]:
 def cluster_scores(df: DataFrame, cluster: str, columns: list[str]) -> DataFrame:
     """Inertia, Calinski-Harabasz, Davies-Bouldin and the simplified silhouette (by distances to centres).
 
-    Centres are one row for each cluster, which is broadcast; rows stream past them into sums.
+    Centres are one row that holds them all, which is broadcast; rows stream past it into sums.
     """
     centres = cut(df.groupBy(F.col(cluster).alias("c")).agg(F.count("*").alias("n"), *[F.avg(x).alias(f"m_{x}") for x in columns]))
     distance = lambda a, b: F.sqrt(sum(((F.col(x) - F.col(y)) * (F.col(x) - F.col(y)) for x, y in zip(a, b)), F.lit(0.0)))
     middles = [f"m_{x}" for x in columns]
-    keyed = df.select(F.monotonically_increasing_id().alias("__id"), F.col(cluster).alias("__own"), *columns)
-    pairs = keyed.crossJoin(F.broadcast(centres)).withColumn("d", distance(columns, middles))
-    per_row = pairs.groupBy("__id").agg(F.max(F.when(F.col("c") == F.col("__own"), F.col("d"))).alias("a"), F.min(F.when(F.col("c") != F.col("__own"), F.col("d"))).alias("b"), F.first("__own").alias("own"))
+    # A row meets all centres as one array: nothing is exploded, and no row is shuffled to find its own again.
+    listed = centres.agg(F.collect_list(F.struct("c", *middles)).alias("__centres"))
+    far = lambda c: F.sqrt(sum(((F.col(x) - c[m]) * (F.col(x) - c[m]) for x, m in zip(columns, middles)), F.lit(0.0)))
+    distances = lambda own: F.transform(F.filter("__centres", lambda c: (c["c"] == F.col(cluster)) if own else (c["c"] != F.col(cluster))), far)
+    per_row = df.crossJoin(F.broadcast(listed)).select(F.array_max(distances(True)).alias("a"), F.array_min(distances(False)).alias("b"), F.col(cluster).alias("own"))
     spread = per_row.groupBy("own").agg(F.avg("a").alias("s"), F.sum(F.col("a") * F.col("a")).alias("w"), F.sum(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))).alias("q"), F.count("*").alias("rows"))
     sides = cut(spread.join(centres, F.col("own") == F.col("c")))
     a, b = (sides.select(F.col("c").alias(f"c_{k}"), F.col("s").alias(f"s_{k}"), *[F.col(m).alias(f"{m}_{k}") for m in middles]) for k in "ab")

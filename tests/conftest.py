@@ -3,6 +3,8 @@ import sys
 
 import pytest
 
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")  # before numpy comes: Spark has the cores
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))

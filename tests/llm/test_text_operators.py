@@ -237,7 +237,10 @@ def test_media_walk():
     for _ in range(5000):
         deep = struct.pack(">I4s", 8 + len(deep), b"moov") + deep
     many = media.replace(struct.pack(">II", 64, 600), struct.pack(">II", 64, 1 << 31))
-    for broken in (b"", b"abc", media[:100], b"\0" * 64, struct.pack(">I4s", 4, b"moov"), deep, many):
+    # A table of sizes that claims four thousand million samples and holds those of 600.
+    claims = media.replace(b"stss", b"free").replace(struct.pack(">II", 64, 600), struct.pack(">II", 0, (1 << 32) - 1))
+    assert claims != media.replace(b"stss", b"free")
+    for broken in (claims, b"", b"abc", media[:100], b"\0" * 64, struct.pack(">I4s", 4, b"moov"), deep, many):
         assert describe(broken)["codec"] is None
     assert describe(None)["media_bytes"] is None
 
@@ -307,3 +310,27 @@ def test_main_text_is_whole(page):
 
 def test_main_text_of_several_posts():
     assert kept_blocks(f"<div class='post has-comments'>{INNER}</div>" * 5) == BODY * 5
+
+
+REMARKS = "".join(f"<p>Remark number {k}: I have read the whole of it and think that there is more to say here.</p>" for k in range(30))
+
+
+@pytest.mark.parametrize("page", [
+    f"<h1>Title</h1>{INNER}<div class='comments'>{REMARKS}</div>",
+    f"<article>{INNER}</article><div class='comments'>{REMARKS.replace('<p>', '<article><p>').replace('</p>', '</p></article>')}</div>",
+    f"<div class='post-content'>{INNER}</div><section id='respond' class='comment-content'>{REMARKS}</section>",
+    f"<div class='comments-open post'><article>{INNER}</article><div class='commentlist comment-entry'>{REMARKS}</div></div>",
+    f"<div id='disqus_thread'>{REMARKS}</div><div>{INNER}</div>",
+])
+def test_comments_go_however_long(page):
+    assert [x for x in kept_blocks(f"<html><body>{page}</body></html>") if x != "Title"] == BODY
+
+
+def test_a_page_of_comments_alone_keeps_them():
+    assert len(kept_blocks(f"<p>Hi</p><div class='comments'>{REMARKS}</div>")) >= 30
+
+
+def test_repeated_pages_are_rows(spark):
+    pages = spark.createDataFrame([(1, "u", f"<article>{INNER}</article>")] * 3 + [(None, None, None)], "page_id long, url string, html string")
+    got = [r["text"] for r in text_of_blocks(extract_main_text(pages, ["page_id", "url"]), ["page_id", "url"]).collect()]
+    assert sorted(got) == sorted(["\n\n".join(BODY)] * 3 + [""])

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators import interpolate
 from gridloom.plans.quantiles import exact_quantiles
 
 # Zone thresholds by kind of map.
@@ -47,9 +48,10 @@ def inverse_distance(grid: DataFrame, points: DataFrame, value: str, power: floa
 
 
 def nearest_distance(grid: DataFrame, points: DataFrame) -> DataFrame:
-    """Distance to the nearest point, however far; NULL without points."""
-    least = all_pairs(grid, points).groupBy("i", "j").agg(F.min("d").alias("distance"))
-    return grid.select("i", "j").join(least, ["i", "j"], "left")
+    """Distance to the nearest point, however far; NULL without points. Nodes meet the points of their tile, and of
+    larger ones until none nearer is left out."""
+    near = interpolate.nearest(grid, points.withColumn("__one", F.lit(0.0)), "__one")
+    return near.select(*[F.col(c).cast(grid.schema[c].dataType) for c in ("i", "j")], "distance")
 
 
 def zone(score: Column, thresholds: list[float]) -> Column:

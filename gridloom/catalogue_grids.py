@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom import catalogue_more
 from gridloom.catalogue import NODES, PX, SCORED_SQL, points, query, scored, six, size_of
-from gridloom.operators import clustering, focal, interpolate, predictions, regrid, rings, surface, texture
+from gridloom.operators import clustering, focal, interpolate, interpretation, metrics, models, predictions, regrid, rings, surface, texture
 from gridloom.operators.regrid import Grid
 from gridloom.sources.grid import pixel_grid
 
@@ -259,3 +259,38 @@ s AS (SELECT n, own, max(CASE WHEN c = own THEN s / greatest(k - 1, 1) END) AS a
 SELECT own AS cluster, count(*) AS n, {six("avg(CASE WHEN k > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END)")} AS silhouette FROM s GROUP BY own""")
 def _(spark, d):
     return clustering.silhouette_by_cluster(pixel_grid(spark, d), "scl", ["b04", "b08"])
+
+
+# Curves, importances, words for clusters
+
+
+@query("roc_curve", f"""WITH {SCORED_SQL}, s AS (SELECT round(p, 9) AS s, sum(y) AS p, sum(1 - y) AS n FROM scored GROUP BY 1),
+c AS (SELECT s, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM s WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING))
+SELECT -1.0::double AS threshold, 0.0::double AS fpr, 0.0::double AS tpr UNION ALL SELECT {six("s")}, {six("fp / max(fp) OVER ()")}, {six("tp / max(tp) OVER ()")} FROM c""")
+def _(spark, d):
+    found = metrics.roc_curve(scored(spark, d).withColumn("s", F.round("p", 9)), "y", "s")
+    return found.withColumn("threshold", F.when(F.col("threshold") < float("inf"), F.col("threshold")).otherwise(-1.0))  # infinite has no six places
+
+
+@query("forest_importances")
+def _(spark, d):
+    return models.forest_importances(scored(spark, d), ["b02", "b03", "b04", "b08", "b11"], "y", trees=20, depth=5)
+
+
+_WORDS = """CASE WHEN avg(elevation) > 1000 THEN 'high elevation' WHEN avg(elevation) < 500 THEN 'low elevation' ELSE 'moderate elevation' END || '; ' ||
+CASE WHEN avg(ndvi) > 0.5 THEN 'dense vegetation' WHEN avg(ndvi) < 0.1 THEN 'sparse vegetation/bare rock' ELSE 'moderate vegetation' END ||
+CASE WHEN avg(b11) > stddev_pop(b11) THEN '; elevated cu' ELSE '' END"""
+
+
+@query("cluster_signatures", f"""WITH {PX}, v AS (SELECT scl, elevation, (b08 - b04) / (b08 + b04) AS ndvi, b11 FROM px)
+SELECT scl AS cluster, {_WORDS} AS signature, 'background/host rock' AS targets FROM v GROUP BY scl""")
+def _(spark, d):
+    g = pixel_grid(spark, d).withColumns({"ndvi": (F.col("b08") - F.col("b04")) / (F.col("b08") + F.col("b04")), "cu": F.col("b11")})
+    features = ["elevation", "ndvi", "cu"]
+    return interpretation.signatures(models.cluster_profile(g, "scl", features), "scl", features)
+
+
+@query("gabor_bank")
+def _(spark, d):
+    g = pixel_grid(spark, d)
+    return texture.gabor_bank(g, "b04", [0.1, 0.3, 0.5], 4, *size_of(g))

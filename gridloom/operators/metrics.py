@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.plans.lineage import cut
+from gridloom.plans.lineage import stored
 
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
@@ -39,13 +39,10 @@ def running(per: DataFrame, by: str, sums: list[str]) -> DataFrame:
 
     Rows are dealt by ranges of ``by`` with about equal counts, as many as shuffle partitions; a
     row's sum is that of the ranges before it and of the rows before it in its own range. The
-    input is cut first, as the ranges' bounds, their sums and the windows must see the same rows.
+    ranges are written, as their sums and the windows must see the same rows in the same ranges.
     """
-    per = cut(per)
     n = int(per.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(per.approxQuantile(by, [k / n for k in range(1, n)], 0.1 / n))) if n > 1 else []
-    place = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda x: x < F.col(by))) if bounds else F.lit(0)
-    dealt = per.withColumn("__range", place)
+    dealt = stored(per.repartitionByRange(n, by).withColumn("__range", F.spark_partition_id()))
     # One row for each range.
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     totals = dealt.groupBy("__range").agg(*[F.sum(c).alias(f"__{c}") for c in sums])
@@ -63,6 +60,15 @@ def curve(df: DataFrame, label: str, score: str) -> DataFrame:
     return running(per, "falling", ["p", "n"]).select((-F.col("falling")).alias("threshold"), F.col("upto_p").alias("tp"), F.col("upto_n").alias("fp"))
 
 
+def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(threshold, fpr, tpr) of every distinct score, and the beginning, where nothing is taken and the threshold infinite."""
+    c = curve(df, label, score)
+    every = c.agg(F.max("tp").alias("p"), F.max("fp").alias("n"))
+    points = c.crossJoin(F.broadcast(every)).select("threshold", F.try_divide("fp", "n").alias("fpr"), F.try_divide("tp", "p").alias("tpr"))
+    begin = df.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return begin.unionByName(points)
+
+
 def precision_recall(df: DataFrame, label: str, score: str) -> DataFrame:
     c = curve(df, label, score)
     every = c.agg(F.max("tp").alias("every"))

@@ -8,6 +8,7 @@ from functools import reduce
 from typing import Any
 
 import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -50,6 +51,32 @@ def random_forest(df: DataFrame, columns: list[str], label: str, trees: int = 10
     return out.withColumn("probability", vector_to_array("probability")[1]).withColumn("predicted", F.col("prediction").cast("int"))
 
 
+def forest_importances(df: DataFrame, columns: list[str], label: str, trees: int = 100, depth: int = 10, seed: int = 42) -> DataFrame:
+    """(feature, importance, rank, cumulative) of the forest of ``random_forest``; importances sum to one."""
+    checked_parameters(trees=trees, depth=depth)
+    data = assembled(balanced(df, label), columns)
+    model = RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt").fit(data)
+    found = sorted(zip(model.featureImportances.toArray().tolist(), columns), key=lambda x: (-x[0], x[1]))  # a row for each feature
+    upto = np.cumsum([x for x, _ in found]).tolist()
+    return df.sparkSession.createDataFrame(
+        [(name, x, k + 1, total) for k, ((x, name), total) in enumerate(zip(found, upto))], "feature string, importance double, rank int, cumulative double"
+    )
+
+
+def save_forest(df: DataFrame, columns: list[str], label: str, path: str, trees: int = 100, depth: int = 10, seed: int = 42) -> None:
+    """Fits a forest with its columns as one pipeline and writes it to a folder that executors share."""
+    checked_parameters(trees=trees, depth=depth)
+    forest = RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="sqrt")
+    steps = [VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip"), forest]
+    Pipeline(stages=steps).fit(balanced(df, label)).write().overwrite().save(path)
+
+
+def apply_saved(df: DataFrame, path: str) -> DataFrame:
+    """Rows with ``probability`` of label 1 and ``predicted`` by a saved model; a missing column is an error."""
+    out = PipelineModel.load(path).transform(df)
+    return out.withColumn("probability", vector_to_array("probability")[1]).withColumn("predicted", F.col("prediction").cast("int")).drop("features", "rawPrediction", "prediction")
+
+
 def random_forest_regression(df: DataFrame, columns: list[str], target: str, trees: int = 100, depth: int = 10, seed: int = 42) -> DataFrame:
     checked_parameters(trees=trees, depth=depth)
     data = assembled(df.dropna(subset=[target]), columns)

@@ -174,6 +174,21 @@ def gabor(df: DataFrame, value: str, frequency: float, theta: float, rows: int,
     return tiled(z, "__z", halo, rows, cols, kernel, ["response"], edge="symmetric")
 
 
+def gabor_bank(df: DataFrame, value: str, frequencies: list[float], orientations: int, rows: int, cols: int) -> DataFrame:
+    """(row, col, f<k>_o<j>): the answers of filters of all frequencies and evenly turned orientations, from one pass over
+    the tiles of the standardised band."""
+    bank = {f"f{k}_o{j}": gabor_kernel(f, math.pi * j / orientations) for k, f in enumerate(frequencies) for j in range(orientations)}
+    reach = max(y for weights in bank.values() for y, _ in weights)
+    one = df.agg(F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"))
+    z = df.crossJoin(F.broadcast(one)).withColumn("__z", (F.col(value) - F.col("__m")) / F.when(F.col("__s") > 0, F.col("__s")).otherwise(1.0))
+
+    def kernel(padded: np.ndarray, halo: int) -> dict[str, np.ndarray]:
+        filled = np.nan_to_num(padded)
+        return {name: np.abs(sum(w * shifted(filled, halo, -y, -x) for (y, x), w in weights.items())) for name, weights in bank.items()}
+
+    return tiled(z, "__z", reach, rows, cols, kernel, list(bank), edge="symmetric")
+
+
 AGGREGATES = {
     "average": F.avg, "min": F.min, "max": F.max, "median": lambda c: F.percentile(c, 0.5), "q1": lambda c: F.percentile(c, 0.25),
     "q3": lambda c: F.percentile(c, 0.75), "sum": F.sum, "rms": lambda c: F.sqrt(F.avg(F.col(c) * F.col(c))),

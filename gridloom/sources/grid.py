@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,58 @@ def inventory(spark: SparkSession, folder: str, pattern: str = "*", most: int |
     return found.orderBy("path").limit(most) if most else found
 
 
+#: How files of some types begin: fixed values of their formats.
+MAGIC = {
+    ".tif": ["49492A00", "4D4D002A", "49492B00", "4D4D002B"], ".tiff": ["49492A00", "4D4D002A", "49492B00", "4D4D002B"], ".jp2": ["0000000C6A502020", "FF4FFF51"],
+    ".hdf": ["0E031301", "894844460D0A1A0A"], ".nc": ["434446", "894844460D0A1A0A"], ".gpkg": ["53514C69746520666F726D6174203300"], ".parquet": ["50415231"],
+}
+
+
+def validated(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """The inventory with ``validation_error``: null, or that a file doesn't begin as files of its type do. Empty files
+    are never taken: Spark's reader doesn't list them."""
+    files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(folder)
+    head = files.select("path", F.hex(F.substring("content", 1, 16)).alias("__head"))
+    right = reduce(lambda a, b: a | b, [(F.col("extension") == e) & F.col("__head").startswith(m) for e, begins in MAGIC.items() for m in begins])
+    vector = (F.col("extension") == ".geojson") & F.col("__head").rlike("^(EFBBBF)?(20|09|0A|0D)*7B")
+    known = F.col("extension").isin(*MAGIC, ".geojson")
+    error = F.when(known & ~(right | vector), F.concat(F.lit("Invalid "), "file_type", F.lit(" file")))
+    return inventory(spark, folder, pattern).join(head, "path", "left").withColumn("validation_error", error).drop("__head")
+
+
+def digests(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """(path, md5, sha256) of each file below a folder; a file is one row, so it is bounded by an executor's memory."""
+    files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup=True).load(folder)
+    return files.select("path", F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
+
+
+def ring_moments(ring: Column) -> Column:
+    """Twice the signed area of a closed ring of [x, y] corners, and six times its moments."""
+    steps = F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1), lambda p, q: F.struct(p[0].alias("a"), p[1].alias("b"), q[0].alias("c"), q[1].alias("d")))
+    start = F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    cross = lambda s: s["a"] * s["d"] - s["c"] * s["b"]
+    add = lambda t, s: F.struct((t["w"] + cross(s)).alias("w"), (t["x"] + (s["a"] + s["c"]) * cross(s)).alias("x"), (t["y"] + (s["b"] + s["d"]) * cross(s)).alias("y"))
+    return F.aggregate(steps, start, add)
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """A table with x and y: of a CSV with such columns, or of GeoJSON, where polygons stand for their centroids (with
+    holes) and properties are columns. Rows without a place have null x and y."""
+    if path.lower().endswith(".csv"):
+        return spark.read.csv(path, header=True, inferSchema=True)
+    fields = "type string, geometry struct<type: string, coordinates: string>, properties map<string, string>"
+    whole = spark.read.schema(f"type string, features array<struct<{fields}>>").json(path, multiLine=True)
+    one = whole.select(F.explode("features").alias("f")).select("f.properties", F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("raw"))
+    point, rings = F.from_json("raw", "array<double>"), F.from_json("raw", "array<array<array<double>>>")
+    moments = F.aggregate(
+        F.transform(F.when(F.col("kind") == "Polygon", rings), ring_moments), F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")),
+        lambda t, s: F.struct((t["w"] + s["w"]).alias("w"), (t["x"] + s["x"]).alias("x"), (t["y"] + s["y"]).alias("y")),
+    )
+    placed = one.withColumn("__m", moments).withColumn("__p", F.when(F.col("kind") == "Point", point))
+    at = lambda k, c: F.coalesce(F.try_element_at("__p", F.lit(k)), F.try_divide(F.col("__m")[c], 3 * F.col("__m.w"))).alias(c)
+    return placed.select(at(1, "x"), at(2, "y"), "properties")
+
+
 def file_type(extension: Column) -> Column:
     return (
         F.when(extension.isin(".tif", ".tiff", ".img", ".jp2", ".hdf", ".nc"), "spatial")

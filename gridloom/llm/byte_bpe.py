@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from gridloom.llm.common import pieces, release
 
 #: Characters of a block, bytes of text for which there is a bucket, words that a bucket's task remembers at a time.
-BLOCK, BUCKET, REMEMBERED = 8_000_000, 1 << 24, 400_000
+BLOCK, BUCKET, REMEMBERED = 4_000_000, 1 << 24, 200_000
 #: The bucket of the row that holds a block's documents.
 DOCS = -1
 
@@ -251,6 +251,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
             words = [pack(*unpack(b)[1:]) for b in batch.column("blob").to_pylist()]
             columns = [batch.column("block"), batch.column("bucket"), pa.array(words, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, blob_type.names)
+        release()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, bucket, known = word_encoder(ranks_path, pattern), DOCS, {}
@@ -270,6 +271,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
                 out.append(pack(np.array([len(x) // 4 for x in ids]), np.frombuffer(b"".join(ids), "<u4")))
             columns = [batch.column("block"), batch.column("bucket"), pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, blob_type.names)
+        release()
 
     def reassemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
         at = rows.column("bucket").to_pylist().index(DOCS)
@@ -290,6 +292,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
             coded.append(b"".join([spelled[number] for number in run]))
             decoded.append(b"".join([said[number] for number in run]))
             start = end
+        del spelled, said, flat
+        release()
         return pa.table(
             {
                 id_col: rows.column("doc_ids").combine_chunks().slice(at, 1).flatten(),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -59,8 +60,12 @@ def map_texts(
 
 
 def release() -> None:
-    """Gives Arrow's free memory back at the end of a task: a worker goes on to other tasks and stages."""
+    """Gives free memory back at the end of a task, Arrow's and that of the C library: a worker goes on to other tasks
+    and stages, and what it held for one block would stay its own."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; other libraries give memory back themselves
+    if trim:
+        trim(0)
 
 
 #: Bytes of text that are turned into Python strings at a time; a longer text goes alone.

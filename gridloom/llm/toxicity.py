@@ -40,7 +40,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import cut, map_texts
+from gridloom.llm.common import cut, map_texts, release
 
 #: Bounds of the labelled rows that voters are mined from and of the classifier's training rows.
 LABELLED_ROWS, TRAIN_ROWS = 12_000, 4_000
@@ -255,6 +255,7 @@ def feature_sums(rows: DataFrame, features: Callable[[str | None], Iterable[str]
             [pa.array(list(seen[0]), pa.string()), pa.array([seen[1][f] for f in seen[0]], pa.float64()), pa.array([float(x) for x in seen[0].values()], pa.float64())],
             ["feature", "toxic", "all"],
         )
+        release()
 
     made = rows.select("text", F.col("weight").cast("double")).mapInArrow(count, "feature string, toxic double, all double")
     # To six places, so that the order of the sums tells nothing.

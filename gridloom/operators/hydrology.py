@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.focal import disk, offsets_join
 from gridloom.operators.terrain import flow_direction, slope_aspect
-from gridloom.plans.lineage import cut
+from gridloom.plans.lineage import dropped, stored
 
 # The eight neighbours, by row, then column.
 STEPS = [(-1, -1), (-1, 0), (-1, 1), (0, -1), (0, 1), (1, -1), (1, 0), (1, 1)]
@@ -31,17 +31,19 @@ def flow_accumulation(df: DataFrame, value: str = "elevation") -> DataFrame:
     fall = flow_direction(df, value)
     move = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in STEPS])
     step = move[F.col("direction")]
-    state = cut(fall.select(
+    state = stored(fall.select(
         "row", "col", F.lit(1).cast("long").alias("cells"),
         F.when(F.col("direction") >= 0, F.struct((F.col("row") + step["r"]).alias("row"), (F.col("col") + step["c"]).alias("col"))).alias("to"),
     ))
     while not state.filter(F.col("to").isNotNull()).isEmpty():
         arriving = state.filter(F.col("to").isNotNull()).groupBy(F.col("to.row").alias("row"), F.col("to.col").alias("col")).agg(F.sum("cells").alias("more"))
         ahead = state.select(F.struct("row", "col").alias("to"), F.col("to").alias("next"))
-        state = cut(
+        after = stored(
             state.join(arriving, ["row", "col"], "left").join(ahead, "to", "left")
             .select("row", "col", (F.col("cells") + F.coalesce("more", F.lit(0))).alias("cells"), F.col("next").alias("to"))
         )
+        dropped(state)
+        state = after
     return state.select("row", "col", "cells", F.log10(F.col("cells") + 1.0).alias("accumulation"))
 
 

@@ -38,3 +38,18 @@ def test_matches_sql(spark, name):
     assert sorted(order) == sorted(got.columns)
     key = lambda r: tuple((x is None, round(x, 5) if isinstance(x, float) else x) for x in r)
     assert sorted(map(key, want.fetchall())) == sorted(map(key, got.select(*order).collect()))
+
+
+@pytest.mark.parametrize("name", ["band_math_evi", "evi_clipped"])
+def test_index_without_bound(spark, tmp_path, name):
+    """A denominator of zero, one of some units in the last place, and an ordinary one."""
+    sums = [(32, 654, 139, 168), (27, 533, 110, 129), (20, 400, 80, 100)]  # line items, quantity, tax and discount in percent
+    items = [(k, float(q), 100.0, d / 100, t / 100) if i == 0 else (k, 0.0, 100.0, 0.0, 0.0) for k, (n, q, t, d) in enumerate(sums) for i in range(n)]
+    spark.createDataFrame(items, "l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, 1) for k in range(3)], "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    for t in ("lineitem", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    want = con.execute(f"SELECT * FROM ({ORACLE_SQL[name]}) ORDER BY col").fetchall()
+    assert [tuple(r) for r in QUERIES[name](spark, str(tmp_path)).orderBy("col").collect()] == want
+    assert name == "evi_clipped" or want[0][2] is None and abs(want[1][2]) > 1e13

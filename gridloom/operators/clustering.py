@@ -5,9 +5,10 @@ sums meet in one aggregate, and ``starts`` x ``k`` rows come back, so passes don
 starts. Starts are drawn by k-means++ from a bounded sample by hash order; centres are held by the
 driver and the tasks.
 
-Silhouette: every row against every other, in blocks. A block is packed into one row, and a task
+Silhouette: every row against every other, in blocks of places. Rows with the same values are one
+place with a count for each cluster, as their distances are the same. A block is packed into one row, and a task
 streams the packed blocks past one of them, so it holds two blocks and a row of sums for each of
-its members; no row is made for a pair. The work is quadratic, as the score is.
+its places; no row is made for a pair. The work is quadratic in the places.
 
 Rows with a missing value take no part.
 """
@@ -15,6 +16,7 @@ Rows with a missing value take no part.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 
 from gridloom.plans.lineage import dropped, stored
 
-#: Rows of a block of the silhouette, distances at a time, rows that starts are drawn from.
-BLOCK, PAIRS, SAMPLE = 4096, 1 << 21, 20_000
+#: Rows of a block of the silhouette, the fewest if there are more tasks than blocks, distances at a time, rows that starts are drawn from.
+BLOCK, FEWEST, PAIRS, SAMPLE = 8192, 1024, 1 << 16, 20_000
 
 
 def complete(columns: list[str]) -> Column:
@@ -175,34 +177,60 @@ def lloyd_step(df: DataFrame, columns: list[str], centres: np.ndarray) -> DataFr
     return own.groupBy("cluster").agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in columns], F.sum(far).alias("inertia"))
 
 
-def packed(rows: DataFrame, blocks: int) -> DataFrame:
-    """(block, own) where own holds a block's ids, clusters and values as bytes."""
+def packed(rows: DataFrame, blocks: int, clusters: int) -> DataFrame:
+    """(block, own) where own holds a block's places and how many rows of each cluster lie there, as bytes; of rows (v, c, n)."""
 
     def pack(block: pa.Table) -> pa.Table:
         x = np.asarray(block.column("v").combine_chunks().flatten()).reshape(block.num_rows, -1)
-        held = np.c_[block.column("id").to_numpy(), block.column("c").to_numpy().astype(np.int64)].astype("<i8").tobytes() + x.astype("<f8").tobytes()
+        places, at = np.unique(x, axis=0, return_inverse=True)
+        counts = np.zeros((len(places), clusters), "<i8")
+        np.add.at(counts, (at.ravel(), block.column("c").to_numpy()), block.column("n").to_numpy())
+        held = zlib.compress(places.astype("<f8").tobytes() + counts.tobytes(), 1)
         return pa.table({"block": block.column("block").slice(0, 1), "own": pa.array([held], pa.binary())})
 
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int"))
     return dealt.groupBy("block").applyInArrow(pack, "block int, own binary")
 
 
-def unpacked(held: bytes, dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(held) // (16 + 8 * dims)
-    keys = np.frombuffer(held, "<i8", 2 * n).reshape(n, 2)
-    return keys[:, 0], keys[:, 1], np.frombuffer(held, "<f8", n * dims, 16 * n).reshape(n, dims)
-
-
-def silhouettes(df: DataFrame, cluster: str, columns: list[str]) -> DataFrame:
-    """(cluster, silhouette) of every complete row; 0 for the only row of a cluster, and where there is one cluster."""
+def unpacked(held: bytes, dims: int, clusters: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(held)
+    n = len(raw) // (8 * (dims + clusters))
+    return np.frombuffer(raw, "<f8", n * dims).reshape(n, dims), np.frombuffer(raw, "<i8", n * clusters, 8 * n * dims).reshape(n, clusters)
+
+
+def distance_sums(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Of each x, the distances to all y summed by the columns of their weights."""
+    out = np.empty((len(x), weights.shape[1]))
+    step = max(1, PAIRS // len(y))
+    far, gap = np.empty((2, step, len(y)))
+    for start in range(0, len(x), step):
+        n = min(step, len(x) - start)
+        for d in range(x.shape[1]):
+            into = gap if d else far
+            np.subtract(x[start : start + n, d, None], y[None, :, d], out=into[:n])
+            np.multiply(into[:n], into[:n], out=into[:n])
+            if d:
+                np.add(far[:n], gap[:n], out=far[:n])
+        np.sqrt(far[:n], out=far[:n])
+        np.matmul(far[:n], weights, out=out[start : start + n])
+    return out
+
+
+def weighted_silhouettes(df: DataFrame, cluster: str, columns: list[str]) -> DataFrame:
+    """(cluster, silhouette, n) of the rows of a cluster at a place; 0 for the only row of a cluster, and where there is one
+    cluster."""
     kept = df.filter(complete(columns) & F.col(cluster).isNotNull())
-    sizes = {r[0]: r[1] for r in kept.groupBy(cluster).count().orderBy(cluster).collect()}  # a row for each cluster
+    number = F.array(*[F.col(c).cast("double") for c in columns])
+    rows = stored(kept.groupBy(number.alias("v"), F.col(cluster).alias("of")).agg(F.count("*").alias("n")))
+    sizes = {r[0]: r[1] for r in rows.groupBy("of").agg(F.sum("n")).orderBy("of").collect()}  # a row for each cluster
     names, dims = list(sizes), len(columns)
     counts = np.array([sizes[c] for c in names], float)
-    number = F.create_map(*[F.lit(x) for k, c in enumerate(names) for x in (c, k)])[F.col(cluster)] if names else F.lit(0)
-    rows = stored(kept.select(F.monotonically_increasing_id().alias("id"), number.cast("int").alias("c"), F.array(*[F.col(c).cast("double") for c in columns]).alias("v")))
-    blocks = max(1, math.ceil(counts.sum() / BLOCK))
-    held = stored(packed(rows, blocks))
+    numbered = F.create_map(*[F.lit(x) for k, c in enumerate(names) for x in (c, k)])[F.col("of")] if names else F.lit(0)
+    several = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = rows.count()
+    blocks = max(1, math.ceil(total / BLOCK), min(several, math.ceil(total / FEWEST)))
+    held = stored(packed(rows.select("v", numbered.cast("int").alias("c"), "n"), blocks, len(names)))
+    dropped(rows)
     # Each block meets all blocks, its own first.
     target = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("target")
     met = held.select(target, "block", "own").withColumn("other", (F.col("target") != F.col("block")).cast("int"))
@@ -211,47 +239,50 @@ def silhouettes(df: DataFrame, cluster: str, columns: list[str]) -> DataFrame:
         at, own, sums = None, None, None
 
         def finished() -> pa.RecordBatch:
-            _, c, _ = own
-            mine = np.arange(len(c))
-            a = sums[mine, c] / np.maximum(counts[c] - 1, 1)
+            k, c = np.nonzero(own[1])
+            a = sums[k, c] / np.maximum(counts[c] - 1, 1)
             means = sums / counts
-            means[mine, c] = np.inf
-            b = means.min(1)
+            every = np.arange(len(means))
+            near = means.argmin(1)
+            least = means[every, near]
+            means[every, near] = np.inf
+            b = np.where(near[k] == c, means.min(1)[k], least[k])
             most = np.maximum(a, b)
             with np.errstate(invalid="ignore", divide="ignore"):
                 score = np.where((counts[c] > 1) & np.isfinite(b) & (most > 0), (b - a) / most, 0.0)
-            return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(score)], ["c", "silhouette"])
+            return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(score), pa.array(own[1][k, c])], ["c", "silhouette", "n"])
 
         for batch in batches:
             for k, other, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                part = unpacked(raw.as_py(), dims)
                 if k != at:
                     if own is not None:
                         yield finished()
-                    at = k
-                    own = None if other else part  # a block without rows has none of its own
-                    sums = None if other else np.zeros((len(part[0]), len(counts)))
+                    at, own = k, None
+                    if not other:  # a block without rows has none of its own
+                        own = unpacked(raw.as_py(), dims, len(counts))
+                        sums = np.zeros((len(own[0]), len(counts)))
                 if own is None:
                     continue
-                hot = np.zeros((len(part[0]), len(counts)))
-                hot[np.arange(len(part[0])), part[1]] = 1
-                step = max(1, PAIRS // len(part[0]))
-                for start in range(0, len(own[0]), step):
-                    x = own[2][start : start + step]
-                    far = np.zeros((len(x), len(part[0])))
-                    for d in range(dims):
-                        gap = x[:, d, None] - part[2][None, :, d]
-                        far += gap * gap
-                    sums[start : start + step] += np.sqrt(far) @ hot
+                places, weights = unpacked(raw.as_py(), dims, len(counts))
+                sums += distance_sums(own[0], places, weights.astype(float))
         if own is not None:
             yield finished()
 
-    order = met.repartition("target").sortWithinPartitions("target", "other").select("target", "other", "own")
-    found = order.mapInArrow(run, "c int, silhouette double")
+    order = met.repartition(blocks, "target").sortWithinPartitions("target", "other").select("target", "other", "own")
+    found = order.mapInArrow(run, "c int, silhouette double, n long")
     labels = F.array(*[F.lit(c) for c in names]) if names else F.array(F.lit(None).cast(kept.schema[cluster].dataType))
-    return found.select(labels[F.col("c")].alias("cluster"), "silhouette")
+    return found.select(labels[F.col("c")].alias("cluster"), "silhouette", "n")
+
+
+def silhouettes(df: DataFrame, cluster: str, columns: list[str]) -> DataFrame:
+    """(cluster, silhouette) of every complete row."""
+    found = weighted_silhouettes(df, cluster, columns)
+    heaps = found.withColumn("heap", F.explode(F.expr("sequence(0L, (n - 1) div 1000)")))
+    each = F.explode(F.sequence(F.lit(1), F.least(F.lit(1000), F.col("n") - F.col("heap") * 1000)))
+    return heaps.withColumn("each", each).select("cluster", "silhouette")
 
 
 def silhouette_by_cluster(df: DataFrame, cluster: str, columns: list[str]) -> DataFrame:
     """(cluster, n, silhouette): means of a cluster's rows; their mean weighted by n is the score of all."""
-    return silhouettes(df, cluster, columns).groupBy("cluster").agg(F.count("*").alias("n"), F.avg("silhouette").alias("silhouette"))
+    n = F.sum("n")
+    return weighted_silhouettes(df, cluster, columns).groupBy("cluster").agg(n.alias("n"), (F.sum(F.col("silhouette") * F.col("n")) / n).alias("silhouette"))

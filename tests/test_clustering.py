@@ -100,3 +100,19 @@ def test_scores_need_no_shuffle_of_rows(spark):
     one = validation.cluster_scores(df, "own", ["a", "b", "c"]).first()
     centres = np.stack([x[at == c].mean(0) for c in range(3)])
     assert one["inertia"] == pytest.approx(((x - centres[at]) ** 2).sum())
+
+
+def test_equal_rows_meet_once(spark):
+    # Before, half a million rows were a hundred thousand million pairs, however few their places.
+    places = spark.range(500_000).selectExpr("cast(id % 7 as double) AS a", "cast(id % 11 as double) AS b", "cast(id % 3 as int) AS own")
+    got = {r["cluster"]: (r["n"], r["silhouette"]) for r in clustering.silhouette_by_cluster(places, "own", ["a", "b"]).collect()}
+    k = np.arange(500_000)
+    cells, n = np.unique((k % 7) * 100 + (k % 11) * 3 + k % 3, return_counts=True)
+    x = np.c_[cells // 100, cells % 100 // 3, cells % 100 % 3].astype(float)
+    d = np.sqrt(((x[:, None, :2] - x[None, :, :2]) ** 2).sum(2))
+    sums = np.stack([(d * n * (x[:, 2] == c)).sum(1) for c in range(3)], 1)
+    sizes = np.array([n[x[:, 2] == c].sum() for c in range(3)])
+    for c in range(3):
+        mine = x[:, 2] == c
+        a, b = sums[mine, c] / (sizes[c] - 1), np.delete(sums / sizes, c, 1)[mine].min(1)
+        assert got[c] == (sizes[c], pytest.approx(np.average((b - a) / np.maximum(a, b), weights=n[mine])))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from functools import reduce
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,8 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.metrics import running
-from gridloom.operators.validation import cluster_scores, hash_number, shuffled
-from gridloom.plans.lineage import cut
+from gridloom.operators.validation import by_key, cluster_scores, dealt, hash_number
+from gridloom.plans.lineage import cut, dropped, stored
+
+
+#: Fits that run at a time.
+AT_ONCE = 4
 
 
 def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -169,36 +174,63 @@ def stratified_folds(df: DataFrame, label: str, key: str, folds: int, seed: int
     """Rows with ``fold``: within each label, rank in an order by hash, modulo the folds. Ranks are running sums over
     ranges, so no task orders a label's rows. Labels are few; a row without a label has no fold."""
     checked_parameters(folds=folds)
-    hashed = cut(df.withColumn("__hash", hash_number(F.lit(seed), F.col(key).cast("string"))).withColumn("__one", F.lit(1)))
-    labels = [r[0] for r in hashed.select(label).distinct().collect() if r[0] is not None]
-    parts = [running(hashed.filter(F.col(label) == y), "__hash", ["__one"]) for y in sorted(labels)]
-    if not parts:
+    table = stored(df)
+    labels = sorted(r[0] for r in table.select(label).distinct().collect() if r[0] is not None)
+    if not labels:
         return df.withColumn("fold", F.lit(None).cast("int")).limit(0)
-    ranked = reduce(DataFrame.unionByName, parts)
-    return ranked.withColumn("fold", F.pmod(F.col("upto___one") - 1, F.lit(folds)).cast("int")).drop("__hash", "__one", "upto___one")
+    is_one = {f"__is{k}": (F.col(label) == y).cast("int") for k, y in enumerate(labels)}
+    hashed = table.filter(F.col(label).isin(labels)).withColumns({"__hash": hash_number(F.lit(seed), F.col(key).cast("string")), **is_one})
+    own = F.coalesce(*[F.when(F.col(c) == 1, F.col(f"upto_{c}")) for c in is_one])
+    ranks = running(hashed, "__hash", list(is_one))  # of tables of its own
+    dropped(table)
+    return ranks.withColumn("fold", F.pmod(own - 1, F.lit(folds)).cast("int")).select(*df.columns, "fold")
+
+
+#: A test, a training set and a strength of regularisation.
+Split = tuple[Column, Column, float]
+
+
+def scores_of(data: DataFrame, label: str, splits: list[Split]) -> list[tuple[float, float]]:
+    """Accuracies of logistic regressions on the training rows and on the test rows of each split. Rows are counted in one
+    pass and scored by all models in another; fits are independent, and some run at a time."""
+    counts = data.agg(*[F.count_if(train) for _, train, _ in splits]).first()
 
+    def fitted(k: int) -> LogisticRegressionModel:
+        _, train, c = splits[k]
+        return logistic(label, counts[k], c=c).fit(data.filter(train))
 
-def scores_of(data: DataFrame, label: str, test: Column, train: Column, c: float = 1.0) -> tuple[float, float]:
-    """Accuracy of a logistic regression on its training rows and on the test rows."""
-    rows = data.filter(train)
-    fitted = logistic(label, rows.count(), c=c).fit(rows)
-    hit = (F.col("prediction") == F.col(label)).cast("double")
-    one = fitted.transform(data).agg(F.avg(F.when(train, hit)).alias("train"), F.avg(F.when(test, hit)).alias("test")).first()
-    return one["train"], one["test"]
+    with ThreadPool(AT_ONCE) as pool:
+        models = pool.map(inheritable_thread_target(data.sparkSession)(fitted), range(len(splits)))
+    scored, parts = data, []
+    for k, (model, (test, train, _)) in enumerate(zip(models, splits)):
+        scored = model.setPredictionCol(f"__z{k}").setProbabilityCol("").setRawPredictionCol("").transform(scored)
+        hit = (F.col(f"__z{k}") == F.col(label)).cast("double")
+        parts += [F.avg(F.when(train, hit)), F.avg(F.when(test, hit))]
+    found = scored.agg(*parts).first()
+    return [(found[2 * k], found[2 * k + 1]) for k in range(len(splits))]
 
 
 def folded(df: DataFrame, columns: list[str], label: str, key: str, folds: int) -> DataFrame:
     """What the loops of fits read: written once, as they must all see the same folds."""
     kept = stratified_folds(df.select(*dict.fromkeys([*columns, label, key])).dropna(), label, key, folds)
-    return assembled(cut(kept.withColumn("__order", hash_number(F.lit(7), F.col(key).cast("string")) / float(1 << 52))), columns)
+    return assembled(stored(kept.withColumn("__order", hash_number(F.lit(7), F.col(key).cast("string")) / float(1 << 52))), columns)
+
+
+def fold_splits(folds: int, share: float | None = None, c: float = 1.0) -> list[Split]:
+    """Each fold against the others, or against the share of their rows that is first by hash."""
+    fold = F.col("fold")
+    return [(fold == k, (fold != k) if share is None else (fold != k) & (F.col("__order") <= share), c) for k in range(folds)]
+
+
+def means_by(groups: list, folds: int, found: list[tuple[float, float]]) -> list[tuple]:
+    """The mean scores of as many folds for each group."""
+    return [(g, *(float(np.mean(x)) for x in zip(*found[i * folds : (i + 1) * folds]))) for i, g in enumerate(groups)]
 
 
 def cross_validate(df: DataFrame, columns: list[str], label: str, key: str, folds: int = 5, c: float = 1.0) -> DataFrame:
     """Accuracy on training and test rows of each of the stratified folds, and the gap."""
-    data, rows = folded(df, columns, label, key, folds), []
-    for k in range(folds):
-        train, test = scores_of(data, label, F.col("fold") == k, F.col("fold") != k, c)
-        rows.append((k, train, test, train - test))
+    found = scores_of(folded(df, columns, label, key, folds), label, fold_splits(folds, c=c))
+    rows = [(k, train, test, train - test) for k, (train, test) in enumerate(found)]
     return df.sparkSession.createDataFrame(rows, "fold int, train double, test double, gap double")
 
 
@@ -206,20 +238,14 @@ def learning_curve(df: DataFrame, columns: list[str], label: str, key: str, shar
     """Mean accuracies over the folds by the share of the training rows, those first by hash."""
     for share in shares:
         checked_parameters(train_share=share)
-    data, rows = folded(df, columns, label, key, folds), []
-    for share in shares:
-        found = [scores_of(data, label, F.col("fold") == k, (F.col("fold") != k) & (F.col("__order") <= share)) for k in range(folds)]
-        rows.append((share, *(float(np.mean(x)) for x in zip(*found))))
-    return df.sparkSession.createDataFrame(rows, "share double, train double, test double")
+    found = scores_of(folded(df, columns, label, key, folds), label, [s for share in shares for s in fold_splits(folds, share)])
+    return df.sparkSession.createDataFrame(means_by(shares, folds, found), "share double, train double, test double")
 
 
 def validation_curve(df: DataFrame, columns: list[str], label: str, key: str, strengths: list[float], folds: int = 5) -> DataFrame:
     """Mean accuracies over the folds by the strength of regularisation."""
-    data, rows = folded(df, columns, label, key, folds), []
-    for c in strengths:
-        found = [scores_of(data, label, F.col("fold") == k, F.col("fold") != k, c) for k in range(folds)]
-        rows.append((c, *(float(np.mean(x)) for x in zip(*found))))
-    return df.sparkSession.createDataFrame(rows, "c double, train double, test double")
+    found = scores_of(folded(df, columns, label, key, folds), label, [s for c in strengths for s in fold_splits(folds, c=c)])
+    return df.sparkSession.createDataFrame(means_by(strengths, folds, found), "c double, train double, test double")
 
 
 def permutation_refits(df: DataFrame, columns: list[str], label: str, key: str, permutations: int = 100, folds: int = 3) -> DataFrame:
@@ -227,12 +253,12 @@ def permutation_refits(df: DataFrame, columns: list[str], label: str, key: str,
     checked_parameters(permutations=permutations)
 
     def score(frame: DataFrame) -> float:
-        data = folded(frame, columns, label, key, folds)
-        return float(np.mean([scores_of(data, label, F.col("fold") == k, F.col("fold") != k)[1] for k in range(folds)]))
+        return float(np.mean([test for _, test in scores_of(folded(frame, columns, label, key, folds), label, fold_splits(folds))]))
 
-    slim = df.select(*dict.fromkeys([*columns, label, key])).dropna()
+    slim = by_key(df.select(*dict.fromkeys([*columns, label, key])).dropna(), key)
     own = score(slim)
-    others = [score(shuffled(slim, label, key, seed)) for seed in range(permutations)]
+    others = [score(dealt(slim, [label], key, seed).withColumn(label, F.col(f"__{label}"))) for seed in range(permutations)]
+    dropped(slim)
     p = (sum(x >= own for x in others) + 1) / (permutations + 1)
     return df.sparkSession.createDataFrame([(own, p)], "score double, p_value double")
 

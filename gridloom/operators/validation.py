@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.naming import first_of
 from gridloom.operators.metrics import running
-from gridloom.plans.lineage import cut
+from gridloom.plans.lineage import cut, dropped, stored
 
 
 def gamma_tail(a: float, x: float) -> float:
@@ -95,36 +95,55 @@ def hash_number(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("long").cast("double")
 
 
-def shuffled(df: DataFrame, column: str, key: str, seed: int) -> DataFrame:
-    """The rows with ``column`` dealt anew over them: the value of the k-th row by a hash goes to the k-th row by key.
+def ranked(df: DataFrame, by: Column, columns: list[str]) -> DataFrame:
+    """Some columns with ``__rank``, the place in an order. Ranks are running sums over ranges, so no task orders all rows."""
+    one = df.select(by.alias("__by"), F.lit(1).alias("__one"), *columns)
+    return running(one, "__by", ["__one"]).withColumnRenamed("upto___one", "__rank").drop("__by", "__one")
+
+
+def by_key(df: DataFrame, key: str) -> DataFrame:
+    """A table of the rows with their ranks by key, which all shuffles of it share; keys are distinct."""
+    return stored(ranked(df, F.col(key).cast("double"), df.columns))
 
-    Both places are ranks from running sums over ranges, so no task orders all rows; keys are distinct.
-    """
-    rows = cut(df.select("*", F.col(key).cast("double").alias("__key"), hash_number(F.lit(seed), F.col(key)).alias("__hash"), F.lit(1).alias("__one")))
-    to = running(rows.drop(column), "__key", ["__one"])
-    out_of = running(rows.select("__hash", "__one", column), "__hash", ["__one"]).select("upto___one", column)
-    return to.join(out_of, "upto___one").select(*df.columns)
+
+def dealt(rows: DataFrame, columns: list[str], key: str, seed: int) -> DataFrame:
+    """The rows of ``by_key``, beside them (as ``__`` and the name) columns dealt anew: the values of the k-th row by a hash
+    go to the k-th row by key."""
+    out_of = ranked(rows, hash_number(F.lit(seed), F.col(key)), columns)
+    return rows.join(out_of.withColumnsRenamed({c: f"__{c}" for c in columns}), "__rank")
 
 
 def permutation_importance(df: DataFrame, features: list[str], label: str, predict: Column, key: str, repeats: int = 3) -> DataFrame:
     """(feature, importance_mean, importance_std, p_value): by how much the accuracy of ``predict`` falls when a
-    feature's values are dealt anew."""
+    feature's values are dealt anew. All features of a repeat are dealt in one pass."""
     hit = (predict == F.col(label)).cast("double")
-    base = df.agg(F.avg(hit).alias("a")).first()["a"]
-    rows = []
-    for f in features:
-        falls = [base - shuffled(df, f, key, seed).agg(F.avg(hit).alias("a")).first()["a"] for seed in range(repeats)]
-        mean = sum(falls) / repeats
-        std = math.sqrt(sum((x - mean) ** 2 for x in falls) / repeats)
-        rows.append((f, mean, std, normal_p(mean / std) if std else 1.0))
-    return df.sparkSession.createDataFrame(rows, "feature string, importance_mean double, importance_std double, p_value double")
+    rows = by_key(df, key)
+    base = rows.agg(F.avg(hit).alias("a")).first()["a"]
+    falls: dict[str, list[float]] = {f: [] for f in features}
+    for seed in range(repeats):
+        found = dealt(rows, features, key, seed)
+        for k, f in enumerate(features):
+            swap = {f: F.col(f"__{f}"), f"__{f}": F.col(f)}
+            found = found.withColumns(swap).withColumn(f"__hit{k}", hit).withColumns(swap)
+        means = found.agg(*[F.avg(f"__hit{k}") for k in range(len(features))]).first()
+        for f, a in zip(features, means):
+            falls[f].append(base - a)
+    dropped(rows)
+    out = []
+    for f, found in falls.items():
+        mean = sum(found) / repeats
+        std = math.sqrt(sum((x - mean) ** 2 for x in found) / repeats)
+        out.append((f, mean, std, normal_p(mean / std) if std else 1.0))
+    return df.sparkSession.createDataFrame(out, "feature string, importance_mean double, importance_std double, p_value double")
 
 
 def permutation_test(df: DataFrame, label: str, predict: Column, key: str, permutations: int = 5) -> DataFrame:
     """(score, p_value): how often labels dealt anew fit the predictions as well."""
-    hit = (predict == F.col(label)).cast("double")
-    score = df.agg(F.avg(hit).alias("a")).first()["a"]
-    others = [shuffled(df, label, key, seed).agg(F.avg(hit).alias("a")).first()["a"] for seed in range(permutations)]
+    rows = by_key(df, key)
+    score = rows.agg(F.avg((predict == F.col(label)).cast("double")).alias("a")).first()["a"]
+    hit = (predict == F.col(f"__{label}")).cast("double")
+    others = [dealt(rows, [label], key, seed).agg(F.avg(hit).alias("a")).first()["a"] for seed in range(permutations)]
+    dropped(rows)
     p = (sum(x >= score for x in others) + 1) / (permutations + 1)
     return df.sparkSession.createDataFrame([(score, p)], "score double, p_value double")
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import models, spectral
+from gridloom.operators import models, spectral, validation
 
 
 @pytest.fixture(scope="module")
@@ -108,3 +108,29 @@ def test_hull_is_the_upper_convex_one(spark):
         ratio = y / hull
         assert got[row[1]]["depth"] == pytest.approx(1 - ratio.min()) and got[row[1]]["position"] == waves[int(ratio.argmin())] and got[row[1]]["mean"] == pytest.approx(ratio.mean())
     assert math.isfinite(got[0]["mean"])
+
+
+def test_rows_are_made_once(spark, rows):
+    # Before, each shuffle made its rows again from their source.
+    seen = spark.sparkContext.accumulator(0)
+    note = F.udf(lambda x: seen.add(1) or x, "double").asNondeterministic()
+    noted = lambda: rows.withColumn("a", note("a"))
+    found = validation.permutation_importance(noted(), ["a", "b"], "y", (F.col("a") > 1).cast("int"), "id", 2).collect()
+    assert found[0]["importance_mean"] > 0.2 and found[1]["importance_mean"] == 0 and seen.value <= 2 * 240  # ranges are sampled
+    seen.value = 0
+    models.permutation_refits(noted(), ["a", "b"], "y", "id", permutations=2, folds=2)
+    assert seen.value <= 2 * 240
+
+
+def test_fits_share_their_passes(spark, rows):
+    # Before, each of the fits counted and scored its rows in passes of its own.
+    context = spark.sparkContext
+    context.setJobGroup("curve", "")
+    try:
+        data = models.folded(rows, ["a", "b"], "y", "id", 2).cache()
+        splits = [s for share in (0.3, 0.6, 1.0) for s in models.fold_splits(2, share)]
+        together = models.scores_of(data, "y", splits)
+        alone = [models.scores_of(data, "y", [s])[0] for s in splits]
+    finally:
+        context._jsc.clearJobGroup()
+    assert together == [pytest.approx(x) for x in alone] and len(together) == 6

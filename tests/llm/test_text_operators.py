@@ -334,3 +334,12 @@ def test_repeated_pages_are_rows(spark):
     pages = spark.createDataFrame([(1, "u", f"<article>{INNER}</article>")] * 3 + [(None, None, None)], "page_id long, url string, html string")
     got = [r["text"] for r in text_of_blocks(extract_main_text(pages, ["page_id", "url"]), ["page_id", "url"]).collect()]
     assert sorted(got) == sorted(["\n\n".join(BODY)] * 3 + [""])
+
+
+def test_packed_numbers_lie_by_bytes():
+    r = np.random.default_rng(2)
+    ranks = np.minimum(r.zipf(1.2, 200_000), 60_000).astype("<u4")
+    given = [np.zeros(0, int), np.array([0, 255]), ranks, np.array([1 << 31, 7]), b"some bytes", b""]
+    back = byte_bpe.unpack(byte_bpe.pack(*given))
+    assert all(a == b if isinstance(a, bytes) else a.tolist() == b.tolist() for a, b in zip(given, back)) and len(back) == len(given)
+    assert len(byte_bpe.pack(ranks)) < 0.95 * len(zlib.compress(ranks.astype("<u2").tobytes(), 1))  # what it was before

@@ -2,13 +2,17 @@
 
 Rows are dealt by hash into candidate blocks of bounded expected size, and every query goes
 to every block. Each block's rows are sorted so that its candidates come first: they are
-indexed once by posting segments, for each dimension the candidates of one quantised level,
-and the block's queries then stream past the index in Arrow batches. A query takes the
-segments by descending quantised impact (its component's size times the level above the least
-useful one), adding each segment's guaranteed contribution. It stops only on proof: a
-candidate whose sum plus all that unread segments can still give is below the k-th largest
-sum cannot be a member. Every possible member is then rescored exactly. The k best of each
-block meet in a window by query. A task holds one block's index and one batch of queries.
+indexed once by segments, for each dimension and level of its components what the candidates
+have within that level, and the block's queries then stream past the index in batches. A query
+takes the segments by descending impact (its component's size times the level's reach above the
+least useful value), in rounds; as every vector has every dimension, a segment is a dense row, and
+a round is one matrix product for all queries of a batch that are still open. Each candidate's sum
+says what it can still reach with the segments not yet taken. A query stops only on proof: a
+candidate that can't reach the k-th best exact score among those ahead cannot be a member. Every
+possible member is then rescored exactly. The k best of each block meet in a window by query. A task
+holds one block's index (``LEVELS * dims`` numbers a candidate) and one batch of queries.
+
+The job is quadratic by nature, as the queries are a share of the rows; the index makes a pair cheap.
 
 Defined results: vectors that are null or hold null, NaN or infinite components take no
 part; a query is compared with vectors of its own length, and with every row but those
@@ -29,8 +33,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block of candidates, levels of a dimension, reads between two proofs.
-CANDIDATES, LEVELS, ROUNDS = 8192, 32, 10
+#: Rows of a block of candidates, levels of a dimension, rounds of reading (each ends with a proof), queries in a round.
+CANDIDATES, LEVELS, ROUNDS, BATCH = 8192, 4, 3, 64
 #: Up to here every integer is a double.
 EXACT, LONG = 1 << 53, (1 << 63) - 1
 
@@ -41,70 +45,72 @@ def usable(vector: Column) -> Column:
 
 
 class ImpactIndex:
-    """Posting segments over the integer vectors of a block."""
+    """Segments over the integer vectors of a block."""
 
     def __init__(self, vectors: np.ndarray) -> None:
         self.vectors = vectors.astype(float)
         n, dims = vectors.shape
-        self.low, self.high = vectors.min(0), vectors.max(0)
-        span = self.high - self.low + 1
-        level = (vectors - self.low) * LEVELS // span
-        self.postings = np.argsort(level, axis=0, kind="stable").astype(np.int32)
-        #: By dimension and level: where its segment begins, its least and largest component.
-        self.starts = np.stack([np.searchsorted(np.sort(level[:, d]), np.arange(LEVELS + 1)) for d in range(dims)])
-        self.least = np.zeros((dims, LEVELS), np.int64)
-        self.most = np.zeros((dims, LEVELS), np.int64)
-        for d in range(dims):
-            values = np.sort(vectors[:, d])
-            filled = np.flatnonzero(np.diff(self.starts[d]))
-            self.least[d, filled] = values[self.starts[d, filled]]
-            self.most[d, filled] = values[self.starts[d, filled + 1] - 1]
+        # By level and dimension; as many candidates in each level of a dimension as equal components allow.
+        edges = np.sort(self.vectors, axis=0)[np.linspace(0, n - 1, LEVELS + 1).astype(int)]
+        self.low, self.high = edges[0], edges[-1]
+        self.below, self.above = edges[:-1].ravel(), edges[1:].ravel()
+        self.widths = self.above - self.below
+        #: By segment: the part of each candidate's component that lies within the level. A dimension's parts add up to the component above the least.
+        self.segments = np.tile(self.vectors.T, (LEVELS, 1))
+        np.clip(self.segments, self.below[:, None], self.above[:, None], out=self.segments)
+        self.segments -= self.below[:, None]
+
+    def rounds(self, queries: np.ndarray) -> np.ndarray:
+        """By query and segment: the round in which the query takes it, those of the largest impact first; ROUNDS for those that can't change a score."""
+        size, up = np.tile(np.abs(queries), LEVELS), np.tile(queries >= 0, LEVELS)
+        reach = np.where(up, self.above - np.tile(self.low, LEVELS), np.tile(self.high, LEVELS) - self.below)
+        useful = (size > 0) & (self.widths > 0)
+        order = np.argsort(np.where(useful, -size * reach, 1), axis=1, kind="stable")
+        place = np.empty_like(order)
+        np.put_along_axis(place, order, np.arange(order.shape[1])[None], axis=1)
+        return np.minimum(place * ROUNDS // np.maximum(useful.sum(1, keepdims=True), 1), ROUNDS)
+
+    def members(self, queries: np.ndarray, k: int, owns: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+        """(query, positions of all candidates that may be among its k best), in the order of their proofs; own positions are left out."""
+        n = len(self.vectors)
+        queries = queries.astype(float)
+        takes, weights = self.rounds(queries), np.tile(queries, LEVELS)
+        # What each candidate can still reach: at first the most that any vector within the block's ranges would have.
+        most = np.repeat(np.maximum(queries * self.low, queries * self.high).sum(1)[:, None], n, axis=1)
+        for q, own in enumerate(owns):
+            most[q, own] = -np.inf
+        asking = np.arange(len(queries))
+        for now in range(ROUNDS):
+            taken = np.where(takes[asking] == now, weights[asking], 0)
+            most += taken @ self.segments
+            most -= (np.maximum(taken, 0) @ self.widths)[:, None]
+            open_ = np.ones(len(asking), bool)
+            for at, q in enumerate(asking.tolist()):
+                few = min(k, n - len(owns[q]))
+                ahead = np.argpartition(most[at], max(0, n - 4 * k))[-4 * k :] if few else owns[q]
+                ahead = ahead[most[at, ahead] > -np.inf]
+                # The few-th best of those ahead by exact scores: who can't reach it is no member.
+                bar = np.partition(self.vectors[ahead] @ queries[q], -few)[-few] if few else np.inf
+                found = np.flatnonzero(most[at] >= bar)
+                if len(found) <= max(64, 4 * k, n // 8) or now == ROUNDS - 1:
+                    open_[at] = False
+                    yield q, found
+            if not open_.any():
+                return
+            asking, most = asking[open_], most[open_]
 
     def possible(self, query: np.ndarray, k: int, own: np.ndarray) -> np.ndarray:
         """Positions of all candidates that may be among the k best; own positions are left out."""
-        n = len(self.vectors)
-        size = np.abs(query)
-        up = query >= 0
-        dims = np.flatnonzero(size)
-        # What a segment's members add for sure and at most, above the dimension's least useful value.
-        sure = np.where(up[:, None], self.least - self.low[:, None], self.high[:, None] - self.most) * size[:, None]
-        at_most = np.where(up[:, None], self.most - self.low[:, None], self.high[:, None] - self.least) * size[:, None]
-        rank = np.where(up[:, None], np.arange(LEVELS), LEVELS - 1 - np.arange(LEVELS)) * size[:, None]
-        counts = np.diff(self.starts, axis=1)
-        d, level = np.nonzero((counts > 0) & (size[:, None] > 0))
-        order = np.argsort(-rank[d, level], kind="stable")
-        d, level = d[order], level[order]
-        amounts, sures, mosts = counts[d, level], sure[d, level], at_most[d, level]
-        rounds = np.searchsorted(np.cumsum(amounts), np.linspace(0, amounts.sum(), ROUNDS + 1)[1:-1])
-        sums = np.zeros(n)
-        mine = np.ones(n, bool)
-        mine[own] = False
-        k = min(k, int(mine.sum()))
-        loose = np.zeros(len(query))  # by dimension, what members of read segments may have above the sure part
-        done = 0
-        for end in [*rounds.tolist(), len(d)]:
-            if end > done:
-                ids = np.concatenate([self.postings[self.starts[x, y] : self.starts[x, y + 1], x] for x, y in zip(d[done:end], level[done:end])])
-                sums += np.bincount(ids, np.repeat(sures[done:end], amounts[done:end]).astype(float), n)
-                np.maximum.at(loose, d[done:end], mosts[done:end] - sures[done:end])
-                done = end
-            unread = np.zeros(len(query))
-            np.maximum.at(unread, d[done:], mosts[done:])
-            rest = np.maximum(unread, loose)[dims].sum()
-            bar = np.partition(sums[mine], -k)[-k]
-            found = np.flatnonzero(mine & (sums + rest >= bar))
-            if len(found) <= max(64, 4 * k) and done < len(d):
-                break
-        return found
-
-    def best(self, query: np.ndarray, k: int, ids: np.ndarray, own_id: int) -> tuple[np.ndarray, np.ndarray]:
-        own = np.flatnonzero(ids == own_id)
-        if len(own) == len(ids):
-            return ids[:0], ids[:0]
-        found = self.possible(query, k, own)
-        scores = (self.vectors[found] @ query.astype(float)).astype(np.int64)
-        order = np.lexsort((ids[found], -scores))[:k]
-        return ids[found][order], scores[order]
+        return next(self.members(query[None], k, [own]))[1]
+
+    def best(self, queries: np.ndarray, k: int, ids: np.ndarray, own_ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query's id, ids and scores of its k best) of each query."""
+        for start in range(0, len(queries), BATCH):
+            some, own = queries[start : start + BATCH], own_ids[start : start + BATCH]
+            for q, found in self.members(some, k, [np.flatnonzero(ids == x) for x in own]):
+                scores = (self.vectors[found] @ some[q].astype(float)).astype(np.int64)
+                order = np.lexsort((ids[found], -scores))[:k]
+                yield int(own[q]), ids[found][order], scores[order]
 
 
 class Block:
@@ -125,16 +131,17 @@ class Block:
             self.parts = [tuple(np.concatenate(x) for x in zip(*self.parts))]
             self.most = float(np.abs(self.parts[0][1]).max())
         held, vectors = self.parts[0]
-        for own, query in zip(ids.tolist(), queries):
-            if self.most * float(np.abs(query).max()) * len(query) >= EXACT or self.most >= EXACT:
-                whole = [int(x) for x in query]
-                scores = ((sum(int(x) * q for x, q in zip(v, whole)), i) for i, v in zip(held.tolist(), vectors) if i != own)
-                yield from ((own, i, max(-LONG - 1, min(LONG, x))) for x, i in sorted(scores, key=lambda s: (-s[0], s[1]))[:k])
-                continue
+        # What is summed on the way stays below four times the largest score.
+        small = 4 * self.most * np.abs(queries).max(1, initial=0) * queries.shape[1] < EXACT
+        for own, query in zip(ids[~small].tolist(), queries[~small]):
+            whole = [int(x) for x in query]
+            scores = ((sum(int(x) * q for x, q in zip(v, whole)), i) for i, v in zip(held.tolist(), vectors) if i != own)
+            yield from ((own, i, max(-LONG - 1, min(LONG, x))) for x, i in sorted(scores, key=lambda s: (-s[0], s[1]))[:k])
+        if small.any():
             if self.index is None:
                 self.index = ImpactIndex(vectors.astype(np.int64))
-            for i, x in zip(*self.index.best(query.astype(np.int64), k, held, own)):
-                yield own, int(i), int(x)
+            for own, found, scores in self.index.best(queries[small].astype(np.int64), k, held, ids[small]):
+                yield from ((own, i, x) for i, x in zip(found.tolist(), scores.tolist()))
 
 
 def exact_top_k(

@@ -5,11 +5,12 @@
    kept packed: one row per block with every document's word numbers in order, and
    one row per block and bucket with the words of that bucket. A very common word so
    makes one entry a block, however often it occurs.
-   These rows are shuffled by block, and that shuffle is read twice.
-2. From its first read, the words go on by bucket, a hash of the word: all blocks' copies
-   of a word meet in one task, which encodes it once and answers each row with the ids.
-3. The answers meet the second read by block, and each document is put back together by
-   position: its ids, and its bytes from the joined token-byte table.
+   One shuffle takes each row where it is needed, a block's documents by block and its words
+   by bucket, so no word is shuffled twice; that shuffle is read twice.
+2. In its first read all blocks' copies of a word meet in one task, which encodes it once and
+   answers each block's row with the numbers and ids of its words.
+3. The answers meet the documents in the second read by block, and each document is put back
+   together by position: its ids, and its bytes from the joined token-byte table.
 
 A block is bounded by ``BLOCK`` characters (a longer text is a block of its own). There is a
 bucket for each ``BUCKET`` bytes of text, and at least one for each shuffle partition, so a
@@ -44,8 +45,10 @@ from gridloom.llm.common import pieces, release
 
 #: Characters of a block, bytes of text for which there is a bucket, words that a bucket's task remembers at a time.
 BLOCK, BUCKET, REMEMBERED = 4_000_000, 1 << 24, 200_000
-#: The compression of what is shuffled: disk is the scarcer, with some CPU to spare.
-LEVEL = 9
+#: Characters of a longer text that are cut into words at a time.
+STRETCH = 1 << 20
+#: The compression of what is shuffled, and that which tells the shorter of two layouts.
+LEVEL, QUICK = 5, 1
 #: The bucket of the row that holds a block's documents.
 DOCS = -1
 
@@ -66,8 +69,13 @@ def word_encoder(path: str, pattern: str):
 
 
 @cache
-def token_bytes(path: str) -> dict[int, bytes]:
-    return {rank: token for token, rank in ranks_of(path).items()}
+def token_bytes(path: str) -> tuple[list[bytes], np.ndarray]:
+    """By id: a token's bytes and their number."""
+    ranks = ranks_of(path)
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table, np.array([len(t) for t in table], np.int64)
 
 
 #: Every character but surrogates, which no text holds.
@@ -92,9 +100,13 @@ def members(kind: str) -> str:
     return bytes(probe.encode_ordinary(every_character())).decode()
 
 
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
 def ranges(chars: str) -> str:
     """Sorted characters as the ranges of a regex class."""
-    codes = np.frombuffer(chars.encode("utf-32-le"), "<u4").astype(np.int64)
+    codes = code_points(chars).astype(np.int64)
     breaks = np.flatnonzero(np.diff(codes) != 1)
     firsts, lasts = codes[np.r_[0, breaks + 1]], codes[np.r_[breaks, len(codes) - 1]]
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts.tolist(), lasts.tolist()))
@@ -112,67 +124,63 @@ def spelled_out(pattern: str, kinds: dict[str, str]) -> str:
     return "".join(out)
 
 
-def first_difference(a: str, b: str) -> str:
-    """The first character that one of two sorted strings holds alone, or nothing."""
-    x, y = (np.frombuffer(t.encode("utf-32-le"), "<u4") for t in (a, b))
-    apart = np.setxor1d(x, y)
-    return chr(apart[0]) if len(apart) else ""
-
-
 @cache
-def splitters(pattern: str) -> tuple[Callable[[str], list[str]], Callable[[str], list[str]], str]:
-    """A fast way to find pre-tokens, one that agrees with the library on every character, and the
-    first character on which the fast one doesn't."""
+def splitters(pattern: str) -> tuple[Callable[[str], list[str]], Callable[[str], list[str]], np.ndarray]:
+    """A fast way to find pre-tokens, one that agrees with the library on every character, and by
+    code point, whether the fast one's classes don't."""
     import regex
 
     kinds = {m["kind"] for m in PART.finditer(pattern) if m["kind"]}
-    differ = [first_difference(members(kind), "".join(regex.findall(f"{kind}+", every_character()))) for kind in kinds]
+    differ = np.zeros(CODE_POINTS[-1].stop, bool)
+    for kind in kinds:
+        differ[np.setxor1d(code_points(members(kind)), code_points("".join(regex.findall(f"{kind}+", every_character()))))] = True
     exact = re.compile(spelled_out(pattern, {kind: ranges(members(kind)) for kind in kinds}))
-    return regex.compile(pattern).findall, exact.findall, min(filter(None, differ), default=chr(0x10FFFF))
+    return regex.compile(pattern).findall, exact.findall, differ
 
 
-class PreTokens(dict):
-    """From a stretch between safe cuts to the word numbers of a block, for stretches met before."""
+class Numbers(dict):
+    """From a word to its number in the order of first occurrence."""
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = len(self)
+        return found
+
+
+class PreTokens:
+    """The word numbers of a block's texts."""
 
     #: One space between two characters that are no white space: a match always ends before it.
-    safe = re.compile(r"(?<=\S) (?=\S)").split
+    safe = re.compile(r"(?<=\S) (?=\S)").search
 
     def __init__(self, pattern: str) -> None:
         self.fast, self.exact, self.differ = splitters(pattern)
-        self.numbers: dict[str, int] = {}
-
-    def __missing__(self, stretch: str) -> tuple[int, ...]:
-        numbers = self.numbers
-        find = self.fast if max(stretch, default="") < self.differ else self.exact
-        words = find(stretch)
-        if words == [stretch]:
-            words = (stretch,)  # one string in both tables
-        found = self[stretch] = tuple([numbers.setdefault(w, len(numbers)) for w in words])
-        return found
+        self.numbers = Numbers()
 
     def of(self, text: str) -> np.ndarray:
-        first, *rest = self.safe(text)
-        out = list(self[first])
-        for stretch in rest:
-            out += self[" " + stretch]
-        return np.array(out, "<u4")
+        out, start = [np.zeros(0, "<u4")], 0
+        while start < len(text):
+            cut = self.safe(text, start + STRETCH)
+            stretch = text[start : cut.start() if cut else len(text)]
+            start += len(stretch)
+            find = self.exact if self.differ[code_points(stretch)].any() else self.fast
+            out.append(np.array(list(map(self.numbers.__getitem__, find(stretch))), "<u4"))
+        return np.concatenate(out)
 
 
 def pack(*arrays: np.ndarray | bytes) -> bytes:
     """Arrays as narrow as their values allow, behind each other, compressed: number by number, or all first bytes before
-    all second ones, whichever is shorter."""
+    all second ones, whichever is shorter by a quick compression."""
+    narrow = [a if isinstance(a, bytes) else a.astype("<u1" if not len(a) or a.max() < 1 << 8 else "<u2" if a.max() < 1 << 16 else "<u4") for a in arrays]
     made = []
-    for planes in (False, True):
+    for planes in (False, True) if any(not isinstance(a, bytes) and a.itemsize > 1 for a in narrow) else (False,):
         parts = []
-        for a in arrays:
-            if not isinstance(a, bytes):
-                a = a.astype("<u1" if not len(a) or a.max() < 1 << 8 else "<u2" if a.max() < 1 << 16 else "<u4")
+        for a in narrow:
             width = 0 if isinstance(a, bytes) else a.itemsize
             raw = a if isinstance(a, bytes) else a.view("u1").reshape(-1, width).T.tobytes() if planes else a.tobytes()
             parts += [bytes([width]), len(raw).to_bytes(8, "little"), raw]
-        raw = b"".join(parts)
-        made.append(bytes([planes]) + len(raw).to_bytes(8, "little") + pa.Codec("zstd", LEVEL).compress(raw, asbytes=True))
-    return min(made, key=len)
+        made.append((planes, b"".join(parts)))
+    planes, raw = made[0] if len(made) == 1 else min(made, key=lambda x: len(pa.Codec("zstd", QUICK).compress(x[1], asbytes=True)))
+    return bytes([planes]) + len(raw).to_bytes(8, "little") + pa.Codec("zstd", LEVEL).compress(raw, asbytes=True)
 
 
 def unpack(blob: bytes) -> list:
@@ -196,7 +204,6 @@ def block_rows(texts: list[str], pattern: str, buckets: int) -> Iterator[tuple[i
     """The packed explosion of a block: (DOCS, word numbers by document), then (bucket, its words)."""
     words = PreTokens(pattern)
     docs = [words.of(t) if t else np.zeros(0, "<u4") for t in texts]
-    words.clear()  # the stretches; their words are numbered
     flat = np.concatenate(docs) if docs else np.zeros(0, "<u4")
     lengths = np.array([len(d) for d in docs], "<u4")
     del docs
@@ -222,9 +229,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     id_type = slim.schema[0].dataType
     size = slim.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     buckets = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
-    packed = T.StructType().add("block", T.LongType()).add("bucket", T.IntegerType())
-    exploded_type = T.StructType([*packed.fields]).add("doc_ids", T.ArrayType(id_type)).add("blob", T.BinaryType())
-    blob_type = T.StructType([*packed.fields]).add("blob", T.BinaryType())
+    #: The key of a row of documents is its block's number, that of a row of words the bucket's, counted down from -1.
+    packed = T.StructType().add("key", T.LongType())
+    exploded_type = T.StructType([*packed.fields]).add("block", T.LongType()).add("doc_ids", T.ArrayType(id_type)).add("blob", T.BinaryType())
+    answer_type = T.StructType([*packed.fields]).add("blob", T.BinaryType())
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
@@ -235,10 +243,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
         def block_of() -> pa.RecordBatch:
             rows = list(block_rows(texts, pattern, buckets))
             held = pa.ListArray.from_arrays(pa.array([0] + [len(texts)] * len(rows), pa.int32()), pa.concat_arrays(ids))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(rows), pa.int64()), pa.array([k for k, _ in rows], pa.int32()), held, pa.array([b for _, b in rows], pa.binary())],
-                exploded_type.names,
-            )
+            keys = pa.array([block if k == DOCS else -1 - k for k, _ in rows], pa.int64())
+            return pa.RecordBatch.from_arrays([keys, pa.array([block] * len(rows), pa.int64()), held, pa.array([b for _, b in rows], pa.binary())], exploded_type.names)
 
         for batch in batches:
             for start, end in pieces(batch.column(1)):
@@ -254,68 +260,61 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
             yield block_of()
         release()
 
-    def words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pc.not_equal(batch.column("bucket"), DOCS))
-            words = [pack(*unpack(b)[1:]) for b in batch.column("blob").to_pylist()]
-            columns = [batch.column("block"), batch.column("bucket"), pa.array(words, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, blob_type.names)
-        release()
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, bucket, known = word_encoder(ranks_path, pattern), DOCS, {}
+        encoder, bucket, known = word_encoder(ranks_path, pattern), None, {}
         for batch in batches:
+            batch = batch.filter(pc.less(batch.column("key"), 0))
             out = []
-            for k, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob")):
+            for k, blob in zip(batch.column("key").to_pylist(), batch.column("blob")):
                 if k != bucket:
                     bucket, known = k, {}
                 ids = []
-                for word in split_at(*unpack(blob.as_py())[::-1]):
+                numbers, lengths, words = unpack(blob.as_py())
+                for word in split_at(words, lengths):
                     found = known.get(word)
                     if found is None:
                         if len(known) >= REMEMBERED:
                             known.clear()
                         found = known[word] = encoder(word)
                     ids.append(found)
-                out.append(pack(np.array([len(x) // 4 for x in ids]), np.frombuffer(b"".join(ids), "<u4")))
-            columns = [batch.column("block"), batch.column("bucket"), pa.array(out, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, blob_type.names)
+                out.append(pack(numbers, np.array([len(x) // 4 for x in ids]), np.frombuffer(b"".join(ids), "<u4")))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.binary())], answer_type.names)
         release()
 
     def reassemble(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        at = rows.column("bucket").to_pylist().index(DOCS)
-        blobs = dict(zip(rows.column("bucket").to_pylist(), rows.column("blob")))
-        counts, flat = unpack(blobs[DOCS].as_py())
-        table = token_bytes(ranks_path)
-        words = int(flat.max()) + 1 if len(flat) else 0
-        spelled, said = [b""] * words, [b""] * words  # by word number
-        for k, answer in zip(answers.column("bucket").to_pylist(), answers.column("blob")):
-            lengths, ids = unpack(answer.as_py())
-            parts = split_at(ids.astype("<u4").tobytes(), lengths.astype(np.int64) * 4)
-            for number, part in zip(np.cumsum(unpack(blobs[k].as_py())[0], dtype=np.int64).tolist(), parts):
-                spelled[number] = part
-                said[number] = b"".join([table[i] for i in np.frombuffer(part, "<u4").tolist()])
+        docs_of_block = rows.filter(pc.greater_equal(rows.column("key"), 0))  # one row, or none for a bucket's words
         coded, decoded, start = [], [], 0
-        for end in np.cumsum(counts, dtype=np.int64).tolist():
-            run = flat[start:end].tolist()
-            coded.append(b"".join([spelled[number] for number in run]))
-            decoded.append(b"".join([said[number] for number in run]))
-            start = end
-        del spelled, said, flat
-        release()
+        table, sizes = token_bytes(ranks_path)
+        for blob in docs_of_block.column("blob"):
+            counts, flat = unpack(blob.as_py())
+            words = int(flat.max()) + 1 if len(flat) else 0
+            spelled, said = [b""] * words, [b""] * words  # by word number
+            for answer in answers.column("blob"):
+                numbers, lengths, ids = unpack(answer.as_py())
+                ends = np.r_[0, np.cumsum(sizes[ids])][np.cumsum(lengths, dtype=np.int64)]  # of each word's bytes
+                parts = split_at(ids.astype("<u4").tobytes(), lengths.astype(np.int64) * 4)
+                heard = split_at(b"".join(map(table.__getitem__, ids.tolist())), np.diff(ends, prepend=0))
+                for number, part, bytes_ in zip(np.cumsum(numbers, dtype=np.int64).tolist(), parts, heard):
+                    spelled[number], said[number] = part, bytes_
+            for end in np.cumsum(counts, dtype=np.int64).tolist():
+                run = flat[start:end].tolist()
+                coded.append(b"".join(map(spelled.__getitem__, run)))
+                decoded.append(b"".join(map(said.__getitem__, run)))
+                start = end
+            del spelled, said, flat
+            release()
         return pa.table(
             {
-                id_col: rows.column("doc_ids").combine_chunks().slice(at, 1).flatten(),
+                id_col: docs_of_block.column("doc_ids").combine_chunks().flatten(),
                 "ids": pa.array(coded, pa.binary()),
                 "decoded": pa.array(decoded, pa.binary()),
             }
         )
 
-    blocks = slim.mapInArrow(explode, exploded_type).repartition("block")
-    words = blocks.mapInArrow(words_only, blob_type)
-    answers = words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(encode, blob_type)
+    blocks = slim.mapInArrow(explode, exploded_type).repartition("key")
+    answers = blocks.sortWithinPartitions("key").mapInArrow(encode, answer_type)
     result = T.StructType().add(id_col, id_type).add("ids", T.BinaryType()).add("decoded", T.BinaryType())
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(reassemble, result)
+    return blocks.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(reassemble, result)
 
 
 def encoding_digest(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -289,6 +289,15 @@ def test_bpe_blocks(monkeypatch):
     assert counts.tolist() == [3, 0, 1] and len(set(flat.tolist())) == 4
 
 
+def test_bpe_shuffles_each_word_once(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode_documents(documents(spark), path, public_tokenizers.PATTERN)
+    assert len(encoded.collect()) == documents(spark).count()
+    plan = encoded._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # Documents and words share one exchange, which is read twice; answers take the other. Words by block and again by bucket made three.
+    assert len(set(re.findall(r"Exchange hashpartitioning.*?plan_id=(\d+)", plan))) == 2 and plan.count("ReusedExchange") == 1
+
+
 BODY = ["A first paragraph that is long enough to stand for a whole article body here.", "Short.", "A second paragraph, and it is about as long as the first one of this body was."]
 INNER = "".join(f"<p>{x}</p>" for x in BODY)
 

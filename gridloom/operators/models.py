@@ -18,6 +18,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.clustering import best_centres, nearest_of
 from gridloom.operators.metrics import running
 from gridloom.operators.validation import by_key, cluster_scores, dealt, hash_number
 from gridloom.plans.lineage import cut, dropped, stored
@@ -120,11 +121,14 @@ def kmeans(df: DataFrame, columns: list[str], k: int, seed: int = 42) -> DataFra
 
 def choose_k(df: DataFrame, columns: list[str], ks: range, seed: int = 42) -> DataFrame:
     """Per k the inertia, the scores of its clusters and whether it is the best: the k of the highest silhouette if it
-    is within 2 of the elbow, else the elbow."""
+    is within 2 of the elbow, else the elbow. Clusters are the best of many starts: a single one may end with two groups
+    in one cluster, as its first centres hang on how rows are dealt."""
     data = cut(df.select(*columns).dropna())
+    v = F.array(*[F.col(c).cast("double") for c in columns])
     rows = []
     for k in ks:
-        one = cluster_scores(kmeans(data, columns, k, seed), "cluster", columns).first()
+        centres, _, _ = best_centres(data.select(v.alias("v")), k, seed=seed)
+        one = cluster_scores(data.withColumn("cluster", nearest_of(v, centres)), "cluster", columns).first()
         rows.append((k, *one))
     bend = elbow([(r[0], r[1]) for r in rows])
     widest = max(rows, key=lambda r: r[4])[0]

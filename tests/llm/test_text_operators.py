@@ -289,6 +289,19 @@ def test_bpe_blocks(monkeypatch):
     assert counts.tolist() == [3, 0, 1] and len(set(flat.tolist())) == 4
 
 
+def test_pre_tokens_of_long_texts(monkeypatch):
+    r = random.Random(4)
+    bits = ["ab", "é", " ", " ", "  ", "\n", "\x85", "'s", "12", "!?", "中", "\U0001fae9"]
+    for stretch in (1, 7):
+        monkeypatch.setattr(byte_bpe, "STRETCH", stretch)
+        words = byte_bpe.PreTokens(public_tokenizers.PATTERN)
+        for _ in range(100):
+            text = "".join(r.choice(bits) for _ in range(60))
+            numbers = words.of(text).tolist()
+            spelled = list(words.numbers)
+            assert [spelled[n] for n in numbers] == words.exact(text)
+
+
 def test_bpe_shuffles_each_word_once(spark):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode_documents(documents(spark), path, public_tokenizers.PATTERN)

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.clustering import best_centres, nearest_of
 from gridloom.operators.metrics import running
-from gridloom.operators.validation import by_key, cluster_scores, dealt, hash_number
+from gridloom.operators.refits import refit_scores
+from gridloom.operators.validation import cluster_scores, hash_number
 from gridloom.plans.lineage import cut, dropped, stored
 
 
@@ -252,19 +253,13 @@ def validation_curve(df: DataFrame, columns: list[str], label: str, key: str, st
     return df.sparkSession.createDataFrame(means_by(strengths, folds, found), "c double, train double, test double")
 
 
-def permutation_refits(df: DataFrame, columns: list[str], label: str, key: str, permutations: int = 100, folds: int = 3) -> DataFrame:
-    """(score, p_value): mean test accuracy over the folds, and how often models fitted on labels dealt anew reach it."""
+def permutation_refits(df: DataFrame, columns: list[str], label: str, key: str, permutations: int = 100, folds: int = 5) -> DataFrame:
+    """(score, p_value): mean test accuracy over the folds, and how often models fitted on labels dealt anew reach it. All
+    models are fitted together; no row without rows."""
     checked_parameters(permutations=permutations)
-
-    def score(frame: DataFrame) -> float:
-        return float(np.mean([test for _, test in scores_of(folded(frame, columns, label, key, folds), label, fold_splits(folds))]))
-
-    slim = by_key(df.select(*dict.fromkeys([*columns, label, key])).dropna(), key)
-    own = score(slim)
-    others = [score(dealt(slim, [label], key, seed).withColumn(label, F.col(f"__{label}"))) for seed in range(permutations)]
-    dropped(slim)
-    p = (sum(x >= own for x in others) + 1) / (permutations + 1)
-    return df.sparkSession.createDataFrame([(own, p)], "score double, p_value double")
+    found = refit_scores(df, columns, label, key, permutations, folds)
+    p = [(float(own), (sum(x >= own for x in found[1:]) + 1) / (permutations + 1)) for own in found[:1]]
+    return df.sparkSession.createDataFrame(p, "score double, p_value double")
 
 
 def resampled(df: DataFrame, key: str, seed: int) -> DataFrame:

@@ -113,6 +113,11 @@ def dealt(rows: DataFrame, columns: list[str], key: str, seed: int) -> DataFrame
     return rows.join(out_of.withColumnsRenamed({c: f"__{c}" for c in columns}), "__rank")
 
 
+def shuffled(df: DataFrame, column: str, key: str, seed: int) -> DataFrame:
+    """The rows with ``column`` dealt anew over them."""
+    return dealt(by_key(df, key), [column], key, seed).withColumn(column, F.col(f"__{column}")).select(*df.columns)
+
+
 def permutation_importance(df: DataFrame, features: list[str], label: str, predict: Column, key: str, repeats: int = 3) -> DataFrame:
     """(feature, importance_mean, importance_std, p_value): by how much the accuracy of ``predict`` falls when a
     feature's values are dealt anew. All features of a repeat are dealt in one pass."""

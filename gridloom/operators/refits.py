@@ -25,7 +25,7 @@ from gridloom.operators.validation import hash_number, ranked
 from gridloom.plans.lineage import dropped, stored
 
 #: Rows of a block, labels of a bucket while they are dealt, models that a task weighs at a time.
-BLOCK, BUCKET, WIDE = 1024, 1 << 20, 512
+BLOCK, BUCKET, WIDE = 1024, 1 << 18, 512
 #: Passes at most, as many as Spark's own fits take; a fit ends when a step would gain less than this share of a row's loss.
 ROUNDS, STILL = 100, 1e-14
 
